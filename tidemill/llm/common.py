@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i, n in enumerate(sizes):
             if i > start and total + n > most:

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,7 +173,7 @@ def in_order(docs: DataFrame, partitions: int | None = None) -> DataFrame:
         for batch in batches:
             ids = batch["doc_id"]
             known = np.asarray(ids.is_valid())
-            values = pa.compute.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+            values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
             part = np.searchsorted(bounds, values, side="right")
             # Rows without an id go anywhere.
             part[~known] = np.arange(len(part))[~known] % (last + 1)
