@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.llm.chunk_bpe import op7_chunk_bpe
+from tidemill.llm.harmonic_packing import op5_harmonic_packing
+from tidemill.llm.pivot_simhash import op9_pivot_simhash
+from tidemill.llm.streaming_dedup import OP10_SQL, op10_streaming_dedup
 from tidemill.llm.weighted_fingerprints import op2_weighted_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_weighted_fingerprints": op2_weighted_fingerprints,
+    "op5_harmonic_packing": op5_harmonic_packing,
+    "op7_chunk_bpe": op7_chunk_bpe,
+    "op9_pivot_simhash": op9_pivot_simhash,
+    "op10_streaming_dedup": op10_streaming_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_streaming_dedup": OP10_SQL,
+}
