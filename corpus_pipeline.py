@@ -1,3 +1,59 @@
-"""The training-data pipeline: toxicity, exact duplicates, near duplicates, packing."""
+"""The training-data pipeline over documents: toxic texts go, then exact duplicates, then near
+duplicates, and what is left is packed into sequences of tokens.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), works on all rows of ``docs`` and returns a DataFrame;
+all but the last return the columns of ``docs``. Rows with a null or empty text pass through as
+empty texts, of which one stays. An empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill.llm.common import table
+from tidemill.llm.harmonic_packing import packed_words
+from tidemill.llm.pivot_simhash import one_of_each
+from tidemill.llm.streaming_dedup import without_duplicates
+from tidemill.llm.subsequence_svm import THRESHOLD, fitted, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score is under the threshold; the machine learns from the labels that ``docs`` has rows for."""
+    model = fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity(docs, model, name="__toxicity")
+    return scored.where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+
+
+def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the row with the largest doc_id."""
+    return without_duplicates(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates, the row with the smallest doc_id."""
+    return one_of_each(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each piece of each document."""
+    return packed_words(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_duplicates),
+    ("near_dedup", drop_near_duplicates),
+    ("packing", pack),
+]
+
+#: The stages learn, hash by XXH64 and encode by BPE, which SQL can't express.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order, each written as Parquet in the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
