@@ -5,8 +5,8 @@ space, repeats included (fewer words: all of them; none: the fingerprint is zero
 a fingerprint is 1 if it is set in over half of the shingles' XXH64 (seed 42). Two
 fingerprints are linked if at most ``WITHIN`` bits differ, and a class is what links reach.
 
-The pivots are reference fingerprints: zero, the ``2 * GROUPS`` ... 32 masks of two adjacent
-bits, and seven spread ones. Their Hamming distances d to each distinct fingerprint are
+The pivots are reference fingerprints: zero, the 32 masks of two adjacent bits, and seven
+spread ones. Their Hamming distances d to each distinct fingerprint are
 computed once. For a mask S, (d(x, 0) - d(x, S) + 2) / 2 is how many of its two bits x has;
 fingerprints at most two bits apart can differ in at most two of these 32 coordinates.
 So, with the coordinates in five groups, linked fingerprints agree in three whole groups,
@@ -148,8 +148,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     prints = table(with_fingerprints(rows).select("doc_id", "fp", F.xxhash64("text").alias("h")), "fps")
     named = prints.join(classes(prints), "fp")
     ends = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = table(ends.groupBy("component").agg(F.first("component_id").alias("stay_id"), F.min("h").alias("stay_h")), "stays")
-    return docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["stay_id"]) & (F.xxhash64(text) == stays["stay_h"]), "left_semi")
+    stays = table(ends.groupBy("component").agg(F.first("component_id").alias("__stay_id"), F.min("h").alias("__stay_h")), "stays")
+    return docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["__stay_id"]) & (F.xxhash64(text) == stays["__stay_h"]), "left_semi")
 
 
 def op9_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

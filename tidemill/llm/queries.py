@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemill.llm.chunk_bpe import op7_chunk_bpe
 from tidemill.llm.harmonic_packing import op5_harmonic_packing
 from tidemill.llm.hidden_markov import op3_hidden_markov
@@ -13,19 +14,23 @@ from tidemill.llm.license_automaton import op8_license_automaton
 from tidemill.llm.pivot_simhash import op9_pivot_simhash
 from tidemill.llm.streaming_dedup import OP10_SQL, op10_streaming_dedup
 from tidemill.llm.subsequence_svm import op1_subsequence_svm
+from tidemill.llm.warc_derivatives import OP4_SQL, op4_warc_derivatives
 from tidemill.llm.weighted_fingerprints import op2_weighted_fingerprints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_subsequence_svm": op1_subsequence_svm,
     "op2_weighted_fingerprints": op2_weighted_fingerprints,
     "op3_hidden_markov": op3_hidden_markov,
+    "op4_warc_derivatives": op4_warc_derivatives,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op7_chunk_bpe": op7_chunk_bpe,
     "op8_license_automaton": op8_license_automaton,
     "op9_pivot_simhash": op9_pivot_simhash,
     "op10_streaming_dedup": op10_streaming_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_derivatives": OP4_SQL,
     "op10_streaming_dedup": OP10_SQL,
 }

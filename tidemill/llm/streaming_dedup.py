@@ -38,8 +38,8 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``at``, the content locator: its file and the row within it.
+def located(docs: DataFrame, columns: list[str] | None = None, name: str = "at") -> DataFrame:
+    """``docs`` with a column ``name``, the content locator: its file and the row within it.
 
     Rows that aren't read from files get their place in a table in the shared folder.
     """
@@ -47,7 +47,7 @@ def located(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     def find(df: DataFrame) -> DataFrame:
         meta = df.metadataColumn("_metadata")
-        return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")).alias("at"))
+        return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")).alias(name))
 
     try:
         out = find(docs)
@@ -121,9 +121,9 @@ def _named(df: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
-    rows = located(docs)
-    at = exact_duplicates(docs).where("kept").select(F.col("at").alias("stays_at"))
-    return rows.join(at, F.col("at") == F.col("stays_at"), "left_semi").drop("at")
+    rows = located(docs, name="__content_at")
+    at = exact_duplicates(docs).where("kept").select(F.col("at").alias("__stays_at"))
+    return rows.join(at, F.col("__content_at") == F.col("__stays_at"), "left_semi").drop("__content_at")
 
 
 def op10_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
