@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidemill.llm.chunk_bpe import op7_chunk_bpe
+from tidemill.llm.fuzzy_lines import op6_fuzzy_lines
 from tidemill.llm.harmonic_packing import op5_harmonic_packing
 from tidemill.llm.hidden_markov import op3_hidden_markov
 from tidemill.llm.license_automaton import op8_license_automaton
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hidden_markov": op3_hidden_markov,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_harmonic_packing": op5_harmonic_packing,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_chunk_bpe": op7_chunk_bpe,
     "op8_license_automaton": op8_license_automaton,
     "op9_pivot_simhash": op9_pivot_simhash,
