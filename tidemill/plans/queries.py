@@ -292,9 +292,14 @@ def spine_star_join(customer, nation, region, orders):
     return df.select("c_custkey", "c_name", "n_name", "r_name", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), "total", "first_day", F.col("n_orders").isNotNull().alias("has_orders"), "n_urgent")
 
 
-@query("SELECT n_nationkey, n_name, s_suppkey, s_name FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 25 = n_nationkey")
-def roster_devices_left(nation, supplier):
-    return nation.join(supplier, (F.col("s_nationkey") == F.col("n_nationkey")) & (F.col("s_suppkey") % 25 == F.col("n_nationkey")), "left").select("n_nationkey", "n_name", "s_suppkey", "s_name")
+@query("""
+SELECT user_id, date, n, bought, spent FROM (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS n FROM events GROUP BY 1, 2)
+LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS bought, round(sum(value), 4) AS spent FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) USING (user_id, date)
+""")
+def roster_devices_left(events):
+    day = events.withColumn("date", F.to_date("ts"))
+    own = day.where("event_type = 'purchase'").groupBy("user_id", "date").agg(F.count("*").alias("bought"), X.scaled_round(F.sum("value"), 4).alias("spent"))
+    return day.groupBy("user_id", "date").agg(F.count("*").alias("n")).join(own, ["user_id", "date"], "left")
 
 
 @query("SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
@@ -309,10 +314,10 @@ def anti_orphans(documents, labels):
 
 @query("""
 SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CASE WHEN d.doc_id IS NULL THEN 'right_only' WHEN l.doc_id IS NULL THEN 'left_only' ELSE 'both' END AS indicator
-FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 3 <> 0) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id
+FROM (SELECT DISTINCT doc_id FROM documents) d FULL JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id
 """)
 def outer_indicator(documents, labels):
-    return P.key_overlap(documents.where(F.col("doc_id") % 3 != 0), labels, "doc_id")
+    return P.key_overlap(documents, labels, "doc_id")
 
 
 @query("SELECT c_mktsegment, count(*) AS n, round(avg(o_totalprice), 2) AS mean_price FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
@@ -588,10 +593,15 @@ def row_count_grid(events):
     return g.agg(F.count("*").alias("n_rows"), (F.count_distinct("user_id") * 30).alias("n_expected"))
 
 
-@query("SELECT count(*) AS n FROM orders WHERE o_custkey % 7 <> 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 11 <> 0)")
+@query("""
+SELECT 'order without customer' AS rule, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'customer without order', count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+""")
 def fk_check(orders, customer):
-    known = customer.where("c_custkey % 11 <> 0").select(F.col("c_custkey").alias("o_custkey"))
-    return orders.where("o_custkey % 7 <> 0").join(known, "o_custkey", "left_anti").agg(F.count("*").alias("n"))
+    known, used = customer.select(F.col("c_custkey").alias("o_custkey")), orders.select(F.col("o_custkey").alias("c_custkey"))
+    one = orders.join(known, "o_custkey", "left_anti").agg(F.count("*").alias("n")).select(F.lit("order without customer").alias("rule"), "n")
+    two = customer.join(used, "c_custkey", "left_anti").agg(F.count("*").alias("n")).select(F.lit("customer without order").alias("rule"), "n")
+    return one.unionByName(two)
 
 
 @query("""
