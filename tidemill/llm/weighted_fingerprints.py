@@ -62,7 +62,7 @@ def draws(hashes: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np
         else:
             t = np.floor(np.log(weights)[:, None].astype(np.float32) / r + b)
             ln_a -= r * (t - b + np.float32(1))
-            digest = _mixed(one ^ t.astype(np.int64).view(np.uint64)) >> np.uint64(48)
+            digest = np.where(t == 0, digest, _mixed(one ^ t.astype(np.int64).view(np.uint64)) >> np.uint64(48))
         bits = ln_a.view(np.uint32)
         ordered = bits ^ ((bits.view(np.int32) >> 31).view(np.uint32) | np.uint32(1 << 31))
     return (ordered.astype(np.uint64) << np.uint64(16)) | digest
