@@ -38,23 +38,19 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, columns: list[str] | None = None, name: str = "at") -> DataFrame:
-    """``docs`` with a column ``name``, the content locator: its file and the row within it.
-
-    Rows that aren't read from files get their place in a table in the shared folder.
-    """
-    keep = columns or docs.columns
-
-    def find(df: DataFrame) -> DataFrame:
-        meta = df.metadataColumn("_metadata")
-        return df.select(*[F.col(f"`{c}`") for c in keep], F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")).alias(name))
-
+def from_files(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have places in files, else a table of them in the shared folder."""
     try:
-        out = find(docs)
-        out.schema  # noqa: B018
-        return out
+        docs.select(docs.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018
+        return docs
     except AnalysisException:
-        return find(table(docs.select(*[F.col(f"`{c}`") for c in keep]), "landed"))
+        return table(docs, "landed")
+
+
+def located(docs: DataFrame, columns: list[str], name: str = "at") -> DataFrame:
+    """Columns of from_files(), and ``name``, the content locator: a row's file and its place there."""
+    meta = docs.metadataColumn("_metadata")
+    return docs.select(*[docs[c] for c in columns], F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("row")).alias(name))
 
 
 def _state(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
@@ -80,7 +76,7 @@ def _state(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
 def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row for each row of ``docs``: doc_id, at, text_sha256, keep_id, group_size, kept."""
     spark = docs.sparkSession
-    rows = located(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "at")
+    rows = located(from_files(docs), ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), "at")
     rows = rows.withColumns({"digest": digest(F.col("text")), "length": F.octet_length("text").cast("long")})
     path = scratch(spark, "records")
     sha = F.lit(None).cast("binary") if digest is sha256 else sha256(F.col("text"))
@@ -121,7 +117,8 @@ def _named(df: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
-    rows = located(docs, name="__content_at")
+    docs = from_files(docs)  # once: both sides of the join must name the same places
+    rows = located(docs, docs.columns, "__content_at")
     at = exact_duplicates(docs).where("kept").select(F.col("at").alias("__stays_at"))
     return rows.join(at, F.col("__content_at") == F.col("__stays_at"), "left_semi").drop("__content_at")
 
