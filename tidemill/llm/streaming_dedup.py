@@ -92,7 +92,8 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha25
     hits = table(rows.join(met, key).withColumn("first", F.struct("doc_id", "at").eqNullSafe(F.col("stays"))), "hits")
     held = hits.where("first").select(*key, F.col("text").alias("held"))
     other = hits.where("NOT first").join(held, key).where("text <> held").select(*key)
-    mixed = table(other.distinct(), "mixed")
+    # The distinct keys come from a table: above the join they would keep a hot digest's rows in one task.
+    mixed = table(table(other, "unlike").distinct(), "mixed")
     out = records.join(groups, key)
     if mixed.isEmpty():
         return _named(out)
