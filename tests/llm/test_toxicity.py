@@ -38,8 +38,7 @@ def test_folded_table_gives_the_machines_margins():
     c = rng.normal(size=10)
     table = np.zeros(S.LETTERS**3, np.float32)
     for x, f in zip(c, base, strict=True):
-        for k, v in f.items():
-            table[k] += x * v
+        table[f.keys] += x * f.values
     made = S.Scorer(S.Model("k", table, -0.25, np.zeros(4))).margins([w.encode() for w in words])
     true = S._matrix([S.features(S.coded(w.encode())[0]) for w in words], base) @ c
     assert made == pytest.approx(np.maximum(true, 0) - 0.25, abs=1e-4)

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from tidemill.llm.common import append, slices, texts
 
 DECAY, WIDE, LETTERS, MARK = 0.6, 20, 128, 2
-SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 3000, 320, 2500, 2, 30.0
+SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 2000, 320, 2500, 2, 30.0
 #: A worker keeps at most so many words' margins at once.
 MOST_WORDS = 500_000
 THRESHOLD = 0.7
@@ -104,14 +104,19 @@ def _marked(keys: np.ndarray) -> np.ndarray:
     return (keys // LETTERS**2 == MARK) | (keys // LETTERS % LETTERS == MARK) | (keys % LETTERS == MARK)
 
 
-def features(word: list[int]) -> dict[int, float]:
-    """A word's normalised feature vector."""
+class Vector(NamedTuple):
+    """A word's normalised features: subsequences, ascending, and their values."""
+
+    keys: np.ndarray
+    values: np.ndarray
+
+
+def features(word: list[int]) -> Vector:
     keys, weights = keys_of(np.array([word]))
     keep = ~_marked(keys[0])
     unique, at = np.unique(keys[0][keep], return_inverse=True)
     values = np.bincount(at, weights[keep])
-    norm = np.sqrt((values**2).sum())
-    return dict(zip(unique.tolist(), (values / norm).tolist(), strict=True)) if len(unique) else {}
+    return Vector(unique.astype(np.int32), (values / max(np.sqrt((values**2).sum()), 1e-12)).astype(np.float32))
 
 
 def norms(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -217,17 +222,15 @@ def linear_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float =
     return w[:-1], float(w[-1])
 
 
-def _matrix(a: list[dict[int, float]], b: list[dict[int, float]]) -> np.ndarray:
+def _matrix(a: list[Vector], b: list[Vector]) -> np.ndarray:
     """Kernel values of words (as features) a and b."""
     table, out = np.zeros(LETTERS**3, np.float32), np.zeros((len(a), len(b)))
-    flat = np.concatenate([np.fromiter(x.keys(), np.int64, len(x)) for x in a] or [np.zeros(0, np.int64)])
-    values = np.concatenate([np.fromiter(x.values(), np.float32, len(x)) for x in a] or [np.zeros(0, np.float32)])
-    row = np.repeat(np.arange(len(a)), [len(x) for x in a])
+    flat, values = np.concatenate([x.keys for x in a]), np.concatenate([x.values for x in a])
+    row = np.repeat(np.arange(len(a)), [len(x.keys) for x in a])
     for j, x in enumerate(b):
-        k = np.fromiter(x.keys(), np.int64, len(x))
-        table[k] = np.fromiter(x.values(), np.float32, len(x))
+        table[x.keys] = x.values
         out[:, j] = np.bincount(row, values * table[flat], len(a))
-        table[k] = 0
+        table[x.keys] = 0
     return out
 
 
@@ -261,7 +264,11 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
     rng = np.random.default_rng(seed)
     key = uuid.uuid4().hex
     strip = re.compile(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$").sub
-    sets = [{strip(b"", w).decode("utf-8", "replace").lower().encode() for w in words(x)} - {b""} for x in found]
+    same: dict[bytes, bytes] = {}  # one object for each word, however many texts have it
+    sets = []
+    for x in found:
+        own = {strip(b"", w).decode("utf-8", "replace").lower().encode() for w in words(x)} - {b""}
+        sets.append({same.setdefault(w, w) for w in own})
     kept = unlike(sets, rng)
     found, sets, y = [found[i] for i in kept], [sets[i] for i in kept], y[kept]
     bad, good = Counter(), Counter()
@@ -286,9 +293,9 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
     half = landmarks // 2
     marks = [*seeds[:half], *clean[:half]]
     model = None
-    known: dict[bytes, dict[int, float]] = {}
+    known: dict[bytes, Vector] = {}
 
-    def vectors(of: list[bytes]) -> list[dict[int, float]]:
+    def vectors(of: list[bytes]) -> list[Vector]:
         for w in of:
             if w not in known:
                 known[w] = features((coded(w) or [[1, 1]])[0])
@@ -304,15 +311,15 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
         w, bias = linear_machine(_matrix(vectors([*positive, *negative]), base) @ root, y_words, weight)
         table = np.zeros(LETTERS**3, np.float32)
         for c, f in zip(root @ w, base, strict=True):
-            for k, v in f.items():
-                table[k] += c * v
+            table[f.keys] += c * f.values
         model = Model(key, table, min(bias, -1e-3), np.array([-1.0, 1, 1, 0]))
         if i < rounds - 1:
-            margins = np.array(Scorer(model).margins(pool))
+            margins = np.concatenate([Scorer(model).margins(pool[j : j + 20_000]) for j in range(0, len(pool), 20_000)])
             worst = [pool[j] for j in np.argsort(-margins)[:800]]
             negative = [*dict.fromkeys([*negative, *worst])]
             marks = [*dict.fromkeys([*seeds[:half], *worst[: half // 2], *marks[half:]])][:landmarks]
-    x = Scorer(model)(found)
+    scorer = Scorer(model)
+    x = np.vstack([scorer(found[i : i + 200]) for i in range(0, len(found), 200)])
     return model._replace(curve=logistic(x, y.astype(float)))
 
 
@@ -337,6 +344,7 @@ def fitted(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int = 1, sam
     ids = spark.createDataFrame([(k,) for k in chosen] or [(-1,)], "chosen long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("chosen"), "left_semi").limit(4 * sample).collect()
     found = sorted((r["doc_id"], (r["text"] or "").encode()) for r in rows if r["doc_id"] in chosen)
+    del rows
     return train([x for _, x in found], np.array([chosen[k] for k, _ in found], int))
 
 
