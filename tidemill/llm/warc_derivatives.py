@@ -24,13 +24,11 @@ ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#
 
 #: Patterns and what replaces them, in order; both Java and RE2 read them alike.
 STEPS = [
-    ("(?is)<script\\b.*?</script[ \\t\\r\\n]*>", ""),
-    ("(?is)<style\\b.*?</style[ \\t\\r\\n]*>", ""),
-    ("(?s)<!--.*?-->", ""),
+    ("(?is)<(?:script\\b.*?</script[ \\t\\r\\n]*|style\\b.*?</style[ \\t\\r\\n]*|!--.*?--)>", ""),
     (f"(?is)</?(?:{BLOCKS})\\b[^>]*>", "\n"),
-    ("(?s)</?[A-Za-z!][^>]*>", ""),
+    ("</?[A-Za-z!][^>]*>", ""),
 ]
-FOLDS = [("[ \\t\\r\\f]+", " "), (" ?\\n[ \\n]*", "\n"), ("^[ \\n]+|[ \\n]+$", "")]
+FOLDS = [("[ \\t\\r\\f]{2,}|[\\t\\r\\f]", " "), (" ?\\n[ \\n]+| \\n", "\n")]
 
 
 def plain_text(html: Column) -> Column:
@@ -40,7 +38,7 @@ def plain_text(html: Column) -> Column:
         html = F.replace(html, F.lit(entity), F.lit(to))
     for pattern, to in FOLDS:
         html = F.regexp_replace(html, F.lit(pattern), F.lit(to))
-    return html
+    return F.btrim(html, F.lit(" \n"))
 
 
 def urn(name: Column) -> Column:
@@ -86,8 +84,9 @@ def derivatives(source: DataFrame) -> DataFrame:
             F.struct(F.lit("conversion").alias("warc_type"), F.col("conversion_id").alias("record_id"), F.lit("text/plain; charset=utf-8").alias("kind"), F.col("text").alias("block")),
         ),
     )
+    # Outer, though no array is empty: else the optimizer filters by the array's size and makes it twice.
     rest = [c for c in source.columns if c not in {"record_id", "http_header", "payload", "text", "conversion_id"}]
-    rows = made.select(*rest, F.col("record_id").alias("refers_to"), F.explode("made").alias("m")).select(*rest, "refers_to", "m.*")
+    rows = made.select(*rest, F.col("record_id").alias("refers_to"), F.explode_outer("made").alias("m")).select(*rest, "refers_to", "m.*")
     rows = rows.withColumns({"block_digest": labelled(F.col("block")), "content_length": F.octet_length("block").cast("long")})
     header = F.concat(
         *[F.lit("WARC/1.1\r\nWARC-Type: "), F.col("warc_type")],
@@ -123,6 +122,7 @@ def _sql() -> str:
         text = f"replace({text}, {quoted(entity)}, {quoted(to)})"
     for pattern, to in FOLDS:
         text = f"regexp_replace({text}, {quoted(pattern)}, {raw(to)}, 'g')"
+    text = f"trim({text}, ' ' || chr(10))"
     urn_ = lambda x: f"'<urn:uuid:' || regexp_replace(md5({x}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\\1-\\2-\\3-\\4-') || '>'"
     end = "chr(13) || chr(10)"
     return f"""
