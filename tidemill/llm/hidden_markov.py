@@ -103,12 +103,10 @@ def by_length(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.n
     sizes = np.array([len(s) for s in sequences])
     order = np.argsort(-sizes, kind="stable")
     sizes = sizes[order]
-    steps = np.zeros((sizes[0], len(sizes)), np.int32) if sizes[0] * len(sizes) <= 1 << 24 else None
-    active = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-    if steps is not None:
-        for i, k in enumerate(order):
-            steps[: sizes[i], i] = sequences[k]
-    return order, steps, active
+    steps = np.zeros((sizes[0], len(sizes)), np.int32)
+    for i, k in enumerate(order):
+        steps[: sizes[i], i] = sequences[k]
+    return order, steps, np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
 
 
 def expected(sequences: list[np.ndarray], first: np.ndarray, start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -241,8 +239,8 @@ def _round(train: DataFrame, model: Broadcast) -> tuple:
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(c, pa.float32()) for c in rows.T)], ["w", *names])
 
     rows = train.select("text").mapInArrow(run, "w long, " + ", ".join(f"{k} float" for k in names))
-    sums = rows.groupBy("w").agg(*[F.sum(k).alias(k) for k in names]).toPandas()
-    keys, values = sums["w"].to_numpy(), sums[names].to_numpy()
+    sums = rows.groupBy("w").agg(*[F.sum(k).alias(k) for k in names]).toArrow()
+    keys, values = sums["w"].to_numpy(), np.stack([sums[k].to_numpy() for k in names], axis=1)
     emitted, pairs = np.zeros((model.value.core + 1, states)), np.zeros((states, states))
     emitted[keys[keys >= 0]] = values[keys >= 0]
     extra = {int(-1 - k): v for k, v in zip(keys, values, strict=True) if k < 0}
@@ -263,14 +261,16 @@ def trained(train: DataFrame, counts: DataFrame, states: int = STATES, core: int
         if have + words > known:
             break
         have, least = have + words, n
-    top = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "h"], ascending=[False, True], ignore_index=True)
-    c = top["n"].to_numpy(np.int64)
+    top = counts.where(F.col("n") >= least).select("h", "n").toArrow()
+    h, c = top["h"].to_numpy(), top["n"].to_numpy()
+    by_count = np.lexsort((h, -c))
+    h, c = h[by_count], c[by_count]
     core = min(core, len(c))
-    by_hash = np.argsort(top["h"].to_numpy(), kind="stable")
+    by_hash = np.argsort(h, kind="stable")
     other_total = float((n_all - c[:core].sum()) + (distinct - core))
     unigram = np.concatenate([c[:core] + 1.0, [other_total + 1.0]])
     unigram /= unigram.sum()
-    hashes, places = top["h"].to_numpy()[by_hash], by_hash.astype(np.int32)
+    hashes, places = h[by_hash], by_hash.astype(np.int32)
     model = Model(uuid.uuid4().hex, hashes, places, np.log10(c + 1.0), core, *(None,) * 3, other_total)
     n_docs = max(1, int(c[places[np.searchsorted(hashes, _signed(END))]]) if len(c) and n_all else 1)
     one_in = max(1, n_docs // SEEDS)
