@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once.
 SLICE_BYTES = 4 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,10 +38,22 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query has ended, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    df.write.parquet(path := scratch(spark, name))
+    with tidy(spark):
+        df.write.parquet(path := scratch(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 
