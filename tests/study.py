@@ -14,7 +14,7 @@ def write(root, people=3, days=2):
     ids = [f"P{i:03d}" for i in range(1, people + 1)]
     serial = lambda i: f"FBT-{i:04d}-9D79801C"
     _csv(root / "participants/participants.csv", ["participant_id", "device_id", "age", "height_cm", "gender", "chronotype", "max_heart_rate"], [[p, serial(i), 30 + i, "NA" if i == 0 else 170, "f", "AB"[i % 2], 190] for i, p in enumerate(ids)])
-    devices = [[p, serial(i), "wrist", "2025-12-01" if i else "2026-01-20", "" if i == 0 else "2.2.1", f"Fitbit Charge 5 · fw2.2.1 · SN:{serial(i)}"] for i, p in enumerate(ids)]
+    devices = [[p, serial(i), "wrist", "2025-12-01" if i else "2026-01-20", "" if i == 0 else "2.2.1", f"Band 5 · fw2.2.1 · SN:{serial(i)}"] for i, p in enumerate(ids)]
     _csv(root / "health_summaries/device_metadata.csv", ["participant_id", "device_id", "wear_site", "calibration_date", "firmware_version", "device_label"], [*devices, ["P999", "FBT-9999-00000000", "wrist", "2025-12-01", "1.0.0", "x"]])
     survey = [[p, (START + timedelta(days=d)).date(), 3, 2, 7, 4] for p in ids for d in range(days)]
     _csv(root / "health_summaries/wellness_survey.csv", ["participant_id", "date", "fatigue_score", "stress_score", "readiness_score", "sleep_quality_score"], [*survey, survey[0], ["P999", START.date(), 1, 1, 1, 1]])
