@@ -165,3 +165,22 @@ def test_fuzzy_odd_rows(odd, none):
     assert L.without_fuzzy_lines(odd).columns == odd.columns
     assert L.without_fuzzy_lines(odd).count() == 12
     assert L.fuzzy_lines(none).count() == 0
+
+
+def test_fuzzy_lines_of_a_hot_bucket(spark):
+    """Pairs that all share a passage: of those that share a band, none of 0.8 or more is missed."""
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"{x:08x}" for x in rng.integers(0, 2**32, 60))
+    word = lambda: f"{rng.integers(0, 2**32):08x}"
+    lines = []
+    for _ in range(150):
+        own = [word() for _ in range(7)]
+        lines += [" ".join([passage, *own, *(word() for _ in range(6))]) for _ in range(2)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    sets = shingle_set(spark, lines)
+    keys = {r["line"]: set(r["keys"]) for r in L.signatures(L.line_rows(docs)).collect()}
+    by_id = {r["doc_id"]: r["component"] for r in L.fuzzy_lines(docs).collect()}
+    linked = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if keys[x] & keys[y] and len(sets[x] & sets[y]) >= L.SIMILAR * len(sets[x] | sets[y])]
+    assert len(linked) >= 100
+    assert [p for p in linked if by_id[p[0]] != by_id[p[1]]] == []
+    assert len(set(by_id.values())) == len(set(groups(range(len(lines)), linked).values()))

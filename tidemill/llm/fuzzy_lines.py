@@ -5,14 +5,16 @@ its character shingles: ``SIZE`` characters from each start of a word, from each
 word after its first ``LONG``, from each character beyond Latin letters (so that text
 without spaces is covered too), and the last ``SIZE``. Equal lines are one row from the start.
 Of each distinct line, BANDS * ROWS minima of the shingles' XXH64, each by an order of its own, make its
-signature; lines that agree on all ROWS minima of a band meet. In each such bucket, however
-large, every line is held against three of its lines (those first by three orders of the
-lines' hashes), not against all, and pairs of an exact Jaccard similarity of at least
-``SIMILAR`` are linked. Components of links are found by rounds of stars, and of each
-component the first line (by doc_id, then place; rows without a doc_id last) is kept.
+signature; lines that agree on all ROWS minima of a band meet, and pairs of an exact Jaccard similarity of
+at least ``SIMILAR`` are linked. In each such bucket, every line is first held against three of its lines (those
+first by three orders of the lines' hashes). Then all pairs that share a bucket and aren't in one
+component yet are settled: in buckets of up to ``LARGE`` lines each is verified; in larger ones those
+that share a shingle of their prefixes, which no pair that reaches the similarity can fail to do (of
+lines x and y, x not the larger set, with shingles ordered by how many of the bucket's lines have them, rarest first:
+one of x's first |x| - 2t/(1+t) |x| + 1 and of y's first |y| - t |y| + 1). Components of links are found by
+rounds of stars, and of each component the first line (by doc_id, then place; rows without a doc_id last) is kept.
 
-Two lines of a similarity of 0.8 share a band with odds of 98.5 %. A pair that only
-meets lines unlike it in its buckets is missed; tests hold the result against all pairs.
+Two lines of a similarity of 0.8 share a band with odds of 98.5 %; of those that do, no link is missed.
 
 Lines of white space alone are kept and are no part of this. Null texts have no lines.
 Repeated rows of one doc_id keep the same lines. Lines are named, and gathered, by their XXH64: among
@@ -33,6 +35,8 @@ from tidemill.llm.common import components, remove, scratch, table, tidy
 SIZE, LONG = 9, 16
 BANDS, ROWS = 8, 4
 SIMILAR = 0.8
+#: A bucket of more lines is split by its lines' rare shingles; a shingle of more of its lines is a frequent one.
+LARGE = 32
 _STARTS = f"(?<![^ \\t])(?=[^ \\t])|(?<=[^ \\t]{{{LONG}}})|(?=[^\\x00-\\x{{24F}}])|(?=.{{{SIZE}}}\\z)"
 _SHINGLE = f"(?s)(?:{_STARTS})(?=(.{{{SIZE}}}))"
 
@@ -94,6 +98,45 @@ def candidates(lines: DataFrame) -> DataFrame:
     return met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
 
 
+def _crossing(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
+    """Pairs of rows of ``x`` (id, component, size) and ``y`` that agree on ``by`` and are of two components.
+
+    The other components of a group come first, then their lines: a group that is mostly one component costs no row
+    for each of its own pairs.
+    """
+    others = x.select(*by, F.col("component").alias("other")).distinct()
+    left = y.join(others, by).where("component <> other").select(*by, F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("other").alias("component"))
+    return left.join(x, [*by, "component"])
+
+
+def rest(bands: DataFrame, lines: DataFrame, roots: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (a < b) to verify of lines that share a bucket and aren't in one component of ``roots`` (id, component).
+
+    ``bands`` has (id, keys), ``lines`` (id, line). All such pairs that can reach ``similar`` are there.
+    """
+    members = bands.join(roots, "id", "left").select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("component"))
+    mixed = table(members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 AND lo < hi").select("key", "n"), "mixed")
+    met = table(members.join(mixed, "key").withColumn("size", F.lit(0)), "met")
+    few = met.where(F.col("n") <= LARGE).drop("n")
+    pairs = _crossing(few, few, ["key"]).where("id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
+    many = met.where(F.col("n") > LARGE).select("key", "id", "component")
+    if many.isEmpty():
+        return pairs.distinct()
+    sets = table(many.select("id").distinct().join(lines.select("id", "line"), "id").select("id", F.array_distinct(shingles(F.col("line"))).alias("set")), "sets")
+    each = table(many.join(sets, "id").select("key", "id", "component", F.size("set").alias("size"), F.explode_outer("set").alias("s")), "shingles")
+    often = table(each.groupBy("key", "s").agg(F.count("*").alias("often")).where(F.col("often") > LARGE), "often")
+    ranked = each.join(often, ["key", "s"], "left").groupBy("key", "id", "component", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s"))).alias("set"))
+
+    def prefix(share: float) -> Column:
+        return F.col("size") - F.ceil(share * F.col("size") - 1e-9).cast("int") + 1
+
+    firsts = ranked.select("key", "id", "component", "size", prefix(2 * similar / (1 + similar)).alias("short"), F.posexplode(F.slice("set", 1, prefix(similar))).alias("at", "member"))
+    firsts = table(firsts.select("key", F.col("member.s").alias("s"), "id", "component", "size", (F.col("at") < F.col("short")).alias("short")), "prefixes")
+    crossed = _crossing(firsts.where("short").drop("short"), firsts.drop("short"), ["key", "s"])
+    close = crossed.where((F.col("size") >= similar * F.col("size2") - 1e-9) & ((F.col("size") < F.col("size2")) | ((F.col("size") == F.col("size2")) & (F.col("id") < F.col("id2")))))
+    return pairs.union(close.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))).distinct()
+
+
 def verified(pairs: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The pairs whose lines' shingles have a Jaccard similarity of at least ``similar``."""
     one = lines.select(F.col("id").alias("a"), F.col("line").alias("x"))
@@ -116,6 +159,9 @@ def fuzzy_lines(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     with bucketed(signatures(rows), "id") as lines:
         links = table(verified(table(candidates(lines), "pairs"), lines, similar), "links")
         roots = components(links).withColumnRenamed("node", "id")
+        more = table(verified(table(rest(lines.select("id", "keys"), lines, roots, similar), "rest"), lines, similar), "more")
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)).withColumnRenamed("node", "id")
         # Lines that stand once and are like no other keep themselves; the rest is looked up below.
         some = lines.select("id", "first", "n").join(roots, "id", "left").where("n > 1 OR component IS NOT NULL")
         named = table(some.withColumn("component", F.coalesce("component", "id")), "named")
