@@ -178,9 +178,19 @@ def test_fuzzy_lines_of_a_hot_bucket(spark):
         lines += [" ".join([passage, *own, *(word() for _ in range(6))]) for _ in range(2)]
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     sets = shingle_set(spark, lines)
-    keys = {r["line"]: set(r["keys"]) for r in L.signatures(L.line_rows(docs)).collect()}
+    distinct = L.distinct_lines(L.line_rows(docs))
+    keys = {r["line"]: set(r["keys"]) for r in L.signatures(distinct).join(distinct, "id").collect()}
     by_id = {r["doc_id"]: r["component"] for r in L.fuzzy_lines(docs).collect()}
     linked = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if keys[x] & keys[y] and len(sets[x] & sets[y]) >= L.SIMILAR * len(sets[x] | sets[y])]
     assert len(linked) >= 100
     assert [p for p in linked if by_id[p[0]] != by_id[p[1]]] == []
     assert len(set(by_id.values())) == len(set(groups(range(len(lines)), linked).values()))
+
+
+def test_fuzzy_lines_see_every_character(spark):
+    """Shingles are those of every position, so lines that differ within long words are different."""
+    a, b = "2024-03-05T10:15 user logged in from the office network", "2024-03-06T23:59 user logged in from the office network"
+    for line, sets in shingle_set(spark, [a, b, "😀 ab😀cd中文 é efgh😀", "short"]).items():
+        assert sets == {line[i : i + L.SIZE] for i in range(max(1, len(line) - L.SIZE + 1))}
+    out = L.fuzzy_lines(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
+    assert [r["kept"] for r in out] == [True, True]

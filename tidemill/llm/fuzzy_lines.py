@@ -1,16 +1,15 @@
 """Fuzzy lines by MinHash; everything here is DataFrame operations.
 
 A text's lines are what stands between line feeds. A line (without white space at its ends) is the set of
-its character shingles: ``SIZE`` characters from each start of a word, from each character of a long
-word after its first ``LONG``, from each character beyond Latin letters (so that text
-without spaces is covered too), and the last ``SIZE``. Equal lines are one row from the start.
+its character shingles: ``SIZE`` characters from each of its positions; a line of fewer is one shingle. Equal lines
+are one row from the start. The verification holds sets of the shingles' XXH64 against each other.
 Of each distinct line, BANDS * ROWS minima of the shingles' XXH64, each by an order of its own, make its
 signature; lines that agree on all ROWS minima of a band meet, and pairs of an exact Jaccard similarity of
 at least ``SIMILAR`` are linked. In each such bucket, every line is first held against three of its lines (those
 first by three orders of the lines' hashes). Then all pairs that share a bucket and aren't in one
-component yet are settled: in buckets of up to ``LARGE`` lines each is verified; in larger ones those
+component yet are settled: in buckets of up to ``LARGE`` lines each is verified; of the lines of larger ones, pairs
 that share a shingle of their prefixes, which no pair that reaches the similarity can fail to do (of
-lines x and y, x not the larger set, with shingles ordered by how many of the bucket's lines have them, rarest first:
+lines x and y, x not the larger set, with shingles ordered by how many of these lines have them, rarest first:
 one of x's first |x| - 2t/(1+t) |x| + 1 and of y's first |y| - t |y| + 1). Components of links are found by
 rounds of stars, and of each component the first line (by doc_id, then place; rows without a doc_id last) is kept.
 
@@ -24,7 +23,7 @@ Repeated rows of one doc_id keep the same lines. Lines are named, and gathered,
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,13 +31,13 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.common import components, remove, scratch, table, tidy
 
-SIZE, LONG = 9, 16
+SIZE = 9
 BANDS, ROWS = 8, 4
 SIMILAR = 0.8
-#: A bucket of more lines is split by its lines' rare shingles; a shingle of more of its lines is a frequent one.
+#: A bucket of more lines goes by its lines' rare shingles; a shingle that more of such lines have is a frequent one.
 LARGE = 32
-_STARTS = f"(?<![^ \\t])(?=[^ \\t])|(?<=[^ \\t]{{{LONG}}})|(?=[^\\x00-\\x{{24F}}])|(?=.{{{SIZE}}}\\z)"
-_SHINGLE = f"(?s)(?:{_STARTS})(?=(.{{{SIZE}}}))"
+#: A character is taken on each step, so that none is cut that takes two of Java's.
+_SHINGLE = f"(?s)(?=(.{{{SIZE}}}))."
 
 
 def shingles(line: Column) -> Column:
@@ -47,6 +46,10 @@ def shingles(line: Column) -> Column:
     return F.when(F.length(whole) < SIZE, F.array(whole)).otherwise(F.regexp_extract_all(whole, F.lit(_SHINGLE), 1))
 
 
+def hashed_set(line: Column) -> Column:
+    return F.array_distinct(F.transform(shingles(line), lambda s: F.xxhash64(s)))
+
+
 def line_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no, line): each line that isn't blank."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode_outer(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
@@ -57,20 +60,40 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
-def signatures(rows: DataFrame) -> DataFrame:
-    """(id, line, first, n, keys): each distinct line with its first place and its bands' keys."""
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """(id, line, first, n): each distinct line with its first place and how many have it."""
     named = rows.select(F.xxhash64("line").alias("id"), "line", _place().alias("place"))
-    distinct = named.groupBy("id").agg(F.first("line").alias("line"), F.min("place").alias("first"), F.count("*").alias("n"))
+    return named.groupBy("id").agg(F.first("line").alias("line"), F.min("place").alias("first"), F.count("*").alias("n"))
+
+
+def signatures(lines: DataFrame) -> DataFrame:
+    """(id, keys): each distinct line's keys of its bands. What goes on with each shingle is the line's id alone."""
     # Outer, though no line is without shingles: else the optimizer filters by their number and makes them twice.
-    each = distinct.select("id", "line", "first", "n", F.explode_outer(shingles(F.col("line"))).alias("s"))
+    each = lines.select("id", F.explode_outer(shingles(F.col("line"))).alias("s"))
     # One hash of each shingle; its first bits, turned in each of their ways, order the shingles for each of the minima.
     # A minimum's shingles are those of one part of the hashes' range, or of the part beside it if that one is empty.
-    hashed = each.select("id", "line", "first", "n", F.xxhash64("s").alias("h"))
+    hashed = each.select("id", F.xxhash64("s").alias("h"))
     shift = 64 - (BANDS * ROWS - 1).bit_length()
     turns = [(i << shift) - (1 << 64 if i << shift >= 1 << 63 else 0) for i in range(BANDS * ROWS)]
-    minima = hashed.groupBy("id", "line", "first", "n").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(t))).alias(f"m{i}") for i, t in enumerate(turns)])
+    minima = hashed.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(t))).alias(f"m{i}") for i, t in enumerate(turns)])
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return minima.select("id", "line", "first", "n", F.array(*keys).alias("keys"))
+    return minima.select("id", F.array(*keys).alias("keys"))
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A way to write tables to the shared folder that go at its end."""
+    where = scratch(spark, "passing")
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        with tidy(spark):
+            df.write.option("compression", "zstd").parquet(path := f"{where}/{name}")
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield put
+    finally:
+        remove(spark, where)
 
 
 @contextmanager
@@ -88,9 +111,9 @@ def bucketed(df: DataFrame, by: str) -> Iterator[DataFrame]:
         remove(spark, path)
 
 
-def candidates(lines: DataFrame) -> DataFrame:
-    """Pairs (a < b) of lines to verify: each line of a bucket with the bucket's three."""
-    bands = lines.select("id", F.explode("keys").alias("key"))
+def candidates(keyed: DataFrame) -> DataFrame:
+    """Pairs (a < b) of lines (id, keys) to verify: each line of a bucket with the bucket's three."""
+    bands = keyed.select("id", F.explode("keys").alias("key"))
     turns = [0, 0x5BD1E9955BD1E995, -0x61C8864680B583EB]
     few = bands.groupBy("key").agg(*[F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)], F.count("*").alias("n")).where("n > 1")
     few = table(few.select(F.col("key").alias("bucket"), F.array_distinct(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(t)) for i, t in enumerate(turns)])).alias("few")), "buckets")
@@ -105,47 +128,45 @@ def _crossing(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
     for each of its own pairs.
     """
     others = x.select(*by, F.col("component").alias("other")).distinct()
-    left = y.join(others, by).where("component <> other").select(*by, F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("other").alias("component"))
+    left = y.join(others, by).where("component <> other").select(*by, *[F.col(c).alias(f"{c}2") for c in y.columns if c not in (*by, "component")], F.col("other").alias("component"))
     return left.join(x, [*by, "component"])
 
 
-def rest(bands: DataFrame, lines: DataFrame, roots: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, put: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Pairs (a < b) to verify of lines that share a bucket and aren't in one component of ``roots`` (id, component).
 
-    ``bands`` has (id, keys), ``lines`` (id, line). All such pairs that can reach ``similar`` are there.
+    ``keyed`` has (id, keys), ``lines`` (id, line). All such pairs that can reach ``similar`` are there.
     """
-    members = bands.join(roots, "id", "left").select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("component"))
-    mixed = table(members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 AND lo < hi").select("key", "n"), "mixed")
-    met = table(members.join(mixed, "key").withColumn("size", F.lit(0)), "met")
+    members = keyed.join(roots, "id", "left").select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("component"))
+    mixed = put(members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 AND lo < hi").select("key", "n"), "mixed")
+    met = put(members.join(mixed, "key").withColumn("size", F.lit(0)), "met")
     few = met.where(F.col("n") <= LARGE).drop("n")
     pairs = _crossing(few, few, ["key"]).where("id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    many = met.where(F.col("n") > LARGE).select("key", "id", "component")
-    if many.isEmpty():
-        return pairs.distinct()
-    sets = table(many.select("id").distinct().join(lines.select("id", "line"), "id").select("id", F.array_distinct(shingles(F.col("line"))).alias("set")), "sets")
-    each = table(many.join(sets, "id").select("key", "id", "component", F.size("set").alias("size"), F.explode_outer("set").alias("s")), "shingles")
-    often = table(each.groupBy("key", "s").agg(F.count("*").alias("often")).where(F.col("often") > LARGE), "often")
-    ranked = each.join(often, ["key", "s"], "left").groupBy("key", "id", "component", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s"))).alias("set"))
+    many = put(met.where(F.col("n") > LARGE).select("id", "component").distinct(), "many")
+    sets = put(lines.join(many, "id").select("id", "component", hashed_set(F.col("line")).alias("set")), "sets")
+    each = sets.select("id", "component", F.size("set").alias("size"), F.explode_outer("set").alias("s"))
+    often = put(each.groupBy("s").agg(F.count("*").alias("often")).where(F.col("often") > LARGE), "often")
+    ranked = each.join(often, "s", "left").groupBy("id", "component", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s"))).alias("set"))
 
     def prefix(share: float) -> Column:
         return F.col("size") - F.ceil(share * F.col("size") - 1e-9).cast("int") + 1
 
-    firsts = ranked.select("key", "id", "component", "size", prefix(2 * similar / (1 + similar)).alias("short"), F.posexplode(F.slice("set", 1, prefix(similar))).alias("at", "member"))
-    firsts = table(firsts.select("key", F.col("member.s").alias("s"), "id", "component", "size", (F.col("at") < F.col("short")).alias("short")), "prefixes")
-    crossed = _crossing(firsts.where("short").drop("short"), firsts.drop("short"), ["key", "s"])
-    close = crossed.where((F.col("size") >= similar * F.col("size2") - 1e-9) & ((F.col("size") < F.col("size2")) | ((F.col("size") == F.col("size2")) & (F.col("id") < F.col("id2")))))
+    firsts = ranked.select("id", "component", "size", prefix(2 * similar / (1 + similar)).alias("short"), F.posexplode(F.slice("set", 1, prefix(similar))).alias("at", "member"))
+    firsts = put(firsts.select(F.col("member.s").alias("s"), "id", "component", "size", (F.col("size") - F.col("at")).alias("left"), (F.col("at") < F.col("short")).alias("short")), "prefixes")
+    crossed = _crossing(firsts.where("short").drop("short"), firsts.drop("short"), ["s"])
+    # The first shingle that a pair shares is met too, and no more than what is left from there can be shared.
+    can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
+    close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & ((F.col("size") < F.col("size2")) | ((F.col("size") == F.col("size2")) & (F.col("id") < F.col("id2")))))
     return pairs.union(close.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))).distinct()
 
 
-def verified(pairs: DataFrame, lines: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, similar: float, put: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """The pairs whose lines' shingles have a Jaccard similarity of at least ``similar``."""
-    one = lines.select(F.col("id").alias("a"), F.col("line").alias("x"))
-    two = lines.select(F.col("id").alias("b"), F.col("line").alias("y"))
-    both = pairs.join(one, "a").join(two, "b")
-    x, y = F.array_distinct(shingles(F.col("x"))), F.array_distinct(shingles(F.col("y")))
-    # The sets, then the size of what they share, are bound to names by lambdas: written out, the filter would make each of them
-    # as often as it is named.
-    sizes = F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda p: F.struct(F.size(F.array_intersect(p["x"], p["y"])).alias("shared"), (F.size(p["x"]) + F.size(p["y"])).alias("both")))
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = put(lines.join(ids, "id", "left_semi").select("id", hashed_set(F.col("line")).alias("set")), "sets")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    # The size of what they share is bound to a name by a lambda: written out, the filter would make it as often as it is named.
+    sizes = F.array(F.struct(F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("both")))
     return both.where(F.exists(sizes, lambda p: p["shared"] >= similar * (p["both"] - p["shared"]))).select("a", "b")
 
 
@@ -156,10 +177,16 @@ def fuzzy_lines(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     kept for it, n_lines how many lines have it.
     """
     rows = line_rows(docs)
-    with bucketed(signatures(rows), "id") as lines:
-        links = table(verified(table(candidates(lines), "pairs"), lines, similar), "links")
-        roots = components(links).withColumnRenamed("node", "id")
-        more = table(verified(table(rest(lines.select("id", "keys"), lines, roots, similar), "rest"), lines, similar), "more")
+    with bucketed(distinct_lines(rows), "id") as lines:
+        with passing(docs.sparkSession) as keep:
+            keyed = keep(signatures(lines), "keys")
+            with passing(docs.sparkSession) as put:
+                links = table(verified(put(candidates(keyed), "pairs"), lines, similar, put), "links")
+            roots = components(links).withColumnRenamed("node", "id")
+            with passing(docs.sparkSession) as put:
+                pairs = put(rest(keyed, lines, roots, similar, put), "pairs")
+                with passing(docs.sparkSession) as put_sets:
+                    more = table(verified(pairs, lines, similar, put_sets), "more")
         if not more.isEmpty():
             roots = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)).withColumnRenamed("node", "id")
         # Lines that stand once and are like no other keep themselves; the rest is looked up below.
