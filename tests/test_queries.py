@@ -4,6 +4,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.plans.queries import ORACLE_SQL, QUERIES
 
@@ -37,3 +38,11 @@ def test_nothing_imports_llm():
     for p in root.rglob("*.py"):
         if "llm" not in p.relative_to(root).parts:
             assert not re.search(r"tidemill\.llm|corpus_pipeline", p.read_text()), p
+
+
+def test_streaming_sessions_are_those_of_the_whole_table(spark, data):
+    events = spark.read.parquet(f"{data}/events.parquet").select("user_id", F.col("ts").cast("timestamp").alias("at"))
+    whole = events.groupBy("user_id", F.session_window("at", "6 hours").alias("w")).agg(F.count("*").alias("n")).select("user_id", "w.start", "w.end", "n")
+    out = QUERIES["streaming_sessions"](spark, data)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.collect()))
+    assert out.agg(F.sum("n")).first()[0] == events.count()

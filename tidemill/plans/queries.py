@@ -694,5 +694,7 @@ def streaming_sessions(events):
     events.select("user_id", F.col("ts").cast("timestamp").alias("at")).repartition(1).sortWithinPartitions("at").write.parquet(f"{base}/in")
     stream = spark.readStream.schema("user_id long, at timestamp").parquet(f"{base}/in")
     found = sessions(stream, "user_id", "at", "6 hours")
-    found.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
+    # Complete, not append: the table ends, and so do sessions that the watermark hasn't passed.
+    written = found.writeStream.outputMode("complete").foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{base}/out"))
+    written.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{base}/out")
