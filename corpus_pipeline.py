@@ -31,8 +31,8 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the row with the smallest doc_id."""
-    return one_of_each(docs)
+    """Of each class of near duplicates (two bits, or five-word shingles of a Jaccard similarity of 0.8), the row with the smallest doc_id."""
+    return one_of_each(docs, words=5, similar=0.8)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

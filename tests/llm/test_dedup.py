@@ -194,3 +194,28 @@ def test_fuzzy_lines_see_every_character(spark):
         assert sets == {line[i : i + L.SIZE] for i in range(max(1, len(line) - L.SIZE + 1))}
     out = L.fuzzy_lines(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
     assert [r["kept"] for r in out] == [True, True]
+
+
+def test_one_of_each_takes_out_edited_copies(spark):
+    """All pairs of a five-word Jaccard of 0.8 or more are linked, though their fingerprints differ in more than two bits."""
+    rng = np.random.default_rng(8)
+    passage = [f"p{x}" for x in rng.integers(0, 10**6, 60)]
+    texts = []
+    for i in range(60):
+        w = [f"w{x}" for x in rng.integers(0, 10**6, int(rng.integers(60, 300)))] + (passage if i % 2 else [])
+        texts.append(" ".join(w))
+        for k in (1, 2, 4):
+            copy = list(w)
+            for at in rng.choice(len(w), k, False):
+                copy[at] = "edited"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    fp = [P.fingerprint(t.encode()) for t in texts]
+    ids = range(len(texts))
+    alike = [(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    close = [(a, b) for a in ids for b in ids if a < b and (fp[a] ^ fp[b]).bit_count() <= 2]
+    assert len(alike) > 100 and len({*alike} - {*close}) > 50
+    kept = sorted(r["doc_id"] for r in P.one_of_each(docs, words=5).collect())
+    assert kept == sorted(set(groups(ids, alike + close).values()))
+    assert sorted(r["doc_id"] for r in P.one_of_each(docs).collect()) == sorted(set(groups(ids, close).values()))

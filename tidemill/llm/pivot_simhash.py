@@ -14,6 +14,11 @@ and a join on each choice of three groups meets every linked pair. Pairs that it
 together are discarded if any coordinate to the spread pivots differs by more than
 ``WITHIN`` (the triangle inequality), and the survivors are verified by their bits.
 
+``one_of_each`` can also link texts whose sets of shingles of ``words`` words have an exact Jaccard similarity of
+``similar`` or more, which two bits mostly don't. These are found by their prefixes: with shingles
+in any one order, of two such texts x and y (x not the larger set) one of x's first |x| - 2t/(1+t) |x| + 1 is
+among y's first |y| - t |y| + 1. The order takes those last whose hashes fall where many do, so common passages come last.
+
 Copies share one fingerprint and are one row of the table. Null texts are empty; rows without
 a doc_id never name a class while another row of it has one. Columns other than doc_id and
 text don't matter.
@@ -21,7 +26,7 @@ text don't matter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.common import append, components, slices, table, texts
+from tidemill.llm.fuzzy_lines import _crossing
 
 SEED = 42
 WITHIN = 2
@@ -111,15 +117,86 @@ def links(prints: DataFrame) -> DataFrame:
     return close.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
 
 
-def classes(prints: DataFrame) -> DataFrame:
+#: Parts of the hashes' range in which shingles are counted, to take those of common passages last.
+PARTS = 1 << 18
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The XXH64 of a text's distinct shingles, ascending; of a text of fewer words, all of them are one."""
+    w = text.lower().split()
+    found = {b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else ()
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found)).view(np.int64))
+
+
+def alike(rows: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:
+    """Pairs (a, b) of fingerprints of texts of rows (h, fp, text) that have ``similar``; together with ``edges`` they
+    connect all such pairs. Texts are named by their XXH64 h."""
+    spark = rows.sparkSession
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PARTS, np.int64)
+        for batch in slices(batches):
+            for x in texts(batch):
+                np.add.at(total, shingle_set(x, words) & (PARTS - 1), 1)
+        high = np.flatnonzero(total > 8 + 4 * total.mean())
+        yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(total[high])], ["part", "n"])
+
+    sums = rows.select("text").mapInArrow(counted, "part long, n long").groupBy("part").agg(F.sum("n").alias("n")).toArrow()
+    weights = np.zeros(PARTS, np.int64)
+    weights[sums["part"].to_numpy()] = sums["n"].to_numpy()
+    sent = spark.sparkContext.broadcast(weights)
+    kind = pa.list_(pa.struct([("s", pa.int64()), ("left", pa.int32()), ("short", pa.bool_())]))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sizes, out = [], []
+            for x in texts(batch):
+                found = shingle_set(x, words)
+                n = len(found)
+                found = found[np.lexsort((found, sent.value[found & (PARTS - 1)]))]
+                most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
+                sizes.append(n)
+                out.append([{"s": s, "left": n - i, "short": i < short} for i, s in enumerate(found[:most].tolist())])
+            yield pa.RecordBatch.from_arrays([batch["h"], batch["fp"], pa.array(sizes, pa.int32()), pa.array(out, kind)], ["id", "fp", "size", "firsts"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch["h"], batch["fp"], pa.array([shingle_set(x, words) for x in texts(batch)], pa.list_(pa.int64()))], ["id", "fp", "set"])
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = table(pairs.distinct(), "pairs")
+        ids = pairs.select(F.explode(F.array("id", "id2")).alias("h")).distinct()
+        one = table(rows.join(ids, "h", "left_semi").mapInArrow(sets, "id long, fp long, set array<long>"), "sets")
+        two = one.select(F.col("id").alias("id2"), F.col("fp").alias("fp2"), F.col("set").alias("set2"))
+        shared = F.size(F.array_intersect("set", "set2"))
+        close = pairs.join(one, "id").join(two, "id2").withColumn("shared", shared).where(F.col("shared") >= similar * (F.size("set") + F.size("set2") - F.col("shared")))
+        return table(close.where("fp <> fp2").select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct(), "alike")
+
+    schema = "id long, fp long, size int, firsts array<struct<s: long, left: int, short: boolean>>"
+    firsts = rows.mapInArrow(prefixes, schema).select("id", "fp", "size", F.inline("firsts"))
+    # Only shingles that two prefixes share can bring texts together.
+    firsts = table(firsts, "firsts")
+    met = table(firsts.groupBy("s").agg(F.min("id").alias("id2"), F.count("*").alias("n")).where("n > 1").drop("n"), "met")
+    firsts = table(firsts.join(met, "s"), "firsts")
+    once = verified(firsts.where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")))
+    roots = components(edges.union(once)).withColumnRenamed("node", "fp")
+    named = table(firsts.drop("id2").join(roots, "fp", "left").select("s", "id", "size", "left", "short", F.coalesce("component", "fp").alias("component")), "named")
+    crossed = _crossing(named.where("short").drop("short"), named.drop("short"), ["s"])
+    can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
+    close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & (F.col("size") <= F.col("size2")))
+    return once.union(verified(close.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2"))))
+
+
+def classes(prints: DataFrame, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """For rows (doc_id, fp): each fp with component, component_id, links and copies.
 
     component: the smallest fp of its class (as a signed number); component_id: the smallest doc_id of its class; copies: the rows that have it; links:
-    the rows, besides one's own, that are linked with a row that has it.
+    the rows, besides one's own, that are linked with a row that has it. ``more`` makes further links, which
+    count for the classes alone, from those of at most WITHIN bits.
     """
     single = table(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "prints")
     edges = table(links(single), "links")
-    roots = components(edges)
+    roots = components(edges.union(more(edges)) if more else edges)
     both = edges.union(edges.select("b", "a"))
     sums = both.join(single.select(F.col("fp").alias("b"), "copies"), "b").groupBy(F.col("a").alias("fp")).agg(F.sum("copies").alias("near"))
     named = table(single.join(roots.withColumnRenamed("node", "fp"), "fp", "left").join(sums, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "named")
@@ -136,9 +213,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "links")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, words: int | None = None, similar: float = 0.8) -> DataFrame:
     """The rows of ``docs`` of which one stays for each class, with its columns.
 
+    With ``words``, texts whose shingles of so many words have a Jaccard similarity of ``similar`` are linked as well.
+
     It is the row with the class's smallest doc_id, and of rows with that doc_id the one
     whose text has the smallest XXH64 (repeated rows all stay: exact copies are not this
     operator's work). Where no row of a class has a doc_id, the smallest XXH64 decides.
@@ -146,7 +225,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     prints = table(with_fingerprints(rows).select("doc_id", "fp", F.xxhash64("text").alias("h")), "fps")
-    named = prints.join(classes(prints), "fp")
+    more = None
+    if words:
+        whole = rows.select(F.xxhash64("text").alias("h"), "text").dropDuplicates(["h"]).join(prints.select("h", "fp").distinct(), "h").select("h", "fp", "text")
+        whole = table(whole, "texts")
+
+        def more(edges: DataFrame) -> DataFrame:
+            return alike(whole, edges, words, similar)
+
+    named = prints.join(classes(prints, more), "fp")
     ends = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stays = table(ends.groupBy("component").agg(F.first("component_id").alias("__stay_id"), F.min("h").alias("__stay_h")), "stays")
     return docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["__stay_id"]) & (F.xxhash64(text) == stays["__stay_h"]), "left_semi")
