@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.common import append, components, slices, table, texts
-from tidemill.llm.fuzzy_lines import _crossing
+from tidemill.llm.fuzzy_lines import _crossing, passing
 
 SEED = 42
 WITHIN = 2
@@ -119,6 +119,8 @@ def links(prints: DataFrame) -> DataFrame:
 
 #: Parts of the hashes' range in which shingles are counted, to take those of common passages last.
 PARTS = 1 << 18
+#: Hashes by their last bits, to leave out early what no join will want.
+MARKS = 1 << 22
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
@@ -129,7 +131,7 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
 
 
 def alike(rows: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:
-    """Pairs (a, b) of fingerprints of texts of rows (h, fp, text) that have ``similar``; together with ``edges`` they
+    """Pairs (a, b) of fingerprints of texts of rows (h, text) that have ``similar``; together with ``edges`` they
     connect all such pairs. Texts are named by their XXH64 h."""
     spark = rows.sparkSession
 
@@ -145,46 +147,74 @@ def alike(rows: DataFrame, edges: DataFrame, words: int, similar: float) -> Data
     weights = np.zeros(PARTS, np.int64)
     weights[sums["part"].to_numpy()] = sums["n"].to_numpy()
     sent = spark.sparkContext.broadcast(weights)
-    kind = pa.list_(pa.struct([("s", pa.int64()), ("left", pa.int32()), ("short", pa.bool_())]))
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def marked(df: DataFrame, name: str) -> np.ndarray:
+        """Which of MARKS a column's hashes have; of a size that doesn't grow."""
+        found = df.select(F.col(name).bitwiseAND(F.lit(MARKS - 1)).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()
+        out = np.zeros(MARKS, bool)
+        out[found] = True
+        return out
+
+    def ranked(text: bytes) -> tuple[np.ndarray, int, int]:
+        """The first shingles' hashes, how many are the short prefix, and the size of the whole set."""
+        found = shingle_set(text, words)
+        n = len(found)
+        found = found[np.lexsort((found, sent.value[found & (PARTS - 1)]))]
+        most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
+        return found[:most], short, n
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sizes, out = [], []
-            for x in texts(batch):
-                found = shingle_set(x, words)
-                n = len(found)
-                found = found[np.lexsort((found, sent.value[found & (PARTS - 1)]))]
-                most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
-                sizes.append(n)
-                out.append([{"s": s, "left": n - i, "short": i < short} for i, s in enumerate(found[:most].tolist())])
-            yield pa.RecordBatch.from_arrays([batch["h"], batch["fp"], pa.array(sizes, pa.int32()), pa.array(out, kind)], ["id", "fp", "size", "firsts"])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch["h"], batch["fp"], pa.array([shingle_set(x, words) for x in texts(batch)], pa.list_(pa.int64()))], ["id", "fp", "set"])
+            found = [ranked(x)[0] for x in texts(batch)]
+            ids = np.repeat(batch["h"].to_numpy(), [len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(ids)], ["s", "id"])
+
+    def verified(pairs: DataFrame, put: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+        pairs = put(pairs.distinct(), f"pairs-{name}")
+        wanted = spark.sparkContext.broadcast(marked(pairs.select(F.explode(F.array("id", "id2")).alias("h")), "h"))
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                some = [(h, x) for h, x in zip(batch["h"].to_pylist(), texts(batch), strict=True) if wanted.value[h & (MARKS - 1)]]
+                columns = [[h for h, _ in some], [_as_signed(fingerprint(x)) for _, x in some]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array([shingle_set(x, words) for _, x in some], pa.list_(pa.int64()))], ["id", "fp", "set"])
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = table(pairs.distinct(), "pairs")
-        ids = pairs.select(F.explode(F.array("id", "id2")).alias("h")).distinct()
-        one = table(rows.join(ids, "h", "left_semi").mapInArrow(sets, "id long, fp long, set array<long>"), "sets")
+        one = put(rows.mapInArrow(sets, "id long, fp long, set array<long>"), f"sets-{name}")
         two = one.select(F.col("id").alias("id2"), F.col("fp").alias("fp2"), F.col("set").alias("set2"))
-        shared = F.size(F.array_intersect("set", "set2"))
-        close = pairs.join(one, "id").join(two, "id2").withColumn("shared", shared).where(F.col("shared") >= similar * (F.size("set") + F.size("set2") - F.col("shared")))
+        close = pairs.join(one, "id").join(two, "id2").withColumn("shared", F.size(F.array_intersect("set", "set2")))
+        close = close.where(F.col("shared") >= similar * (F.size("set") + F.size("set2") - F.col("shared")))
         return table(close.where("fp <> fp2").select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct(), "alike")
 
-    schema = "id long, fp long, size int, firsts array<struct<s: long, left: int, short: boolean>>"
-    firsts = rows.mapInArrow(prefixes, schema).select("id", "fp", "size", F.inline("firsts"))
-    # Only shingles that two prefixes share can bring texts together.
-    firsts = table(firsts, "firsts")
-    met = table(firsts.groupBy("s").agg(F.min("id").alias("id2"), F.count("*").alias("n")).where("n > 1").drop("n"), "met")
-    firsts = table(firsts.join(met, "s"), "firsts")
-    once = verified(firsts.where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")))
-    roots = components(edges.union(once)).withColumnRenamed("node", "fp")
-    named = table(firsts.drop("id2").join(roots, "fp", "left").select("s", "id", "size", "left", "short", F.coalesce("component", "fp").alias("component")), "named")
-    crossed = _crossing(named.where("short").drop("short"), named.drop("short"), ["s"])
-    can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
-    close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & (F.col("size") <= F.col("size2")))
-    return once.union(verified(close.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2"))))
+    with passing(spark) as put:
+        # Only shingles that two texts' prefixes share can bring them together.
+        met = put(rows.mapInArrow(named, "s long, id long").groupBy("s").agg(F.min("id").alias("id2"), F.max("id").alias("last")).where("id2 < last").select("s", "id2"), "met")
+        shared = spark.sparkContext.broadcast(marked(met, "s"))
+
+        def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                out: list = [[] for _ in range(6)]
+                for h, x in zip(batch["h"].to_pylist(), texts(batch), strict=True):
+                    found, short, n = ranked(x)
+                    at = np.flatnonzero(shared.value[found & (MARKS - 1)])
+                    if len(at):
+                        fp = _as_signed(fingerprint(x))
+                        for c, v in zip(out, (found[at].tolist(), [h] * len(at), [fp] * len(at), [n] * len(at), (n - at).tolist(), (at < short).tolist()), strict=True):
+                            c += v
+                kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["s", "id", "fp", "size", "left", "short"])
+
+        firsts = put(rows.mapInArrow(prefixes, "s long, id long, fp long, size int, left int, short boolean").join(met, "s"), "firsts")
+        once = verified(firsts.where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "once")
+        roots = components(edges.union(once)).withColumnRenamed("node", "fp")
+        members = put(firsts.drop("id2").join(roots, "fp", "left").select("s", "id", "size", "left", "short", F.coalesce("component", "fp").alias("component")), "members")
+        crossed = _crossing(members.where("short").drop("short"), members.drop("short"), ["s"])
+        can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
+        close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & (F.col("size") <= F.col("size2")))
+        return once.union(verified(close.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "rest"))
+
+
+def _as_signed(x: int) -> int:
+    return x - 2**64 if x >= 2**63 else x
 
 
 def classes(prints: DataFrame, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -227,8 +257,7 @@ def one_of_each(docs: DataFrame, words: int | None = None, similar: float = 0.8)
     prints = table(with_fingerprints(rows).select("doc_id", "fp", F.xxhash64("text").alias("h")), "fps")
     more = None
     if words:
-        whole = rows.select(F.xxhash64("text").alias("h"), "text").dropDuplicates(["h"]).join(prints.select("h", "fp").distinct(), "h").select("h", "fp", "text")
-        whole = table(whole, "texts")
+        whole = rows.select(F.xxhash64("text").alias("h"), "text")
 
         def more(edges: DataFrame) -> DataFrame:
             return alike(whole, edges, words, similar)
