@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm.common import append, components, slices, table, texts
-from tidemill.llm.fuzzy_lines import _crossing, passing
+from tidemill.llm.fuzzy_lines import passing
 
 SEED = 42
 WITHIN = 2
@@ -207,7 +207,8 @@ def alike(rows: DataFrame, edges: DataFrame, words: int, similar: float) -> Data
         once = verified(firsts.where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "once")
         roots = components(edges.union(once)).withColumnRenamed("node", "fp")
         members = put(firsts.drop("id2").join(roots, "fp", "left").select("s", "id", "size", "left", "short", F.coalesce("component", "fp").alias("component")), "members")
-        crossed = _crossing(members.where("short").drop("short"), members.drop("short"), ["s"])
+        other = members.select("s", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "left", "component")])
+        crossed = members.where("short").join(other, "s").where("component <> component2")
         can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
         close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & (F.col("size") <= F.col("size2")))
         return once.union(verified(close.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "rest"))
