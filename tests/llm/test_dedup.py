@@ -1,5 +1,5 @@
 import hashlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -121,25 +121,31 @@ def test_state_settings_are_put_back(spark, odd):
     assert spark.conf.get(D.PROVIDER, None) == before
 
 
-def shingle_set(spark, lines):
-    df = spark.createDataFrame([(x,) for x in lines], "line string").select("line", L.shingles(F.col("line")).alias("s"))
-    return {r["line"]: set(r["s"]) for r in df.collect()}
+def characters(line):
+    """By definition: the nine characters from each position on."""
+    line = line.strip(" \t\r")
+    return {line[i : i + 9] for i in range(max(1, len(line) - 8))}
+
+
+def line_links(lines):
+    """All pairs of distinct lines with a Jaccard similarity of 0.8, by a whole index of shingles: no shingle is left out."""
+    lines = sorted({*lines})
+    sets = [characters(x) for x in lines]
+    index = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            index[g].append(i)
+    out = []
+    for i, s in enumerate(sets):
+        shared = Counter(j for g in s for j in index[g] if j < i)
+        out += [(lines[j], lines[i]) for j, n in shared.items() if n >= L.SIMILAR * (len(s) + len(sets[j]) - n)]
+    return out
 
 
 def test_fuzzy_lines_against_all_pairs(spark, documents, rows):
     out = L.fuzzy_lines(documents).collect()
     lines = {x for _, t in rows for x in t.split("\n") if x.strip(" \t\r")}
-    sets = shingle_set(spark, lines)
-    index = defaultdict(set)
-    for x, s in sets.items():
-        for g in s:
-            index[g].add(x)
-    pairs = set()
-    for x, s in sets.items():
-        for y in {y for g in s for y in index[g] if len(index[g]) < 200}:
-            if x < y and len(s & sets[y]) >= L.SIMILAR * len(s | sets[y]):
-                pairs.add((x, y))
-    want = groups(lines, pairs)
+    want = groups(lines, line_links(lines))
     text = dict(rows)
     made = defaultdict(set)
     for r in out:
@@ -154,6 +160,38 @@ def test_fuzzy_lines_against_all_pairs(spark, documents, rows):
             assert (r["doc_id"], r["line_no"]) == (r["keep_doc_id"], r["keep_line_no"])
 
 
+def components_of(spark, lines):
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    return [r["component"] for r in L.fuzzy_lines(docs).orderBy("doc_id").collect()]
+
+
+def test_fuzzy_lines_of_templates(spark):
+    """600 lines of 32 shared words, four of each pair's own and two of each line's own: 300 links, all in hot buckets."""
+    rng = np.random.default_rng(3)
+    word = lambda: f"{rng.integers(0, 2**32):08x}"
+    shared, lines = [word() for _ in range(32)], []
+    for _ in range(300):
+        own = [word() for _ in range(4)]
+        lines += [" ".join([*shared, *own, word(), word()]) for _ in range(2)]
+    links = line_links(lines)
+    assert len(links) >= 300
+    by_line = dict(zip(lines, components_of(spark, lines), strict=True))
+    assert sum(by_line[a] == by_line[b] for a, b in links) >= 0.97 * len(links)
+    want = groups({*lines}, links)
+    assert all(want[a] == want[b] for a in lines[:60] for b in lines[:60] if by_line[a] == by_line[b])
+
+
+def test_fuzzy_very_long_lines(spark):
+    rng = np.random.default_rng(4)
+    long_ = " ".join(f"{x:06x}" for x in rng.integers(0, 2**24, 60_000))
+    lines = [long_, long_ + " and more", "é" * 300_000, "z" * 300_000, "z" * 200_000, "short", "中", "😀" * 9]
+    assert len(long_) > 2 * L.BLOCK
+    got = components_of(spark, lines)
+    assert got[0] == got[1] and got[3] == got[4] and len({*got}) == 6
+    whole = L.band_keys([x.encode() for x in lines])
+    assert (np.concatenate([L.band_keys([x.encode()]) for x in lines]) == whole).all()
+
+
 def test_fuzzy_lines_take_out_copies(spark):
     a = "a line of some twenty words that says nothing at all but says it at length and then comes to its very end"
     docs = spark.createDataFrame([(2, f"{a}\n\nother words here"), (1, f"first\n{a}."), (3, None), (None, a), (4, "中文没有空格的一行文字也应当被比较而且不会被漏掉\n中文没有空格的一行文字也应当被比较而且不会被漏掉！")], "doc_id long, text string")
@@ -176,24 +214,24 @@ def test_fuzzy_lines_of_a_hot_bucket(spark):
     for _ in range(150):
         own = [word() for _ in range(7)]
         lines += [" ".join([passage, *own, *(word() for _ in range(6))]) for _ in range(2)]
-    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
-    sets = shingle_set(spark, lines)
-    distinct = L.distinct_lines(L.line_rows(docs))
-    keys = {r["line"]: set(r["keys"]) for r in L.signatures(distinct).join(distinct, "id").collect()}
-    by_id = {r["doc_id"]: r["component"] for r in L.fuzzy_lines(docs).collect()}
-    linked = [(i, j) for i, x in enumerate(lines) for j, y in enumerate(lines[:i]) if keys[x] & keys[y] and len(sets[x] & sets[y]) >= L.SIMILAR * len(sets[x] | sets[y])]
+    keys = dict(zip(lines, map(set, L.band_keys([x.encode() for x in lines]).tolist()), strict=True))
+    linked = [(a, b) for a, b in line_links(lines) if keys[a] & keys[b]]
     assert len(linked) >= 100
-    assert [p for p in linked if by_id[p[0]] != by_id[p[1]]] == []
-    assert len(set(by_id.values())) == len(set(groups(range(len(lines)), linked).values()))
+    by_line = dict(zip(lines, components_of(spark, lines), strict=True))
+    assert [p for p in linked if by_line[p[0]] != by_line[p[1]]] == []
+    assert len(set(by_line.values())) == len(set(groups({*lines}, linked).values()))
 
 
 def test_fuzzy_lines_see_every_character(spark):
     """Shingles are those of every position, so lines that differ within long words are different."""
     a, b = "2024-03-05T10:15 user logged in from the office network", "2024-03-06T23:59 user logged in from the office network"
-    for line, sets in shingle_set(spark, [a, b, "😀 ab😀cd中文 é efgh😀", "short"]).items():
-        assert sets == {line[i : i + L.SIZE] for i in range(max(1, len(line) - L.SIZE + 1))}
-    out = L.fuzzy_lines(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()
-    assert [r["kept"] for r in out] == [True, True]
+    c, d = (f"invoice 1234567890{x} was paid in full by the customer" for x in ("111", "999"))
+    for line in (a, b, c, "😀 ab😀cd中文 é efgh😀", "short"):
+        assert len(L.shingle_set(line.encode())) == len(characters(line))
+    for x, y in ((a, b), (c, d)):
+        shared = len(np.intersect1d(L.shingle_set(x.encode()), L.shingle_set(y.encode())))
+        assert shared == len(characters(x) & characters(y))
+    assert len({*components_of(spark, [a, b, c, d])}) == 4
 
 
 def test_one_of_each_takes_out_edited_copies(spark):

@@ -1,20 +1,21 @@
-"""Fuzzy lines by MinHash; everything here is DataFrame operations.
+"""Fuzzy lines by MinHash: signatures of character shingles, bands, exact Jaccard, components.
 
 A text's lines are what stands between line feeds. A line (without white space at its ends) is the set of
-its character shingles: ``SIZE`` characters from each of its positions; a line of fewer is one shingle. Equal lines
-are one row from the start. The verification holds sets of the shingles' XXH64 against each other.
-Of each distinct line, BANDS * ROWS minima of the shingles' XXH64, each by an order of its own, make its
-signature; lines that agree on all ROWS minima of a band meet, and pairs of an exact Jaccard similarity of
-at least ``SIMILAR`` are linked. In each such bucket, every line is first held against three of its lines (those
-first by three orders of the lines' hashes). Then all pairs that share a bucket and aren't in one
-component yet are settled: in buckets of up to ``LARGE`` lines each is verified; of the lines of larger ones, pairs
-that share a shingle of their prefixes, which no pair that reaches the similarity can fail to do (of
-lines x and y, x not the larger set, with shingles ordered by how many of these lines have them, rarest first:
-one of x's first |x| - 2t/(1+t) |x| + 1 and of y's first |y| - t |y| + 1). Components of links are found by
-rounds of stars, and of each component the first line (by doc_id, then place; rows without a doc_id last) is kept.
+its character shingles: ``SIZE`` characters from each of its positions; a line of fewer is one shingle. Shingles are
+named by 64-bit hashes (a rolling polynomial over code points, mixed), all of them in the signature and in the verification.
+BANDS * ROWS minima, each by an order of its own, make a line's signature; lines that agree on all ROWS minima of a
+band meet, and pairs of an exact Jaccard similarity of at least ``SIMILAR`` are linked. In each such bucket, every line
+is first held against three of its lines (those first by three orders of the lines' names). Then all pairs that share a
+bucket and aren't in one component yet are settled: in buckets of up to ``LARGE`` lines each is verified; of the lines of
+larger ones, pairs that share a shingle of their prefixes (``set_pairs``), which no pair that reaches the similarity can
+fail to do. Components of links are found by rounds of stars, and of each component the first line (by doc_id, then
+place; rows without a doc_id last) is kept.
 
 Two lines of a similarity of 0.8 share a band with odds of 98.5 %; of those that do, no link is missed.
 
+Signatures and sets are made by Arrow batches and numpy: a native form that takes every position needs 1073 CPU seconds a
+GB where 400 are allowed (see the README). The rest is DataFrame operations.
+
 Lines of white space alone are kept and are no part of this. Null texts have no lines.
 Repeated rows of one doc_id keep the same lines. Lines are named, and gathered, by their XXH64: among
 10**9 distinct lines the odds that any two share one are 3 %.
@@ -22,32 +23,107 @@ Repeated rows of one doc_id keep the same lines. Lines are named, and gathered,
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import components, remove, scratch, table, tidy
+from tidemill.llm import set_pairs
+from tidemill.llm.common import components, passing, slices, table, texts
+from tidemill.llm.set_pairs import Put
 
 SIZE = 9
 BANDS, ROWS = 8, 4
 SIMILAR = 0.8
-#: A bucket of more lines goes by its lines' rare shingles; a shingle that more of such lines have is a frequent one.
+#: A bucket of more lines goes by its lines' rare shingles.
 LARGE = 32
-#: A character is taken on each step, so that none is cut that takes two of Java's.
-_SHINGLE = f"(?s)(?=(.{{{SIZE}}}))."
+#: Characters that are hashed at once.
+BLOCK = 1 << 17
+#: Odd multipliers: of the polynomial, and of the mixing.
+BASE, MIX = 0x9E3779B97F4A7C15, (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for m in MIX:
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
+    return x ^ (x >> np.uint64(33))
+
+
+def _rolled(codes: np.ndarray) -> np.ndarray:
+    """A hash of the SIZE codes from each position on."""
+    power, h, done = np.uint64(BASE), codes.astype(np.uint64), 1
+    base = np.uint64(BASE)
+    first = h
+    for bit in bin(SIZE)[3:]:
+        h, done = h[:-done] * power + h[done:], 2 * done
+        power = power * power
+        if bit == "1":
+            h, done = h[:-1] * base + first[done:], done + 1
+            power = power * base
+    return _mixed(h)
 
 
-def shingles(line: Column) -> Column:
-    """The shingles of a line, repeats included; of a line of fewer than SIZE characters, itself."""
-    whole = F.trim(F.translate(line, "\t\r", "  "))
-    return F.when(F.length(whole) < SIZE, F.array(whole)).otherwise(F.regexp_extract_all(whole, F.lit(_SHINGLE), 1))
+def _codes(line: bytes) -> np.ndarray:
+    """The code points of a line; one of fewer than SIZE is filled up."""
+    found = np.frombuffer(line.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    return found if len(found) >= SIZE else np.concatenate([found, np.zeros(SIZE - len(found), np.uint32)])
 
 
-def hashed_set(line: Column) -> Column:
-    return F.array_distinct(F.transform(shingles(line), lambda s: F.xxhash64(s)))
+def shingle_set(line: bytes) -> np.ndarray:
+    """The names of a line's shingles, distinct and ascending."""
+    with np.errstate(over="ignore"):
+        return np.unique(_rolled(_codes(line.strip(b" \t\r"))).view(np.int64))
+
+
+_TURNS = (np.arange(BANDS * ROWS, dtype=np.uint32) << np.uint32(32 - (BANDS * ROWS - 1).bit_length())).astype(np.uint32)
+
+
+def _minima(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each line, the least of its hashes by each order: one hash, its first bits turned in each of their ways.
+
+    A minimum's shingles are those of one part of the hashes' range, or of the part beside it if that one is empty.
+    """
+    return np.stack([np.minimum.reduceat(h ^ t, starts) for t in _TURNS], axis=1)
+
+
+def band_keys(lines: list[bytes]) -> np.ndarray:
+    """(lines, BANDS): the keys of each line's bands."""
+    with np.errstate(over="ignore"):
+        least = np.zeros((len(lines), BANDS * ROWS), np.uint32)
+        waiting: list[np.ndarray] = []
+        size, first = 0, 0
+
+        def out(upto: int) -> None:
+            if waiting:
+                h = (_rolled(np.concatenate(waiting)) >> np.uint64(32)).astype(np.uint32)
+                sizes = np.array([len(c) for c in waiting])
+                starts = np.cumsum(sizes) - sizes
+                inside = np.ones(len(h), bool)  # shingles that reach into the next line are none
+                inside[(starts[1:, None] - np.arange(1, SIZE)).ravel()] = False
+                least[first:upto] = _minima(h[inside], starts - (SIZE - 1) * np.arange(len(starts)))
+                waiting.clear()
+
+        for i, line in enumerate(lines):
+            codes = _codes(line.strip(b" \t\r"))
+            if size + len(codes) > BLOCK:
+                out(i)
+                size, first = 0, i
+            if len(codes) > BLOCK:
+                parts = [(_rolled(codes[a : a + BLOCK + SIZE - 1]) >> np.uint64(32)).astype(np.uint32) for a in range(0, len(codes) - SIZE + 1, BLOCK)]
+                least[i] = np.min([_minima(h, np.array([0]))[0] for h in parts], axis=0)
+                size, first = 0, i + 1
+                continue
+            waiting.append(codes)
+            size += len(codes)
+        out(len(lines))
+        both = least.reshape(-1, BANDS, ROWS).astype(np.uint64)
+        key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), both.shape[:2])
+        for r in range(ROWS):
+            key = _mixed(key * np.uint64(BASE) + both[:, :, r])
+        return key.view(np.int64)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -60,114 +136,67 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
-def distinct_lines(rows: DataFrame) -> DataFrame:
-    """(id, line, first, n): each distinct line with its first place and how many have it."""
-    named = rows.select(F.xxhash64("line").alias("id"), "line", _place().alias("place"))
-    return named.groupBy("id").agg(F.first("line").alias("line"), F.min("place").alias("first"), F.count("*").alias("n"))
-
-
-def signatures(lines: DataFrame) -> DataFrame:
-    """(id, keys): each distinct line's keys of its bands. What goes on with each shingle is the line's id alone."""
-    # Outer, though no line is without shingles: else the optimizer filters by their number and makes them twice.
-    each = lines.select("id", F.explode_outer(shingles(F.col("line"))).alias("s"))
-    # One hash of each shingle; its first bits, turned in each of their ways, order the shingles for each of the minima.
-    # A minimum's shingles are those of one part of the hashes' range, or of the part beside it if that one is empty.
-    hashed = each.select("id", F.xxhash64("s").alias("h"))
-    shift = 64 - (BANDS * ROWS - 1).bit_length()
-    turns = [(i << shift) - (1 << 64 if i << shift >= 1 << 63 else 0) for i in range(BANDS * ROWS)]
-    minima = hashed.groupBy("id").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(t))).alias(f"m{i}") for i, t in enumerate(turns)])
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return minima.select("id", F.array(*keys).alias("keys"))
-
-
-@contextmanager
-def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """A way to write tables to the shared folder that go at its end."""
-    where = scratch(spark, "passing")
-
-    def put(df: DataFrame, name: str) -> DataFrame:
-        with tidy(spark):
-            df.write.option("compression", "zstd").parquet(path := f"{where}/{name}")
-        return spark.read.schema(df.schema).parquet(path)
-
-    try:
-        yield put
-    finally:
-        remove(spark, where)
-
-
-@contextmanager
-def bucketed(df: DataFrame, by: str) -> Iterator[DataFrame]:
-    """``df`` as a table in buckets of ``by`` in the shared folder, so that joins on it leave its rows where they are."""
-    spark = df.sparkSession
-    name, path = f"tidemill_{uuid.uuid4().hex}", scratch(spark, "bucketed")
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    with tidy(spark):
-        df.write.bucketBy(buckets, by).option("path", path).option("compression", "zstd").saveAsTable(name)
-    try:
-        yield spark.table(name)
-    finally:
-        spark.sql(f"DROP TABLE {name}")
-        remove(spark, path)
-
-
-def candidates(keyed: DataFrame) -> DataFrame:
-    """Pairs (a < b) of lines (id, keys) to verify: each line of a bucket with the bucket's three."""
-    bands = keyed.select("id", F.explode("keys").alias("key"))
-    turns = [0, 0x5BD1E9955BD1E995, -0x61C8864680B583EB]
-    few = bands.groupBy("key").agg(*[F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)], F.count("*").alias("n")).where("n > 1")
-    few = table(few.select(F.col("key").alias("bucket"), F.array_distinct(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(t)) for i, t in enumerate(turns)])).alias("few")), "buckets")
-    met = bands.join(few, F.col("key") == F.col("bucket")).select("id", F.explode("few").alias("c")).where("id <> c")
-    return met.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+def signatures(docs: DataFrame) -> DataFrame:
+    """(id, keys): each distinct line's keys of its bands; no line's text is shuffled."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = {xxhash.xxh64_intdigest(x, 42): x for t in texts(batch) for x in t.split(b"\n") if x.strip(b" \t\r")}
+            keys = band_keys([*found.values()])
+            ids = np.fromiter(found, np.uint64, len(found)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel()))], ["id", "keys"])
 
-def _crossing(x: DataFrame, y: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs of rows of ``x`` (id, component, size) and ``y`` that agree on ``by`` and are of two components.
+    made = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "id long, keys array<long>")
+    return made.groupBy("id").agg(F.first("keys").alias("keys"))
 
-    The other components of a group come first, then their lines: a group that is mostly one component costs no row
-    for each of its own pairs.
-    """
-    others = x.select(*by, F.col("component").alias("other")).distinct()
-    left = y.join(others, by).where("component <> other").select(*by, *[F.col(c).alias(f"{c}2") for c in y.columns if c not in (*by, "component")], F.col("other").alias("component"))
-    return left.join(x, [*by, "component"])
+
+def candidates(keyed: DataFrame, put: Put) -> DataFrame:
+    """Pairs (id, id2) of lines to verify: each line of a bucket with the bucket's three."""
+    bands = keyed.select("id", F.explode("keys").alias("key"))
+    turns = [0, 0x5BD1E9955BD1E995, -0x61C8864680B583EB]
+    few = bands.groupBy("key").agg(*[F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)], F.count("*").alias("n")).where("n > 1")
+    few = put(few.select(F.col("key").alias("bucket"), F.array_distinct(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(t)) for i, t in enumerate(turns)])).alias("few")), "buckets")
+    met = bands.join(few, F.col("key") == F.col("bucket")).select("id", F.explode("few").alias("id2")).where("id <> id2")
+    # Both lines may be among the three; then the pair is there once.
+    return met.groupBy(F.least("id", "id2").alias("lo"), F.greatest("id", "id2").alias("hi")).agg(F.first("id").alias("id"), F.first("id2").alias("id2")).select("id", "id2")
 
 
-def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, put: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Pairs (a < b) to verify of lines that share a bucket and aren't in one component of ``roots`` (id, component).
+def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, put: Put) -> DataFrame:
+    """Pairs (id, id2) to verify of lines that share a bucket and aren't in one component of ``roots`` (id, component).
 
-    ``keyed`` has (id, keys), ``lines`` (id, line). All such pairs that can reach ``similar`` are there.
+    ``keyed`` has (id, keys), ``lines`` (id, text). All such pairs that can reach ``similar`` are there.
     """
     members = keyed.join(roots, "id", "left").select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("component"))
     mixed = put(members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 AND lo < hi").select("key", "n"), "mixed")
-    met = put(members.join(mixed, "key").withColumn("size", F.lit(0)), "met")
+    met = put(members.join(mixed, "key"), "met")
     few = met.where(F.col("n") <= LARGE).drop("n")
-    pairs = _crossing(few, few, ["key"]).where("id < id2").select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    many = put(met.where(F.col("n") > LARGE).select("id", "component").distinct(), "many")
-    sets = put(lines.join(many, "id").select("id", "component", hashed_set(F.col("line")).alias("set")), "sets")
-    each = sets.select("id", "component", F.size("set").alias("size"), F.explode_outer("set").alias("s"))
-    often = put(each.groupBy("s").agg(F.count("*").alias("often")).where(F.col("often") > LARGE), "often")
-    ranked = each.join(often, "s", "left").groupBy("id", "component", "size").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "s"))).alias("set"))
-
-    def prefix(share: float) -> Column:
-        return F.col("size") - F.ceil(share * F.col("size") - 1e-9).cast("int") + 1
-
-    firsts = ranked.select("id", "component", "size", prefix(2 * similar / (1 + similar)).alias("short"), F.posexplode(F.slice("set", 1, prefix(similar))).alias("at", "member"))
-    firsts = put(firsts.select(F.col("member.s").alias("s"), "id", "component", "size", (F.col("size") - F.col("at")).alias("left"), (F.col("at") < F.col("short")).alias("short")), "prefixes")
-    crossed = _crossing(firsts.where("short").drop("short"), firsts.drop("short"), ["s"])
-    # The first shingle that a pair shares is met too, and no more than what is left from there can be shared.
-    can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
-    close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & ((F.col("size") < F.col("size2")) | ((F.col("size") == F.col("size2")) & (F.col("id") < F.col("id2")))))
-    return pairs.union(close.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))).distinct()
-
-
-def verified(pairs: DataFrame, lines: DataFrame, similar: float, put: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The pairs whose lines' shingles have a Jaccard similarity of at least ``similar``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = put(lines.join(ids, "id", "left_semi").select("id", hashed_set(F.col("line")).alias("set")), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    # The size of what they share is bound to a name by a lambda: written out, the filter would make it as often as it is named.
-    sizes = F.array(F.struct(F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("both")))
-    return both.where(F.exists(sizes, lambda p: p["shared"] >= similar * (p["both"] - p["shared"]))).select("a", "b")
+    pairs = set_pairs.crossing(few, few, ["key"]).where("id < id2").select("id", "id2")
+    large = met.where(F.col("n") > LARGE).drop("n")
+    # A pair of two components has a line that isn't of its bucket's most frequent one: its shingles are those that matter.
+    shares = large.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main")).select("key", F.col("main.component").alias("main"))
+    many = put(large.join(main, "key").groupBy("id", "component").agg(F.max((F.col("component") != F.col("main")).cast("int")).alias("minor")), "many")
+    if many.isEmpty():
+        return pairs.distinct()
+    some = put(set_pairs.only(lines, set_pairs.marked(many, "id")).dropDuplicates(["id"]).join(many, "id"), "some")
+    weights = set_pairs.weights_of(some, shingle_set)
+    asked = put(set_pairs.prefixes(some.where("minor = 1"), shingle_set, similar, weights).select(F.explode("s").alias("s")).distinct(), "asked")
+    firsts = put(set_pairs.prefixes(some, shingle_set, similar, weights, set_pairs.marked(asked, "s")), "prefixes").join(many.drop("minor"), "id")
+    close = set_pairs.crossed(set_pairs.exploded(firsts, "component"), similar, put)
+    return pairs.union(close).select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
+
+
+def links(docs: DataFrame, similar: float, put: Put) -> DataFrame:
+    """(id, component) of the lines that are linked to another."""
+    keyed = put(signatures(docs), "keys")
+    lines = line_rows(docs).select(F.xxhash64("line").alias("id"), F.col("line").alias("text"))
+    once = set_pairs.verified(candidates(keyed, put), lines, shingle_set, similar, put)
+    roots = components(once.select(F.col("id").alias("a"), F.col("id2").alias("b"))).withColumnRenamed("node", "id")
+    more = set_pairs.verified(rest(keyed, lines, roots, similar, put), lines, shingle_set, similar, put)
+    if more.isEmpty():
+        return roots
+    edges = roots.union(more.select("id", "id2")).toDF("a", "b")
+    return components(edges).withColumnRenamed("node", "id")
 
 
 def fuzzy_lines(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -176,25 +205,16 @@ def fuzzy_lines(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     component is the smallest line_id that links reach, keep_* the place of the line that is
     kept for it, n_lines how many lines have it.
     """
-    rows = line_rows(docs)
-    with bucketed(distinct_lines(rows), "id") as lines:
-        with passing(docs.sparkSession) as keep:
-            keyed = keep(signatures(lines), "keys")
-            with passing(docs.sparkSession) as put:
-                links = table(verified(put(candidates(keyed), "pairs"), lines, similar, put), "links")
-            roots = components(links).withColumnRenamed("node", "id")
-            with passing(docs.sparkSession) as put:
-                pairs = put(rest(keyed, lines, roots, similar, put), "pairs")
-                with passing(docs.sparkSession) as put_sets:
-                    more = table(verified(pairs, lines, similar, put_sets), "more")
-        if not more.isEmpty():
-            roots = components(roots.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more)).withColumnRenamed("node", "id")
+    rows = line_rows(docs).select("doc_id", "line_no", F.xxhash64("line").alias("line_id"))
+    with passing(docs.sparkSession) as put:
+        roots = links(docs, similar, put)
+        places = rows.groupBy(F.col("line_id").alias("id")).agg(F.min(_place()).alias("first"), F.count("*").alias("n"))
         # Lines that stand once and are like no other keep themselves; the rest is looked up below.
-        some = lines.select("id", "first", "n").join(roots, "id", "left").where("n > 1 OR component IS NOT NULL")
-        named = table(some.withColumn("component", F.coalesce("component", "id")), "named")
-    first = table(named.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("n_lines")), "first")
-    keeps = table(named.select("id", "component").join(first, "component").select(F.col("id").alias("line_id"), "component", "keep", "n_lines"), "keeps")
-    found = rows.select("doc_id", "line_no", F.xxhash64("line").alias("line_id")).join(keeps, "line_id", "left")
+        some = places.join(roots, "id", "left").where("n > 1 OR component IS NOT NULL")
+        named = put(some.withColumn("component", F.coalesce("component", "id")), "named")
+        first = put(named.groupBy("component").agg(F.min("first").alias("keep"), F.sum("n").alias("n_lines")), "first")
+        keeps = table(named.select("id", "component").join(first, "component").select(F.col("id").alias("line_id"), "component", "keep", "n_lines"), "keeps")
+    found = rows.join(keeps, "line_id", "left")
     keep = F.coalesce("keep", _place())
     return found.select(
         "doc_id",

@@ -15,9 +15,7 @@ together are discarded if any coordinate to the spread pivots differs by more th
 ``WITHIN`` (the triangle inequality), and the survivors are verified by their bits.
 
 ``one_of_each`` can also link texts whose sets of shingles of ``words`` words have an exact Jaccard similarity of
-``similar`` or more, which two bits mostly don't. These are found by their prefixes: with shingles
-in any one order, of two such texts x and y (x not the larger set) one of x's first |x| - 2t/(1+t) |x| + 1 is
-among y's first |y| - t |y| + 1. The order takes those last whose hashes fall where many do, so common passages come last.
+``similar`` or more, which two bits mostly don't. These are found by their prefixes and verified exactly (``set_pairs``).
 
 Copies share one fingerprint and are one row of the table. Null texts are empty; rows without
 a doc_id never name a class while another row of it has one. Columns other than doc_id and
@@ -27,6 +25,7 @@ text don't matter.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 from itertools import combinations, repeat
 
 import numpy as np
@@ -36,8 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import append, components, slices, table, texts
-from tidemill.llm.fuzzy_lines import passing
+from tidemill.llm import set_pairs
+from tidemill.llm.common import append, components, passing, slices, table, texts
 
 SEED = 42
 WITHIN = 2
@@ -117,12 +116,6 @@ def links(prints: DataFrame) -> DataFrame:
     return close.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
 
 
-#: Parts of the hashes' range in which shingles are counted, to take those of common passages last.
-PARTS = 1 << 18
-#: Hashes by their last bits, to leave out early what no join will want.
-MARKS = 1 << 22
-
-
 def shingle_set(text: bytes, words: int) -> np.ndarray:
     """The XXH64 of a text's distinct shingles, ascending; of a text of fewer words, all of them are one."""
     w = text.lower().split()
@@ -130,92 +123,31 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found)).view(np.int64))
 
 
-def alike(rows: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:
-    """Pairs (a, b) of fingerprints of texts of rows (h, text) that have ``similar``; together with ``edges`` they
-    connect all such pairs. Texts are named by their XXH64 h."""
-    spark = rows.sparkSession
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PARTS, np.int64)
-        for batch in slices(batches):
-            for x in texts(batch):
-                np.add.at(total, shingle_set(x, words) & (PARTS - 1), 1)
-        high = np.flatnonzero(total > 8 + 4 * total.mean())
-        yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(total[high])], ["part", "n"])
-
-    sums = rows.select("text").mapInArrow(counted, "part long, n long").groupBy("part").agg(F.sum("n").alias("n")).toArrow()
-    weights = np.zeros(PARTS, np.int64)
-    weights[sums["part"].to_numpy()] = sums["n"].to_numpy()
-    sent = spark.sparkContext.broadcast(weights)
-
-    def marked(df: DataFrame, name: str) -> np.ndarray:
-        """Which of MARKS a column's hashes have; of a size that doesn't grow."""
-        found = df.select(F.col(name).bitwiseAND(F.lit(MARKS - 1)).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()
-        out = np.zeros(MARKS, bool)
-        out[found] = True
-        return out
-
-    def ranked(text: bytes) -> tuple[np.ndarray, int, int]:
-        """The first shingles' hashes, how many are the short prefix, and the size of the whole set."""
-        found = shingle_set(text, words)
-        n = len(found)
-        found = found[np.lexsort((found, sent.value[found & (PARTS - 1)]))]
-        most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
-        return found[:most], short, n
-
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [ranked(x)[0] for x in texts(batch)]
-            ids = np.repeat(batch["h"].to_numpy(), [len(x) for x in found])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(ids)], ["s", "id"])
-
-    def verified(pairs: DataFrame, put: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
-        pairs = put(pairs.distinct(), f"pairs-{name}")
-        wanted = spark.sparkContext.broadcast(marked(pairs.select(F.explode(F.array("id", "id2")).alias("h")), "h"))
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                some = [(h, x) for h, x in zip(batch["h"].to_pylist(), texts(batch), strict=True) if wanted.value[h & (MARKS - 1)]]
-                columns = [[h for h, _ in some], [_as_signed(fingerprint(x)) for _, x in some]]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array([shingle_set(x, words) for _, x in some], pa.list_(pa.int64()))], ["id", "fp", "set"])
-
-        one = put(rows.mapInArrow(sets, "id long, fp long, set array<long>"), f"sets-{name}")
-        two = one.select(F.col("id").alias("id2"), F.col("fp").alias("fp2"), F.col("set").alias("set2"))
-        close = pairs.join(one, "id").join(two, "id2").withColumn("shared", F.size(F.array_intersect("set", "set2")))
-        close = close.where(F.col("shared") >= similar * (F.size("set") + F.size("set2") - F.col("shared")))
-        return table(close.where("fp <> fp2").select(F.least("fp", "fp2").alias("a"), F.greatest("fp", "fp2").alias("b")).distinct(), "alike")
-
-    with passing(spark) as put:
-        # Only shingles that two texts' prefixes share can bring them together.
-        met = put(rows.mapInArrow(named, "s long, id long").groupBy("s").agg(F.min("id").alias("id2"), F.max("id").alias("last")).where("id2 < last").select("s", "id2"), "met")
-        shared = spark.sparkContext.broadcast(marked(met, "s"))
-
-        def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                out: list = [[] for _ in range(6)]
-                for h, x in zip(batch["h"].to_pylist(), texts(batch), strict=True):
-                    found, short, n = ranked(x)
-                    at = np.flatnonzero(shared.value[found & (MARKS - 1)])
-                    if len(at):
-                        fp = _as_signed(fingerprint(x))
-                        for c, v in zip(out, (found[at].tolist(), [h] * len(at), [fp] * len(at), [n] * len(at), (n - at).tolist(), (at < short).tolist()), strict=True):
-                            c += v
-                kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["s", "id", "fp", "size", "left", "short"])
-
-        firsts = put(rows.mapInArrow(prefixes, "s long, id long, fp long, size int, left int, short boolean").join(met, "s"), "firsts")
-        once = verified(firsts.where("id <> id2").select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "once")
-        roots = components(edges.union(once)).withColumnRenamed("node", "fp")
-        members = put(firsts.drop("id2").join(roots, "fp", "left").select("s", "id", "size", "left", "short", F.coalesce("component", "fp").alias("component")), "members")
-        other = members.select("s", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "left", "component")])
-        crossed = members.where("short").join(other, "s").where("component <> component2")
-        can = F.least("left", "left2") >= similar / (1 + similar) * (F.col("size") + F.col("size2")) - 1e-9
-        close = crossed.where(can & (F.col("size") >= similar * F.col("size2") - 1e-9) & (F.col("size") <= F.col("size2")))
-        return once.union(verified(close.select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")), put, "rest"))
-
+def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:
+    """Pairs (a, b) of fingerprints of texts that have ``similar``; together with ``edges`` they connect all such pairs.
 
-def _as_signed(x: int) -> int:
-    return x - 2**64 if x >= 2**63 else x
+    rows: (id, text), a text named by its XXH64; named: (id, fp). Each text is first held against one other, that
+    which shares most of its prefix among those with the smallest names; then all that is still apart is searched.
+    """
+    sets = partial(shingle_set, words=words)
+    names = named.distinct()
+
+    def as_edges(found: DataFrame) -> DataFrame:
+        one, two = names.select("id", F.col("fp").alias("a")), names.select(F.col("id").alias("id2"), F.col("fp").alias("b"))
+        return found.join(one, "id").join(two, "id2").where("a <> b").select("a", "b").distinct()
+
+    with passing(rows.sparkSession) as put:
+        weights = set_pairs.weights_of(rows, sets)
+        firsts = put(set_pairs.prefixes(rows, sets, similar, weights).dropDuplicates(["id"]), "prefixes")
+        each = set_pairs.exploded(firsts)
+        centers = put(each.groupBy("s").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last").select("s", "center"), "centers")
+        shares = each.join(centers, "s").where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))
+        best = shares.groupBy("id").agg(F.max(F.struct("n", "center")).alias("best")).select("id", F.col("best.center").alias("id2"))
+        once = table(as_edges(set_pairs.verified(best, rows, sets, similar, put)), "alike")
+        roots = components(edges.union(once)).withColumnRenamed("node", "fp")
+        of = put(names.join(roots, "fp", "left").select("id", F.coalesce("component", "fp").alias("component")), "components")
+        apart = set_pairs.crossed(set_pairs.exploded(firsts.join(of, "id"), "component"), similar, put)
+        return once.union(table(as_edges(set_pairs.verified(apart, rows, sets, similar, put)), "alike"))
 
 
 def classes(prints: DataFrame, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -258,10 +190,10 @@ def one_of_each(docs: DataFrame, words: int | None = None, similar: float = 0.8)
     prints = table(with_fingerprints(rows).select("doc_id", "fp", F.xxhash64("text").alias("h")), "fps")
     more = None
     if words:
-        whole = rows.select(F.xxhash64("text").alias("h"), "text")
+        whole, ids = rows.select(F.xxhash64("text").alias("id"), "text"), prints.select(F.col("h").alias("id"), "fp")
 
         def more(edges: DataFrame) -> DataFrame:
-            return alike(whole, edges, words, similar)
+            return alike(whole, ids, edges, words, similar)
 
     named = prints.join(classes(prints, more), "fp")
     ends = named.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
