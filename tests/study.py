@@ -17,7 +17,7 @@ def write(root, people=3, days=2):
     devices = [[p, serial(i), "wrist", "2025-12-01" if i else "2026-01-20", "" if i == 0 else "2.2.1", f"Band 5 · fw2.2.1 · SN:{serial(i)}"] for i, p in enumerate(ids)]
     _csv(root / "health_summaries/device_metadata.csv", ["participant_id", "device_id", "wear_site", "calibration_date", "firmware_version", "device_label"], [*devices, ["P999", "FBT-9999-00000000", "wrist", "2025-12-01", "1.0.0", "x"]])
     survey = [[p, (START + timedelta(days=d)).date(), 3, 2, 7, 4] for p in ids for d in range(days)]
-    _csv(root / "health_summaries/wellness_survey.csv", ["participant_id", "date", "fatigue_score", "stress_score", "readiness_score", "sleep_quality_score"], [*survey, survey[0], ["P999", START.date(), 1, 1, 1, 1]])
+    _csv(root / "health_summaries/wellness_survey.csv", ["participant_id", "date", "fatigue_score", "stress_score", "readiness_score", "sleep_quality_score"], [*survey, [*survey[0][:2], 1, 1, 1, 1], ["P999", START.date(), 1, 1, 1, 1]])
     for i, p in enumerate(ids):
         folder = root / "wearable_events" / p
         folder.mkdir(parents=True)
@@ -44,24 +44,25 @@ def write(root, people=3, days=2):
 
 #: What write() put in, by table and rule: rows affected.
 DEFECTS = {
-    ("steps", "timezone_normalised"): 1,
-    ("steps", "timestamp_snapped_to_minute"): 0,  # the drifted copy is the later row, and goes
-    ("steps", "unit_rescaled"): 2880,
-    ("steps", "value_out_of_domain"): 2,
-    ("steps", "duplicate_rows_removed"): 1,
-    ("steps", "unit_field_nonstandard_name"): 2880,
-    ("steps", "undocumented_source_field"): 1,
-    ("heart_rate", "value_out_of_domain"): 1,
-    ("heart_rate", "stuck_sensor_flagged"): 65,
-    ("sleep_sessions", "stage_duration_mismatch"): 1,
-    ("sleep_sessions", "sessions_quarantined"): 1,
-    ("devices", "firmware_backfilled_from_label"): 1,
-    ("devices", "calibration_after_study_start"): 1,
-    ("devices", "device_orphan_participant"): 1,
-    ("wellness_survey", "survey_orphan_participant"): 1,
-    ("wellness_survey", "duplicate_survey_response"): 1,
-    ("participant_day_coverage", "participant_day_missing"): 3 * 28 - 5,
-    ("participant_day_coverage", "grid_size"): 3 * 28,
+    ("silver_steps_minute", "timezone_normalised"): 1,
+    ("silver_steps_minute", "timestamp_snapped_to_minute"): 1,  # the drifted copy is counted, though it goes as a duplicate
+    ("silver_steps_minute", "unit_rescaled"): 2880,
+    ("silver_steps_minute", "value_out_of_domain"): 2,
+    ("silver_steps_minute", "duplicate_rows_removed"): 1,
+    ("silver_steps_minute", "unit_field_nonstandard_name"): 2880,
+    ("bronze_steps", "undocumented_source_field"): 1,
+    ("silver_heart_rate_minute", "value_out_of_domain"): 1,
+    ("silver_heart_rate_minute", "stuck_sensor_flagged"): 65,
+    ("silver_sleep_stages", "stage_duration_mismatch"): 1,
+    ("silver_sleep_sessions", "source_efficiency_ignored"): 6,
+    ("silver_sleep_sessions", "sessions_quarantined"): 1,
+    ("silver_devices", "firmware_backfilled_from_label"): 1,
+    ("silver_devices", "calibration_after_study_start"): 1,
+    ("silver_devices", "device_orphan_participant"): 1,
+    ("silver_wellness_survey", "survey_orphan_participant"): 1,
+    ("silver_wellness_survey", "duplicate_survey_response"): 1,
+    ("silver_participant_day_coverage", "participant_day_missing"): 3 * 28 - 5,
+    ("silver_participant_day_coverage", "grid_size"): 3 * 28,
 }
 
 

@@ -156,7 +156,7 @@ def test_bins_are_closed_on_the_right(spark):
 
 def test_one_shuffle_serves_duplicates_and_runs(spark):
     bronze = steps(spark, minutes("2026-01-15T00:00:00", [1, 2])).withColumnRenamed("steps", "heart_rate_bpm")
-    df = clean._events(bronze, "heart_rate_bpm", S, valid=S.heart_rate_range).transform(R.flag_stuck, "heart_rate_bpm", 60)
+    df = clean._single(clean._ruled(bronze, "heart_rate_bpm", S, valid=S.heart_rate_range)).transform(R.flag_stuck, "heart_rate_bpm", 60)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
 

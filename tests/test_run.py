@@ -17,7 +17,13 @@ def test_run_finds_each_defect_and_publishes(spark, tmp_path):
     found = {(r["table"], r["rule"]): r for r in kept.collect()}
     for key, n in study.DEFECTS.items():
         assert (found[key]["n_affected"] if key in found else 0) == n, key
-    assert found["steps", "unit_rescaled"]["participants"] == "P002"
+    assert found["silver_steps_minute", "unit_rescaled"]["participants"] == "P002"
+    assert found["silver_steps_minute", "duplicate_rows_removed"]["detail"].count(" 1 day(s)") == 1
+    assert found["silver_heart_rate_minute", "stuck_sensor_flagged"]["detail"].startswith("1 run(s)")
+    severity = {"firmware_backfilled_from_label": "warn", "calibration_after_study_start": "error", "undocumented_source_field": "error", "source_efficiency_ignored": "warn", "participant_device_one_to_one": "info"}
+    assert severity == {rule: r["severity"] for (_, rule), r in found.items() if rule in severity}
+    answers = read_table(spark, f"{s.target}/silver", "wellness_survey").where("participant_id = 'P001' AND date = DATE '2026-01-08'").collect()
+    assert [r["fatigue_score"] for r in answers] == [3]  # the first in the file, though the later answer is lower
     failed = [k for k, r in found.items() if r["severity"] == "assert_fail"]
     assert not failed
     assert sum(r["severity"] == "assert_pass" for r in kept.collect()) == 20

@@ -9,8 +9,9 @@ from datetime import date, timedelta
 
 @dataclass(frozen=True)
 class Study:
-    """What the rules depend on. Fixed values of the study stand here, as text."""
+    """What the rules depend on."""
 
+    #: The study's dates, limits, words and patterns.
     start: date = date(2026, 1, 8)
     days: int = 28
     offset: str = "-05:00"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,13 +16,17 @@ PREVIEW = 12
 
 @dataclass(frozen=True)
 class Check:
-    """A rule on the rows of a table: ``n`` is what a row adds to the count (a condition counts one)."""
+    """A rule on the rows of a table: ``n`` is what a row adds to the count (a condition counts one).
+
+    ``spans``, if any, is counted too: its distinct values on the rows that the rule found, in the place of {} in ``detail``.
+    """
 
     rule: str
     severity: str
     n: Column
     detail: str
     always: bool = False
+    spans: Column | None = None
 
 
 def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "participant_id") -> DataFrame:
@@ -36,10 +41,15 @@ def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "partici
     total = long.groupBy("rule").agg(F.sum("n").alias("n_affected"), F.count("who").alias("people"))
     ranked = long.where("who IS NOT NULL").withColumn("k", F.row_number().over(Window.partitionBy("rule").orderBy("who"))).where(f"k <= {PREVIEW}")
     names = ranked.groupBy("rule").agg(F.array_join(F.array_sort(F.collect_list("who")), ", ").alias("names"))
+    spans = [df.where(c.n.cast("long") > 0).agg(F.lit(c.rule).alias("rule"), F.count_distinct(c.spans).alias("spans")) for c in checks if c.spans is not None]
     known = df.sparkSession.createDataFrame([(c.rule, c.severity, c.detail, c.always) for c in checks], "rule string, severity string, detail string, always boolean")
     both = F.broadcast(known).join(total, "rule", "left").join(names, "rule", "left").where("always OR n_affected > 0")
+    detail = F.col("detail")
+    if spans:
+        both = both.join(reduce(DataFrame.unionByName, spans), "rule", "left")
+        detail = F.replace(detail, F.lit("{}"), F.coalesce(F.col("spans").cast("string"), F.lit("")))
     more = F.when(F.col("people") > PREVIEW, F.concat(F.lit(" +"), (F.col("people") - PREVIEW).cast("string"), F.lit(" more"))).otherwise("")
-    return both.select(F.lit(table).alias("table"), "rule", "severity", F.coalesce("n_affected", F.lit(0)).alias("n_affected"), "detail", F.concat(F.coalesce("names", F.lit("")), more).alias("participants"))
+    return both.select(F.lit(table).alias("table"), "rule", "severity", F.coalesce("n_affected", F.lit(0)).alias("n_affected"), detail.alias("detail"), F.concat(F.coalesce("names", F.lit("")), more).alias("participants"))
 
 
 def assertion(spark: SparkSession, rule: str, table: str, bad: int, detail: str) -> tuple:

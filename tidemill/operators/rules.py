@@ -71,9 +71,10 @@ def runs(df: DataFrame, value: str, by: list[str], order: str, step: Column | No
 
 
 def flag_stuck(df: DataFrame, value: str, minutes: int, by: str = "participant_id", order: str = "timestamp") -> DataFrame:
-    """is_stuck: the value didn't move for at least so many minutes in a row, without a gap."""
+    """is_stuck: the value didn't move for at least so many minutes in a row, without a gap; stuck_run numbers all of a participant's runs."""
     step = F.expr("INTERVAL '1' MINUTE")
-    return runs(df, value, [by], order, step).withColumn("is_stuck", X.true((F.col("run_length") >= minutes) & F.col(value).isNotNull())).drop("run_id", "run_length")
+    flagged = runs(df, value, [by], order, step).withColumn("is_stuck", X.true((F.col("run_length") >= minutes) & F.col(value).isNotNull()))
+    return flagged.withColumnRenamed("run_id", "stuck_run").drop("run_length")
 
 
 def grid(people: DataFrame, start, end, key: str = "participant_id", name: str = "date") -> DataFrame:

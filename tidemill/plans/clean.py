@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.conf import Study
@@ -12,50 +12,69 @@ from tidemill.functions import exprs as X
 from tidemill.operators import rules
 from tidemill.operators.checks import Check, evaluate
 
+#: The names of rules and tables in this module, and the columns of what it builds.
 WHO = "participant_id"
 
 
-def _events(bronze: DataFrame, value: str, study: Study, sentinels: tuple = (), valid: tuple | None = None) -> DataFrame:
+#: What "first seen" goes by: the file, then the place in it.
+SEEN = ("_source_uri", "_block", "_ordinal")
+
+
+def _seen(df: DataFrame) -> list[str]:
+    return [c for c in SEEN if c in df.columns]
+
+
+def _ruled(bronze: DataFrame, value: str, study: Study, sentinels: tuple = (), valid: tuple | None = None) -> DataFrame:
+    """Every landed row on the study's clock, minutes and units; no row goes yet."""
     unit = rules.unit_column(bronze, study.unit_columns)
-    order = [c for c in ("_source_uri", "_ordinal") if c in bronze.columns] or [F.lit(0)]
     return (
         bronze.transform(rules.normalise_clock, study.offset)
         .transform(rules.snap_to_minute)
         .transform(rules.rescale_units, value, study.unit_divisors, unit)
         .transform(rules.null_invalid, value, sentinels, valid)
-        .transform(rules.first_seen, [WHO, "timestamp"], order, [WHO])
     )
 
 
-def _event_checks(df: DataFrame, table: str, bronze: DataFrame, study: Study) -> list[Check]:
-    unit = rules.unit_column(bronze, study.unit_columns)
+def _single(ruled: DataFrame) -> DataFrame:
+    return ruled.transform(rules.first_seen, [WHO, "timestamp"], _seen(ruled) or [F.lit(0)], [WHO])
+
+
+def _ruled_checks(ruled: DataFrame, table: str, study: Study) -> DataFrame:
+    """What the rules found on all landed rows, those included that go as duplicates after; summed next to the data."""
+    unit = rules.unit_column(ruled, study.unit_columns)
     found = [
         Check("timezone_normalised", "error", F.col("was_utc"), f"UTC clock brought to UTC{study.offset}"),
         Check("timestamp_unparseable", "error", F.col("was_unparseable"), "timestamp is no ISO 8601 text"),
-        Check("timestamp_snapped_to_minute", "error", F.col("was_off_minute"), "seconds dropped"),
+        Check("timestamp_snapped_to_minute", "error", F.col("was_off_minute"), "seconds dropped before duplicates go"),
         Check("unit_unknown", "error", F.col("unit_unknown"), "unit not known: value set to null"),
         Check("unit_rescaled", "error", F.col("was_rescaled"), "brought to values per minute"),
-        Check("value_out_of_domain", "error", F.col("value_was_invalid"), "impossible value set to null"),
-        Check("duplicate_rows_removed", "error", F.col("n_dropped"), "later rows of a participant's minute dropped"),
+        Check("value_out_of_domain", "error", F.col("value_was_invalid"), "impossible value set to null; the minute stays"),
     ]
     if unit and unit != study.unit_columns[0]:
         found.append(Check("unit_field_nonstandard_name", "warn", F.col("unit_raw").isNotNull(), f"the unit stands in {unit}"))
-    return found
+    return evaluate(ruled, table, found)
+
+
+def _dropped() -> Check:
+    return Check("duplicate_rows_removed", "error", F.col("n_dropped"), "later rows of a participant's minute dropped, on {} day(s); the first seen stays", spans=F.to_date("timestamp"))
 
 
 def build_steps(bronze: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
     """Steps by participant and minute, and checks."""
-    df = _events(bronze, "steps", study, sentinels=study.steps_sentinels)
-    checks = evaluate(df, "steps", _event_checks(df, "steps", bronze, study))
+    ruled = _ruled(bronze, "steps", study, sentinels=study.steps_sentinels)
+    df = _single(ruled)
+    checks = _ruled_checks(ruled, "silver_steps_minute", study).unionByName(evaluate(df, "silver_steps_minute", [_dropped()]))
     out = df.select(WHO, "timestamp", F.to_date("timestamp").alias("date"), X.even_round(F.col("steps")).cast("int").alias("steps"), "unit_raw", "was_rescaled", "was_utc", "was_off_minute", F.col("value_was_invalid").alias("was_sentinel"))
     return out, checks
 
 
 def build_heart_rate(bronze: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
     """Heart rate by participant and minute, and checks."""
-    df = _events(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range).transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes)
-    found = [*_event_checks(df, "heart_rate", bronze, study), Check("stuck_sensor_flagged", "error", F.col("is_stuck"), f"unchanged for {study.stuck_minutes} minutes or more; kept")]
-    checks = evaluate(df, "heart_rate", found)
+    table = "silver_heart_rate_minute"
+    ruled = _ruled(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range)
+    df = _single(ruled).transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes)
+    stuck = Check("stuck_sensor_flagged", "error", F.col("is_stuck"), f"{{}} run(s) unchanged for {study.stuck_minutes} minutes or more; kept", spans=F.struct(WHO, "stuck_run"))
+    checks = _ruled_checks(ruled, table, study).unionByName(evaluate(df, table, [_dropped(), stuck]))
     bpm = X.even_round(F.col("heart_rate_bpm")).cast("short").alias("heart_rate_bpm")
     out = df.select(WHO, "timestamp", F.to_date("timestamp").alias("date"), bpm, "is_stuck", "was_utc", "was_off_minute", F.col("value_was_invalid").alias("was_out_of_range"))
     return out, checks
@@ -103,15 +122,16 @@ def build_sleep(sessions: DataFrame, stages: DataFrame, study: Study) -> tuple[D
     s = s.withColumn("reject_reason", F.when(F.col("session_key").isNull(), "incomplete_stages").otherwise(reason))
     checks = evaluate(
         s,
-        "sleep_sessions",
+        "silver_sleep_sessions",
         [
-            Check("stage_duration_mismatch", "error", broken, "a stage's stated minutes aren't those between its times"),
             Check("sleep_end_corrupt", "error", F.col("end_corrupt"), "stated end is not the last sleeping stage's"),
             Check("stage_order_non_canonical", "warn", ~F.col("stage_order_canonical"), f"stages aren't {study.stage_order}"),
-            Check("source_efficiency_ignored", "info", F.lit(0), "efficiency is derived from the stages", always=True),
+            Check("source_efficiency_ignored", "warn", X.true(F.col("efficiency_pct_stated") == 100.0), "stated as exactly 100; efficiency is derived from the stages", always=True),
             Check("sessions_quarantined", "error", F.col("reject_reason").isNotNull(), "rejected sessions go to quarantine"),
         ],
     )
+    stage = Check("stage_duration_mismatch", "error", F.col("duration_mismatch"), "stages whose stated minutes aren't those between their times; their sessions are rejected")
+    checks = checks.unionByName(evaluate(g, "silver_sleep_stages", [stage]))
     columns = ["session_key", WHO, "date", "sleep_onset", "sleep_end", "mid_sleep_time", "mid_sleep_hour_signed", "sleep_onset_hour_signed", "total_sleep_min", "time_in_bed_min", "sleep_efficiency_pct", "deep_sleep_pct", "rem_sleep_pct", *[f"{x}_min" for x in study.stages], "restlessness", "efficiency_pct_stated", "n_stages", "stage_order_canonical"]
     good = s.where("reject_reason IS NULL").select(columns)
     kept = g.join(good.select("session_key"), "session_key", "left_semi").select("session_key", WHO, "date", "stage_idx", "stage", "is_asleep", "start_time", "end_time", "duration_min_stated", "duration_min_derived", "duration_mismatch")
@@ -119,21 +139,28 @@ def build_sleep(sessions: DataFrame, stages: DataFrame, study: Study) -> tuple[D
 
 
 def build_participants(bronze: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The roster, one row for each participant, and checks."""
+    """The roster, one row for each participant (the first in ``order``, by itself the first seen), and checks."""
     whole = lambda c: X.number(F.col(c).cast("string")).cast("int").alias(c)
-    df = bronze.transform(rules.first_seen, [WHO], order or ["device_id"])
-    devices = F.count("*").over(Window.partitionBy("device_id"))
-    df = df.withColumn("_shared", X.true(F.col("device_id").isNotNull() & (devices > 1)))
-    checks = evaluate(
-        df,
-        "participants",
+    df = bronze.transform(rules.first_seen, [WHO], order or _seen(bronze) or ["device_id"])
+    malformed = evaluate(
+        bronze,
+        "silver_participants",
         [
             Check("participant_id_malformed", "error", ~X.true(F.col(WHO).rlike(study.participant_pattern)), "id has another form"),
             Check("device_id_malformed", "error", ~X.true(F.col("device_id").rlike(study.device_pattern)), "device id has another form"),
-            Check("duplicate_participant", "error", F.col("n_dropped"), "later rows of a participant dropped"),
-            Check("participant_device_one_to_one", "info", F.col("_shared"), "participants whose device others have too", always=True),
         ],
     )
+    checks = malformed.unionByName(evaluate(df, "silver_participants", [Check("duplicate_participant", "error", F.col("n_dropped"), "later rows of a participant dropped")]))
+    people, devices = F.count("*"), F.count_distinct("device_id")
+    single = df.agg(
+        F.lit("silver_participants").alias("table"),
+        F.lit("participant_device_one_to_one").alias("rule"),
+        F.when(people == devices, "info").otherwise("error").alias("severity"),
+        (people - devices).alias("n_affected"),
+        F.concat(people.cast("string"), F.lit(" participants, "), devices.cast("string"), F.lit(" distinct devices")).alias("detail"),
+        F.lit("").alias("participants"),
+    )
+    checks = checks.unionByName(single)
     return df.select(WHO, "device_id", whole("age"), whole("height_cm"), "gender", "chronotype", whole("max_heart_rate")), checks
 
 
@@ -148,7 +175,7 @@ def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> t
             "calibration_date": F.col("calibration_date").try_cast("date"),
             "_conflict": X.true(own != in_label),
             "_filled": own.isNull() & in_label.isNotNull(),
-            "firmware_source": F.when(own.isNotNull(), "column").when(in_label.isNotNull(), "device_label"),
+            "firmware_source": F.when(own.isNull() & in_label.isNotNull(), "device_label").otherwise("firmware_version"),
             "firmware_version": F.coalesce(own, in_label),
             "device_model": F.nullif(F.trim(F.split(label, "·")[0]), F.lit("")),
             "_orphan": F.col("_known").isNull(),
@@ -156,11 +183,11 @@ def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> t
     )
     checks = evaluate(
         df,
-        "devices",
+        "silver_devices",
         [
-            Check("firmware_label_conflict", "warn", F.col("_conflict"), "column and label name different versions"),
-            Check("firmware_backfilled_from_label", "error", F.col("_filled"), "blank version taken from the label"),
-            Check("calibration_after_study_start", "warn", X.true(F.col("calibration_date") >= F.lit(study.start)), "calibrated after the study began"),
+            Check("firmware_label_conflict", "error", F.col("_conflict"), "column and label name different versions"),
+            Check("firmware_backfilled_from_label", "warn", F.col("_filled"), "blank version taken from the label"),
+            Check("calibration_after_study_start", "error", X.true(F.col("calibration_date") >= F.lit(study.start)), "calibrated after the study began"),
             Check("device_orphan_participant", "error", F.col("_orphan"), "participant isn't on the roster: row dropped"),
         ],
     )
@@ -168,17 +195,18 @@ def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> t
 
 
 def build_survey(bronze: DataFrame, participants: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Survey answers of known participants by day, rejected ones, and checks."""
+    """Survey answers of known participants by day (the first in ``order``, by itself the first seen), rejected ones, and checks."""
     scores = list(study.score_ranges)
     typed = bronze.withColumns({"date": F.col("date").try_cast("date"), **{c: X.number(F.col(c).cast("string")).cast("short") for c in scores}})
     known = participants.select(WHO).distinct().withColumn("_known", F.lit(True))
     df = typed.join(known, WHO, "left").withColumn("_orphan", F.col("_known").isNull())
-    single = df.where("NOT _orphan").transform(rules.first_seen, [WHO, "date"], order or [F.col(c).asc_nulls_last() for c in scores])
-    ranges = [Check(f"{c}_out_of_range", "warn", X.outside(F.col(c), *study.score_ranges[c]), "score outside its scale; kept") for c in scores]
-    checks = evaluate(df, "wellness_survey", [*ranges, Check("survey_orphan_participant", "error", F.col("_orphan"), "participant isn't on the roster: quarantined")])
-    dropped = evaluate(single, "wellness_survey", [Check("duplicate_survey_response", "error", F.col("n_dropped"), "later answers of a day dropped")])
+    single = df.transform(rules.first_seen, [WHO, "date"], order or _seen(df) or [F.col(c).asc_nulls_last() for c in scores])
+    table = "silver_wellness_survey"
+    ranges = [Check(f"{c}_out_of_range", "error", X.outside(F.col(c), *study.score_ranges[c]), f"expected {study.score_ranges[c][0]} to {study.score_ranges[c][1]}; kept") for c in scores]
+    checks = evaluate(df, table, [*ranges, Check("survey_orphan_participant", "error", F.col("_orphan"), "participant isn't on the roster: quarantined")])
+    dropped = evaluate(single, table, [Check("duplicate_survey_response", "error", F.col("n_dropped"), "later answers of a day dropped")])
     rejected = df.where("_orphan").select(WHO, "date", *scores, F.lit("orphan_participant").alias("reject_reason"))
-    return single.select(WHO, "date", *scores), rejected, checks.unionByName(dropped)
+    return single.where("NOT _orphan").select(WHO, "date", *scores), rejected, checks.unionByName(dropped)
 
 
 def build_coverage(participants: DataFrame, steps: DataFrame, hr: DataFrame, sleep: DataFrame, survey: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
@@ -197,7 +225,7 @@ def build_coverage(participants: DataFrame, steps: DataFrame, hr: DataFrame, sle
     df = df.withColumns({"is_complete_day": F.col("coverage_pct") >= study.complete_pct, "is_missing_day": F.col("coverage_pct") == 0})
     checks = evaluate(
         df,
-        "participant_day_coverage",
+        "silver_participant_day_coverage",
         [
             Check("participant_day_missing", "error", F.col("is_missing_day"), "a day without events"),
             Check("participant_day_partial", "error", ~F.col("is_missing_day") & ~F.col("is_complete_day"), f"a day under {study.complete_pct} % of its minutes"),
@@ -213,4 +241,4 @@ def undocumented_fields(records: DataFrame, table: str, study: Study) -> DataFra
     known = F.array(*[F.lit(x) for x in study.documented[table]])
     extra = records.select(F.col("_source_participant_dir").alias("who"), F.explode(F.array_except(F.map_keys("record"), known)).alias("field")).distinct()
     names = extra.select("field").distinct().agg(F.array_join(F.array_sort(F.collect_set("field")), ", ")).first()[0]
-    return evaluate(extra.select("who").distinct(), table, [Check("undocumented_source_field", "warn", F.lit(1), f"fields: {names}")], who="who")
+    return evaluate(extra.select("who").distinct(), f"bronze_{table}", [Check("undocumented_source_field", "error", F.lit(1), f"fields: {names}")], who="who")

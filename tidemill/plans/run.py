@@ -17,6 +17,7 @@ from tidemill.plans import analytics, clean, model, quality
 from tidemill.sources import files, sinks
 
 LAYERS = ("bronze", "silver", "gold", "analytics")
+#: The columns of the source files, and the names of tables.
 PARTICIPANTS = ["participant_id", "device_id", "age", "height_cm", "gender", "chronotype", "max_heart_rate"]
 DEVICES = ["participant_id", "device_id", "wear_site", "calibration_date", "firmware_version", "device_label"]
 SURVEY = ["participant_id", "date", "fatigue_score", "stress_score", "readiness_score", "sleep_quality_score"]
@@ -30,7 +31,7 @@ def land(spark: SparkSession, s: Settings, run_id: str, at: datetime) -> tuple[d
     raw = {"steps": events("steps"), "heart_rate": events("heart_rate")}
     raw["sleep_sessions"], raw["sleep_stages"] = files.read_sleep(spark, files.join(s.source, "wearable_events", "*", "sleep.json"), run_id, at, s.participants)
     for name, path, columns in (("participants", "participants/participants.csv", PARTICIPANTS), ("device_metadata", "health_summaries/device_metadata.csv", DEVICES), ("wellness_survey", "health_summaries/wellness_survey.csv", SURVEY)):
-        raw[name] = files.lineage(files.read_csv(spark, files.join(s.source, path), columns), run_id, at)
+        raw[name] = files.lineage(files.read_csv(spark, files.join(s.source, path), columns, placed=True), run_id, at)
     out = {}
     for name, df in raw.items():
         by = ("_source_participant_dir",) if name in ("steps", "heart_rate") else ("participant_id",) if name.startswith("sleep") else ()

@@ -87,12 +87,15 @@ def read_sleep(spark: SparkSession, glob: str, run_id: str, at: datetime, partic
     return sessions, each.select("session_key", "participant_id", "date", "stage_idx", "g.*", *meta)
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str], na_tokens: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: list[str], na_tokens: bool = True, placed: bool = False) -> DataFrame:
     """CSV with a header, every column as text; cells without a value are null.
 
-    With ``na_tokens`` the usual words for "no value" are null too, else only blank cells.
+    With ``na_tokens`` the usual words for "no value" are null too, else only blank cells. With ``placed``, _block and
+    _ordinal say where in its file a row stands: they order a file's rows, though it is read in parts.
     """
     df = spark.read.csv(path, header=True, schema=", ".join(f"`{c}` string" for c in columns), enforceSchema=False)
+    if placed:
+        df = df.withColumns({"_block": F.col("_metadata.file_block_start"), "_ordinal": F.monotonically_increasing_id()})
     return df.withColumns({c: na_to_null(F.col(c)) for c in columns}) if na_tokens else df
 
 
