@@ -35,18 +35,40 @@ def test_forward_and_expected_counts_are_those_of_all_paths(parameters):
     sequences = [rng.integers(0, 5, n) for n in (4, 1, 6, 3)]
     true = [brute(x, *parameters) for x in sequences]
     assert H.log10_likelihood(sequences, *parameters) == pytest.approx([math.log10(t[0]) for t in true])
-    starts, pairs, emitted, likely = H.expected(sequences, np.ones(4, bool), *parameters)
-    assert likely == pytest.approx(sum(math.log(t[0]) for t in true), rel=1e-5)
+    starts, pairs, emitted = H.expected(sequences, np.ones(4, bool), np.array([(0, len(x)) for x in sequences]), *parameters)
     for got, i in ((starts, 1), (pairs, 2), (emitted, 3)):
         assert got == pytest.approx(sum(t[i] for t in true), rel=1e-4, abs=1e-5)
 
 
+def test_parts_count_each_token_and_each_transition_once(parameters):
+    """Cut texts give nearly what whole ones give, and exactly as many tokens and transitions."""
+    rng = np.random.default_rng(6)
+    sequences = [rng.integers(0, 5, n) for n in (1000, 1, 256, 257, 530)]
+    _, moves, _ = parameters
+    whole = H.expected(sequences, np.ones(5, bool), np.array([(0, len(x)) for x in sequences]), *parameters)
+    cut = H._summed(sequences, *parameters)
+    assert cut[1].sum() == pytest.approx(sum(len(x) - 1 for x in sequences), rel=1e-5)
+    assert cut[2].sum(axis=1) == pytest.approx(np.bincount(np.concatenate(sequences), minlength=5), rel=1e-5)
+    for a, b in zip(whole, cut, strict=True):
+        assert b == pytest.approx(a, rel=1e-3, abs=1e-2)
+    assert H.stationary(moves) @ moves == pytest.approx(H.stationary(moves))
+
+
 def test_rounds_raise_the_likelihood():
     rng = np.random.default_rng(6)
     sequences = [(rng.integers(0, 10, 40) + 10 * (i % 2)).astype(np.int32) for i in range(40)]
     unigram = np.ones(20) / 20
-    likely = [H.log10_likelihood(sequences, *H.first_guess(sequences, unigram, 4, n)).sum() for n in (0, 2, 10)]
-    assert likely == sorted(likely)
+    follows = np.zeros((20, 20))
+    for s in sequences:
+        np.add.at(follows, (s[:-1], s[1:]), 1)
+    start, moves, emits = H.first_guess(follows, np.bincount([s[0] for s in sequences], minlength=20), 4)
+    model, likely = (start, moves, emits.T), []
+    for _ in range(4):
+        likely.append(H.log10_likelihood(sequences, *model).sum())
+        model = H.maximised(*H._summed(sequences, *model), unigram)
+    assert likely[1:] == sorted(likely[1:])
+    # The guess alone tells the two halves apart: better than any model without states.
+    assert likely[0] > 0.9 * 40 * 40 * math.log10(1 / 20)
 
 
 def test_scores_against_counts(spark, documents, rows):
@@ -66,15 +88,19 @@ def test_scores_against_counts(spark, documents, rows):
 
 
 def test_probabilities_add_up(spark, documents):
-    train = documents.select("doc_id", "text")
-    counts = H.table(H.word_counts(train), "counts")
-    m, n, v, _ = H.trained(train, counts, core=300, known=2000, states=4)
+    counts = H.table(H.corpus_counts(documents.select("text")), "counts")
+    top = H.known_words(counts, 2000)
+    m, unigram, n, v = H.untrained(counts, top, 4, 300)
+    assert counts.where(top).count() <= 2000
     assert m.emits.sum(axis=0) == pytest.approx(np.ones(4)) and m.moves.sum(axis=1) == pytest.approx(np.ones(4))
-    c = np.array([r["n"] for r in counts.collect()])
-    top = np.sort(c)[::-1][:300]
-    rest = (c + 1).sum() - (top + 1).sum()
-    assert rest == m.other_total  # so that others and one unknown have a whole probability
-    assert c.sum() == n and len(c) == v
+    words = counts.where("cls >= 0").collect()
+    c = np.array(sorted((r["n"] for r in words), reverse=True))
+    assert c.sum() == n and len(c) == v and unigram.sum() == pytest.approx(1)
+    assert m.totals.sum() == (c + 1).sum() - (c[:300] + 1).sum()  # so that a class's words and one unknown have its whole probability
+    assert m.log_counts[:300] == pytest.approx(np.log10(c[:300] + 1))
+    follows = sum(r["n"] for r in counts.where(f"cls = {H.FOLLOWS}").collect())
+    firsts = sum(r["n"] for r in counts.where(f"cls = {H.FIRSTS}").collect())
+    assert firsts == documents.count() and follows == n - firsts
 
 
 def test_odd_rows(odd, none):

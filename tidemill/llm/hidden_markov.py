@@ -4,17 +4,20 @@ Tokens: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, then one end for each t
 training tokens are taken over the whole corpus, by the words' XXH64 (with 64 bits, a
 chance meeting of two words among 10**9 has odds of 3 %, and shifts one count).
 
-The model has ``STATES`` latent states. A state emits one of the ``CORE`` most frequent words or
-"other", and an other word w then has the probability (c+1) / (sum of c+1 over other words + 1),
-an unknown one 1 / (the same): each state's probabilities add up to 1 over all known words and one
-unknown. Training is Baum-Welch: each round, expected counts of the start, the transitions
-and the emissions are taken in every partition over all training texts (cut into segments of
-``SEGMENT`` tokens) and summed by word, and only the sums, whose size is set by CORE and STATES,
-reach the driver. Rounds on a sample of about ``SEEDS`` training texts give the first guess and nothing
-else. A text's score is the scaled forward recursion over the whole of it, in doubles.
-
-The ``KNOWN`` most frequent words' counts are sent to the workers, at a size that this bounds;
-the counts of rarer words are joined to the texts' rare words by hash.
+The model has ``STATES`` latent states. A state emits one of the ``CORE`` most frequent words, or one of ``CLASSES``
+classes of the other words (by their last three bytes), and another word w then has the probability (c+1) / (sum of c+1
+over its class + 1), an unknown one 1 / (the same): each state's probabilities add up to 1 over all known words and one
+unknown of each class. So every word of the corpus has a share in the states' emissions, its own count, and no sample is taken.
+
+Training is Baum-Welch. The first guess comes from how often each class of words follows each other one (``GUESS``
+classes) in the whole corpus, to which a small model is fitted on the driver. Then in each round expected counts of the
+starts, the transitions and the emissions are taken in every partition over all training texts and summed by word; only
+sums, whose size is set by CORE, CLASSES and STATES, reach the driver. A text is worked on in parts of ``SEGMENT`` tokens
+with ``CONTEXT`` more on either side: each token and each transition counts once, in the part that it is inside of. A
+text's score is the scaled forward recursion over the whole of it, uncut, in doubles.
+
+Texts are cut into words twice, to count them and to number them; the rounds and the scores work on numbers. At most
+``KNOWN`` words' counts are sent to the workers; the counts of rarer words are joined to the texts' rare words by hash.
 
 Null is the empty text: one token, the end. A missing doc_id counts as the text "" where rows
 are held out. If nothing is left to train on, the score is that of unknown tokens.
@@ -32,17 +35,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import slices, table, texts
 
 STATES, CORE, KNOWN = 16, 32_768, 600_000
-ROUNDS, SEED_ROUNDS, SEEDS, SEGMENT = 2, 12, 1000, 128
+CLASSES, GUESS = 1024, 256
+ROUNDS, GUESS_ROUNDS, SEGMENT, CONTEXT = 2, 200, 256, 16
 #: Weight of the corpus's own word probabilities in a state's.
 PRIOR = 50.0
 #: A worker keeps at most so many words at once.
 MOST_WORDS = 500_000
+#: Tokens that a worker holds at once.
+MOST_TOKENS = 2_000_000
 END = b""  # no word is empty
 
 
@@ -50,20 +56,29 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+def class_of(word: bytes) -> int:
+    return xxhash.xxh32_intdigest(word[-3:]) & (CLASSES - 1)
+
+
 class Model(NamedTuple):
-    key: str  # of this model's words
-    hashes: np.ndarray  # of the KNOWN words, ascending
+    hashes: np.ndarray  # of the known words, ascending
     places: np.ndarray  # their places by descending count
     log_counts: np.ndarray  # log10(c+1), by place
-    core: int  # places below this have emissions of their own; the last row is "other"
+    classes: np.ndarray  # by place
+    core: int  # places below this have emissions of their own; the last CLASSES rows are the classes
+    totals: np.ndarray  # of each class, the sum of c+1 over its words that aren't core
     start: np.ndarray
     moves: np.ndarray
-    emits: np.ndarray  # (core + 1, states)
-    other_total: float
+    emits: np.ndarray  # (core + CLASSES, states)
+
+    def symbols(self, codes: np.ndarray) -> np.ndarray:
+        """Rows of ``emits`` from numbers of words."""
+        kind = np.where(codes < 0, -1 - codes, self.classes[np.maximum(codes, 0)] if len(self.classes) else 0)
+        return np.where((codes >= 0) & (codes < self.core), codes, self.core + kind).astype(np.int32)
 
 
 class Index:
-    """The places of words, with those met lately kept."""
+    """The numbers of words: places of known words, -1 - class of others; those met lately are kept."""
 
     def __init__(self, hashes: np.ndarray, places: np.ndarray) -> None:
         self.hashes, self.places = hashes, places
@@ -77,27 +92,15 @@ class Index:
                 self.met.clear()
                 new = [*{*words}]
             h = np.array([xxhash.xxh64_intdigest(w) for w in new], np.uint64).view(np.int64)
+            place = np.array([-1 - class_of(w) for w in new])
             if len(self.hashes):
                 at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                place = np.where(self.hashes[at] == h, self.places[at], -1)
-            else:
-                place = np.full(len(h), -1)
+                place = np.where(self.hashes[at] == h, self.places[at], place)
             self.met.update(zip(new, place.tolist(), strict=True))
             found = list(map(self.met.get, words))
         return np.array(found, np.int32)
 
 
-_indexes: dict[str, Index] = {}
-
-
-def index_of(key: str, hashes: np.ndarray, places: np.ndarray) -> Index:
-    """The worker's own index of a model's words, kept from task to task."""
-    if key not in _indexes:
-        _indexes.clear()
-        _indexes[key] = Index(hashes, places)
-    return _indexes[key]
-
-
 def by_length(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order from long to short, the symbols by (step, sequence), and how many go on at each step."""
     sizes = np.array([len(s) for s in sequences])
@@ -109,16 +112,23 @@ def by_length(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.n
     return order, steps, np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
 
 
-def expected(sequences: list[np.ndarray], first: np.ndarray, start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Baum-Welch's E-step over segments: counts of starts (of those that are ``first``), moves, emissions; and ln p."""
+def expected(sequences: list[np.ndarray], first: np.ndarray, inside: np.ndarray, start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Baum-Welch's E-step over parts of texts: counts of starts (of parts that are ``first``), moves and emissions.
+
+    inside: (parts, 2), the places from and up to which a part's tokens count; the rest is there for what it says about them.
+    """
     states = len(start)
     order, steps, active = by_length(sequences)
     size, many = steps.shape
+    whole = stationary(moves).astype(np.float32)
     start, moves, emits = (x.astype(np.float32) for x in (start, moves, emits))
+    before = np.where(first[order][:, None], start, whole)
+    t = np.arange(size)[:, None]
+    counts = (t >= inside[order, 0]) & (t < inside[order, 1])
     alpha, scale = np.zeros((size, many, states), np.float32), np.ones((size, many, 1), np.float32)
     for t in range(size):
         n = active[t]
-        now = (start if t == 0 else alpha[t - 1, :n] @ moves) * emits[steps[t, :n]]
+        now = (before if t == 0 else alpha[t - 1, :n] @ moves) * emits[steps[t, :n]]
         scale[t, :n] = now.sum(axis=1, keepdims=True)
         alpha[t, :n] = now / scale[t, :n]
     beta = np.ones((many, states), np.float32)
@@ -127,15 +137,22 @@ def expected(sequences: list[np.ndarray], first: np.ndarray, start: np.ndarray,
         n = active[t]
         if t:
             after = beta[:n] * emits[steps[t, :n]] / scale[t, :n]
-            pairs += alpha[t - 1, :n].T @ after
+            pairs += (alpha[t - 1, :n] * counts[t, :n, None]).T @ after
         alpha[t, :n] *= beta[:n]
         if t:
             beta[:n] = after @ moves.T
     starts = alpha[0, first[order]].sum(axis=0, dtype=np.float64)
-    live = np.arange(many)[None] < active[:, None]
-    symbols, gamma = steps[live], alpha[live]
+    symbols, gamma = steps[counts], alpha[counts]
     out = np.stack([np.bincount(symbols, gamma[:, k], len(emits)) for k in range(states)], axis=1)
-    return starts, pairs * moves, out, float(np.log(scale[live[..., None]], dtype=np.float64).sum())
+    return starts, pairs * moves, out
+
+
+def stationary(moves: np.ndarray) -> np.ndarray:
+    """The states' long-run shares."""
+    power = moves
+    for _ in range(12):
+        power = power @ power
+    return power[0] / power[0].sum()
 
 
 def maximised(starts: np.ndarray, pairs: np.ndarray, emitted: np.ndarray, unigram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,32 +163,50 @@ def maximised(starts: np.ndarray, pairs: np.ndarray, emitted: np.ndarray, unigra
     return start, moves, emits / emits.sum(axis=0)
 
 
-def first_guess(sequences: list[np.ndarray], unigram: np.ndarray, states: int, rounds: int = SEED_ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rounds over a sample, from a guess that leans each text to a state of its own and stays there."""
+def first_guess(follows: np.ndarray, firsts: np.ndarray, states: int, rounds: int = GUESS_ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, moves and (states, classes) emissions, fitted to how often one class follows another, and comes first.
+
+    The states of two neighbours are the latent part; expectation and maximisation in turn, from a guess that stays in a state.
+    """
     rng = np.random.default_rng(7)
-    emitted = np.zeros((len(unigram), states))
+    follows = follows + 1e-6
+    shares = follows.sum(axis=1) / follows.sum()
+    emits = shares * rng.gamma(4.0, 0.25, (states, len(shares)))
+    emits /= emits.sum(axis=1, keepdims=True)
+    joint = (np.eye(states) * 20 + 1) / (states * (states + 20))
+    for _ in range(rounds):
+        ratio = follows / np.maximum(emits.T @ joint @ emits, 1e-300)
+        left, right = emits * (joint @ emits @ ratio.T), emits * (joint.T @ emits @ ratio)
+        joint = joint * (emits @ ratio @ emits.T) + 1e-3
+        emits = left + right + 1e-3 * shares
+        joint, emits = joint / joint.sum(), emits / emits.sum(axis=1, keepdims=True)
+    moves = joint / joint.sum(axis=1, keepdims=True)
+    own = emits * joint.sum(axis=1, keepdims=True)
+    start = (own / own.sum(axis=0)) @ (firsts + 1e-6)
+    return start / start.sum(), moves, emits
+
+
+def segments(sequences: list[np.ndarray], size: int = SEGMENT, context: int = CONTEXT) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Parts of texts with context, which are a text's first, and which of their places count."""
+    cut, first, inside = [], [], []
     for s in sequences:
-        np.add.at(emitted, (s, int(rng.integers(states))), 1.0)
-    start, moves, emits = maximised(np.ones(states), np.eye(states) * 20 + 1, emitted, unigram)
-    cut, first = segments(sequences)
-    for _ in range(rounds if sequences else 0):
-        start, moves, emits = maximised(*_summed(cut, first, start, moves, emits)[:3], unigram)
-    return start, moves, emits
-
+        for i in range(0, len(s), size):
+            a = max(0, i - context)
+            cut.append(s[a : i + size + context])
+            first.append(i == 0)
+            inside.append((i - a, min(i + size, len(s)) - a))
+    return cut, np.array(first, bool), np.array(inside, np.int64).reshape(-1, 2)
 
-def segments(sequences: list[np.ndarray], size: int = SEGMENT) -> tuple[list[np.ndarray], np.ndarray]:
-    cut = [s[i : i + size] for s in sequences for i in range(0, len(s), size)]
-    return cut, np.array([i == 0 for s in sequences for i in range(0, len(s), size)], bool)
 
-
-def _summed(cut: list[np.ndarray], first: np.ndarray, start: np.ndarray, moves: np.ndarray, emits: np.ndarray, at_once: int = 1024) -> tuple:
-    total = [np.zeros_like(start), np.zeros_like(moves), np.zeros_like(emits), 0.0]
+def _summed(sequences: list[np.ndarray], start: np.ndarray, moves: np.ndarray, emits: np.ndarray, at_once: int = 1024) -> list:
+    cut, first, inside = segments(sequences)
+    total = [np.zeros(emits.shape[1]), np.zeros_like(moves, dtype=np.float64), np.zeros(emits.shape)]
     order = np.argsort([-len(x) for x in cut], kind="stable")
     for i in range(0, len(cut), at_once):
         some = order[i : i + at_once]
-        for j, x in enumerate(expected([cut[k] for k in some], first[some], start, moves, emits)):
+        for j, x in enumerate(expected([cut[k] for k in some], first[some], inside[some], start, moves, emits)):
             total[j] = total[j] + x
-    return tuple(total)
+    return total
 
 
 def log10_likelihood(sequences: list[np.ndarray], start: np.ndarray, moves: np.ndarray, emits: np.ndarray) -> np.ndarray:
@@ -193,148 +228,224 @@ def log10_likelihood(sequences: list[np.ndarray], start: np.ndarray, moves: np.n
     return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, n): the counts of all tokens of ``docs`` (text) by hash."""
+#: Rows of corpus_counts() that aren't words: cells of how classes follow each other, and classes of first tokens.
+FOLLOWS, FIRSTS = -1, -2
+
+
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """(h, cls, n): the counts of all tokens of ``docs`` (text) by hash and class, and with them those of FOLLOWS and FIRSTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        classes: dict[bytes, int] = {}
+        follows, firsts = np.zeros(GUESS * GUESS, np.int64), np.zeros(GUESS, np.int64)
+
+        def rows(h: np.ndarray, cls: np.ndarray | list[int], n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls, pa.int32()), pa.array(n)], ["h", "cls", "n"])
 
         def out() -> pa.RecordBatch:
             h = np.array([xxhash.xxh64_intdigest(w) for w in counts], np.uint64).view(np.int64)
-            made = pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.fromiter(counts.values(), np.int64, len(counts)))], ["h", "n"])
+            made = rows(h, [classes[w] for w in counts], np.fromiter(counts.values(), np.int64, len(counts)))
             counts.clear()
+            classes.clear()
             return made
 
         for batch in slices(batches):
-            for text in texts(batch):
-                counts.update(text.lower().split())
-            counts[END] += batch.num_rows
+            flat = [w for x in texts(batch) for w in tokens(x)]
+            found = list(map(classes.get, flat))
+            if None in found:
+                classes.update((w, class_of(w)) for w in {w for w, c in zip(flat, found, strict=True) if c is None})
+                found = list(map(classes.get, flat))
+            counts.update(flat)
+            kind = np.array(found) & (GUESS - 1)
+            ends = np.array([w is END for w in flat])
+            firsts += np.bincount(kind[np.concatenate(([True], ends[:-1]))], minlength=GUESS)
+            follows += np.bincount((kind[:-1] * GUESS + kind[1:])[~ends[:-1]], minlength=GUESS * GUESS)
             if len(counts) > MOST_WORDS:
                 yield out()
         if counts:
             yield out()
+        for which, sums in ((FOLLOWS, follows), (FIRSTS, firsts)):
+            at = np.flatnonzero(sums)
+            yield rows(at.astype(np.int64), np.full(len(at), which), sums[at])
+
+    return docs.select("text").mapInArrow(run, "h long, cls int, n long").groupBy("h", "cls").agg(F.sum("n").alias("n"))
+
+
+def _octave(n: Column) -> Column:
+    """Counts by eighths of an octave: few enough for a histogram of any corpus."""
+    return F.floor(F.log2(n) * 8).cast("int")
+
+
+def known_words(counts: DataFrame, known: int) -> Column:
+    """Which words' counts go to the workers: the most frequent ones by eighths of an octave, at most ``known``."""
+    cut, have = 1 << 20, 0
+    for octave, words in sorted(((r["o"], r["count"]) for r in counts.where("cls >= 0").groupBy(_octave(F.col("n")).alias("o")).count().collect()), reverse=True):
+        if have + words > known:
+            break
+        cut, have = octave, have + words
+    return (F.col("cls") >= 0) & (_octave(F.col("n")) >= cut)
+
+
+def untrained(counts: DataFrame, top: Column, states: int, core: int) -> tuple[Model, np.ndarray, int, int]:
+    """The model of the first guess; the corpus's share of each symbol; all training tokens, and distinct ones."""
+    by_class = counts.where("cls >= 0").groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("words")).toArrow()
+    at, sums, words = (by_class[c].to_numpy() for c in ("cls", "n", "words"))
+    totals = np.zeros(CLASSES)
+    totals[at] = sums + words
+    cells = counts.where("cls < 0").toArrow()
+    follows, firsts = np.zeros(GUESS * GUESS), np.zeros(GUESS)
+    for which, into in ((FOLLOWS, follows), (FIRSTS, firsts)):
+        own = cells["cls"].to_numpy() == which
+        into[cells["h"].to_numpy()[own]] = cells["n"].to_numpy()[own]
+    some = counts.where(top).toArrow()
+    h, c, kind = (some[x].to_numpy() for x in ("h", "n", "cls"))
+    by_count = np.lexsort((h, -c))
+    h, c, kind = h[by_count], c[by_count], kind[by_count].astype(np.int32)
+    core = min(core, len(c))
+    totals -= np.bincount(kind[:core], c[:core] + 1.0, CLASSES)
+    unigram = np.concatenate([c[:core] + 1.0, totals + 1.0])
+    unigram /= unigram.sum()
+    by_hash = np.argsort(h, kind="stable")
+    start, moves, guessed = first_guess(follows.reshape(GUESS, GUESS), firsts, states)
+    groups = np.concatenate([kind[:core], np.arange(CLASSES)]) & (GUESS - 1)
+    lean = guessed[:, groups] / np.bincount(groups, unigram, GUESS)[groups]
+    start, moves, emits = maximised(start * 10, moves * 1000, (unigram * lean).T * max(1, int(sums.sum())), unigram)
+    return Model(h[by_hash], by_hash.astype(np.int32), np.log10(c + 1.0), kind, core, totals, start, moves, emits), unigram, int(sums.sum()), int(words.sum())
+
+
+def numbered(docs: DataFrame, model: Broadcast, key: str) -> DataFrame:
+    """(uid, doc_id, held_out, codes, rare): each text's words by number, and how often it has each word that isn't known."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = index_of(key, model.value)
+        uid = TaskContext.get().partitionId() << 36
+        kind = pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int32())]))
+        for batch in slices(batches):
+            words = [tokens(x) for x in texts(batch)]
+            flat = [w for x in words for w in x]
+            codes = index(flat)
+            ends = np.cumsum([0, *map(len, words)])
+            rare = []
+            for a, b in zip(ends, ends[1:], strict=False):
+                counted = Counter(flat[a + i] for i in np.flatnonzero(codes[a:b] < 0).tolist())
+                rare.append([{"h": _signed(w), "m": k} for w, k in counted.items()])
+            columns = [pa.array(np.arange(uid, uid + len(words))), batch["doc_id"], batch["held_out"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), pa.array(rare, kind)]
+            uid += len(words)
+            yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "codes", "rare"])
+
+    return docs.mapInArrow(run, "uid long, doc_id long, held_out boolean, codes array<int>, rare array<struct<h: long, m: int>>")
+
+
+_indexes: dict[str, Index] = {}
+
+
+def index_of(key: str, model: Model) -> Index:
+    """The worker's own index of a model's words, kept from task to task."""
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = Index(model.hashes, model.places)
+    return _indexes[key]
+
 
-    return docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+def gathered(batches: Iterator[pa.RecordBatch], most: int = MOST_TOKENS) -> Iterator[pa.RecordBatch]:
+    """Batches of rows with about ``most`` codes, or one row: enough texts at once for each step of a recursion."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = batch["codes"].value_lengths().to_numpy(zero_copy_only=False)
+        start = 0
+        for i, n in enumerate(sizes.tolist()):
+            if size + n > most and (held or i > start):
+                part = [*held, batch.slice(start, i - start)]
+                yield pa.Table.from_batches(part).combine_chunks().to_batches()[0]
+                held, size, start = [], 0, i
+            size += n
+        if batch.num_rows > start:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All codes of a batch, and where each row's begin and the last end."""
+    flat = batch["codes"].flatten().to_numpy()
+    return flat, np.concatenate(([0], np.cumsum(batch["codes"].value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
 
 
 def _round(train: DataFrame, model: Broadcast) -> tuple:
-    """One round's expected counts over all of ``train``."""
+    """One round's expected counts over all of ``train`` (codes)."""
     states = len(model.value.start)
     names = [f"k{i}" for i in range(states)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        index = index_of(m.key, m.hashes, m.places)
         total = None
-        for batch in slices(batches):
-            found = [index(tokens(x)) for x in texts(batch)]
-            sequences = [np.where((x < 0) | (x >= m.core), m.core, x) for x in found]
-            got = _summed(*segments(sequences), m.start, m.moves, m.emits)
-            total = got if total is None else tuple(a + b for a, b in zip(total, got, strict=True))
+        for batch in gathered(batches):
+            flat, ends = _codes(batch)
+            got = _summed(np.split(m.symbols(flat), ends[1:-1]), m.start, m.moves, m.emits)
+            total = got if total is None else [a + b for a, b in zip(total, got, strict=True)]
         if total is not None:
-            starts, pairs, emitted, likely = total
+            starts, pairs, emitted = total
             some = np.flatnonzero(emitted.sum(axis=1))
-            rows = np.vstack([emitted[some], pairs, starts[None], np.full((1, states), likely / states)])
-            keys = np.concatenate([some, -1 - np.arange(states + 2)])
+            rows = np.vstack([emitted[some], pairs, starts[None]])
+            keys = np.concatenate([some, -1 - np.arange(states + 1)])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(pa.array(c, pa.float32()) for c in rows.T)], ["w", *names])
 
-    rows = train.select("text").mapInArrow(run, "w long, " + ", ".join(f"{k} float" for k in names))
+    rows = train.select("codes").mapInArrow(run, "w long, " + ", ".join(f"{k} float" for k in names))
     sums = rows.groupBy("w").agg(*[F.sum(k).alias(k) for k in names]).toArrow()
     keys, values = sums["w"].to_numpy(), np.stack([sums[k].to_numpy() for k in names], axis=1)
-    emitted, pairs = np.zeros((model.value.core + 1, states)), np.zeros((states, states))
+    emitted = np.zeros(model.value.emits.shape)
     emitted[keys[keys >= 0]] = values[keys >= 0]
-    extra = {int(-1 - k): v for k, v in zip(keys, values, strict=True) if k < 0}
-    for i in range(states):
-        pairs[i] = extra.get(i, 0)
-    return extra.get(states, np.zeros(states)), pairs, emitted, float(np.sum(extra.get(states + 1, 0.0)))
-
-
-def trained(train: DataFrame, counts: DataFrame, states: int = STATES, core: int = CORE, known: int = KNOWN, rounds: int = ROUNDS) -> tuple[Model, int, int, int]:
-    """The model; and all training tokens, distinct ones, and the least count that KNOWN words have."""
-    spark = train.sparkSession
-    n_all, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    # The least count of which, with all above, at most KNOWN words have it.
-    spread = sorted(((r["n"], r["count"]) for r in counts.where(F.col("n") < 100_000).groupBy("n").count().collect()), reverse=True)
-    have = counts.where(F.col("n") >= 100_000).count()
-    least = 100_000
-    for n, words in spread:
-        if have + words > known:
-            break
-        have, least = have + words, n
-    top = counts.where(F.col("n") >= least).select("h", "n").toArrow()
-    h, c = top["h"].to_numpy(), top["n"].to_numpy()
-    by_count = np.lexsort((h, -c))
-    h, c = h[by_count], c[by_count]
-    core = min(core, len(c))
-    by_hash = np.argsort(h, kind="stable")
-    other_total = float((n_all - c[:core].sum()) + (distinct - core))
-    unigram = np.concatenate([c[:core] + 1.0, [other_total + 1.0]])
-    unigram /= unigram.sum()
-    hashes, places = h[by_hash], by_hash.astype(np.int32)
-    model = Model(uuid.uuid4().hex, hashes, places, np.log10(c + 1.0), core, *(None,) * 3, other_total)
-    n_docs = max(1, int(c[places[np.searchsorted(hashes, _signed(END))]]) if len(c) and n_all else 1)
-    one_in = max(1, n_docs // SEEDS)
-    seeds = [r[0] or "" for r in train.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(3)), F.lit(one_in)) == 0).select("text").limit(2 * SEEDS).collect()]
-    index = Index(hashes, places)
-    found = [index(tokens(x.encode())) for x in seeds]
-    start, moves, emits = first_guess([np.where((x < 0) | (x >= core), core, x) for x in found], unigram, states)
-    for _ in range(rounds if n_all else 0):
-        sent = spark.sparkContext.broadcast(model._replace(start=start, moves=moves, emits=emits))
-        start, moves, emits = maximised(*_round(train, sent)[:3], unigram)
+    rest = np.zeros((states + 1, states))
+    rest[-1 - keys[keys < 0]] = values[keys < 0]
+    return rest[states], rest[:states], emitted
+
+
+def trained(train: DataFrame, model: Model, unigram: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """The model after ``rounds`` of Baum-Welch over all rows of ``train`` (codes)."""
+    for _ in range(rounds):
+        sent = train.sparkSession.sparkContext.broadcast(model)
+        start, moves, emits = maximised(*_round(train, sent), unigram)
+        model = model._replace(start=start, moves=moves, emits=emits)
         sent.unpersist()
-    return model._replace(start=start, moves=moves, emits=emits), int(n_all), int(distinct), int(least)
+    return model
 
 
 def _signed(word: bytes) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(word)).view(np.int64))
 
 
-def scores(docs: DataFrame, fold: int = 7, held: int = 2, **sizes: int) -> DataFrame:
+def scores(docs: DataFrame, fold: int = 7, held: int = 2, states: int = STATES, core: int = CORE, known: int = KNOWN, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``."""
     spark = docs.sparkSession
     crc = F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), (crc % fold == held).alias("held_out"))
-    train = rows.where("NOT held_out")
-    counts = table(word_counts(train), "counts")
-    model, n_all, distinct, least = trained(train, counts, **sizes)
+    counts = table(corpus_counts(rows.where("NOT held_out")), "counts")
+    top = known_words(counts, known)
+    model, unigram, n_all, distinct = untrained(counts, top, states, core)
+    words = spark.sparkContext.broadcast(model._replace(emits=None))
+    texts_ = table(numbered(rows, words, uuid.uuid4().hex), "codes")
+    model = trained(texts_.where("NOT held_out"), model, unigram, rounds if n_all else 0)
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        index = index_of(m.key, m.hashes, m.places)
-        uid = TaskContext.get().partitionId() << 36
-        kind = pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int32())]))
-        for batch in slices(batches, most=12 << 20):
-            words = [tokens(x) for x in texts(batch)]
-            found = [index(x) for x in words]
-            sequences = [np.where((x < 0) | (x >= m.core), m.core, x) for x in found]
-            forward = log10_likelihood(sequences, m.start, m.moves, m.emits)
-            logs = [m.log_counts[x[x >= 0]] for x in found]
-            others = [m.log_counts[x[x >= m.core]] for x in found]
-            rare = []
-            for x, places in zip(words, found, strict=True):
-                counted = Counter(x[i] for i in np.flatnonzero(places < 0).tolist())
-                rare.append([{"h": _signed(w), "m": k} for w, k in counted.items()])
-            columns = {
-                "uid": pa.array(np.arange(uid, uid + len(words))),
-                "doc_id": batch["doc_id"],
-                "held_out": batch["held_out"],
-                "n_tokens": pa.array([len(x) for x in words], pa.int64()),
-                "n_known": pa.array([len(x) for x in logs], pa.int64()),
-                "n_other": pa.array([int((x == m.core).sum()) for x in sequences], pa.int64()),
-                "logs": pa.array([float(x.sum()) for x in logs]),
-                "other_logs": pa.array([float(x.sum()) for x in others]),
-                "forward": pa.array(forward),
-                "rare": pa.array(rare, kind),
-            }
-            uid += len(words)
-            yield pa.RecordBatch.from_pydict(columns)
-
-    schema = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, n_other long, logs double, other_logs double, forward double, rare array<struct<h: long, m: int>>"
-    part = table(rows.mapInArrow(run, schema), "forward")
-    rare = part.select("uid", F.inline("rare")).join(counts.where(F.col("n") < least), "h")
+        log_counts, log_totals = np.append(m.log_counts, 0.0), np.log10(m.totals + 1)
+        for batch in gathered(batches):
+            flat, ends = _codes(batch)
+            symbols = m.symbols(flat)
+            logs = log_counts[np.where(flat < 0, -1, flat)]
+            # Within its class, another word has its own count's share.
+            others = np.where(symbols < m.core, 0.0, logs - log_totals[np.maximum(symbols - m.core, 0)])
+            forward = log10_likelihood(np.split(symbols, ends[1:-1]), m.start, m.moves, m.emits)
+            of = lambda x: np.add.reduceat(x, ends[:-1])
+            columns = [batch["uid"], batch["doc_id"], batch["held_out"], pa.array(np.diff(ends)), pa.array(of((flat >= 0).astype(np.int64))), pa.array(of(logs)), pa.array(forward + of(others))]
+            yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "path"])
+
+    part = texts_.select("uid", "doc_id", "held_out", "codes").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, path double")
+    rare = texts_.select("uid", F.inline("rare")).join(counts.where(F.col("cls") >= 0).where(~top), "h")
     sums = rare.groupBy("uid").agg(F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("rare_logs"), F.sum(F.col("m").cast("long")).alias("rare_known"))
-    all_ = part.drop("rare").join(table(sums, "rare"), "uid", "left").fillna(0, ["rare_logs", "rare_known"])
+    all_ = part.join(table(sums, "rare"), "uid", "left").fillna(0, ["rare_logs", "rare_known"])
     return all_.select(
         "doc_id",
         "held_out",
@@ -342,7 +453,7 @@ def scores(docs: DataFrame, fold: int = 7, held: int = 2, **sizes: int) -> DataF
         (F.col("n_known") + F.col("rare_known")).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("logs") + F.col("rare_logs") - F.col("n_tokens") * math.log10(n_all + distinct + 1)).alias("base_score"),
-        (F.col("forward") + F.col("other_logs") + F.col("rare_logs") - F.col("n_other") * math.log10(model.other_total + 1)).alias("score"),
+        (F.col("path") + F.col("rare_logs")).alias("score"),
     )
 
 
