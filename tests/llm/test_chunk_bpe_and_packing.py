@@ -1,7 +1,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -92,11 +92,27 @@ def test_packing_whole_table(documents, rows, library):
         assert total == sum(map(len, ids.values()))
 
 
-@given(st.integers(0, 10**6))
-def test_pieces(n):
-    parts = H.pieces(n)
-    assert [s for s, _ in parts] == [sum(x for _, x in parts[:i]) for i in range(len(parts))] and sum(x for _, x in parts) == n
-    assert all(x & x - 1 == 0 for _, x in parts) and len(parts) <= n // 2048 + 11
+@given(st.lists(st.integers(1, 5000), max_size=300))
+def test_bins_hold_a_fixed_count_of_their_class(lengths):
+    bins = H.Bins(0)
+    full = [r for i, n in enumerate(lengths) for r in bins.put(i, bytes(4 * n))]
+    assert all(len(v) < k and all(H.CAPACITY // p.length == k for p in v) for k, v in bins.open.items())
+    out = full + [*bins.close()]
+    assert sum(r[2] for r in out) == sum(lengths)
+    closed = defaultdict(list)
+    for r in full:
+        closed[r[5]].append(r)
+    for rows_ in closed.values():
+        assert sum(r[2] for r in rows_) == H.CAPACITY
+        # The pieces that end their document in whole come first; all but fillers' are of one class, as many as it holds.
+        whole = [r[2] for r in rows_ if r[1] == r[4] // H.CAPACITY * H.CAPACITY and r[1] + r[2] == r[4]]
+        kinds = Counter(H.CAPACITY // n for n in whole if n)
+        assert rows_[0][2] == H.CAPACITY or any(kinds[k] >= k for k in kinds)
+
+
+def test_most_documents_stay_whole(documents):
+    pieces = Counter(r["doc_id"] for r in H.packed_words(documents.coalesce(1)).where(f"doc_tokens <= {H.CAPACITY}").collect())
+    assert sum(n == 1 for n in pieces.values()) >= 0.8 * len(pieces)
 
 
 def test_odd_rows(odd, none):

@@ -1,22 +1,24 @@
 """Harmonic packing of token sequences.
 
-A document's ids, closed by ``END``, are cut into whole sequences of ``CAPACITY`` and, of the
-rest, pieces whose lengths are the powers of two that make it up, the longest first. The class
-of a piece of length CAPACITY / j holds j pieces a bin, so a bin of any class is filled by a
-fixed count of pieces without padding, and each worker fills its own bins of each class as
-pieces come: there is no shuffle and nothing is agreed between workers. A class's pieces that
-don't fill a bin when the worker's rows end are put in shorter sequences of a power of two of
-them, whose lengths are powers of two and so are not padded either. What is held is at most
-one open bin for each class.
-
-Null texts are empty: one piece with END alone. Sequence ids are those of the worker's
-partition and a running number, the same again if the task is run again.
+A document's ids are closed by ``END``. Of one longer than ``CAPACITY`` whole sequences are cut off first. What is
+left, mostly a whole document, is of class j if its length is in (CAPACITY / (j + 1), CAPACITY / j]; j of them fill a
+bin of that class, whichever they are, so each worker fills its own bins as documents come: there is no shuffle and
+nothing is agreed between workers. What j documents leave free in their bin is less than a CAPACITY / (j + 1), and is
+filled with a piece cut off one more document, the filler; when a filler is used up, the next document that comes is the
+next one. So only fillers, and documents of more than CAPACITY, are cut, and no sequence is padded. When a worker's rows
+end, what is left in its open bins is put one after the other in sequences of CAPACITY, and the last of
+it in sequences of powers of two, which are not padded either.
+
+What a worker holds is bounded: at most j documents' places for each of some 90 classes. Null texts are empty: one piece
+with END alone. Sequence ids are those of the worker's partition and a running number, the same again if the task is
+run again.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,44 +32,84 @@ END = 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pieces(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of ``n`` tokens."""
-    out = [(s, capacity) for s in range(0, n - capacity + 1, capacity)]
-    start, rest = n - n % capacity, n % capacity
-    while rest:
-        size = 1 << rest.bit_length() - 1
-        out.append((start, size))
-        start, rest = start + size, rest - size
-    return out
+class Piece(NamedTuple):
+    doc_id: int | None
+    ids: bytes  # of this piece, four bytes each
+    start: int
+    tokens: int  # of the whole document
+
+    @property
+    def length(self) -> int:
+        return len(self.ids) // 4
+
+    def cut(self, length: int) -> tuple[Piece, Piece]:
+        return self._replace(ids=self.ids[: 4 * length]), self._replace(ids=self.ids[4 * length :], start=self.start + length)
 
 
 class Bins:
-    """One worker's open bins; put() and close() give rows with sequence_id and offset."""
+    """One worker's open bins; put() and close() give rows of SCHEMA for each sequence that is full."""
 
     def __init__(self, first: int, capacity: int = CAPACITY) -> None:
         self.next, self.capacity = first, capacity
-        self.open: dict[int, list[tuple]] = {}
-
-    def _sequence(self, rows: list[tuple], length: int) -> Iterator[tuple]:
-        for i, row in enumerate(rows):
-            yield (*row, self.next, i * length)
+        self.open: dict[int, list[Piece]] = {}
+        self.filler: Piece | None = None
+        self.waiting: list[list[Piece]] = []  # full bins with space that no filler was there for
+
+    def _sequence(self, pieces: list[Piece]) -> Iterator[tuple]:
+        at = 0
+        for p in pieces:
+            yield p.doc_id, p.start, p.length, zlib.crc32(p.ids), p.tokens, self.next, at
+            at += p.length
         self.next += 1
 
-    def put(self, row: tuple, length: int) -> Iterator[tuple]:
-        held = self.open.setdefault(length, [])
-        held.append(row)
-        if len(held) == self.capacity // length:
-            del self.open[length]
-            yield from self._sequence(held, length)
+    def put(self, doc_id: int | None, ids: bytes) -> Iterator[tuple]:
+        rest = Piece(doc_id, ids, 0, len(ids) // 4)
+        while rest.length >= self.capacity:
+            whole, rest = rest.cut(self.capacity)
+            yield from self._sequence([whole])
+        if not rest.length:
+            return
+        if self.filler is None:
+            self.filler = rest
+            waiting, self.waiting = self.waiting, []
+            for held in waiting:
+                yield from self._fill(held)
+            return
+        kind = self.capacity // rest.length
+        held = self.open.setdefault(kind, [])
+        held.append(rest)
+        if len(held) == kind:
+            yield from self._fill(self.open.pop(kind))
+
+    def _fill(self, held: list[Piece]) -> Iterator[tuple]:
+        """Close a bin with what the filler has; if that is not enough, it waits for the next one."""
+        free = self.capacity - sum(p.length for p in held)
+        if free and self.filler is not None:
+            some, left = self.filler.cut(min(free, self.filler.length))
+            self.filler = left if left.length else None
+            held = [*held, some]
+            free -= some.length
+        if free:
+            self.waiting.append(held)
+        else:
+            yield from self._sequence(held)
 
     def close(self) -> Iterator[tuple]:
-        for length, held in self.open.items():
-            at = 0
-            while at < len(held):
-                count = 1 << (len(held) - at).bit_length() - 1
-                yield from self._sequence(held[at : at + count], length)
-                at += count
-        self.open = {}
+        """What is left: one piece after the other in whole sequences, then in sequences of powers of two."""
+        left = [p for held in (*self.waiting, *self.open.values()) for p in held] + ([self.filler] if self.filler else [])
+        self.open, self.waiting, self.filler = {}, [], None
+        todo, at = sum(p.length for p in left), 0
+        while todo:
+            free = size = min(self.capacity, 1 << todo.bit_length() - 1)
+            held = []
+            while free:
+                some, rest = left[at].cut(min(free, left[at].length))
+                held.append(some)
+                left[at] = rest
+                at += not rest.length
+                free -= some.length
+            todo -= size
+            yield from self._sequence(held)
 
 
 def packed(docs: DataFrame, encoder: Callable[[], Callable[[bytes], bytes]], capacity: int = CAPACITY) -> DataFrame:
@@ -82,11 +124,7 @@ def packed(docs: DataFrame, encoder: Callable[[], Callable[[bytes], bytes]], cap
         for batch in slices(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch), strict=True):
-                ids = encode(text) + end
-                n = len(ids) // 4
-                for start, length in pieces(n, capacity):
-                    crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                    rows += bins.put((doc_id, start, length, crc, n), length)
+                rows += bins.put(doc_id, encode(text) + end)
             if rows:
                 yield batched(rows)
         if rows := list(bins.close()):
