@@ -115,6 +115,24 @@ def test_exact_rows_that_stay(odd, none):
     assert D.exact_duplicates(none).count() == D.without_duplicates(none).count() == 0
 
 
+@pytest.mark.parametrize("digest", [D.sha256, lambda c: F.unhex(F.lpad(F.hex(F.length(c) % 5), 2, "0"))])
+def test_later_arrivals_hit_the_state_of_earlier_ones(spark, odd, none, tmp_path, digest):
+    """Each arrival's result is that of a whole run over all rows so far, for its own rows."""
+    from tests.llm.conftest import ODD
+
+    state, sofar = str(tmp_path / "state"), []
+    more = [(9, "x"), (10, "the quick brown fox jumps over the lazy dog"), (11, "new here"), (0, "y"), (None, None)]
+    again = spark.createDataFrame(more, "doc_id long, text string")
+    for docs, rows_ in ((odd, ODD), (none, []), (again, more)):
+        out = D.arrived(docs, state, digest).collect()
+        sofar += rows_
+        want = exact(sofar)
+        got = sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["text_sha256"]) for r in out)
+        assert got == sorted(x for i, t in rows_ for x in [next(w for w in want if w[0] == str(i) and w[3] == hashlib.sha256((t or "").encode()).hexdigest())])
+    last = {r["doc_id"]: r for r in out}
+    assert (last[9]["kept"], last[9]["group_size"], last[10]["group_size"], last[11]["group_size"]) == (True, 2, 4, 1)
+
+
 def test_state_settings_are_put_back(spark, odd):
     before = spark.conf.get(D.PROVIDER, None)
     D.exact_duplicates(odd).count()

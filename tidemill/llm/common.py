@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once.
 SLICE_BYTES = 4 << 20
+#: Edges that a task works on at once, at most, in a step over few edges.
+EDGES = 100_000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder of spark.checkpoint.dir. A temporary one only in local mode, where that is unset; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: executors need a folder that they share")
         found = tempfile.mkdtemp(prefix="tidemill-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -110,13 +114,19 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     spark = edges.sparkSession
     where = scratch(spark, "components")
 
-    def put(df: DataFrame, name: str) -> DataFrame:
+    def whole(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{where}/{name}")
         return spark.read.schema(df.schema).parquet(f"{where}/{name}")
 
-    now = put(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges0")
+    now = whole(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges0")
     if now.isEmpty():
         return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    # Tables of few edges are few files: a round is several small steps.
+    tasks = -(-now.count() // EDGES)
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        return whole(df.coalesce(tasks), name)
+
     for i in range(1, most_rounds + 1):
         # Large star: each larger neighbour of u is linked to the smallest node around u.
         both = now.union(now.select("b", "a"))

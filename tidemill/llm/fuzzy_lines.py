@@ -24,10 +24,12 @@ Repeated rows of one doc_id keep the same lines. Lines are named, and gathered,
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,40 +138,63 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
 
 
+def _lines(text: bytes) -> list[bytes]:
+    return [x for x in text.split(b"\n") if x.strip(b" \t\r")]
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(id, keys): each distinct line's keys of its bands; no line's text is shuffled."""
+    """(id, keys): the keys of each line's bands, once for each part of the input that has the line; no text is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = {xxhash.xxh64_intdigest(x, 42): x for t in texts(batch) for x in t.split(b"\n") if x.strip(b" \t\r")}
+            found = {xxhash.xxh64_intdigest(x, 42): x for t in texts(batch) for x in _lines(t)}
             keys = band_keys([*found.values()])
             ids = np.fromiter(found, np.uint64, len(found)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel()))], ["id", "keys"])
 
-    made = docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "id long, keys array<long>")
-    return made.groupBy("id").agg(F.first("keys").alias("keys"))
+    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "id long, keys array<long>")
 
 
-def candidates(keyed: DataFrame, put: Put) -> DataFrame:
-    """Pairs (id, id2) of lines to verify: each line of a bucket with the bucket's three."""
+def only_lines(docs: DataFrame, bits: Broadcast) -> DataFrame:
+    """(id, text) of the lines whose id may be among those marked; a line may be there more than once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = {xxhash.xxh64_intdigest(x, 42): x for t in texts(batch) for x in _lines(t)}
+            ids = np.fromiter(found, np.uint64, len(found)).view(np.int64)
+            some = np.flatnonzero(set_pairs.has(bits, ids))
+            lines = [*found.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array([lines[i] for i in some], pa.binary()).cast(pa.string())], ["id", "text"])
+
+    return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "id long, text string")
+
+
+def buckets(keyed: DataFrame, put: Put) -> DataFrame:
+    """(key, id, few, n): the lines of each band's key that several have, with three of them; those first by three orders."""
     bands = keyed.select("id", F.explode("keys").alias("key"))
     turns = [0, 0x5BD1E9955BD1E995, -0x61C8864680B583EB]
-    few = bands.groupBy("key").agg(*[F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)], F.count("*").alias("n")).where("n > 1")
-    few = put(few.select(F.col("key").alias("bucket"), F.array_distinct(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(t)) for i, t in enumerate(turns)])).alias("few")), "buckets")
-    met = bands.join(few, F.col("key") == F.col("bucket")).select("id", F.explode("few").alias("id2")).where("id <> id2")
+    firsts = [F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)]
+    few = bands.groupBy("key").agg(*firsts, F.max("id").alias("last"), F.count("*").alias("n")).where("c0 < last")
+    few = put(few.select("key", F.array_distinct(F.array(*[F.col(f"c{i}").bitwiseXOR(F.lit(t)) for i, t in enumerate(turns)])).alias("few"), "n"), "few")
+    return put(bands.join(few, "key"), "buckets")
+
+
+def candidates(met: DataFrame) -> DataFrame:
+    """Pairs (id, id2) of lines to verify: each line of a bucket with the bucket's three."""
+    each = met.select("id", F.explode("few").alias("id2")).where("id <> id2")
     # Both lines may be among the three; then the pair is there once.
-    return met.groupBy(F.least("id", "id2").alias("lo"), F.greatest("id", "id2").alias("hi")).agg(F.first("id").alias("id"), F.first("id2").alias("id2")).select("id", "id2")
+    return each.groupBy(F.least("id", "id2").alias("lo"), F.greatest("id", "id2").alias("hi")).agg(F.first("id").alias("id"), F.first("id2").alias("id2")).select("id", "id2")
 
 
-def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, put: Put) -> DataFrame:
+def rest(met: DataFrame, pick: set_pairs.Pick, roots: DataFrame, similar: float, put: Put) -> DataFrame:
     """Pairs (id, id2) to verify of lines that share a bucket and aren't in one component of ``roots`` (id, component).
 
-    ``keyed`` has (id, keys), ``lines`` (id, text). All such pairs that can reach ``similar`` are there.
+    All such pairs that can reach ``similar`` are there.
     """
-    members = keyed.join(roots, "id", "left").select(F.explode("keys").alias("key"), "id", F.coalesce("component", "id").alias("component"))
-    mixed = put(members.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 2 AND lo < hi").select("key", "n"), "mixed")
+    members = met.select("key", "id", "n").join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = put(members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key"), "mixed")
     met = put(members.join(mixed, "key"), "met")
-    few = met.where(F.col("n") <= LARGE).drop("n")
+    few = met.where(F.col("n") <= LARGE).drop("n").distinct()
     pairs = set_pairs.crossing(few, few, ["key"]).where("id < id2").select("id", "id2")
     large = met.where(F.col("n") > LARGE).drop("n")
     # A pair of two components has a line that isn't of its bucket's most frequent one: its shingles are those that matter.
@@ -178,7 +203,7 @@ def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, p
     many = put(large.join(main, "key").groupBy("id", "component").agg(F.max((F.col("component") != F.col("main")).cast("int")).alias("minor")), "many")
     if many.isEmpty():
         return pairs.distinct()
-    some = put(set_pairs.only(lines, set_pairs.marked(many, "id")).dropDuplicates(["id"]).join(many, "id"), "some")
+    some = put(pick(set_pairs.marked(many, "id")).dropDuplicates(["id"]).join(many, "id"), "some")
     weights = set_pairs.weights_of(some, shingle_set)
     asked = put(set_pairs.prefixes(some.where("minor = 1"), shingle_set, similar, weights).select(F.explode("s").alias("s")).distinct(), "asked")
     firsts = put(set_pairs.prefixes(some, shingle_set, similar, weights, set_pairs.marked(asked, "s")), "prefixes").join(many.drop("minor"), "id")
@@ -188,11 +213,10 @@ def rest(keyed: DataFrame, lines: DataFrame, roots: DataFrame, similar: float, p
 
 def links(docs: DataFrame, similar: float, put: Put) -> DataFrame:
     """(id, component) of the lines that are linked to another."""
-    keyed = put(signatures(docs), "keys")
-    lines = line_rows(docs).select(F.xxhash64("line").alias("id"), F.col("line").alias("text"))
-    once = set_pairs.verified(candidates(keyed, put), lines, shingle_set, similar, put)
+    met, pick = buckets(put(signatures(docs), "keys"), put), partial(only_lines, docs)
+    once = set_pairs.verified(candidates(met), pick, shingle_set, similar, put)
     roots = components(once.select(F.col("id").alias("a"), F.col("id2").alias("b"))).withColumnRenamed("node", "id")
-    more = set_pairs.verified(rest(keyed, lines, roots, similar, put), lines, shingle_set, similar, put)
+    more = set_pairs.verified(rest(met, pick, roots, similar, put), pick, shingle_set, similar, put)
     if more.isEmpty():
         return roots
     edges = roots.union(more.select("id", "id2")).toDF("a", "b")

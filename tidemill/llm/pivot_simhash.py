@@ -129,7 +129,7 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
     rows: (id, text), a text named by its XXH64; named: (id, fp). Each text is first held against one other, that
     which shares most of its prefix among those with the smallest names; then all that is still apart is searched.
     """
-    sets = partial(shingle_set, words=words)
+    sets, pick = partial(shingle_set, words=words), partial(set_pairs.only, rows)
     names = named.distinct()
 
     def as_edges(found: DataFrame) -> DataFrame:
@@ -143,11 +143,11 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
         centers = put(each.groupBy("s").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last").select("s", "center"), "centers")
         shares = each.join(centers, "s").where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))
         best = shares.groupBy("id").agg(F.max(F.struct("n", "center")).alias("best")).select("id", F.col("best.center").alias("id2"))
-        once = table(as_edges(set_pairs.verified(best, rows, sets, similar, put)), "alike")
+        once = table(as_edges(set_pairs.verified(best, pick, sets, similar, put)), "alike")
         roots = components(edges.union(once)).withColumnRenamed("node", "fp")
         of = put(names.join(roots, "fp", "left").select("id", F.coalesce("component", "fp").alias("component")), "components")
         apart = set_pairs.crossed(set_pairs.exploded(firsts.join(of, "id"), "component"), similar, put)
-        return once.union(table(as_edges(set_pairs.verified(apart, rows, sets, similar, put)), "alike"))
+        return once.union(table(as_edges(set_pairs.verified(apart, pick, sets, similar, put)), "alike"))
 
 
 def classes(prints: DataFrame, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

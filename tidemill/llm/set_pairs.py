@@ -25,6 +25,8 @@ MARKS = 1 << 22
 GROUP = 256
 
 Sets = Callable[[bytes], np.ndarray]
+#: Gives the rows (id, text) whose id may be among those marked.
+Pick = Callable[[Broadcast], DataFrame]
 Put = Callable[[DataFrame, str], DataFrame]
 
 
@@ -52,14 +54,14 @@ def only(rows: DataFrame, bits: Broadcast) -> DataFrame:
     return rows.select("id", "text").mapInArrow(run, "id long, text string")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, sets: Sets, similar: float, put: Put) -> DataFrame:
+def verified(pairs: DataFrame, pick: Pick, sets: Sets, similar: float, put: Put) -> DataFrame:
     """The distinct ``pairs`` (id, id2) whose texts have a Jaccard similarity of at least ``similar``.
 
     Each text goes to the text id2 that it is held against; a text with many partners goes to a group for each GROUP
-    of them, so none is gathered in one task, and a group's first set is made once. ``rows`` may repeat an id.
+    of them, so none is gathered in one task, and a group's first set is made once. ``pick`` may repeat an id.
     """
     pairs = put(pairs.distinct(), "pairs")
-    wanted = put(only(rows, marked(pairs.select(F.explode(F.array("id", "id2")).alias("w")), "w")).dropDuplicates(["id"]), "wanted")
+    wanted = put(pick(marked(pairs.select(F.explode(F.array("id", "id2")).alias("w")), "w")).dropDuplicates(["id"]), "wanted")
     sizes = pairs.groupBy(F.col("id2").alias("center")).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("groups"))
     pairs = pairs.join(sizes, F.col("id2") == F.col("center")).withColumn("part", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
     others = wanted.join(pairs, "id").select("center", "part", F.lit(1).alias("turn"), "id", "text")
@@ -154,5 +156,11 @@ def crossed(each: DataFrame, similar: float, put: Put) -> DataFrame:
     mixed = put(each.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s"), "mixed")
     met = put(each.join(mixed, "s"), "met")
     # The first shingle that a pair shares is met too, and no more than what is left from there can be shared.
-    pairs = crossing(met.where("short").drop("short"), met.drop("short"), ["s"]).where(reachable(F.col("size"), F.col("size2"), F.col("left"), F.col("left2"), similar))
+    x, y = met.where("short").drop("short"), met.drop("short")
+    # The other components of a shingle come first, with the most that a line of each could share with one of a size.
+    others = x.groupBy("s", F.col("component").alias("other")).agg(F.max("left").alias("far"), F.min("size").alias("least"))
+    need = similar / (1 + similar) * (F.col("size") + F.col("least")) - 1e-9
+    some = y.join(others, "s").where((F.col("component") != F.col("other")) & (F.col("size") >= F.col("least")) & (F.least("left", "far") >= need))
+    some = some.select("s", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "left")], F.col("other").alias("component"))
+    pairs = some.join(x, ["s", "component"]).where(reachable(F.col("size"), F.col("size2"), F.col("left"), F.col("left2"), similar))
     return pairs.select("id", "id2")
