@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.plans.queries import ORACLE_SQL, QUERIES
+from tidemill.plans.export_queries import ORACLE_SQL, QUERIES
 
 
 @pytest.fixture(scope="module")

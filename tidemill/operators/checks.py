@@ -38,9 +38,8 @@ def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "partici
     counts = [F.sum(c.n.cast("long")).alias(c.rule) for c in checks]
     each = df.groupBy(F.col(who).cast("string").alias("who")).agg(*counts)
     long = each.unpivot("who", [c.rule for c in checks], "rule", "n").where("n > 0")
-    total = long.groupBy("rule").agg(F.sum("n").alias("n_affected"), F.count("who").alias("people"))
-    ranked = long.where("who IS NOT NULL").withColumn("k", F.row_number().over(Window.partitionBy("rule").orderBy("who"))).where(f"k <= {PREVIEW}")
-    names = ranked.groupBy("rule").agg(F.array_join(F.array_sort(F.collect_list("who")), ", ").alias("names"))
+    total = long.groupBy("rule").agg(F.sum("n").alias("n_affected"))
+    names = preview(long.where("who IS NOT NULL"), "rule", "who")
     spans = [df.where(c.n.cast("long") > 0).agg(F.lit(c.rule).alias("rule"), F.count_distinct(c.spans).alias("spans")) for c in checks if c.spans is not None]
     known = df.sparkSession.createDataFrame([(c.rule, c.severity, c.detail, c.always) for c in checks], "rule string, severity string, detail string, always boolean")
     both = F.broadcast(known).join(total, "rule", "left").join(names, "rule", "left").where("always OR n_affected > 0")
@@ -48,8 +47,15 @@ def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "partici
     if spans:
         both = both.join(reduce(DataFrame.unionByName, spans), "rule", "left")
         detail = F.replace(detail, F.lit("{}"), F.coalesce(F.col("spans").cast("string"), F.lit("")))
-    more = F.when(F.col("people") > PREVIEW, F.concat(F.lit(" +"), (F.col("people") - PREVIEW).cast("string"), F.lit(" more"))).otherwise("")
-    return both.select(F.lit(table).alias("table"), "rule", "severity", F.coalesce("n_affected", F.lit(0)).alias("n_affected"), detail.alias("detail"), F.concat(F.coalesce("names", F.lit("")), more).alias("participants"))
+    return both.select(F.lit(table).alias("table"), "rule", "severity", F.coalesce("n_affected", F.lit(0)).alias("n_affected"), detail.alias("detail"), F.coalesce("names", F.lit("")).alias("participants"))
+
+
+def preview(df: DataFrame, by: str, who: str, most: int = PREVIEW) -> DataFrame:
+    """(by, names): of rows with distinct names, each group's first ones in order, and how many more there are. No group is gathered."""
+    ranked = df.withColumn("k", F.row_number().over(Window.partitionBy(by).orderBy(who))).where(F.col("k") <= most)
+    names = ranked.groupBy(by).agg(F.array_join(F.array_sort(F.collect_list(who)), ", ").alias("names"))
+    more = df.groupBy(by).agg((F.count("*") - most).alias("more"))
+    return names.join(more, by).select(by, F.concat("names", F.when(F.col("more") > 0, F.concat(F.lit(" +"), F.col("more").cast("string"), F.lit(" more"))).otherwise("")).alias("names"))
 
 
 def assertion(spark: SparkSession, rule: str, table: str, bad: int, detail: str) -> tuple:

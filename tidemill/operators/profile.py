@@ -1,4 +1,4 @@
-"""Profiles of tables: what an explorer of raw data asks first. All exact, in one pass each."""
+"""Profiles of tables: what an explorer of raw data asks first. All exact."""
 
 from __future__ import annotations
 
@@ -11,31 +11,47 @@ from pyspark.sql import types as T
 from tidemill.functions import exprs as X
 
 
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, v, n): how often each column has each value, as text; what follows works on these, however many values there are."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns])
+    return df.select(F.inline(pairs)).groupBy("column", "v").agg(F.count("*").alias("n"))
+
+
 def profile(df: DataFrame) -> DataFrame:
     """column, non_null, null_pct, n_unique, min, max, mean (of numbers) and mode (of others)."""
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     aggs = [F.count("*").alias("_all")]
     for c in df.columns:
         q = f"`{c}`"
-        aggs += [F.count(q).alias(f"{c}|n"), F.count_distinct(F.col(q)).alias(f"{c}|u"), F.min(q).cast("string").alias(f"{c}|lo"), F.max(q).cast("string").alias(f"{c}|hi")]
-        aggs.append(F.avg(q).alias(f"{c}|x") if c in numeric else F.mode(F.col(q), True).cast("string").alias(f"{c}|x"))
+        aggs += [F.count(q).alias(f"{c}|n"), F.min(q).cast("string").alias(f"{c}|lo"), F.max(q).cast("string").alias(f"{c}|hi")]
+        aggs.append((F.avg(q) if c in numeric else F.lit(None).cast("double")).alias(f"{c}|x"))
     wide = df.agg(*aggs)
     rows = []
     for c in df.columns:
         g = lambda k, c=c: F.col(f"`{c}|{k}`")
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                g("n").alias("non_null"),
-                X.scaled_round(F.try_divide((F.col("_all") - g("n")) * 100.0, F.col("_all")), 2).alias("null_pct"),
-                g("u").alias("n_unique"),
-                g("lo").alias("min"),
-                g("hi").alias("max"),
-                (g("x") if c in numeric else F.lit(None).cast("double")).alias("mean"),
-                (F.lit(None).cast("string") if c in numeric else g("x")).alias("mode"),
-            )
-        )
-    return wide.select(F.inline(F.array(*rows)))
+        rows.append(F.struct(F.lit(c).alias("column"), g("n").alias("non_null"), X.scaled_round(F.try_divide((F.col("_all") - g("n")) * 100.0, F.col("_all")), 2).alias("null_pct"), g("lo").alias("min"), g("hi").alias("max"), g("x").alias("mean"), F.lit(c not in numeric).alias("_named")))
+    counts = _values(df, df.columns).where("v IS NOT NULL").groupBy("column").agg(F.count("*").alias("n_unique"), F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("top"))
+    both = wide.select(F.inline(F.array(*rows))).join(counts, "column", "left")
+    return both.select("column", "non_null", "null_pct", F.coalesce("n_unique", F.lit(0)).alias("n_unique"), "min", "max", "mean", F.when(F.col("_named"), F.col("top.v")).alias("mode"))
+
+
+def ranked(df: DataFrame, columns: list[str], quantiles: tuple[float, ...]) -> DataFrame:
+    """(column, q, value): exact interpolated quantiles. Values are counted, sorted by range and numbered by the parts' totals, so
+    no task holds a column; only the parts' totals, a row for each part and column, come together."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
+    counts = df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("column", "v").agg(F.count("*").alias("n"))
+    parts = counts.repartitionByRange("column", "v").withColumn("part", F.spark_partition_id())
+    inside = Window.partitionBy("column", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = parts.groupBy("column", "part").agg(F.sum("n").alias("size"))
+    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy("column").orderBy("part")) - F.col("size"))
+    totals = before.groupBy("column").agg(F.sum("size").alias("total"))
+    upto = parts.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(before.select("column", "part", "before")), ["column", "part"]).withColumn("upto", F.col("upto") + F.col("before"))
+    wanted = totals.select("column", F.explode(F.array(*map(F.lit, quantiles))).alias("q"), ((F.col("total") - 1) * F.col("q")).alias("at"))
+    # The value at place k is the first that reaches k + 1 rows.
+    spans = wanted.select("column", "q", "at", F.floor("at").alias("lo"), F.ceil("at").alias("hi"))
+    hit = upto.join(F.broadcast(spans), "column").where((F.col("upto") > F.col("lo")) & (F.col("upto") - F.col("n") <= F.col("hi")))
+    ends = hit.groupBy("column", "q").agg(F.first("at").alias("at"), F.first("lo").alias("lo"), F.min("v").alias("a"), F.max("v").alias("b"))
+    return ends.select("column", "q", (F.col("a") + (F.col("at") - F.col("lo")) * (F.col("b") - F.col("a"))).alias("value"))
 
 
 def describe(df: DataFrame, columns: list[str], quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
@@ -43,10 +59,10 @@ def describe(df: DataFrame, columns: list[str], quantiles: tuple[float, ...] = (
     parts = []
     for c in columns:
         x = F.col(c).cast("double")
-        named = [X.scaled_round(F.percentile(x, q), 6).alias(f"q{round(q * 100)}") for q in quantiles]
-        aggs = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), *named, F.max(x).alias("max")]
-        parts.append(F.struct(F.lit(c).alias("column"), *[a.alias(n) for a, n in zip(aggs, ["count", "mean", "std", "min", *[f"q{round(q * 100)}" for q in quantiles], "max"], strict=True)]))
-    return df.agg(F.array(*parts).alias("_rows")).select(F.inline("_rows"))
+        parts.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")))
+    base = df.agg(F.array(*parts).alias("_rows")).select(F.inline("_rows"))
+    wide = ranked(df, columns, quantiles).groupBy("column").agg(*[X.scaled_round(F.max(F.when(F.col("q") == q, F.col("value"))), 6).alias(f"q{round(q * 100)}") for q in quantiles])
+    return base.join(wide, "column", "left").select("column", "count", "mean", "std", "min", *[f"q{round(q * 100)}" for q in quantiles], "max")
 
 
 def value_counts(df: DataFrame, *by: str) -> DataFrame:
@@ -85,7 +101,11 @@ def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def modal(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: each column's most frequent value, the smallest of equals."""
-    return df.agg(*[F.mode(F.col(c), True).alias(c) for c in columns])
+    tops = []
+    for c in columns:
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
+        tops.append(counts.agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(c).alias("v"))).alias("top")).select(F.col("top.v").alias(c)))
+    return reduce(DataFrame.crossJoin, tops)  # of one row each
 
 
 def coverage_matrix(spine: DataFrame, key: str, tables: dict[str, DataFrame]) -> DataFrame:

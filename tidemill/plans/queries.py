@@ -420,23 +420,23 @@ def _effects(lineitem: DataFrame) -> DataFrame:
     return A.effects(A.moments(lineitem, F.col("l_returnflag") == "A", TESTED))
 
 
-@query(
-    "WITH m AS ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS metric, count(*) FILTER (WHERE f) AS n_a, avg({c}) FILTER (WHERE f) AS ma, var_samp({c}) FILTER (WHERE f) AS va, count(*) FILTER (WHERE NOT f) AS n_b, avg({c}) FILTER (WHERE NOT f) AS mb, var_samp({c}) FILTER (WHERE NOT f) AS vb FROM (SELECT *, l_returnflag = 'A' AS f FROM lineitem)"
-        for c in TESTED
-    )
-    + """) SELECT metric, n_a, n_b, round(ma, 4) AS mean_a, round(mb, 4) AS mean_b, round(mb - ma, 3) AS diff,
-round(round((mb - ma) / sqrt(va / n_a + vb / n_b), 6), 2) AS t, round(round((mb - ma) / sqrt(((n_a - 1) * va + (n_b - 1) * vb) / (n_a + n_b - 2)), 6), 3) AS d FROM m"""
-)
+MOMENTS = "WITH m AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS metric, count(*) FILTER (WHERE f) AS n_a, avg({c}) FILTER (WHERE f) AS ma, var_samp({c}) FILTER (WHERE f) AS va, count(*) FILTER (WHERE NOT f) AS n_b, avg({c}) FILTER (WHERE NOT f) AS mb, var_samp({c}) FILTER (WHERE NOT f) AS vb FROM (SELECT *, l_returnflag = 'A' AS f FROM lineitem)"
+    for c in TESTED
+) + ")"
+
+
+@query(MOMENTS + """ SELECT metric, n_a, n_b, round(ma, 4) AS mean_a, round(mb, 4) AS mean_b, round(mb - ma, 3) AS diff,
+round(round((mb - ma) / sqrt(va / n_a + vb / n_b), 6), 2) AS t, round(round((mb - ma) / sqrt(((n_a - 1) * va + (n_b - 1) * vb) / (n_a + n_b - 2)), 6), 3) AS d FROM m""")
 def effect_size_welch(lineitem):
     e = _effects(lineitem)
     return e.select("metric", "n_a", "n_b", *[X.scaled_round(F.col(c), n).alias(c) for c, n in (("mean_a", 4), ("mean_b", 4), ("diff", 3))], X.snapped_round(F.col("t"), 2).alias("t"), X.snapped_round(F.col("d"), 3).alias("d"))
 
 
-@query()
+@query(MOMENTS + """, x AS (SELECT metric, least(abs(mb - ma) / sqrt(va / n_a + vb / n_b) / sqrt(2), 4) AS x FROM m)
+SELECT metric, round(1 - 2 / sqrt(pi()) * (SELECT sum(CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END * power(x, 2 * k + 1) / (gamma(k + 1) * (2 * k + 1))) FROM generate_series(0, 90) AS g(k)), 4) AS p_approx FROM x""")
 def effect_size_p(lineitem):
-    """The p of effect_size_welch; neither engine has erfc, and there is a row for each of TESTED."""
+    """The p of effect_size_welch, by the complementary error function; a row for each of TESTED. The SQL takes its series."""
     import math
 
     rows = [(r["metric"], round(math.erfc(abs(r["t"]) / math.sqrt(2)), 4)) for r in _effects(lineitem).collect()]
@@ -579,7 +579,7 @@ SELECT event_type, string_agg(u, ', ' ORDER BY u) FILTER (WHERE k <= 12) || CASE
 """)
 def pid_preview(events):
     some = events.where("value > 150").select("event_type", F.col("user_id").cast("string").alias("u")).distinct()
-    return some.groupBy("event_type").agg(X.preview(F.collect_set("u")).alias("participants"))
+    return K.preview(some, "event_type", "u").withColumnRenamed("names", "participants")
 
 
 @query("SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey HAVING count(*) > 1)")
@@ -651,7 +651,12 @@ def _scratch(spark: SparkSession) -> str:
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemill-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: executors need a folder that they share")
+        base = tempfile.mkdtemp(prefix="tidemill-")
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tidemill/{uuid.uuid4().hex}"
 
 
@@ -685,16 +690,21 @@ def batch_daily_after_dedupe(events):
     return df.groupBy("user_id", F.to_date("ts").alias("date")).agg(_n(F.sum(X.even_round(F.col("value"))), "steps_total"), F.count_if(F.col("value") > 0).alias("active_minutes"))
 
 
-@query()
+@query("""
+WITH m AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM m)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOUR AS "end", count(*) AS n FROM s GROUP BY user_id, k
+""")
 def streaming_sessions(events):
     """Bursts of a user's events without a gap of 6 hours, from a stream over the table of events."""
     from tidemill.streaming.events import sessions
 
     spark, base = events.sparkSession, _scratch(events.sparkSession)
-    events.select("user_id", F.col("ts").cast("timestamp").alias("at")).repartition(1).sortWithinPartitions("at").write.parquet(f"{base}/in")
+    events.select("user_id", F.col("ts").cast("timestamp").alias("at")).write.parquet(f"{base}/in")
     stream = spark.readStream.schema("user_id long, at timestamp").parquet(f"{base}/in")
     found = sessions(stream, "user_id", "at", "6 hours")
     # Complete, not append: the table ends, and so do sessions that the watermark hasn't passed.
     written = found.writeStream.outputMode("complete").foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(f"{base}/out"))
     written.option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{base}/out")
+    out = spark.read.schema("user_id long, start timestamp, end timestamp, n long").parquet(f"{base}/out")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
