@@ -72,7 +72,10 @@ ruled AS (
 """
 
 
-@query("SELECT field, sum(n)::BIGINT AS n FROM (SELECT unnest(['participant_id', 'steps', 'timestamp']) AS field, count(*) AS n FROM events GROUP BY ALL UNION ALL SELECT '_unit', count(*) FROM events WHERE event_id % 5 = 0 AND event_id % 11 <> 0) GROUP BY field HAVING sum(n) > 0")
+@query("""
+SELECT 'participant_id' AS field, count(*) AS n FROM events UNION ALL SELECT 'steps', count(*) FILTER (WHERE value IS NOT NULL OR event_id % 11 = 0) FROM events
+UNION ALL SELECT 'timestamp', count(*) FILTER (WHERE ts IS NOT NULL) FROM events UNION ALL SELECT '_unit', count(*) FROM events WHERE event_id % 5 = 0 AND event_id % 11 <> 0
+""")
 def export_landed_fields(events):
     """How many landed records have each field, of all that any record has."""
     wide = _columns(_events(events, "steps", "_unit"))
@@ -276,12 +279,12 @@ def export_devices(customer, supplier):
 
 @query(f"""
 WITH {DEVICES_SQL}
-SELECT r.participant_id, r.chronotype, d.device_model, d.firmware_version FROM roster r LEFT JOIN devices d USING (participant_id)
+SELECT r.participant_id, r.chronotype AS chronotype_declared, d.device_model, d.firmware_version FROM roster r LEFT JOIN devices d USING (participant_id, device_id)
 """)
 def export_participant_devices(customer, supplier):
     """The roster with its devices: nobody goes who has none."""
     people = _roster(customer)
-    return model.participant_devices(people, _devices(supplier, people)).select("participant_id", "chronotype", "device_model", "firmware_version")
+    return model.participant_devices(people, _devices(supplier, people)).select("participant_id", "chronotype_declared", "device_model", "firmware_version")
 
 
 def _survey(orders: DataFrame, customer: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
