@@ -74,6 +74,23 @@ def test_query_on_held_out(spark, data):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) and 0 <= r["score"] <= 1 for r in out)
     held = [(r["predicted"], labels[r["doc_id"]]) for r in out if r["held_out"] and r["doc_id"] in labels]
     assert sum(p == y for p, y in held) / len(held) >= 0.95
+    toxic, clean = ([r["score"] for r in out if r["held_out"] and labels.get(r["doc_id"]) == y] for y in (1, 0))
+    assert sum(x >= S.THRESHOLD for x in toxic) >= 0.7 * len(toxic)  # recall: a constant would pass by accuracy
+    assert sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) >= 0.9 * len(toxic) * len(clean)
+
+
+def test_choice_of_labelled_rows(spark, monkeypatch):
+    """Whatever order rows come in, the same are learnt from; labels that cancel out and bytes beyond the bound aren't."""
+    rows = [(i, f"text {i} " + "x" * 90) for i in range(60)] + [(7, "another text of one id")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(S, "train", lambda found, y: seen.append((found, y.tolist())))
+    for order in (rows, rows[::-1]):
+        S.fitted(spark.createDataFrame(order, "doc_id long, text string").repartition(5), labels, sample=10)
+    assert seen[0] == seen[1] and 10 <= len(seen[0][0]) <= 21 and sum(seen[0][1]) >= 9
+    assert not any(x.startswith(b"text 3 ") for x in seen[0][0])
+    S.fitted(spark.createDataFrame(rows, "doc_id long, text string"), labels, sample=10, most_bytes=500)
+    assert 0 < len(seen[2][0]) < len(seen[0][0]) and sum(map(len, seen[2][0])) <= 500
 
 
 def test_odd_rows(spark, odd, none):

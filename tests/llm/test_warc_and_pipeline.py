@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from tests.llm.test_dedup import groups
 from tests.test_queries import plain
 from tidemill.llm import pivot_simhash as P
 from tidemill.llm import warc_derivatives as W
@@ -72,6 +73,12 @@ def test_odd_pages(spark):
     assert W.derivatives(W.responses(pages.where("page_id = 9"))).count() == 0
 
 
+def shingles(text):
+    """Five words each, lower-cased; of fewer, all of them."""
+    w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
 def test_pipeline_by_stages(spark, data, documents):
     docs = documents
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -87,19 +94,9 @@ def test_pipeline_by_stages(spark, data, documents):
     single = {}
     for i, t in sorted(clean.items()):
         single[t or ""] = i
-    kept = {i: P.fingerprint(t.encode()) for t, i in single.items()}
-    want = set()
-    seen: set[int] = set()
-    for i in sorted(kept):
-        if i in seen:
-            continue
-        want.add(i)
-        todo = [i]
-        while todo:
-            x = todo.pop()
-            if x not in seen:
-                seen.add(x)
-                todo += [y for y in kept if (kept[x] ^ kept[y]).bit_count() <= 2]
+    kept = {i: (P.fingerprint(t.encode()), shingles(t)) for t, i in single.items()}
+    alike = [(a, b) for a, (x, s) in kept.items() for b, (y, z) in kept.items() if a < b and ((x ^ y).bit_count() <= 2 or len(s & z) >= 0.8 * len(s | z) > 0)]
+    want = {*groups(kept, alike).values()}
     assert {r["doc_id"] for r in docs.collect()} == want
     assert not any(labels.get(i) == 1 and scores[i] >= THRESHOLD for i in want)
     packed = corpus_pipeline.run(spark, data)

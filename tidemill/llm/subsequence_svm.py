@@ -7,17 +7,19 @@ Words are what stands between ASCII white space, lower-cased, without the marks
 between two end marks; single letters in a row are joined ("i d i o t"); words of over
 ``WIDE`` letters go through in windows that overlap by half.
 
-Training (on the driver, on at most ``SAMPLE`` labelled texts of each label, whole texts): a text
-is labelled, its words are not, so the machine starts from words that stand in several
-toxic texts, near copies counted once, and in hardly any other, learns, and in further rounds takes as counter-examples the
-clean texts' words that it likes best. The feature map is Nystroem's: kernel values to
+Training (on the driver, on at most ``SAMPLE`` labelled texts of each label and ``SAMPLE_BYTES`` in all, whole texts): a
+text is labelled, its words are not, so the machine starts from words that stand in several
+toxic texts, near copies counted once, and in hardly any other, learns, and in a further round takes as counter-examples the
+clean texts' words that it likes best. In the ``LATENT`` rounds after that the examples are the labelled texts' sentences:
+each sentence of a clean text, and of a toxic text the one that the machine likes best, stands for its best word, with the
+label of its text (a latent support vector machine). The feature map is Nystroem's: kernel values to
 ``LANDMARKS`` words, times the inverse root of the landmarks' own kernel matrix; on it a
 linear machine is trained (squared hinge loss). As such a machine is a weighted sum of
 kernels to the landmarks, it is folded into one table of weights by three-letter
 subsequence, which gives the same values exactly. A text's margin is its best words'
 margins, and a logistic curve, fitted on the training texts, makes the score of them.
 
-No column but the text is an input of the score. Null is the empty text; texts without words
+Labels of 0 and 1 for one doc_id cancel out. No column but the text is an input of the score. Null is the empty text; texts without words
 have the lowest margin. Without both labels to learn from, all scores are 0.
 """
 
@@ -41,10 +43,15 @@ from tidemill.llm.common import append, slices, texts
 
 DECAY, WIDE, LETTERS, MARK = 0.6, 20, 128, 2
 SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 2000, 320, 2500, 2, 30.0
+SAMPLE_BYTES = 64 << 20
 #: A worker keeps at most so many words' margins at once.
 MOST_WORDS = 500_000
 THRESHOLD = 0.7
 
+#: Rounds in which labelled sentences are the examples; a toxic text whose best word is below FAR has no insult that is known.
+LATENT, FAR = 2, -0.5
+_STRIP = re.compile(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$").sub
+_ENDS = re.compile(rb"(?<=[.!?])\s+|\n+")
 _SPACES = re.compile(rb"(?<![^\t-\r ])[A-Za-z](?:[\t-\r ]+[A-Za-z](?![^\t-\r ])){3,}")
 
 
@@ -263,12 +270,13 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
     """Fit on whole texts and their labels (0 or 1)."""
     rng = np.random.default_rng(seed)
     key = uuid.uuid4().hex
-    strip = re.compile(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$").sub
     same: dict[bytes, bytes] = {}  # one object for each word, however many texts have it
-    sets = []
-    for x in found:
-        own = {strip(b"", w).decode("utf-8", "replace").lower().encode() for w in words(x)} - {b""}
-        sets.append({same.setdefault(w, w) for w in own})
+
+    def stripped(x: bytes) -> set[bytes]:
+        own = {_STRIP(b"", w).decode("utf-8", "replace").lower().encode() for w in words(x)} - {b""}
+        return {same.setdefault(w, w) for w in own}
+
+    sets = [stripped(x) for x in found]
     kept = unlike(sets, rng)
     found, sets, y = [found[i] for i in kept], [sets[i] for i in kept], y[kept]
     bad, good = Counter(), Counter()
@@ -295,29 +303,52 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
     model = None
     known: dict[bytes, Vector] = {}
 
+    def margins_of(model: Model, some: list[bytes]) -> np.ndarray:
+        return np.concatenate([Scorer(model).margins(some[j : j + 20_000]) for j in range(0, len(some), 20_000)])
+
     def vectors(of: list[bytes]) -> list[Vector]:
         for w in of:
             if w not in known:
                 known[w] = features((coded(w) or [[1, 1]])[0])
         return [known[w] for w in of]
 
-    for i in range(rounds):
+    def machine(words_: list[bytes], y_words: np.ndarray, weight: np.ndarray) -> Model:
         base = vectors(marks)
         own = _matrix(base, base)
         values, axes = np.linalg.eigh(own + 1e-6 * np.eye(len(own)))
         root = axes / np.sqrt(np.maximum(values, 1e-6))
-        y_words = np.array([1.0] * len(positive) + [-1.0] * len(negative))
-        weight = np.where(y_words > 0, len(y_words) / 2 / len(positive), len(y_words) / 2 / len(negative)) / 2
-        w, bias = linear_machine(_matrix(vectors([*positive, *negative]), base) @ root, y_words, weight)
+        w, bias = linear_machine(_matrix(vectors(words_), base) @ root, y_words, weight)
         table = np.zeros(LETTERS**3, np.float32)
         for c, f in zip(root @ w, base, strict=True):
             table[f.keys] += c * f.values
-        model = Model(key, table, min(bias, -1e-3), np.array([-1.0, 1, 1, 0]))
+        return Model(key, table, min(bias, -1e-3), np.array([-1.0, 1, 1, 0]))
+
+    def balanced(y_words: np.ndarray) -> np.ndarray:
+        up = y_words > 0
+        return np.where(up, len(y_words) / 4 / max(1, up.sum()), len(y_words) / 4 / max(1, (~up).sum()))
+
+    for i in range(rounds):
+        y_words = np.array([1.0] * len(positive) + [-1.0] * len(negative))
+        model = machine([*positive, *negative], y_words, balanced(y_words))
         if i < rounds - 1:
-            margins = np.concatenate([Scorer(model).margins(pool[j : j + 20_000]) for j in range(0, len(pool), 20_000)])
+            margins = margins_of(model, pool)
             worst = [pool[j] for j in np.argsort(-margins)[:800]]
             negative = [*dict.fromkeys([*negative, *worst])]
             marks = [*dict.fromkeys([*seeds[:half], *worst[: half // 2], *marks[half:]])][:landmarks]
+    # From here on the examples are the labelled sentences: each stands for its best word by the machine so far.
+    sentences, signs = [], []
+    for x, own, label in zip(found, sets, y, strict=True):
+        parts = [own] if label else [stripped(part) for part in _ENDS.split(x)]
+        sentences += [part for part in parts if part]
+        signs += [int(label)] * sum(map(bool, parts))
+    everything = sorted({w for own in sentences for w in own})
+    for _ in range(LATENT):
+        margin = dict(zip(everything, margins_of(model, everything).tolist(), strict=True))
+        best = [max(own, key=lambda w: (margin[w], w)) for own in sentences]
+        up = [w for w, label in zip(best, signs, strict=True) if label and margin[w] > FAR]
+        down = sorted({w for w, label in zip(best, signs, strict=True) if not label and margin[w] > -1}, key=lambda w: (-margin[w], w))[:NEGATIVES]
+        y_words = np.array([1.0] * (len(up) + len(positive)) + [-1.0] * (len(down) + len(negative)))
+        model = machine([*up, *positive, *down, *negative], y_words, balanced(y_words))
     scorer = Scorer(model)
     x = np.vstack([scorer(found[i : i + 200]) for i in range(0, len(found), 200)])
     return model._replace(curve=logistic(x, y.astype(float)))
@@ -334,18 +365,36 @@ def scorer_of(model: Model) -> Scorer:
     return _scorers[model.key]
 
 
-def fitted(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int = 1, sample: int = SAMPLE) -> Model:
-    """Train on at most ``sample`` labelled texts of each label, of rows whose crc32 mod fold isn't ``held``."""
+def fitted(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int = 1, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> Model:
+    """Train on at most ``sample`` labelled texts of each label, of rows whose crc32 mod fold isn't ``held``, and ``most_bytes`` of them.
+
+    They are taken in the order of a hash of their doc_id, so the choice is the same however the rows are dealt. A doc_id
+    with both labels is left out. Of rows that share a doc_id, each counts.
+    """
     spark = docs.sparkSession
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IN (0, 1)")
-    ours = marked.where(F.crc32(F.col("doc_id").cast("string")) % fold != held)
+    single = marked.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other").select("doc_id", "toxic")
+    ours = single.where(F.crc32(F.col("doc_id").cast("string")) % fold != held)
     some = [ours.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for label in (0, 1)]
     chosen = dict(some[0].union(some[1]).collect())
-    ids = spark.createDataFrame([(k,) for k in chosen] or [(-1,)], "chosen long")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), F.col("doc_id") == F.col("chosen"), "left_semi").limit(4 * sample).collect()
-    found = sorted((r["doc_id"], (r["text"] or "").encode()) for r in rows if r["doc_id"] in chosen)
-    del rows
-    return train([x for _, x in found], np.array([chosen[k] for k, _ in found], int))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")]
+
+    def of(keys: list[int]) -> DataFrame:
+        ids = spark.createDataFrame([(k,) for k in keys] or [(-1,)], "chosen long")
+        return rows.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen"), "left_semi")
+
+    sizes = of([*chosen]).select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h")).orderBy(*order[:2], "h").limit(4 * sample).collect()
+    upto, total = 0, 0
+    for r in sizes:
+        total += r["size"]
+        if total > most_bytes:
+            break
+        upto += 1
+    wanted = {r["doc_id"] for r in sizes[:upto]}
+    found = of([*wanted]).orderBy(*order).limit(upto).collect()
+    labelled = sorted(((r["doc_id"], r["text"].encode()) for r in found if r["doc_id"] in chosen))
+    return train([x for _, x in labelled], np.array([chosen[k] for k, _ in labelled], int))
 
 
 def toxicity(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
