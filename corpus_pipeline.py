@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import table
+from tidemill.llm.common import remove, scratch
 from tidemill.llm.harmonic_packing import packed_words
 from tidemill.llm.pivot_simhash import one_of_each
 from tidemill.llm.streaming_dedup import without_duplicates
@@ -53,7 +53,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in order, each written as Parquet in the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = table(stage(spark, docs, sf_dir), name)
+        stage(spark, docs, sf_dir).write.parquet(path := scratch(spark, name))
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if before:
+            remove(spark, before)  # the next stage's rows are written: nothing reads these any more
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
