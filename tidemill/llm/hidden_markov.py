@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -236,35 +235,37 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     """(h, cls, n): the counts of all tokens of ``docs`` (text) by hash and class, and with them those of FOLLOWS and FIRSTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        classes: dict[bytes, int] = {}
+        places: dict[bytes, int] = {END: 0}  # of the words met, by when they were
+        classes, counts = [class_of(END)], np.zeros(1, np.int64)
         follows, firsts = np.zeros(GUESS * GUESS, np.int64), np.zeros(GUESS, np.int64)
 
         def rows(h: np.ndarray, cls: np.ndarray | list[int], n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls, pa.int32()), pa.array(n)], ["h", "cls", "n"])
 
         def out() -> pa.RecordBatch:
-            h = np.array([xxhash.xxh64_intdigest(w) for w in counts], np.uint64).view(np.int64)
-            made = rows(h, [classes[w] for w in counts], np.fromiter(counts.values(), np.int64, len(counts)))
-            counts.clear()
-            classes.clear()
-            return made
+            some = np.flatnonzero(counts)
+            h = np.array([xxhash.xxh64_intdigest(w) for w in places], np.uint64).view(np.int64)
+            return rows(h[some], np.array(classes)[some], counts[some])
 
         for batch in slices(batches):
             flat = [w for x in texts(batch) for w in tokens(x)]
-            found = list(map(classes.get, flat))
+            found = list(map(places.get, flat))
             if None in found:
-                classes.update((w, class_of(w)) for w in {w for w, c in zip(flat, found, strict=True) if c is None})
-                found = list(map(classes.get, flat))
-            counts.update(flat)
-            kind = np.array(found) & (GUESS - 1)
-            ends = np.array([w is END for w in flat])
+                for w in {w for w, i in zip(flat, found, strict=True) if i is None}:
+                    places[w] = len(places)
+                    classes.append(class_of(w))
+                found = list(map(places.get, flat))
+                counts = np.concatenate([counts, np.zeros(len(places) - len(counts), np.int64)])
+            at = np.array(found)
+            counts += np.bincount(at, minlength=len(counts))
+            kind = (np.array(classes) & (GUESS - 1))[at]
+            ends = at == 0
             firsts += np.bincount(kind[np.concatenate(([True], ends[:-1]))], minlength=GUESS)
             follows += np.bincount((kind[:-1] * GUESS + kind[1:])[~ends[:-1]], minlength=GUESS * GUESS)
-            if len(counts) > MOST_WORDS:
+            if len(places) > MOST_WORDS:
                 yield out()
-        if counts:
-            yield out()
+                places, classes, counts = {END: 0}, [class_of(END)], np.zeros(1, np.int64)
+        yield out()
         for which, sums in ((FOLLOWS, follows), (FIRSTS, firsts)):
             at = np.flatnonzero(sums)
             yield rows(at.astype(np.int64), np.full(len(at), which), sums[at])
@@ -315,26 +316,28 @@ def untrained(counts: DataFrame, top: Column, states: int, core: int) -> tuple[M
 
 
 def numbered(docs: DataFrame, model: Broadcast, key: str) -> DataFrame:
-    """(uid, doc_id, held_out, codes, rare): each text's words by number, and how often it has each word that isn't known."""
+    """(uid, doc_id, held_out, codes, rare): each text's words by number, and the hashes of those that aren't known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_of(key, model.value)
         uid = TaskContext.get().partitionId() << 36
-        kind = pa.list_(pa.struct([("h", pa.int64()), ("m", pa.int32())]))
+        hashes: dict[bytes, int] = {}  # of the words that aren't known
         for batch in slices(batches):
             words = [tokens(x) for x in texts(batch)]
             flat = [w for x in words for w in x]
             codes = index(flat)
             ends = np.cumsum([0, *map(len, words)])
-            rare = []
-            for a, b in zip(ends, ends[1:], strict=False):
-                counted = Counter(flat[a + i] for i in np.flatnonzero(codes[a:b] < 0).tolist())
-                rare.append([{"h": _signed(w), "m": k} for w, k in counted.items()])
-            columns = [pa.array(np.arange(uid, uid + len(words))), batch["doc_id"], batch["held_out"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), pa.array(rare, kind)]
+            some = np.flatnonzero(codes < 0)
+            rare = [flat[i] for i in some.tolist()]
+            if len(hashes) > MOST_WORDS:
+                hashes.clear()
+            hashes.update((w, _signed(w)) for w in {*rare} - hashes.keys())
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(some, ends), pa.int32()), pa.array(list(map(hashes.__getitem__, rare)), pa.int64()))
+            columns = [pa.array(np.arange(uid, uid + len(words))), batch["doc_id"], batch["held_out"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), lists]
             uid += len(words)
             yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "codes", "rare"])
 
-    return docs.mapInArrow(run, "uid long, doc_id long, held_out boolean, codes array<int>, rare array<struct<h: long, m: int>>")
+    return docs.mapInArrow(run, "uid long, doc_id long, held_out boolean, codes array<int>, rare array<long>")
 
 
 _indexes: dict[str, Index] = {}
@@ -412,7 +415,8 @@ def trained(train: DataFrame, model: Model, unigram: np.ndarray, rounds: int = R
 
 
 def _signed(word: bytes) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(word)).view(np.int64))
+    h = xxhash.xxh64_intdigest(word)
+    return h - 2**64 if h >= 2**63 else h
 
 
 def scores(docs: DataFrame, fold: int = 7, held: int = 2, states: int = STATES, core: int = CORE, known: int = KNOWN, rounds: int = ROUNDS) -> DataFrame:
@@ -443,8 +447,8 @@ def scores(docs: DataFrame, fold: int = 7, held: int = 2, states: int = STATES,
             yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "n_tokens", "n_known", "logs", "path"])
 
     part = texts_.select("uid", "doc_id", "held_out", "codes").mapInArrow(run, "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, logs double, path double")
-    rare = texts_.select("uid", F.inline("rare")).join(counts.where(F.col("cls") >= 0).where(~top), "h")
-    sums = rare.groupBy("uid").agg(F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("rare_logs"), F.sum(F.col("m").cast("long")).alias("rare_known"))
+    rare = texts_.select("uid", F.explode("rare").alias("h")).join(counts.where(F.col("cls") >= 0).where(~top), "h")
+    sums = rare.groupBy("uid").agg(F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"), F.count("*").alias("rare_known"))
     all_ = part.join(table(sums, "rare"), "uid", "left").fillna(0, ["rare_logs", "rare_known"])
     return all_.select(
         "doc_id",
