@@ -85,3 +85,36 @@ def test_odd_rows(odd, none):
     assert len(out) == 12 and {r["score"] for r in out} == {0.0}
     assert L.scans(odd).columns.count("spans") == 1 and L.scans(odd).count() == 12
     assert L.licenses(none).count() == 0
+
+
+MIT, BSD, ISC, UNLICENSE = (next(t for x, t in L.TEMPLATES[::-1] if x == label and len(t) > 300) for label in ("mit", "bsd", "isc", "unlicense"))
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        (MIT, {"mit"}),  # though its disclaimer is in another licence too, which matches less
+        (UNLICENSE, {"unlicense"}),
+        (MIT[600:], {"mit"}),
+        (L._AS_IS, {"mit", "unlicense"}),  # this sentence is both's
+        (BSD[700:], {"bsd"}),
+        (f"{MIT} some other words of one's own {BSD}", {"mit", "bsd"}),
+        ("the BSD 3-Clause License", {"bsd"}),
+        ("under the GNU Lesser General Public License v2.1 or later", {"lgpl"}),
+        (ISC[-200:], {"isc"}),
+        ("", set()),
+    ],
+)
+def test_later_passages_and_dominance(text, labels):
+    a = L.automaton()
+    assert {a.labels[s.template] for s in a.scan(text.encode()).spans} == labels
+
+
+def test_chains_take_any_place_of_a_template():
+    """A run that a template has twice goes on from either place."""
+    a = L.Automaton({}, [("t", "a b c d e f g h x y a b c d i j k l m n")])
+    for text, span in (("a b c d i j k l", (10, 18, 8)), ("a b c d e f g h", (0, 8, 8)), ("a b c d q i j k l", (10, 18, 8))):
+        [s] = a.scan(text.encode()).spans
+        assert (s.at, s.to, s.matched) == span
+    two = a.scan(b"a b c d e f g h " + b"z " * 40 + b"a b c d i j k l").spans
+    assert [(s.start, s.end) for s in two] == [(0, 8), (48, 56)]

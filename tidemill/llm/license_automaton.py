@@ -3,9 +3,9 @@
 The automaton holds every run of words of all templates. Streaming a text's words through it
 gives matching statistics: for each word, how long a run ending there stands in some template,
 and in which. Runs that can't be continued and have at least ``LONG`` words are the long
-matches; those of one template that follow each other in the text and in the template, with at most
-``GAP`` words between, are chained into a span. A span of at least ``COVERED`` matched words
-gives the template's label. The base phrases are templates too: they end at a word exactly
+matches; those of one template (at each of its places) that follow each other in the text and in the template, with at
+most ``GAP`` words between, are chained into the spans that cover most. A span of at least ``COVERED`` matched words gives
+the template's label, unless it lies in a span of another template that matches more. The base phrases are templates too: they end at a word exactly
 if the automaton's state there, or one on its path of suffixes, is the phrase's.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. Null is the empty text: no
@@ -32,20 +32,34 @@ LONG, GAP, COVERED, SURE = 4, 12, 6, 16
 #: The base phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Wordings of public licences, and the labels that they give.
+_AS_IS = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+_LIABLE = "IN NO EVENT SHALL THE AUTHORS {who}BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+#: Wordings of public licences, and the labels that they give. Short licences stand whole (MIT, BSD, ISC, zlib,
+#: Boost, Unlicense, WTFPL); of the long ones (Apache, GPL, LGPL, AGPL, MPL, Creative Commons) the notices that files carry.
 TEMPLATES = [
     ("mit", "released under the mit license"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS + " " + _LIABLE.format(who="OR COPYRIGHT HOLDERS ")),
     ("apache", "licensed under the apache license version 2.0"),
     ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
-    ("lgpl", "licensed under the gnu lesser general public license version 3"),
-    ("agpl", "licensed under the gnu affero general public license version 3"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see http://www.gnu.org/licenses/."),
+    ("lgpl", "gnu lesser general public license version 3"),
+    ("lgpl", "gnu lesser general public license v2.1"),
+    ("agpl", "gnu affero general public license version 3"),
+    ("bsd", "bsd 2 clause license"),
+    ("bsd", "bsd 3 clause license"),
+    ("bsd", f"{_BSD} {_BSD_END}"),
+    ("bsd", f"{_BSD} {_BSD_3} {_BSD_END}"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor."),
+    ("wtfpl", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed. DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION 0. You just DO WHAT THE FUCK YOU WANT TO."),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
-    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. " + _AS_IS + " " + _LIABLE.format(who="")),
     ("cc-by", "this work is licensed under a creative commons attribution 4.0 international license"),
     ("cc-by-sa", "licensed under cc by sa 4.0"),
     ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4.0 international license"),
@@ -96,14 +110,14 @@ class Automaton:
             last = 0
             for c in line:
                 last = self._extend(last, c)
-        # Which templates hold a state's runs, and where in each the first ends.
-        self.ends: list[dict[int, int]] = [{} for _ in self.next]
+        # Where in each template a state's runs end: all places.
+        self.ends: list[dict[int, list[int]]] = [{} for _ in self.next]
         for t, line in enumerate(coded):
             v = 0
             for i, c in enumerate(line, 1):
                 u = v = self.next[v][c]
-                while u > 0 and t not in self.ends[u]:
-                    self.ends[u][t] = i
+                while u > 0:
+                    self.ends[u].setdefault(t, []).append(i)
                     u = self.link[u]
         # The phrases that end wherever a state's run does: (words, template).
         own: dict[int, list[tuple[int, int]]] = {}
@@ -181,19 +195,51 @@ class Automaton:
         return Scan(n, sorted(places), self._chained(matches) if matches else [])
 
     def _chained(self, matches: list[tuple[int, int, int]]) -> list[Span]:
-        open_: dict[int, Span] = {}
-        done: list[Span] = []
+        """Of each template the best chains of matches, and of these the ones that no better template's span holds."""
+        nodes: dict[int, list[Span]] = {}
         for end, l, v in matches:
-            for t, to in self.ends[v].items():
-                if t < self.phrases:
-                    continue
-                new, old = Span(t, end - l, end, to - l, to, l), open_.get(t)
-                if old and new.start - old.end <= GAP and 0 <= new.at - old.to + max(0, old.end - new.start) <= GAP:
-                    new = Span(t, old.start, end, old.at, to, old.matched + l - max(0, old.end - new.start))
-                elif old:
-                    done.append(old)
-                open_[t] = new
-        return [s for s in [*done, *open_.values()] if s.matched >= min(COVERED, self.sizes[s.template])]
+            for t, places in self.ends[v].items():
+                if t >= self.phrases:
+                    nodes.setdefault(t, []).extend(Span(t, end - l, end, to - l, to, l) for to in places)
+        found = [s for t, own in nodes.items() for s in self._best(own) if s.matched >= min(COVERED, self.sizes[t])]
+        out: list[Span] = []
+        for s in sorted(found, key=lambda s: (-s.matched, s.template, s.start)):
+            if not any(k.start <= s.start and s.end <= k.end and k.matched > s.matched for k in out):
+                out.append(s)
+        return sorted(out, key=lambda s: (s.start, s.template))
+
+    def _best(self, nodes: list[Span]) -> list[Span]:
+        """Chains of one template's matches, by how many words they cover; each match is in one, and chains don't overlap.
+
+        A match follows another that ends before it in both the text and the template, with at most GAP words between (words
+        of both are taken off the later one). ``nodes`` come by their ends in the text, so only those near are looked at.
+        """
+        score, back = [0] * len(nodes), [-1] * len(nodes)
+        for i, x in enumerate(nodes):
+            score[i] = x.matched
+            for j in range(i - 1, -1, -1):
+                y = nodes[j]
+                if y.end < x.start - GAP:
+                    break
+                over = max(0, y.end - x.start, y.to - x.at)
+                gap = x.at + over - y.to
+                if over < x.matched and y.end < x.end and y.to < x.to and 0 <= gap <= GAP and x.start + over - y.end <= GAP and score[j] + x.matched - over > score[i]:
+                    score[i], back[i] = score[j] + x.matched - over, j
+        used, out = [False] * len(nodes), []
+        for i in sorted(range(len(nodes)), key=lambda i: (-score[i], i)):
+            chain, j = [], i
+            while j >= 0 and not used[j]:
+                chain.append(j)
+                j = back[j]
+            if not chain or j >= 0:  # what it goes on from is part of a better chain
+                continue
+            for j in chain:
+                used[j] = True
+            first, last = nodes[chain[-1]], nodes[i]
+            new = Span(last.template, first.start, last.end, first.at, last.to, score[i])
+            if not any(k.start < new.end and new.start < k.end for k in out):
+                out.append(new)
+        return out
 
 
 @functools.cache
