@@ -1,3 +1,4 @@
+import gzip
 import importlib
 from pathlib import Path
 
@@ -59,13 +60,36 @@ def test_records_read_back(spark, data):
         ("<P>one</P ><p\nclass='x'>two &lt;b&gt; &amp;lt;", "one\ntwo <b> &lt;"),
         ("a < b and c", "a < b and c"),
         ("", ""),
-        ("<script>never closed", "never closed"),
+        ("a<script>never closed", "a"),
+        ("a<!-- never closed <p>b", "a"),
+        ("&#8212;&#38;#39; &mdash; &copy;&#128512;&#55296;&#0;", "\u2014&#39; \u2014 \u00a9\U0001f600&#55296;&#0;"),
     ],
 )
 def test_plain_text(spark, html, text):
     assert spark.createDataFrame([(html,)], "h string").select(W.plain_text(F.col("h"))).first()[0] == text
 
 
+def test_responses_of_a_warc_file(spark, tmp_path):
+    """What is written as response records is read back, headers and all; other records and cut ones are told apart."""
+
+    def record(kind, n, block, length=None):
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{n}>\r\nWARC-Target-URI: http://a/{n}\r\nWARC-Date: 2020-01-0{n}T00:00:00Z\r\nWARC-Payload-Digest: sha1:X{n}\r\nContent-Length: {len(block.encode()) if length is None else length}\r\n\r\n{block}\r\n\r\n"
+
+    http = "HTTP/1.1 404 Not Found\r\nServer: x\r\nContent-Type: text/html\r\n\r\n"
+    whole = record("warcinfo", 1, "software: y\r\n") + record("response", 2, http + "<p>on\r\n\r\ne é</p>") + record("request", 3, "GET /") + record("response", 4, http + "cut", 9999) + record("response", 5, "")
+    (tmp_path / "a.warc").write_bytes(whole.encode())
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(record("response", 6, http + "zipped").encode()))
+    source = W.read_responses(spark, f"{tmp_path}/*.warc*")
+    rows = {r["record_id"]: r for r in source.collect()}
+    assert {k: r["is_whole"] for k, r in rows.items()} == {"<urn:uuid:2>": True, "<urn:uuid:4>": False, "<urn:uuid:5>": True, "<urn:uuid:6>": True}
+    two = rows["<urn:uuid:2>"]
+    assert (two["http_header"], two["payload"], two["date"], two["stated_digest"], two["target_uri"]) == (http, "<p>on\r\n\r\ne é</p>", "2020-01-02T00:00:00Z", "sha1:X2", "http://a/2")
+    out = W.derivatives(source.where("is_whole")).collect()
+    assert len(out) == 6 and {r["refers_to"] for r in out} == {"<urn:uuid:2>", "<urn:uuid:5>", "<urn:uuid:6>"}
+    meta = next(r for r in out if r["warc_type"] == "metadata" and r["refers_to"] == "<urn:uuid:2>")
+    assert "source-http: HTTP/1.1 404 Not Found\r\nsource-http: Server: x" in meta["block"] and "WARC-Date: 2020-01-02" in meta["header"]
+
+
 def test_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>" * 50_000), (2, "u", "<p>" * 50_000), (None, "u", "x")], "page_id long, url string, html string")
     out = W.derivatives(W.responses(pages).withColumn("block_digest", F.lit("other")))

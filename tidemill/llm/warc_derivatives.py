@@ -7,7 +7,9 @@ labelled SHA-256 in hex. All of it is DataFrame expressions: no shuffle, no Pyth
 
 Plain text: scripts, styles and comments go, block tags are line ends, other tags go, the
 entities of ENTITIES are resolved, and white space is folded. A null url or page is empty.
-Repeated rows give the same identifiers. Unclosed scripts and comments are dropped as tags.
+Rows that repeat a page (identifier, address and text) are one record, and give the same identifiers. A script, style or
+comment that is never closed goes up to the text's end. ``read_responses`` takes responses from WARC files, with the headers,
+dates and digests that they have there; pages that come without any (``responses``) get a stated date and header.
 """
 
 from __future__ import annotations
@@ -18,13 +20,21 @@ from pyspark.sql import functions as F
 DATE = "2024-01-01T00:00:00Z"
 KIND = "text/html; charset=utf-8"
 
-#: Tags that end a line, and entities with what they stand for, in the order in which they are resolved.
+#: Tags that end a line, and entities with what they stand for, in the order in which they are resolved
+#: (before the last come numbered ones).
 BLOCKS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+ENTITIES = [
+    *[("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&middot;", "\u00b7"), ("&deg;", "\u00b0")],
+    *[("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d")],
+    *[("&bull;", "\u2022"), ("&hellip;", "\u2026"), ("&euro;", "\u20ac"), ("&pound;", "\u00a3"), ("&sect;", "\u00a7"), ("&times;", "\u00d7"), ("&trade;", "\u2122"), ("&#38;", "&amp;")],
+    ("&amp;", "&"),
+]
+#: Numbered entities, without the halves of pairs that are no characters.
+NUMBERED = "&#(0*(?:[1-9]|[1-9][0-9]{1,3}|[1-4][0-9]{4}|5[0-4][0-9]{3}|57[4-9][0-9]{2}|5[89][0-9]{3}|[6-9][0-9]{4}|[1-9][0-9]{5}));"
 
 #: Patterns and what replaces them, in order; both Java and RE2 read them alike.
 STEPS = [
-    ("(?is)<(?:script\\b.*?</script[ \\t\\r\\n]*|style\\b.*?</style[ \\t\\r\\n]*|!--.*?--)>", ""),
+    ("(?is)<(?:script\\b.*?(?:</script[ \\t\\r\\n]*>|\\z)|style\\b.*?(?:</style[ \\t\\r\\n]*>|\\z)|!--.*?(?:-->|\\z))", ""),
     (f"(?is)</?(?:{BLOCKS})\\b[^>]*>", "\n"),
     ("</?[A-Za-z!][^>]*>", ""),
 ]
@@ -34,13 +44,26 @@ FOLDS = [("[ \\t\\r\\f]{2,}|[\\t\\r\\f]", " "), (" ?\\n[ \\n]+| \\n", "\n")]
 def plain_text(html: Column) -> Column:
     for pattern, to in STEPS:
         html = F.regexp_replace(html, F.lit(pattern), F.lit(to))
-    for entity, to in ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(to))
+    html = _resolved(html)
     for pattern, to in FOLDS:
         html = F.regexp_replace(html, F.lit(pattern), F.lit(to))
     return F.btrim(html, F.lit(" \n"))
 
 
+def _resolved(text: Column) -> Column:
+    """Entities as characters; a text without any isn't looked at again."""
+    named = text
+    for entity, to in ENTITIES[:-1]:
+        named = F.replace(named, F.lit(entity), F.lit(to))
+
+    def put(upto: Column, number: Column) -> Column:
+        return F.replace(upto, F.concat(F.lit("&#"), number, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32"))
+
+    # Bound to a name by a lambda, as it is looked at, searched and replaced in.
+    numbers = F.transform(F.array(named), lambda x: F.when(x.contains("&#"), F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMBERED), 1)), x, put)).otherwise(x))[0]
+    return F.when(text.contains("&"), F.replace(numbers, F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))).otherwise(text)
+
+
 def urn(name: Column) -> Column:
     """A name-based record identifier."""
     h = F.md5(name)
@@ -55,7 +78,32 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
     """Response records of rows (page_id, url, html): record_id, target_uri, date, http_header, payload."""
     html, url = F.coalesce(F.col("html").cast("string"), F.lit("")), F.coalesce(F.col("url").cast("string"), F.lit(""))
     header = F.concat(F.lit(f"HTTP/1.1 200 OK\r\nContent-Type: {KIND}\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit("\r\n\r\n"))
-    return pages.select("page_id", urn(F.concat(url, F.lit("\n"), html)).alias("record_id"), url.alias("target_uri"), F.lit(date).alias("date"), header.alias("http_header"), html.alias("payload"))
+    name = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("\n"), url, F.lit("\n"), html)
+    return pages.select("page_id", urn(name).alias("record_id"), url.alias("target_uri"), F.lit(date).alias("date"), header.alias("http_header"), html.alias("payload"))
+
+
+#: What a record's header says by name, as columns.
+FIELDS = {"record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "stated_digest": "WARC-Payload-Digest"}
+_BREAK = "\r\n\r\n"
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """Response records of WARC files: record_id, target_uri, date, stated_digest, http_header, payload, is_whole.
+
+    Files are read in parts, by the line that a record begins with; each record of a compressed file is one too. is_whole
+    is false where the block hasn't the length that its header states. Bytes that aren't UTF-8 are replaced.
+    """
+    rows = spark.read.option("lineSep", "WARC/1.").text(path).where("value LIKE '_\r\n%'")
+    at = F.instr("value", _BREAK)
+    rows = rows.where(at > 0).select(F.substring("value", F.lit(1), at + 1).alias("head"), F.expr(f"substring(value, instr(value, '{_BREAK}') + 4)").alias("rest"))
+    field = lambda name: F.trim(F.regexp_extract("head", f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1))
+    rows = rows.where(F.lower(field("WARC-Type")) == "response")
+    length = field("Content-Length").try_cast("long")
+    rows = rows.select(*[field(v).alias(k) for k, v in FIELDS.items()], F.regexp_replace("rest", f"{_BREAK}$", "").alias("block"), length.alias("length"))
+    inner = F.expr(f"instr(block, '{_BREAK}')")
+    header = F.when(inner > 0, F.expr(f"substring(block, 1, instr(block, '{_BREAK}') + 3)")).otherwise("")
+    payload = F.when(inner > 0, F.expr(f"substring(block, instr(block, '{_BREAK}') + 4)")).otherwise(F.col("block"))
+    return rows.select(*FIELDS, header.alias("http_header"), payload.alias("payload"), (F.octet_length("block") == F.col("length")).alias("is_whole"))
 
 
 def derivatives(source: DataFrame) -> DataFrame:
@@ -118,8 +166,10 @@ def _sql() -> str:
     text = "html"
     for pattern, to in STEPS:
         text = f"regexp_replace({text}, {quoted(pattern)}, {raw(to)}, 'g')"
-    for entity, to in ENTITIES:
+    for entity, to in ENTITIES[:-1]:
         text = f"replace({text}, {quoted(entity)}, {quoted(to)})"
+    text = f"list_reduce(list_prepend({text}, list_distinct(regexp_extract_all({text}, {quoted(NUMBERED)}, 1))), lambda a, x: replace(a, '&#' || x || ';', chr(x::INTEGER)))"
+    text = f"replace({text}, {quoted(ENTITIES[-1][0])}, {quoted(ENTITIES[-1][1])})"
     for pattern, to in FOLDS:
         text = f"regexp_replace({text}, {quoted(pattern)}, {raw(to)}, 'g')"
     text = f"trim({text}, ' ' || chr(10))"
@@ -128,7 +178,7 @@ def _sql() -> str:
     return f"""
 WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 r AS (
-  SELECT *, {urn_("url || chr(10) || html")} AS id,
+  SELECT *, {urn_("coalesce(page_id::VARCHAR, '') || chr(10) || url || chr(10) || html")} AS id,
          'HTTP/1.1 200 OK' || {end} || 'Content-Type: {KIND}' || {end} || 'Content-Length: ' || strlen(html) AS http,
          {text} AS txt
   FROM p),
