@@ -165,9 +165,19 @@ class Words:
 
     def encode(self, text: bytes, tokens: bool) -> tuple[bytes, bytes]:
         words = text.split()
-        self.know(words, tokens)
+        try:
+            return self._looked_up(words, tokens)
+        except KeyError:
+            self.know(words, tokens)
+            return self._looked_up(words, tokens)
+
+    def _looked_up(self, words: list[bytes], tokens: bool) -> tuple[bytes, bytes]:
         return b"".join(map(self.ids.__getitem__, words)), b"".join(map(self.named.__getitem__, words)) if tokens else b""
 
+    def know_all(self, found: list[bytes], tokens: bool) -> None:
+        """Take the words of all these texts to the model at once: a call of its own for each text or chunk costs more than its words."""
+        self.know([*{w for x in found for w in x.split()}], tokens)
+
 
 @functools.cache
 def words_of(path: str, tokens: bool = True) -> Words:
@@ -195,7 +205,7 @@ class Chunks:
         first = _FIRST(chunk)
         if not first:
             return None
-        tail = re.search(rb"[^\t-\r ]*\Z", chunk).start()
+        tail = len(chunk) if chunk[-1:].isspace() else len(chunk) - len(chunk.rsplit(None, 1)[-1])
         made = (chunk[: first.start()], *self.words.encode(chunk[first.start() : tail], self.tokens), chunk[tail:])
         self.encoded += 1
         mark = xxhash.xxh3_64_intdigest(chunk)
@@ -211,21 +221,25 @@ class Chunks:
             self.seen.add(mark)
         return made
 
+    def encode_each(self, found: list[bytes]) -> list[tuple[bytes, bytes]]:
+        self.words.know_all(found, self.tokens)
+        return [self.encode(x) for x in found]
+
     def encode(self, text: bytes) -> tuple[bytes, bytes]:
         """The ids as little-endian unsigned 32-bit numbers, and the decoded text."""
         ids, named = [], []
-        start, open_ = 0, b""
+        start, open_ = 0, []
         for end in [*cuts(text), len(text)]:
             chunk, start = text[start:end], end
             parts = self._chunk(chunk)
             if parts is None:
-                open_ += chunk  # no agreement yet: the join reaches through this chunk
+                open_.append(chunk)  # no agreement yet: the join reaches through this chunk
                 continue
-            a, b = self.words.encode(open_ + parts[0], self.tokens)
+            a, b = self.words.encode(b"".join([*open_, parts[0]]), self.tokens)
             ids += (a, parts[1])
             named += (b, parts[2])
-            open_ = parts[3]
-        a, b = self.words.encode(open_, self.tokens)
+            open_ = [parts[3]]
+        a, b = self.words.encode(b"".join(open_), self.tokens)
         return b"".join([*ids, a]), b"".join([*named, b])[:-1]
 
 
@@ -241,7 +255,7 @@ def encoded(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = chunks_of(path, True)
         for batch in slices(batches, text):
-            got = [made.encode(x) for x in texts(batch, text)]
+            got = made.encode_each(texts(batch, text))
             ids = pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x, _ in got], pa.list_(pa.int32()))
             yield append(batch, ids=ids, decoded=pa.array([x.decode() for _, x in got], pa.string()))
 
@@ -254,7 +268,7 @@ def digests(df: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = chunks_of(path, True)
         for batch in slices(batches):
-            got = [made.encode(x) for x in texts(batch)]
+            got = made.encode_each(texts(batch))
             columns = [
                 batch["doc_id"],
                 pa.array([len(x) // 4 for x, _ in got], pa.int64()),

@@ -112,8 +112,8 @@ class Bins:
             yield from self._sequence(held)
 
 
-def packed(docs: DataFrame, encoder: Callable[[], Callable[[bytes], bytes]], capacity: int = CAPACITY) -> DataFrame:
-    """A row for each piece: SCHEMA. ``encoder()`` gives, on a worker, the function from a text to its ids' bytes."""
+def packed(docs: DataFrame, encoder: Callable[[], Callable[[list[bytes]], list[bytes]]], capacity: int = CAPACITY) -> DataFrame:
+    """A row for each piece: SCHEMA. ``encoder()`` gives, on a worker, the function from texts to their ids' bytes."""
     if capacity & capacity - 1:
         raise ValueError("the capacity must be a power of two")
 
@@ -123,8 +123,8 @@ def packed(docs: DataFrame, encoder: Callable[[], Callable[[bytes], bytes]], cap
         end = END.to_bytes(4, "little")
         for batch in slices(batches):
             rows: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), texts(batch), strict=True):
-                rows += bins.put(doc_id, encode(text) + end)
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), encode(texts(batch)), strict=True):
+                rows += bins.put(doc_id, ids + end)
             if rows:
                 yield batched(rows)
         if rows := list(bins.close()):
@@ -141,7 +141,17 @@ def packed(docs: DataFrame, encoder: Callable[[], Callable[[bytes], bytes]], cap
 def packed_words(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """packed() with the ids of the vocabulary at ``path``."""
     path = path or default_vocabulary()
-    return packed(docs, lambda: lambda text: words_of(path, False).encode(text, False)[0], capacity)
+
+    def encoder() -> Callable[[list[bytes]], list[bytes]]:
+        words = words_of(path, False)
+
+        def encode(found: list[bytes]) -> list[bytes]:
+            words.know_all(found, False)
+            return [words.encode(x, False)[0] for x in found]
+
+        return encode
+
+    return packed(docs, encoder, capacity)
 
 
 def op5_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
