@@ -33,6 +33,12 @@ def test_query_without_sql(spark, data, name):
     assert QUERIES[name](spark, data).count() > 0
 
 
+def test_sample_is_of_the_table_and_the_same_again(spark, data):
+    events = {tuple(r) for r in spark.read.parquet(f"{data}/events.parquet").collect()}
+    one, two = ({tuple(r) for r in QUERIES["sample_rows"](spark, data).collect()} for _ in range(2))
+    assert len(one) == 100 and one == two and one <= events
+
+
 def test_nothing_imports_llm():
     root = Path(__file__).parent.parent / "tidemill"
     for p in root.rglob("*.py"):

@@ -86,7 +86,7 @@ def test_unknown_devices_are_dropped_and_blanks_filled(spark):
     rows = [("P001", "d1", "w", "2025-12-01", " ", "Charge 5 · fw2.2.1 · x"), ("P002", "d2", "w", "soon", "1.0.0", "Charge 6 · fw1.0.1"), ("P999", "d3", "w", None, None, None)]
     df, checks = clean.build_devices(spark.createDataFrame(rows, "participant_id string, device_id string, wear_site string, calibration_date string, firmware_version string, device_label string"), people, Study())
     got = {r["participant_id"]: (r["firmware_version"], r["firmware_source"], r["device_model"], r["calibration_date"]) for r in df.collect()}
-    assert set(got) == {"P001", "P002"} and got["P001"][:3] == ("2.2.1", "device_label", "Charge 5") and got["P002"][1:] == ("column", "Charge 6", None)
+    assert set(got) == {"P001", "P002"} and got["P001"][:3] == ("2.2.1", "device_label", "Charge 5") and got["P002"][1:] == ("firmware_version", "Charge 6", None)
     assert {r["rule"]: r["n_affected"] for r in checks.collect()} == {"firmware_label_conflict": 1, "firmware_backfilled_from_label": 1, "device_orphan_participant": 1}
 
 
