@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import set_pairs
 from tidemill.llm.common import components, passing, slices, table, texts
-from tidemill.llm.set_pairs import Put
+from tidemill.llm.set_pairs import BASE, Put
+from tidemill.llm.set_pairs import mixed as _mixed
 
 SIZE = 9
 BANDS, ROWS = 8, 4
@@ -44,14 +45,6 @@ SIMILAR = 0.8
 LARGE = 32
 #: Characters that are hashed at once.
 BLOCK = 1 << 17
-#: Odd multipliers: of the polynomial, and of the mixing.
-BASE, MIX = 0x9E3779B97F4A7C15, (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    for m in MIX:
-        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
-    return x ^ (x >> np.uint64(33))
 
 
 def _rolled(codes: np.ndarray) -> np.ndarray:

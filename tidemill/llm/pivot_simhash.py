@@ -117,10 +117,15 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The XXH64 of a text's distinct shingles, ascending; of a text of fewer words, all of them are one."""
+    """64-bit names of a text's distinct shingles, ascending: a polynomial of their words' XXH64, mixed. Fewer words are one shingle."""
     w = text.lower().split()
-    found = {b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else ()
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), np.uint64, len(found)).view(np.int64))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, w, repeat(SEED)), np.uint64, len(w))
+    with np.errstate(over="ignore"):
+        size = min(words, len(w))
+        out = h[: len(w) - size + 1] if size else h
+        for i in range(1, size):
+            out = out * np.uint64(set_pairs.BASE) + h[i : len(w) - size + 1 + i]
+        return np.unique(set_pairs.mixed(out + np.uint64(size)).view(np.int64))
 
 
 def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:

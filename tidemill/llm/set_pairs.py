@@ -30,6 +30,17 @@ Pick = Callable[[Broadcast], DataFrame]
 Put = Callable[[DataFrame, str], DataFrame]
 
 
+#: Odd multipliers: of polynomials over hashes, and of mixing.
+BASE, MIX = 0x9E3779B97F4A7C15, (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with their bits spread; different ones stay different."""
+    for m in MIX:
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(m)
+    return x ^ (x >> np.uint64(33))
+
+
 def marked(df: DataFrame, name: str) -> Broadcast:
     """Which of MARKS the hashes of a column have, sent to the workers as bits."""
     found = df.select(F.col(name).bitwiseAND(F.lit(MARKS - 1)).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()

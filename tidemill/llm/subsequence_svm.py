@@ -45,7 +45,7 @@ DECAY, WIDE, LETTERS, MARK = 0.6, 20, 128, 2
 SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 2000, 320, 2500, 2, 30.0
 SAMPLE_BYTES = 64 << 20
 #: A worker keeps at most so many words' margins at once.
-MOST_WORDS = 500_000
+MOST_WORDS = 200_000
 THRESHOLD = 0.7
 
 #: Rounds in which labelled sentences are the examples; a toxic text whose best word is below FAR has no insult that is known.
