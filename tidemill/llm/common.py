@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 #: Edges that a task works on at once, at most, in a step over few edges.
 EDGES = 100_000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -43,21 +44,29 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def tidy(spark: SparkSession) -> Iterator[None]:
-    """Within it, a query's shuffle files go when the query has ended, not when the driver collects its garbage."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def having(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Within it, what runs has this setting."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def tidy(spark: SparkSession):
+    """Within it, a query's shuffle files go when the query has ended, not when the driver collects its garbage."""
+    return having(spark, CLEANUP, "true")
+
 
+def table(df: DataFrame, name: str, batch: int = 1000, codec: str = "snappy") -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors.
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
+    So many rows at most go to a Python worker at once: fewer where rows are large.
+    """
     spark = df.sparkSession
-    with tidy(spark):
-        df.write.parquet(path := scratch(spark, name))
+    with tidy(spark), having(spark, BATCH_ROWS, str(batch)):
+        df.write.option("compression", codec).parquet(path := scratch(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -29,10 +29,10 @@ from tidemill.llm.common import slices, table, texts
 
 LONGEST, LEAST, MOST_PCT, FIRST = 4, 30, 80, 2000
 #: Words of a shard, and bytes of its distinct words, after which another begins.
-SHARD, SHARD_BYTES = 1 << 20, 64 << 20
+SHARD, SHARD_BYTES = 1 << 19, 16 << 20
 #: Words that all languages' open shards of a task hold together.
-OPEN = 3 << 20
-BATCH = 1 << 16
+OPEN = 1 << 20
+BATCH = 1 << 14
 FILTER_BITS = 1 << 26
 SLAB = 1 << 20
 UNKNOWN = "und"
@@ -296,17 +296,17 @@ def _longer(held: DataFrame, words: Filter, pairs: Filter) -> DataFrame:
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", words: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all words and phrases that occur at least LEAST times, and (lang, n) of all words."""
     spark = docs.sparkSession
-    held = table(shards(docs, text, lang, words), "shards")
+    held = table(shards(docs, text, lang, words), "shards", batch=100)
     every = held.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
     summed = table(every.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     totals = summed.groupBy("lang").agg(F.sum("n").alias("n"))
     one = summed.where(F.col("n") >= LEAST)
     known = Filter(spark, one.select(F.xxhash64("lang", "phrase").alias("h")), "h")
-    two = table(_summed(_pairs(held, known)), "pairs")
+    two = table(_summed(_pairs(held, known)), "pairs", batch=1)
     both = F.split("phrase", " ")
     hashed = two.select(F.xxhash64("lang", both[0]).alias("a"), F.xxhash64("lang", both[1]).alias("b"))
     pairs = Filter(spark, hashed.select(F.expr(PAIR.format(a="a", b="b")).alias("h")), "h")
-    more = table(_summed(_longer(held, known, pairs)), "longer")
+    more = table(_summed(_longer(held, known, pairs)), "longer", batch=1)
     sized = lambda df: df.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f"))
     return sized(one.unionByName(two).unionByName(more)), totals
 
