@@ -8,7 +8,8 @@ a shard and one such branch.
 
 Shards are written once. Three passes over them, each adding popcounts over all shards: words; pairs of words that are frequent; triples
 and quadruples that go through frequent pairs alone. What is frequent reaches the workers as a filter of ``FILTER_BITS`` bits, of one size
-however large the corpus is: it lets all frequent ones through and some others, which the exact sums after drop. Counts are of all places;
+however large the corpus is: it lets all frequent ones through and some others, which the exact sums after drop. So pairs are first
+counted by ``HASH_BITS`` bits of their hash, which can only add up to more, and by their words with the longer ones. Counts are of all places;
 a piece longer than a shard goes on in the next one, and the three words that both have count as first words in one.
 
 Null texts are empty; a null lang is ``und``; blank texts, empty pieces and empty tables give nothing. Repeated rows count each time.
@@ -33,7 +34,7 @@ SHARD, SHARD_BYTES = 1 << 19, 16 << 20
 #: Words that all languages' open shards of a task hold together.
 OPEN = 1 << 20
 BATCH = 1 << 14
-FILTER_BITS = 1 << 26
+FILTER_BITS, HASH_BITS = 1 << 26, 40
 SLAB = 1 << 20
 UNKNOWN = "und"
 
@@ -160,29 +161,26 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-_LOW = np.uint64(FILTER_BITS - 1)
+_LOW, _HASH, _UP = np.uint64(FILTER_BITS - 1), np.uint64((1 << HASH_BITS) - 1), np.uint64(HASH_BITS - FILTER_BITS.bit_length() + 1)
 
 
 class Filter:
-    """Which numbers may be known: two bits of each are set."""
+    """Which hashes may be known: two bits of each are set, of its lower and its upper part."""
 
-    def __init__(self, spark: SparkSession, hashes: DataFrame, h: str) -> None:
-        two = F.array(*[F.expr(f"{x} & {FILTER_BITS - 1}") for x in (h, f"shiftrightunsigned({h}, 32)")])
+    def __init__(self, hashes: DataFrame, h: str) -> None:
+        two = F.array(*[F.expr(f"shiftrightunsigned({h}, {n}) & {FILTER_BITS - 1}") for n in (0, int(_UP))])
         bits = hashes.select(F.explode(two).alias("p")).groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("word")).toArrow()
         self.words = np.zeros(FILTER_BITS >> 6, np.uint64)
         self.words[bits["at"].to_numpy()] = bits["word"].to_numpy().view(np.uint64)
 
     def holds(self, h: np.ndarray) -> np.ndarray:
         get = lambda p: self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)
-        return (get(h & _LOW) & get(h >> np.uint64(32) & _LOW)).astype(bool)
+        return (get(h & _LOW) & get(h >> _UP & _LOW)).astype(bool)
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A number for two words in a row; PAIR is the same in SQL."""
-    return a ^ (b >> np.uint64(7)) ^ (b << np.uint64(29))
-
-
-PAIR = "({a} ^ shiftrightunsigned({b}, 7) ^ shiftleft({b}, 29))"
+    """A hash of HASH_BITS bits for two words in a row."""
+    return (a ^ (b >> np.uint64(7)) ^ (b << np.uint64(29))) & _HASH
 
 
 class Shard:
@@ -245,27 +243,23 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: v.values.cast(pa.binary()).to_pylist() if c == "words" else v.as_py() if c == "lang" else v.as_buffer() for c, v in row.items()}
 
 
-def _summed(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-
-
 def _pairs(held: DataFrame, words: Filter) -> DataFrame:
+    """(h, n): how often pairs of each hash occur in a shard."""
     sent = held.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             shard = Shard(row, sent.value)
-            names = pa.array(shard.words, pa.string())
             for word, block, bits in shard.branches():
                 first, second, _, both = shard.extended(word, block, bits)
                 _, a, b, n = shard.counted(first, second, both)
-                if len(n):
-                    yield _told(shard.lang, [names.take(pa.array(a)), names.take(pa.array(b))], n)
+                yield pa.RecordBatch.from_arrays([pa.array(_pair(shard.hashes[a], shard.hashes[b]).view(np.int64)), pa.array(n)], ["h", "n"])
 
-    return held.mapInArrow(run, "lang string, phrase string, n long")
+    return held.mapInArrow(run, "h long, n long")
 
 
 def _longer(held: DataFrame, words: Filter, pairs: Filter) -> DataFrame:
+    """(lang, phrase, n): how often phrases of two to LONGEST words, all of whose pairs pass the filter, occur in a shard."""
     sent = held.sparkSession.sparkContext.broadcast((words, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,28 +281,23 @@ def _longer(held: DataFrame, words: Filter, pairs: Filter) -> DataFrame:
                     line = [first, last] if size == 2 else [*[x[first] for x in line], last]
                     if not len(n):
                         break
-                    if size > 2:
-                        yield _told(shard.lang, [names.take(pa.array(x)) for x in line], n)
+                    yield _told(shard.lang, [names.take(pa.array(x)) for x in line], n)
 
     return held.mapInArrow(run, "lang string, phrase string, n long")
 
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", words: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all words and phrases that occur at least LEAST times, and (lang, n) of all words."""
-    spark = docs.sparkSession
-    held = table(shards(docs, text, lang, words), "shards", batch=100)
+    held = table(shards(docs, text, lang, words), "shards", batch=100, codec="zstd")
     every = held.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
     summed = table(every.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     totals = summed.groupBy("lang").agg(F.sum("n").alias("n"))
     one = summed.where(F.col("n") >= LEAST)
-    known = Filter(spark, one.select(F.xxhash64("lang", "phrase").alias("h")), "h")
-    two = table(_summed(_pairs(held, known)), "pairs", batch=1)
-    both = F.split("phrase", " ")
-    hashed = two.select(F.xxhash64("lang", both[0]).alias("a"), F.xxhash64("lang", both[1]).alias("b"))
-    pairs = Filter(spark, hashed.select(F.expr(PAIR.format(a="a", b="b")).alias("h")), "h")
-    more = table(_summed(_longer(held, known, pairs)), "longer", batch=1)
+    known = Filter(one.select(F.xxhash64("lang", "phrase").alias("h")), "h")
+    often = table(_pairs(held, known).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("h"), "pairs", batch=1)
+    more = table(_longer(held, known, Filter(often, "h")).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST), "longer", batch=1)
     sized = lambda df: df.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("size"), F.col("n").alias("f"))
-    return sized(one.unionByName(two).unionByName(more)), totals
+    return sized(one.unionByName(more)), totals
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", shard: int = SHARD) -> DataFrame:
