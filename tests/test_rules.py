@@ -1,3 +1,4 @@
+import math
 from datetime import datetime, timedelta
 
 import pytest
@@ -154,11 +155,83 @@ def test_bins_are_closed_on_the_right(spark):
     assert [r[0] for r in df.collect()] == [None, 0, 1, 1, None]
 
 
-def test_one_shuffle_serves_duplicates_and_runs(spark):
-    bronze = steps(spark, minutes("2026-01-15T00:00:00", [1, 2])).withColumnRenamed("steps", "heart_rate_bpm")
-    df = clean._single(clean._ruled(bronze, "heart_rate_bpm", S, valid=S.heart_rate_range)).transform(R.flag_stuck, "heart_rate_bpm", 60)
+def test_duplicates_are_combined_before_the_shuffle(spark):
+    """A minute that is repeated many times is a row for each part; of all its rows the flags are counted."""
+    rows = spark.range(20_000).selectExpr("'P001' AS participant_id", "CAST(id % 2 AS string) AS timestamp", "id AS _ordinal", "id % 4 = 0 AS odd").repartition(4)
+    df = R.first_seen(rows, ["participant_id", "timestamp"], ["_ordinal"], ("odd",))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("partial_min_by") > plan.index("Exchange hashpartitioning")  # nearer to the scan, which is printed last
+    assert sorted((r["_ordinal"], r["n_dropped"], r["n_odd"]) for r in df.collect()) == [(0, 9999, 5000), (1, 9999, 0)]
+
+
+def brute_runs(rows, near):
+    """(who, at) -> (run_id, length, start) by going through each participant's rows."""
+    out = {}
+    for who in {r[0] for r in rows}:
+        line = sorted(((at, v) for w, at, v in rows if w == who), key=lambda x: x[0])
+        ids = []
+        for i, (at, v) in enumerate(line):
+            same = i and v is not None and line[i - 1][1] == v and (near is None or at - line[i - 1][0] == near)
+            ids.append(ids[-1] if same else len(set(ids)) + 1)
+        for (at, _), k in zip(line, ids, strict=True):
+            out[who, at] = (k, ids.count(k), ids.index(k) == [a for a, _ in line].index(at))
+    return out
+
+
+@pytest.mark.parametrize("near", [None, 1])
+@pytest.mark.parametrize("width", [None, 1, 7, 64])
+def test_runs_of_a_hot_participant_by_segments(spark, near, width):
+    """90 % of rows are one participant's: runs within, across and over whole segments are those of the whole line."""
+    import random
+
+    rng = random.Random(4)
+    rows, at = [], 0
+    while at < 1800:
+        for _ in range(rng.choice([1, 2, 5, 40, 150])):
+            rows.append(("hot", at, v := rng.choice([1.0, 2.0, None]) if not rows or rng.random() < 0.2 else rows[-1][2]))
+            at += 1 if rng.random() < 0.95 else 3
+    rows += [(w, i, float(i // 9)) for w in ("a", "b", None) for i in range(0, 60, 2 if w == "b" else 1)]
+    df = spark.createDataFrame(rows, "who string, at long, v double").repartition(4)
+    segment = None if width is None else F.floor(F.col("at") / width)
+    step = None if near is None else F.lit(near).cast("long")
+    got = R.runs(df, "v", ["who"], "at", step, segment)
+    assert {(r["who"], r["at"]): (r["run_id"], r["run_length"], r["run_start"]) for r in got.collect()} == brute_runs(rows, near)
+    assert got.columns == ["who", "at", "v", "run_id", "run_length", "run_start"]
+
+
+def test_no_task_has_a_hot_participant(spark):
+    rows = spark.range(60 * 1440).selectExpr("CASE WHEN id % 10 = 0 THEN concat('P', id % 7) ELSE 'hot' END AS participant_id", "TIMESTAMP_NTZ '2026-01-08 00:00:00' + make_dt_interval(0, 0, CAST(id AS int)) AS timestamp", "CAST(id % 1000 < 70 AS double) AS v")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = R.flag_stuck(rows, "v", 60)
+        sizes = [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 60 * 1440 and max(sizes) < 0.4 * sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_erfc(spark):
+    xs = [0.0, 1e-9, 0.1, 0.5, 1.0, 2.0, 2.499, 2.5, 2.501, 3.0, 5.0, 8.0, 20.0, -0.3, -4.0]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    for r in df.select("x", X.erfc(F.col("x")).alias("y")).collect():
+        assert r["y"] is None if r["x"] is None else r["y"] == pytest.approx(math.erfc(r["x"]), rel=1e-11)
+
+
+def test_quantiles_of_groups(spark):
+    rows = [("a", float(i % 37)) for i in range(500)] + [("b", 1.0), ("b", None), (None, 2.0), (None, 5.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(3)
+    got = {(r["g"], r["q"]): r["value"] for r in P.quantiles(df, ["g"], "v", (0.0, 0.3, 0.5, 1.0)).collect()}
+    want = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, (0.0, 0.3, 0.5, 1.0)))).alias("x")).where("x IS NOT NULL").collect()
+    assert got == pytest.approx({(r["g"], q): x for r in want for q, x in zip((0.0, 0.3, 0.5, 1.0), r["x"], strict=True)})
+    assert P.quantiles(df, [], "v", (0.5,)).first()["value"] == df.agg(F.median("v")).first()[0]
+
+
+def test_samples_do_not_depend_on_parts(spark):
+    df = spark.range(500).selectExpr("id", "id % 3 AS x")
+    one, two = (sorted(map(tuple, P.sample(df.repartition(n), 20, ["id"], 5).collect())) for n in (1, 7))
+    assert one == two and len(one) == 20 != len(P.sample(df, 900, ["id"]).collect())
+    assert one != sorted(map(tuple, P.sample(df, 20, ["id"], 6).collect()))
 
 
 def test_stream_agrees_with_batch(spark, tmp_path):

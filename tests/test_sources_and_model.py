@@ -139,3 +139,38 @@ def test_effect_sizes(daily):
     assert (r["welch_t"], r["cohens_d"], r["p_approx"]) == (round(t, 2), round(d, 2), round(math.erfc(abs(t) / math.sqrt(2)), 4))
     assert r["defines_chronotype"] and not r["separates_cohorts"]
     assert out["Total sleep (min)"]["cohens_d"] is None and len(out) == 8
+
+
+ODD_ARRAYS = {
+    "plain": '[{"a": 1, "b": "x"},\n {"a": 2.50}, {"b": null}]',
+    "compact": '[{"a":1},{"a":2}]',
+    "nested": '[{"a": {"x": {"y": 1}}, "b": 2}, {"a": [{"z": 3}, {"z": 4}]}, {}]',
+    "braces in texts": '[{"a": "}{ , } {"}, {"a": "{"}, {"b": "\\"}"}, {"c": "\\\\"}, {"d": "x}"}]',
+    "empty": "[]",
+    "blank": "",
+    "lines": "[\n{\n\"a\": 1\n}\n,\n{\n\"a\": \"né {ß}\"\n}\n]\n",
+}
+
+
+def test_arrays_are_read_in_parts(spark, tmp_path):
+    """Each file's objects and their places, also where files are cut every few bytes."""
+    import json
+
+    for name, text in ODD_ARRAYS.items():
+        (tmp_path / name.replace(" ", "_")).mkdir()
+        (tmp_path / name.replace(" ", "_") / "x.json").write_text(text)
+    (tmp_path / "large").mkdir()
+    (tmp_path / "large" / "x.json").write_text(json.dumps([{"i": i, "t": "{" if i == 977 else "é" * (i % 9)} for i in range(1000)]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (before, "700b", "64b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = files.json_objects(spark, [str(tmp_path / "*" / "x.json")]).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        got = {}
+        for r in rows:
+            got.setdefault(r["_source_uri"].split("/")[-2], []).append((r["_ordinal"], json.loads(r["value"])))
+        for name in [*ODD_ARRAYS, "large"]:
+            text = (tmp_path / name.replace(" ", "_") / "x.json").read_text()
+            assert sorted(got.get(name.replace(" ", "_"), []), key=lambda x: x[0]) == list(enumerate(json.loads(text) if text else [])), (name, size)

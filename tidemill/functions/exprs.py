@@ -28,6 +28,18 @@ def even_round(x: Column, digits: int = 0) -> Column:
     return F.rint(x.cast("double") * F.lit(10.0**digits)) / F.lit(10.0**digits)
 
 
+def erfc(x: Column) -> Column:
+    """The complementary error function, to 1e-12 of itself: the series of erf up to 2.5, the continued fraction beyond."""
+    x = x.cast("double")
+    a = F.abs(x)
+    term = lambda s, k: s["term"] * 2.0 * s["x"] * s["x"] / (2.0 * k + 1.0)
+    start = F.struct(a.alias("x"), a.alias("term"), a.alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(60)), start, lambda s, k: F.struct(s["x"].alias("x"), term(s, k).alias("term"), (s["sum"] + term(s, k)).alias("sum")), lambda s: s["sum"])
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), F.struct(a.alias("x"), a.alias("f")), lambda s, k: F.struct(s["x"].alias("x"), (s["x"] + k / 2.0 / s["f"]).alias("f")), lambda s: s["f"])
+    right = F.when(a <= 2.5, 1.0 - 2.0 / F.sqrt(F.pi()) * F.exp(-a * a) * series).otherwise(F.exp(-a * a) / F.sqrt(F.pi()) / fraction)
+    return F.when(x < 0, 2.0 - right).otherwise(right)
+
+
 def true(x: Column) -> Column:
     """A condition in which unknown is false."""
     return F.coalesce(x, F.lit(False))

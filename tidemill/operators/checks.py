@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,11 +14,15 @@ SCHEMA = "table string, rule string, severity string, n_affected long, detail st
 PREVIEW = 12
 
 
+#: A way to keep a small table that is read more than once: (rows, name) -> the same rows. By itself none.
+Hold = Callable[[DataFrame, str], DataFrame]
+
+
 @dataclass(frozen=True)
 class Check:
     """A rule on the rows of a table: ``n`` is what a row adds to the count (a condition counts one).
 
-    ``spans``, if any, is counted too: its distinct values on the rows that the rule found, in the place of {} in ``detail``.
+    In ``detail`` {} is what the rows' ``parts`` add up to, or how many distinct values ``spans`` has on the rows that the rule found.
     """
 
     rule: str
@@ -27,26 +31,30 @@ class Check:
     detail: str
     always: bool = False
     spans: Column | None = None
+    parts: Column | None = None
 
 
-def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "participant_id") -> DataFrame:
-    """Rows of SCHEMA for the checks that found something, in one pass over ``df``.
+def evaluate(df: DataFrame, table: str, checks: list[Check], who: str = "participant_id", hold: Hold | None = None) -> DataFrame:
+    """Rows of SCHEMA for the checks that found something, from one aggregation of ``df``.
 
-    First the counts are summed for each participant, next to the data; what is shuffled
-    after that has a row for each participant and rule. Only the first names are kept.
+    All counts are summed for each participant and span, next to the data; all that follows is worked out from these sums,
+    a row for each rule that found something on a participant and span. Only the first names are kept.
     """
-    counts = [F.sum(c.n.cast("long")).alias(c.rule) for c in checks]
-    each = df.groupBy(F.col(who).cast("string").alias("who")).agg(*counts)
-    long = each.unpivot("who", [c.rule for c in checks], "rule", "n").where("n > 0")
-    total = long.groupBy("rule").agg(F.sum("n").alias("n_affected"))
-    names = preview(long.where("who IS NOT NULL"), "rule", "who")
-    spans = [df.where(c.n.cast("long") > 0).agg(F.lit(c.rule).alias("rule"), F.count_distinct(c.spans).alias("spans")) for c in checks if c.spans is not None]
+    spans = [c.spans for c in checks if c.spans is not None]
+    if len({str(x) for x in spans}) > 1:
+        raise ValueError("the checks of one evaluation have one kind of span")
+    span = spans[0] if spans else F.lit(None).cast("date")
+    sums = [F.sum(c.n.cast("long")).alias(f"n{i}") for i, c in enumerate(checks)]
+    sums += [F.sum(c.parts.cast("long")).alias(f"p{i}") for i, c in enumerate(checks) if c.parts is not None]
+    each = df.groupBy(F.col(who).cast("string").alias("who"), span.alias("span")).agg(*sums)
+    none = F.lit(None).cast("long")
+    long = each.select("who", "span", F.inline(F.array(*[F.struct(F.lit(c.rule).alias("rule"), F.col(f"n{i}").alias("n"), (none if c.parts is None else F.col(f"p{i}")).alias("parts")) for i, c in enumerate(checks)]))).where("n > 0")
+    long = hold(long, f"counts of {table}") if hold else long
+    total = long.groupBy("rule").agg(F.sum("n").alias("n_affected"), F.coalesce(F.sum("parts"), F.count_distinct("span")).alias("of"))
+    names = preview(long.where("who IS NOT NULL").select("rule", "who").distinct(), "rule", "who")
     known = df.sparkSession.createDataFrame([(c.rule, c.severity, c.detail, c.always) for c in checks], "rule string, severity string, detail string, always boolean")
     both = F.broadcast(known).join(total, "rule", "left").join(names, "rule", "left").where("always OR n_affected > 0")
-    detail = F.col("detail")
-    if spans:
-        both = both.join(reduce(DataFrame.unionByName, spans), "rule", "left")
-        detail = F.replace(detail, F.lit("{}"), F.coalesce(F.col("spans").cast("string"), F.lit("")))
+    detail = F.replace("detail", F.lit("{}"), F.coalesce(F.col("of").cast("string"), F.lit("")))
     return both.select(F.lit(table).alias("table"), "rule", "severity", F.coalesce("n_affected", F.lit(0)).alias("n_affected"), detail.alias("detail"), F.coalesce("names", F.lit("")).alias("participants"))
 
 

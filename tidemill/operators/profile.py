@@ -35,23 +35,47 @@ def profile(df: DataFrame) -> DataFrame:
     return both.select("column", "non_null", "null_pct", F.coalesce("n_unique", F.lit(0)).alias("n_unique"), "min", "max", "mean", F.when(F.col("_named"), F.col("top.v")).alias("mode"))
 
 
-def ranked(df: DataFrame, columns: list[str], quantiles: tuple[float, ...]) -> DataFrame:
-    """(column, q, value): exact interpolated quantiles. Values are counted, sorted by range and numbered by the parts' totals, so
-    no task holds a column; only the parts' totals, a row for each part and column, come together."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-    counts = df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("column", "v").agg(F.count("*").alias("n"))
-    parts = counts.repartitionByRange("column", "v").withColumn("part", F.spark_partition_id())
-    inside = Window.partitionBy("column", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = parts.groupBy("column", "part").agg(F.sum("n").alias("size"))
-    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy("column").orderBy("part")) - F.col("size"))
-    totals = before.groupBy("column").agg(F.sum("size").alias("total"))
-    upto = parts.withColumn("upto", F.sum("n").over(inside)).join(F.broadcast(before.select("column", "part", "before")), ["column", "part"]).withColumn("upto", F.col("upto") + F.col("before"))
-    wanted = totals.select("column", F.explode(F.array(*map(F.lit, quantiles))).alias("q"), ((F.col("total") - 1) * F.col("q")).alias("at"))
+def _interpolated(counts: DataFrame, quantiles: tuple[float, ...]) -> DataFrame:
+    """(g, q, value) of rows (g, v, n): exact interpolated quantiles of each group. Counts are sorted by range and numbered by the parts'
+    totals, so no task holds a group; a group's totals, a row for each part that it is in, are all that comes together."""
+    parts = counts.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id())
+    inside = Window.partitionBy("g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = parts.groupBy("g", "part").agg(F.sum("n").alias("size"))
+    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy("g").orderBy("part")) - F.col("size"))
+    totals = before.groupBy("g").agg(F.sum("size").alias("total"))
+    upto = parts.withColumn("upto", F.sum("n").over(inside)).join(before.select("g", "part", "before"), ["g", "part"]).withColumn("upto", F.col("upto") + F.col("before"))
+    wanted = totals.select("g", F.explode(F.array(*map(F.lit, quantiles))).alias("q"), ((F.col("total") - 1) * F.col("q")).alias("at"))
     # The value at place k is the first that reaches k + 1 rows.
-    spans = wanted.select("column", "q", "at", F.floor("at").alias("lo"), F.ceil("at").alias("hi"))
-    hit = upto.join(F.broadcast(spans), "column").where((F.col("upto") > F.col("lo")) & (F.col("upto") - F.col("n") <= F.col("hi")))
-    ends = hit.groupBy("column", "q").agg(F.first("at").alias("at"), F.first("lo").alias("lo"), F.min("v").alias("a"), F.max("v").alias("b"))
-    return ends.select("column", "q", (F.col("a") + (F.col("at") - F.col("lo")) * (F.col("b") - F.col("a"))).alias("value"))
+    spans = wanted.select("g", "q", "at", F.floor("at").alias("lo"), F.ceil("at").alias("hi"))
+    hit = upto.join(spans, "g").where((F.col("upto") > F.col("lo")) & (F.col("upto") - F.col("n") <= F.col("hi")))
+    ends = hit.groupBy("g", "q").agg(F.first("at").alias("at"), F.first("lo").alias("lo"), F.min("v").alias("a"), F.max("v").alias("b"))
+    return ends.select("g", "q", (F.col("a") + (F.col("at") - F.col("lo")) * (F.col("b") - F.col("a"))).alias("value"))
+
+
+def ranked(df: DataFrame, columns: list[str], quantiles: tuple[float, ...]) -> DataFrame:
+    """(column, q, value): exact interpolated quantiles of whole columns."""
+    pairs = F.array(*[F.struct(F.struct(F.lit(c).alias("column")).alias("g"), F.col(c).cast("double").alias("v")) for c in columns])
+    counts = df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("n"))
+    return _interpolated(counts, quantiles).select("g.column", "q", "value")
+
+
+def quantiles(df: DataFrame, by: list[str], value: str, qs: tuple[float, ...]) -> DataFrame:
+    """The ``by`` columns (none: all rows), q and value: exact interpolated quantiles of each group.
+
+    Nulls in ``by`` are a group; null values don't count, and a group without others has no row. No group's values are gathered.
+    """
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    counts = df.select(group.alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL").groupBy("g", "v").agg(F.count("*").alias("n"))
+    return _interpolated(counts, qs).select(*[F.col("g")[c].alias(c) for c in by], "q", "value")
+
+
+def sample(df: DataFrame, n: int, by: list[str], seed: int = 0) -> DataFrame:
+    """``n`` rows (all, if fewer): those whose ``by`` columns have the least MD5 with the seed, ties by these columns.
+
+    The same rows however the table is parted: each part sends its first ``n``, of which the first stay. Nulls count as empty.
+    """
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *text)), *by).limit(n)
 
 
 def describe(df: DataFrame, columns: list[str], quantiles: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:

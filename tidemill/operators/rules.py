@@ -5,6 +5,8 @@ Order matters: clocks, then minutes, units, values, duplicates, runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,34 +49,68 @@ def null_invalid(df: DataFrame, value: str, sentinels: tuple = (), valid: tuple
     return df.withColumns({"value_was_invalid": bad, value: F.when(~bad, number)})
 
 
-def first_seen(df: DataFrame, keys: list[str], order: list, within: list[str] | None = None) -> DataFrame:
-    """One row for each key: the first in ``order``. Adds n_dropped, the rows that went for it.
+def first_seen(df: DataFrame, keys: list[str], order: list, flags: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each key: the first in ``order``. Adds n_dropped, the rows that went for it, and n_<flag>: of all the key's rows, those with each flag.
 
-    Nulls in a key are equal. With ``within`` (some of the keys) the rows are dealt by those alone,
-    so that windows over them that come after need no shuffle of their own.
+    Nulls in a key are equal. Rows of a key are combined before the shuffle, so that it has one row for each key and part
+    however often a key is repeated. Of rows that ``order`` doesn't tell apart, any one may stay.
     """
-    if within:
-        df = df.repartition(*within)
-    w = Window.partitionBy(*keys)
-    return df.withColumns({"_k": F.row_number().over(w.orderBy(*order)), "n_dropped": F.count("*").over(w) - 1}).where("_k = 1").drop("_k")
+    others = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*others), F.struct(*order)).alias("_first")
+    one = df.groupBy(*keys).agg(first, (F.count("*") - 1).alias("n_dropped"), *[F.count_if(F.col(c)).alias(f"n_{c}") for c in flags])
+    return one.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns], "n_dropped", *[f"n_{c}" for c in flags])
+
+
+def runs(df: DataFrame, value: str, by: list[str], order: str | list[str], step: Column | Callable[[Callable[[str], Column]], Column] | None = None, segment: Column | None = None) -> DataFrame:
+    """Run lengths: adds run_id (from 1), run_length, and run_start on a run's first row.
 
+    A run breaks when the value changes, is null, or (with ``step``) when a row isn't that far from the one before: a distance of the single
+    ``order`` column, or a condition made from the row before's columns. ``order`` tells the rows of a ``by`` apart.
 
-def runs(df: DataFrame, value: str, by: list[str], order: str, step: Column | None = None) -> DataFrame:
-    """Run lengths: adds run_id and run_length. A run breaks when the value changes, is null, or (with ``step``) when a row isn't one step later."""
-    w = Window.partitionBy(*by).orderBy(order)
-    same = F.col(value) == F.lag(value).over(w)
+    With ``segment``, which must not fall as ``order`` rises, a ``by`` is worked on in parts: runs are numbered within each segment, and
+    a row for each segment, with its ends and its number of runs, is what a ``by`` is stitched together from. So no task holds more than
+    a segment's rows, or a row for each segment of a ``by``.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    past = lambda c: F.col(f"_past_{c}")
+    same = past("value") == F.col("_value")
     if step is not None:
-        same = same & (F.col(order) - F.lag(order).over(w) == step)
-    started = df.withColumn("_new", (~X.true(same)).cast("long"))
-    numbered = started.withColumn("run_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
-    return numbered.withColumn("run_length", F.count("*").over(Window.partitionBy(*by, "run_id")))
+        same = same & (step(past) if callable(step) else F.col(order[0]) - past(order[0]) == step)
+    same, behind = X.true(same), [f"_past_{c}" for c in ("value", *order)]
+    # A struct's nulls are equal to each other, in joins too.
+    keyed = df.withColumns({"_value": F.col(value), "_part": F.struct(*by, *([] if segment is None else [segment.alias("_segment")]))})
+    w = Window.partitionBy("_part").orderBy(*order)
+    started = keyed.withColumns({"_past_value": F.lag("_value").over(w), **{f"_past_{c}": F.lag(c).over(w) for c in order}}).withColumn("run_start", ~same).drop(*behind)
+    local = started.withColumn("run_id", F.sum(F.col("run_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    local = local.withColumn("run_length", F.count("*").over(Window.partitionBy("_part", "run_id")))
+    if segment is None:
+        return local.select(*df.columns, "run_id", "run_length", "run_start")
+    row = F.struct(*order, "_value")
+    ends = local.groupBy("_part").agg(F.min(row).alias("_a"), F.max(row).alias("_b"), F.max("run_id").alias("_runs"), F.min_by("run_length", "run_id").alias("_head"), F.max_by("run_length", "run_id").alias("_tail"))
+    whose = [F.col("_part")[c] for c in by]
+    of = Window.partitionBy(*whose).orderBy(F.col("_part._segment"))
+    met = ends.withColumns({"_past": F.lag("_b").over(of), "_value": F.col("_a._value"), **{c: F.col("_a")[c] for c in order}})
+    met = met.withColumns({"_past_value": F.col("_past._value"), **{f"_past_{c}": F.col("_past")[c] for c in order}}).withColumn("_glued", same)
+    met = met.withColumn("_before", F.sum(F.col("_runs") - F.col("_glued").cast("long")).over(of.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_runs"))
+    # The first and the last run of a segment may go on in others: their parts are added up.
+    tail = F.when(F.col("_runs") > 1, F.col("_tail")).otherwise(0)
+    edges = F.array(F.struct(F.lit(0).alias("_end"), (F.col("_before") + 1).alias("_id"), F.col("_head").alias("_n")), F.struct(F.lit(1).alias("_end"), (F.col("_before") + F.col("_runs")).alias("_id"), tail.alias("_n")))
+    whole = met.select("_part", "_before", "_runs", "_glued", F.inline(edges)).withColumn("_n", F.sum("_n").over(Window.partitionBy(*whose, "_id")))
+    at = lambda i: F.max(F.when(F.col("_end") == i, F.col("_n")))
+    stitch = whole.groupBy("_part", "_before", "_runs", "_glued").agg(at(0).alias("_head"), at(1).alias("_tail"))
+    first, last = F.col("run_id") == 1, F.col("run_id") == F.col("_runs")
+    stitched = {"run_length": F.when(first, F.col("_head")).when(last, F.col("_tail")).otherwise(F.col("run_length")), "run_start": F.col("run_start") & ~(first & F.col("_glued")), "run_id": F.col("run_id") + F.col("_before")}
+    return local.join(stitch, "_part").withColumns(stitched).select(*df.columns, "run_id", "run_length", "run_start")
 
 
 def flag_stuck(df: DataFrame, value: str, minutes: int, by: str = "participant_id", order: str = "timestamp") -> DataFrame:
-    """is_stuck: the value didn't move for at least so many minutes in a row, without a gap; stuck_run numbers all of a participant's runs."""
-    step = F.expr("INTERVAL '1' MINUTE")
-    flagged = runs(df, value, [by], order, step).withColumn("is_stuck", X.true((F.col("run_length") >= minutes) & F.col(value).isNotNull()))
-    return flagged.withColumnRenamed("run_id", "stuck_run").drop("run_length")
+    """is_stuck: the value didn't move for at least so many minutes in a row, without a gap; stuck_start: the first row of such a run.
+
+    Worked on by day, so that a participant with most of the rows is in many tasks.
+    """
+    found = runs(df, value, [by], order, F.expr("INTERVAL '1' MINUTE"), F.to_date(order))
+    stuck = X.true((F.col("run_length") >= minutes) & F.col(value).isNotNull())
+    return found.withColumns({"is_stuck": stuck, "stuck_start": stuck & F.col("run_start")}).drop("run_id", "run_length", "run_start")
 
 
 def grid(people: DataFrame, start, end, key: str = "participant_id", name: str = "date") -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,19 +117,11 @@ def effects(m: DataFrame) -> DataFrame:
 
 
 def effect_sizes(people: DataFrame) -> DataFrame:
-    """Which metrics separate the cohorts: large enough, and hardly by chance (normal approximation).
-
-    Cohort B is everyone who isn't A. What is collected is a row for each of TESTED.
-    """
-    found = effects(moments(people, X.true(F.col("chronotype") == "A"), [c for c, _, _ in TESTED])).collect()
-    rows = {r["metric"]: r for r in found}
-    out = []
-    for column, name, timing in TESTED:
-        if (r := rows.get(column)) is None:
-            continue
-        p = math.erfc(abs(r["t"]) / math.sqrt(2)) if r["t"] is not None else None
-        d, t = r["d"], r["t"]
-        separates = d is not None and p is not None and abs(d) >= LEAST_D and p < MOST_P
-        rounded = lambda x, n: None if x is None else round(x, n)
-        out.append((name, timing, round(r["mean_a"], 3), round(r["mean_b"], 3), round(r["diff"], 3), rounded(d, 2), rounded(t, 2), rounded(p, 4), separates))
-    return people.sparkSession.createDataFrame(out, "metric string, defines_chronotype boolean, morning_a_mean double, evening_b_mean double, difference_b_minus_a double, cohens_d double, welch_t double, p_approx double, separates_cohorts boolean")
+    """Which metrics separate the cohorts: large enough, and hardly by chance (normal approximation). Cohort B is everyone who isn't A."""
+    found = effects(moments(people, X.true(F.col("chronotype") == "A"), [c for c, _, _ in TESTED]))
+    names = people.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(TESTED)], "place int, metric string, name string, timing boolean")
+    p = X.erfc(F.abs("t") / F.sqrt(F.lit(2.0)))
+    rounded = lambda c, n, name: X.scaled_round(F.col(c), n).alias(name)
+    columns = [F.col("name").alias("metric"), F.col("timing").alias("defines_chronotype"), rounded("mean_a", 3, "morning_a_mean"), rounded("mean_b", 3, "evening_b_mean"), rounded("diff", 3, "difference_b_minus_a")]
+    columns += [rounded("d", 2, "cohens_d"), rounded("t", 2, "welch_t"), X.scaled_round(p, 4).alias("p_approx"), X.true((F.abs("d") >= LEAST_D) & (p < MOST_P)).alias("separates_cohorts")]
+    return found.join(F.broadcast(names), "metric").orderBy("place").select(*columns)

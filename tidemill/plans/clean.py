@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.conf import Study
 from tidemill.functions import exprs as X
 from tidemill.operators import rules
-from tidemill.operators.checks import Check, evaluate
+from tidemill.operators.checks import Check, Hold, evaluate
 
 #: The names of rules and tables in this module, and the columns of what it builds.
 WHO = "participant_id"
@@ -35,46 +35,55 @@ def _ruled(bronze: DataFrame, value: str, study: Study, sentinels: tuple = (), v
     )
 
 
+#: What the rules mark on a row; each is counted over all landed rows of a minute.
+FLAGS = ("was_utc", "was_unparseable", "was_off_minute", "unit_unknown", "was_rescaled", "value_was_invalid", "has_unit")
+
+
 def _single(ruled: DataFrame) -> DataFrame:
-    return ruled.transform(rules.first_seen, [WHO, "timestamp"], _seen(ruled) or [F.lit(0)], [WHO])
+    marked = ruled.withColumn("has_unit", F.col("unit_raw").isNotNull())
+    return marked.transform(rules.first_seen, [WHO, "timestamp"], _seen(ruled) or [F.lit(0)], FLAGS)
 
 
-def _ruled_checks(ruled: DataFrame, table: str, study: Study) -> DataFrame:
-    """What the rules found on all landed rows, those included that go as duplicates after; summed next to the data."""
-    unit = rules.unit_column(ruled, study.unit_columns)
+def _found(df: DataFrame, study: Study, bronze: DataFrame) -> list[Check]:
+    """What the rules found on all landed rows, those included that go as duplicates after."""
+    unit = rules.unit_column(bronze, study.unit_columns)
+    n = lambda flag: F.col(f"n_{flag}")
     found = [
-        Check("timezone_normalised", "error", F.col("was_utc"), f"UTC clock brought to UTC{study.offset}"),
-        Check("timestamp_unparseable", "error", F.col("was_unparseable"), "timestamp is no ISO 8601 text"),
-        Check("timestamp_snapped_to_minute", "error", F.col("was_off_minute"), "seconds dropped before duplicates go"),
-        Check("unit_unknown", "error", F.col("unit_unknown"), "unit not known: value set to null"),
-        Check("unit_rescaled", "error", F.col("was_rescaled"), "brought to values per minute"),
-        Check("value_out_of_domain", "error", F.col("value_was_invalid"), "impossible value set to null; the minute stays"),
+        Check("timezone_normalised", "error", n("was_utc"), f"UTC clock brought to UTC{study.offset}"),
+        Check("timestamp_unparseable", "error", n("was_unparseable"), "timestamp is no ISO 8601 text"),
+        Check("timestamp_snapped_to_minute", "error", n("was_off_minute"), "seconds dropped before duplicates go"),
+        Check("unit_unknown", "error", n("unit_unknown"), "unit not known: value set to null"),
+        Check("unit_rescaled", "error", n("was_rescaled"), "brought to values per minute"),
+        Check("value_out_of_domain", "error", n("value_was_invalid"), "impossible value set to null; the minute stays"),
+        Check("duplicate_rows_removed", "error", F.col("n_dropped"), "later rows of a participant's minute dropped, on {} day(s); the first seen stays", spans=F.to_date("timestamp")),
     ]
     if unit and unit != study.unit_columns[0]:
-        found.append(Check("unit_field_nonstandard_name", "warn", F.col("unit_raw").isNotNull(), f"the unit stands in {unit}"))
-    return evaluate(ruled, table, found)
-
+        found.append(Check("unit_field_nonstandard_name", "warn", n("has_unit"), f"the unit stands in {unit}"))
+    return found
 
-def _dropped() -> Check:
-    return Check("duplicate_rows_removed", "error", F.col("n_dropped"), "later rows of a participant's minute dropped, on {} day(s); the first seen stays", spans=F.to_date("timestamp"))
 
+def build_steps(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, DataFrame]:
+    """Steps by participant and minute, and checks.
 
-def build_steps(bronze: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
-    """Steps by participant and minute, and checks."""
-    ruled = _ruled(bronze, "steps", study, sentinels=study.steps_sentinels)
-    df = _single(ruled)
-    checks = _ruled_checks(ruled, "silver_steps_minute", study).unionByName(evaluate(df, "silver_steps_minute", [_dropped()]))
+    With ``hold``, which keeps a table, landed rows are scanned once: the cleaned rows are kept with what the rules counted on them,
+    and the table and its checks are read from there.
+    """
+    table = "silver_steps_minute"
+    df = _single(_ruled(bronze, "steps", study, sentinels=study.steps_sentinels))
+    df = hold(df, "steps") if hold else df
+    checks = evaluate(df, table, _found(df, study, bronze), hold=hold)
     out = df.select(WHO, "timestamp", F.to_date("timestamp").alias("date"), X.even_round(F.col("steps")).cast("int").alias("steps"), "unit_raw", "was_rescaled", "was_utc", "was_off_minute", F.col("value_was_invalid").alias("was_sentinel"))
     return out, checks
 
 
-def build_heart_rate(bronze: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
-    """Heart rate by participant and minute, and checks."""
+def build_heart_rate(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, DataFrame]:
+    """Heart rate by participant and minute, and checks; ``hold`` as in build_steps()."""
     table = "silver_heart_rate_minute"
-    ruled = _ruled(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range)
-    df = _single(ruled).transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes)
-    stuck = Check("stuck_sensor_flagged", "error", F.col("is_stuck"), f"{{}} run(s) unchanged for {study.stuck_minutes} minutes or more; kept", spans=F.struct(WHO, "stuck_run"))
-    checks = _ruled_checks(ruled, table, study).unionByName(evaluate(df, table, [_dropped(), stuck]))
+    df = _single(_ruled(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range)).select(WHO, "timestamp", "heart_rate_bpm", "was_utc", "was_off_minute", "value_was_invalid", "n_dropped", *[f"n_{c}" for c in FLAGS])
+    df = (hold(df, "heart rate") if hold else df).transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes)
+    df = hold(df, "stuck heart rate") if hold else df
+    stuck = Check("stuck_sensor_flagged", "error", F.col("is_stuck"), f"{{}} run(s) unchanged for {study.stuck_minutes} minutes or more; kept", parts=F.col("stuck_start"))
+    checks = evaluate(df, table, [*_found(df, study, bronze), stuck], hold=hold)
     bpm = X.even_round(F.col("heart_rate_bpm")).cast("short").alias("heart_rate_bpm")
     out = df.select(WHO, "timestamp", F.to_date("timestamp").alias("date"), bpm, "is_stuck", "was_utc", "was_off_minute", F.col("value_was_invalid").alias("was_out_of_range"))
     return out, checks
@@ -200,7 +209,7 @@ def build_survey(bronze: DataFrame, participants: DataFrame, study: Study, order
     typed = bronze.withColumns({"date": F.col("date").try_cast("date"), **{c: X.number(F.col(c).cast("string")).cast("short") for c in scores}})
     known = participants.select(WHO).distinct().withColumn("_known", F.lit(True))
     df = typed.join(known, WHO, "left").withColumn("_orphan", F.col("_known").isNull())
-    single = df.transform(rules.first_seen, [WHO, "date"], order or _seen(df) or [F.col(c).asc_nulls_last() for c in scores])
+    single = df.transform(rules.first_seen, [WHO, "date"], order or _seen(df) or [x for c in scores for x in (F.col(c).isNull().alias(f"no_{c}"), c)])
     table = "silver_wellness_survey"
     ranges = [Check(f"{c}_out_of_range", "error", X.outside(F.col(c), *study.score_ranges[c]), f"expected {study.score_ranges[c][0]} to {study.score_ranges[c][1]}; kept") for c in scores]
     checks = evaluate(df, table, [*ranges, Check("survey_orphan_participant", "error", F.col("_orphan"), "participant isn't on the roster: quarantined")])

@@ -36,9 +36,9 @@ def _arrays(df: DataFrame, who: str, order: str) -> str:
 
 
 def _csv(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
-    """A CSV in an order of its own, written and read back with each row's place."""
+    """A CSV in an order of its own, in as many parts as sorting has, written and read back with each row's place: the part, and the place in it."""
     path = _scratch(df.sparkSession)
-    df.orderBy(order).coalesce(1).select(*columns).write.csv(path, header=True)
+    df.orderBy(order).select(*columns).write.csv(path, header=True)
     return files.lineage(files.read_csv(df.sparkSession, path, columns, placed=True), "run", AT)
 
 
@@ -73,14 +73,12 @@ ruled AS (
 
 
 @query("""
-SELECT 'participant_id' AS field, count(*) AS n FROM events UNION ALL SELECT 'steps', count(*) FILTER (WHERE value IS NOT NULL OR event_id % 11 = 0) FROM events
-UNION ALL SELECT 'timestamp', count(*) FILTER (WHERE ts IS NOT NULL) FROM events UNION ALL SELECT '_unit', count(*) FROM events WHERE event_id % 5 = 0 AND event_id % 11 <> 0
+SELECT 'participant_id' AS field, count(*) AS n, 'string' AS type FROM events UNION ALL SELECT 'steps', count(*) FILTER (WHERE value IS NOT NULL OR event_id % 11 = 0), 'double' FROM events
+UNION ALL SELECT 'timestamp', count(*) FILTER (WHERE ts IS NOT NULL), 'timestamp' FROM events UNION ALL SELECT '_unit', count(*), 'string' FROM events WHERE event_id % 5 = 0 AND event_id % 11 <> 0
 """)
 def export_landed_fields(events):
-    """How many landed records have each field, of all that any record has."""
-    wide = _columns(_events(events, "steps", "_unit"))
-    names = [c for c in wide.columns if c not in ("_ordinal", "_source_participant_dir", "_source_uri", "_ingested_at", "_run_id")]
-    return wide.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "field", "n")
+    """The fields of landed records: how many have each, and what its values are."""
+    return files.field_types(_events(events, "steps", "_unit"))
 
 
 @query("SELECT printf('P%03d', user_id) AS participant_id, printf('who=P%03d', user_id) AS folder, count(*) AS n, 0 AS first_place, count(*) - 1 AS last_place, 'run' AS run_id, TIMESTAMP '2026-01-01' AS at FROM events GROUP BY user_id")

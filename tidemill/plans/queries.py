@@ -169,7 +169,7 @@ SELECT user_id, hour, event_id, n_dropped FROM (
 """)
 def dedupe_first_seen(events):
     df = events.select("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_id")
-    return df.transform(R.first_seen, ["user_id", "hour"], ["event_id"], ["user_id"]).select("user_id", "hour", "event_id", "n_dropped")
+    return df.transform(R.first_seen, ["user_id", "hour"], ["event_id"]).select("user_id", "hour", "event_id", "n_dropped")
 
 
 @query("""
@@ -188,10 +188,9 @@ r AS (SELECT *, CAST(sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id R
 SELECT user_id, run_id, min(event_type) AS event_type, count(*) AS run_length, min(ts) AS started, max(ts) AS ended, count(*) >= 3 AS is_stuck FROM r GROUP BY user_id, run_id
 """)
 def rle_runs_gap_aware(events):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    near = F.col("ts") - F.lag("ts").over(w) <= F.expr("INTERVAL '6' HOUR")
-    new = (~X.true((F.col("event_type") == F.lag("event_type").over(w)) & near)).cast("long")
-    df = events.withColumn("new", new).withColumn("run_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """Runs of equal events without a gap over 6 hours; a user is worked on by day."""
+    near = lambda past: F.col("ts") - past("ts") <= F.expr("INTERVAL '6' HOUR")
+    df = R.runs(events.select("user_id", "ts", "event_id", "event_type"), "event_type", ["user_id"], ["ts", "event_id"], near, F.to_date("ts"))
     return df.groupBy("user_id", "run_id").agg(F.min("event_type").alias("event_type"), F.count("*").alias("run_length"), F.min("ts").alias("started"), F.max("ts").alias("ended"), (F.count("*") >= 3).alias("is_stuck"))
 
 
@@ -211,8 +210,9 @@ l AS (SELECT user_id, run, count(*) AS n FROM r GROUP BY 1, 2)
 SELECT CAST(CASE WHEN n <= 1 THEN 0 WHEN n <= 2 THEN 1 WHEN n <= 4 THEN 2 ELSE 3 END AS INTEGER) AS bin, count(*) AS runs, CAST(sum(n) AS BIGINT) AS events FROM l GROUP BY 1
 """)
 def rle_runs_plain(events):
-    df = R.runs(events.select("user_id", "event_id", "event_type"), "event_type", ["user_id"], "event_id")
-    each = df.groupBy("user_id", "run_id").agg(F.count("*").alias("n"))
+    """Runs of equal events by length; a user is worked on by 4096 numbers of events at a time."""
+    df = R.runs(events.select("user_id", "event_id", "event_type"), "event_type", ["user_id"], "event_id", segment=F.floor(F.col("event_id") / 4096))
+    each = df.where("run_start").select(F.col("run_length").alias("n"))
     return each.groupBy(P.bins(F.col("n"), [0, 1, 2, 4, 10**9]).alias("bin")).agg(F.count("*").alias("runs"), _n(F.sum("n"), "events"))
 
 
@@ -332,8 +332,8 @@ WITH p AS (SELECT c_nationkey, median(c_acctbal) AS m FROM customer GROUP BY 1),
 SELECT c_nationkey, round(round(m, 6), 3) AS m, round(round(threshold, 6), 3) AS threshold, CASE WHEN m <= threshold THEN 'A' ELSE 'B' END AS side FROM p CROSS JOIN cut
 """)
 def cross_scalar_median_split(customer):
-    p = customer.groupBy("c_nationkey").agg(F.median("c_acctbal").alias("m"))
-    df = p.crossJoin(F.broadcast(p.agg(F.median("m").alias("threshold"))))  # one row
+    p = P.quantiles(customer, ["c_nationkey"], "c_acctbal", (0.5,)).select("c_nationkey", F.col("value").alias("m"))
+    df = p.crossJoin(F.broadcast(P.quantiles(p, [], "m", (0.5,)).select(F.col("value").alias("threshold"))))  # one row
     return df.select("c_nationkey", X.snapped_round(F.col("m"), 3).alias("m"), X.snapped_round(F.col("threshold"), 3).alias("threshold"), F.when(F.col("m") <= F.col("threshold"), "A").otherwise("B").alias("side"))
 
 
@@ -437,10 +437,7 @@ def effect_size_welch(lineitem):
 SELECT metric, round(1 - 2 / sqrt(pi()) * (SELECT sum(CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END * power(x, 2 * k + 1) / (gamma(k + 1) * (2 * k + 1))) FROM generate_series(0, 90) AS g(k)), 4) AS p_approx FROM x""")
 def effect_size_p(lineitem):
     """The p of effect_size_welch, by the complementary error function; a row for each of TESTED. The SQL takes its series."""
-    import math
-
-    rows = [(r["metric"], round(math.erfc(abs(r["t"]) / math.sqrt(2)), 4)) for r in _effects(lineitem).collect()]
-    return lineitem.sparkSession.createDataFrame(rows, "metric string, p_approx double")
+    return _effects(lineitem).select("metric", X.scaled_round(X.erfc(F.abs("t") / F.sqrt(F.lit(2.0))), 4).alias("p_approx"))
 
 
 @query(f"WITH {DAILY} SELECT user_id, date, n_events, total FROM daily ORDER BY total DESC, user_id, date LIMIT 10")
@@ -494,8 +491,9 @@ def describe_exact(lineitem):
 
 @query("SELECT lang, round(quantile_cont(n_chars, 0.01), 4) AS q01, round(quantile_cont(n_chars, 0.5), 4) AS q50, round(quantile_cont(n_chars, 0.99), 4) AS q99 FROM documents GROUP BY lang")
 def quantiles_exact(documents):
-    q = F.percentile("n_chars", F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)))
-    return documents.groupBy("lang").agg(q.alias("q")).select("lang", *[X.scaled_round(F.col("q")[i], 4).alias(n) for i, n in enumerate(("q01", "q50", "q99"))])
+    names = {0.01: "q01", 0.5: "q50", 0.99: "q99"}
+    found = P.quantiles(documents, ["lang"], "n_chars", tuple(names))
+    return found.groupBy("lang").agg(*[X.scaled_round(F.max(F.when(F.col("q") == q, F.col("value"))), 4).alias(n) for q, n in names.items()])
 
 
 @query("SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) AS r FROM lineitem GROUP BY 1")
@@ -635,10 +633,10 @@ def limit_preview(events):
     return events.select("event_id", "user_id", "value").orderBy("event_id").limit(25)
 
 
-@query()
+@query("SELECT * FROM events ORDER BY md5('11|' || event_id), event_id LIMIT 100")
 def sample_rows(events):
-    """A random sample of 100 rows, by a seed."""
-    return events.orderBy(F.rand(11)).limit(100)
+    """A sample of 100 rows, by a seed."""
+    return P.sample(events, 100, ["event_id"], 11)
 
 
 @query("SELECT n_nationkey, n_name FROM nation EXCEPT SELECT n_nationkey, n_name FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE c_acctbal > 9900")
@@ -686,7 +684,7 @@ def parquet_dynamic_overwrite(events):
 
 @query("SELECT user_id, CAST(ts AS DATE) AS date, CAST(sum(round_even(value, 0)) AS BIGINT) AS steps_total, count(*) FILTER (WHERE value > 0) AS active_minutes FROM (SELECT DISTINCT ON (user_id, date_trunc('minute', ts)) * FROM events ORDER BY user_id, date_trunc('minute', ts), event_id) GROUP BY ALL")
 def batch_daily_after_dedupe(events):
-    df = events.withColumn("minute", X.floor_minute(F.col("ts"))).transform(R.first_seen, ["user_id", "minute"], ["event_id"], ["user_id"])
+    df = events.withColumn("minute", X.floor_minute(F.col("ts"))).transform(R.first_seen, ["user_id", "minute"], ["event_id"])
     return df.groupBy("user_id", F.to_date("ts").alias("date")).agg(_n(F.sum(X.even_round(F.col("value"))), "steps_total"), F.count_if(F.col("value") > 0).alias("active_minutes"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 import time
+import uuid
 from datetime import UTC, datetime
 from functools import reduce
 
@@ -50,6 +51,11 @@ def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) ->
     """The cleaned tables, written and read back, and their checks."""
     base, study = files.join(s.target, "silver"), s.study
     checks: list[DataFrame] = []
+    work = files.join(s.target, "_work", uuid.uuid4().hex)
+
+    def hold(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(path := files.join(work, name.replace(" ", "_")))
+        return spark.read.schema(df.schema).parquet(path)
 
     def put(name: str, df: DataFrame) -> DataFrame:
         sinks.write_table(df, base, name, SILVER[name], s.compression, small=name in ("participants", "devices", "wellness_survey"))
@@ -62,10 +68,10 @@ def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) ->
     devices, c = clean.build_devices(bronze["device_metadata"], out["participants"], study)
     out["devices"] = put("devices", devices)
     checks.append(c)
-    steps, c = clean.build_steps(_event_columns(bronze["steps"]), study)
+    steps, c = clean.build_steps(_event_columns(bronze["steps"]), study, hold)
     out["steps_minute"] = put("steps_minute", steps)
     checks.append(c)
-    hr, c = clean.build_heart_rate(_event_columns(bronze["heart_rate"]), study)
+    hr, c = clean.build_heart_rate(_event_columns(bronze["heart_rate"]), study, hold)
     out["heart_rate_minute"] = put("heart_rate_minute", hr)
     checks.append(c)
     good, kept, bad, c = clean.build_sleep(bronze["sleep_sessions"], bronze["sleep_stages"], study)
@@ -79,7 +85,10 @@ def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) ->
     coverage, c = clean.build_coverage(out["participants"], out["steps_minute"], out["heart_rate_minute"], out["sleep_sessions"], out["wellness_survey"], study)
     out["participant_day_coverage"] = put("participant_day_coverage", coverage)
     checks.append(c)
-    return out, reduce(DataFrame.unionByName, checks)
+    found = reduce(DataFrame.unionByName, checks)
+    found = spark.createDataFrame(found.collect(), K.SCHEMA)  # a few rows of each table; what they were made from goes now
+    sinks.remove(spark, work)
+    return out, found
 
 
 def model_all(spark: SparkSession, silver: dict[str, DataFrame], s: Settings) -> dict[str, DataFrame]:

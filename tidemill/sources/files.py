@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.functions.exprs import na_to_null
+from tidemill.functions.exprs import na_to_null, true
 
 
 def join(base: str, *parts: str) -> str:
@@ -43,6 +44,42 @@ def lineage(df: DataFrame, run_id: str, at: datetime) -> DataFrame:
     return df.withColumns({"_source_uri": F.col("_metadata.file_path"), "_ingested_at": F.lit(at).cast("timestamp_ntz"), "_run_id": F.lit(run_id)})
 
 
+#: Parts of files up to which their places are sent to every task: a hundred bytes each.
+FEW_FILES = 50_000
+
+
+def json_objects(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files that hold one JSON array of objects each: a row (value, _source_uri, _ordinal) for each object, as text, with its place in its file.
+
+    A file isn't read as one value: it is cut after every "}", so that a large one is read in parts by many tasks, and an object is what is between
+    two cuts. What was before a part is known from the parts' counts, a row each. Where one cut isn't one object (objects within objects, or
+    braces, backslashes or a lone quote in texts), the file's pieces are put together in their order, by how deep in braces and whether in a text
+    each ends; that sorts such a file in one task, which doesn't hold it. Elements that are no objects are passed over.
+    """
+    raw = spark.read.option("lineSep", "}").text(paths).select("value", F.col("_metadata.file_path").alias("_source_uri"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    count = lambda x, c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
+    braces, opens = count(F.col("value"), "{"), F.col("value").contains("{")
+    odd = (braces > 1) | F.col("value").contains("\\") | (count(F.col("value"), '"') % 2 != 0)
+    parts = raw.groupBy("_source_uri", "_block").agg(F.min("_at").alias("_first"), F.count_if(opens).alias("_objects"), F.count_if(odd | (~opens & F.trim("value").rlike("[^\\[\\],\\s]"))).alias("_odd"))
+    of = Window.partitionBy("_source_uri")
+    parts = parts.withColumns({"_before": F.sum("_objects").over(of.orderBy("_block")) - F.col("_objects"), "_odd": F.sum("_odd").over(of) > 0}).drop("_objects")
+    met = raw.join(F.broadcast(parts) if len(raw.inputFiles()) <= FEW_FILES else parts, ["_source_uri", "_block"])
+    plain = met.where(~F.col("_odd") & opens).select(F.concat(F.regexp_replace("value", r"^[^{]*", ""), F.lit("}")).alias("value"), "_source_uri", (F.col("_before") + F.col("_at") - F.col("_first")).cast("int").alias("_ordinal"))
+    # Pieces in order: quotes before them say whether they begin in a text, braces outside of texts how deep they end.
+    w = Window.partitionBy("_source_uri").orderBy("_block", "_at")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    bare = F.regexp_replace("value", r"(?s)\\.", "")
+    pieces = met.where("_odd").select("_source_uri", "_block", "_at", "value", bare.alias("_bare")).withColumn("_quotes", count(F.col("_bare"), '"')).withColumn("_inside", F.sum("_quotes").over(upto) % 2 == 1)
+    starts_inside = true(F.lag("_inside").over(w))
+    outside = F.regexp_replace(F.concat(F.when(starts_inside, F.lit('"')).otherwise(F.lit("")), F.col("_bare")), r'"[^"]*("|$)', "")
+    pieces = pieces.withColumn("_depth", count(outside, "{") - F.when(F.col("_inside"), 0).otherwise(1))
+    pieces = pieces.withColumn("_ends", (F.sum("_depth").over(upto) == 0) & ~F.col("_inside"))
+    pieces = pieces.withColumn("_ordinal", (F.sum(F.col("_ends").cast("long")).over(upto) - F.col("_ends").cast("long")).cast("int"))
+    texts = pieces.groupBy("_source_uri", "_ordinal").agg(F.bool_or("_ends").alias("_whole"), F.array_sort(F.collect_list(F.struct("_block", "_at", "value"))).alias("p")).where("_whole")
+    joined = F.concat(F.array_join(F.transform("p", lambda x: x["value"]), "}"), F.lit("}"))
+    return plain.unionByName(texts.select(F.regexp_replace(joined, r"^[^{]*", "").alias("value"), "_source_uri", "_ordinal"))
+
+
 def read_records(spark: SparkSession, glob: str, run_id: str, at: datetime, participants=None) -> DataFrame:
     """JSON files that hold one array each, a row for each record.
 
@@ -51,10 +88,10 @@ def read_records(spark: SparkSession, glob: str, run_id: str, at: datetime, part
     folders, and choosing some prunes what is read.
     """
     paths = [glob.replace("*", p) for p in participants] if participants else [glob]
-    files = lineage(spark.read.text(paths, wholetext=True), run_id, at)
-    files = files.withColumn("_source_participant_dir", F.element_at(F.split("_source_uri", "/"), -2))
-    array = F.from_json("value", "array<map<string,string>>")
-    return files.select(F.posexplode(array).alias("_ordinal", "record"), "_source_participant_dir", "_source_uri", "_ingested_at", "_run_id")
+    found = json_objects(spark, paths)
+    record = F.from_json("value", "map<string,string>").alias("record")
+    folder = F.element_at(F.split("_source_uri", "/"), -2).alias("_source_participant_dir")
+    return found.select("_ordinal", record, folder, "_source_uri", F.lit(at).cast("timestamp_ntz").alias("_ingested_at"), F.lit(run_id).alias("_run_id"))
 
 
 def fields(records: DataFrame, names: list[str]) -> DataFrame:
@@ -67,6 +104,14 @@ def field_names(records: DataFrame) -> list[str]:
     return sorted(r[0] for r in records.select(F.explode(F.map_keys("record"))).distinct().collect())
 
 
+def field_types(records: DataFrame) -> DataFrame:
+    """(field, n, type): every field that some record has, how many have a value there, and what all these values are: long, double, boolean, timestamp or string."""
+    each = records.select(F.explode("record").alias("field", "v"))
+    all_ = lambda kind: F.bool_and(F.col("v").try_cast(kind).isNotNull() | F.col("v").isNull())
+    kinds = reduce(lambda rest, kind: F.when(all_(kind), kind).otherwise(rest), ("timestamp", "boolean", "double", "long"), F.lit("string"))
+    return each.groupBy("field").agg(F.count("v").alias("n"), kinds.alias("type"))
+
+
 SLEEP = (
     "array<struct<participant_id: string, date: string, sleep_onset: string, sleep_end: string, efficiency_pct: string, restlessness: string, "
     "stages: array<struct<stage: string, start_time: string, end_time: string, duration_min: string>>>>"

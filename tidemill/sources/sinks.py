@@ -50,6 +50,12 @@ def write_csv(df: DataFrame, uri: str) -> None:
     write_text(df.sparkSession, rows.getvalue(), uri)
 
 
+def remove(spark: SparkSession, uri: str) -> None:
+    """Delete a folder, if it is there."""
+    fs, path = _fs(spark, uri)
+    fs.delete(path, True)
+
+
 def check_writable(spark: SparkSession, uri: str, label: str) -> None:
     """Write a marker and delete it again."""
     marker = join(uri, f"_preflight_{uuid.uuid4().hex}")
