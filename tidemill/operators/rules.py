@@ -61,7 +61,23 @@ def first_seen(df: DataFrame, keys: list[str], order: list, flags: tuple[str, ..
     return one.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns], "n_dropped", *[f"n_{c}" for c in flags])
 
 
-def runs(df: DataFrame, value: str, by: list[str], order: str | list[str], step: Column | Callable[[Callable[[str], Column]], Column] | None = None, segment: Column | None = None) -> DataFrame:
+Step = Column | Callable[[Callable[[str], Column]], Column] | None
+
+
+def _past(name: str) -> Column:
+    """A column of the row before."""
+    return F.col(f"_past_{name}")
+
+
+def _goes_on(order: list[str], step: Step) -> Column:
+    """Whether a row is of the run of the row before."""
+    same = _past("value") == F.col("_value")
+    if step is not None:
+        same = same & (step(_past) if callable(step) else F.col(order[0]) - _past(order[0]) == step)
+    return X.true(same)
+
+
+def runs(df: DataFrame, value: str, by: list[str], order: str | list[str], step: Step = None, segment: Column | None = None, hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run lengths: adds run_id (from 1), run_length, and run_start on a run's first row.
 
     A run breaks when the value changes, is null, or (with ``step``) when a row isn't that far from the one before: a distance of the single
@@ -69,28 +85,31 @@ def runs(df: DataFrame, value: str, by: list[str], order: str | list[str], step:
 
     With ``segment``, which must not fall as ``order`` rises, a ``by`` is worked on in parts: runs are numbered within each segment, and
     a row for each segment, with its ends and its number of runs, is what a ``by`` is stitched together from. So no task holds more than
-    a segment's rows, or a row for each segment of a ``by``.
+    a segment's rows, or a row for each segment of a ``by``. Segments' rows are read twice: ``hold`` may keep them between.
     """
     order = [order] if isinstance(order, str) else list(order)
-    past = lambda c: F.col(f"_past_{c}")
-    same = past("value") == F.col("_value")
-    if step is not None:
-        same = same & (step(past) if callable(step) else F.col(order[0]) - past(order[0]) == step)
-    same, behind = X.true(same), [f"_past_{c}" for c in ("value", *order)]
-    # A struct's nulls are equal to each other, in joins too.
-    keyed = df.withColumns({"_value": F.col(value), "_part": F.struct(*by, *([] if segment is None else [segment.alias("_segment")]))})
-    w = Window.partitionBy("_part").orderBy(*order)
-    started = keyed.withColumns({"_past_value": F.lag("_value").over(w), **{f"_past_{c}": F.lag(c).over(w) for c in order}}).withColumn("run_start", ~same).drop(*behind)
+    parts = [*by] if segment is None else [*by, "_segment"]
+    keyed = df.withColumns({"_value": F.col(value), **({} if segment is None else {"_segment": segment})})
+    w = Window.partitionBy(*parts).orderBy(*order)
+    behind = {"_past_value": F.lag("_value").over(w), **{f"_past_{c}": F.lag(c).over(w) for c in order}}
+    ends = {"_first": F.lag(F.lit(1)).over(w).isNull(), "_last": F.lead(F.lit(1)).over(w).isNull()} if segment is not None else {}
+    started = keyed.withColumns({**behind, **ends}).withColumn("run_start", ~_goes_on(order, step)).drop(*behind)
     local = started.withColumn("run_id", F.sum(F.col("run_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    local = local.withColumn("run_length", F.count("*").over(Window.partitionBy("_part", "run_id")))
-    if segment is None:
-        return local.select(*df.columns, "run_id", "run_length", "run_start")
-    row = F.struct(*order, "_value")
-    ends = local.groupBy("_part").agg(F.min(row).alias("_a"), F.max(row).alias("_b"), F.max("run_id").alias("_runs"), F.min_by("run_length", "run_id").alias("_head"), F.max_by("run_length", "run_id").alias("_tail"))
+    local = local.withColumn("run_length", F.count("*").over(Window.partitionBy(*parts, "run_id")))
+    if segment is not None:
+        local = _stitched(hold(local) if hold else local, by, order, step)
+    return local.select(*df.columns, "run_id", "run_length", "run_start")
+
+
+def _stitched(local: DataFrame, by: list[str], order: list[str], step: Step) -> DataFrame:
+    """Runs that are numbered within segments, numbered and measured over all segments of a ``by``."""
+    part = F.struct(*by, "_segment").alias("_part")  # a struct's nulls are equal to each other, in joins too
+    row, edge = F.struct(*order, "_value"), lambda end: F.max(F.when(F.col(end), F.col("run_length")))
+    ends = local.where("_first OR _last").groupBy(part).agg(F.min(row).alias("_a"), F.max(row).alias("_b"), F.max("run_id").alias("_runs"), edge("_first").alias("_head"), edge("_last").alias("_tail"))
     whose = [F.col("_part")[c] for c in by]
     of = Window.partitionBy(*whose).orderBy(F.col("_part._segment"))
     met = ends.withColumns({"_past": F.lag("_b").over(of), "_value": F.col("_a._value"), **{c: F.col("_a")[c] for c in order}})
-    met = met.withColumns({"_past_value": F.col("_past._value"), **{f"_past_{c}": F.col("_past")[c] for c in order}}).withColumn("_glued", same)
+    met = met.withColumns({"_past_value": F.col("_past._value"), **{f"_past_{c}": F.col("_past")[c] for c in order}}).withColumn("_glued", _goes_on(order, step))
     met = met.withColumn("_before", F.sum(F.col("_runs") - F.col("_glued").cast("long")).over(of.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_runs"))
     # The first and the last run of a segment may go on in others: their parts are added up.
     tail = F.when(F.col("_runs") > 1, F.col("_tail")).otherwise(0)
@@ -99,16 +118,16 @@ def runs(df: DataFrame, value: str, by: list[str], order: str | list[str], step:
     at = lambda i: F.max(F.when(F.col("_end") == i, F.col("_n")))
     stitch = whole.groupBy("_part", "_before", "_runs", "_glued").agg(at(0).alias("_head"), at(1).alias("_tail"))
     first, last = F.col("run_id") == 1, F.col("run_id") == F.col("_runs")
-    stitched = {"run_length": F.when(first, F.col("_head")).when(last, F.col("_tail")).otherwise(F.col("run_length")), "run_start": F.col("run_start") & ~(first & F.col("_glued")), "run_id": F.col("run_id") + F.col("_before")}
-    return local.join(stitch, "_part").withColumns(stitched).select(*df.columns, "run_id", "run_length", "run_start")
+    length = F.when(first, F.col("_head")).when(last, F.col("_tail")).otherwise(F.col("run_length"))
+    return local.withColumn("_part", part).join(stitch, "_part").withColumns({"run_length": length, "run_start": F.col("run_start") & ~(first & F.col("_glued")), "run_id": F.col("run_id") + F.col("_before")})
 
 
-def flag_stuck(df: DataFrame, value: str, minutes: int, by: str = "participant_id", order: str = "timestamp") -> DataFrame:
+def flag_stuck(df: DataFrame, value: str, minutes: int, by: str = "participant_id", order: str = "timestamp", hold: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """is_stuck: the value didn't move for at least so many minutes in a row, without a gap; stuck_start: the first row of such a run.
 
     Worked on by day, so that a participant with most of the rows is in many tasks.
     """
-    found = runs(df, value, [by], order, F.expr("INTERVAL '1' MINUTE"), F.to_date(order))
+    found = runs(df, value, [by], order, F.expr("INTERVAL '1' MINUTE"), F.to_date(order), hold)
     stuck = X.true((F.col("run_length") >= minutes) & F.col(value).isNotNull())
     return found.withColumns({"is_stuck": stuck, "stuck_start": stuck & F.col("run_start")}).drop("run_id", "run_length", "run_start")
 

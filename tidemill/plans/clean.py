@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.conf import Study
 from tidemill.functions import exprs as X
 from tidemill.operators import rules
-from tidemill.operators.checks import Check, Hold, evaluate
+from tidemill.operators.checks import Check, Found, Hold, evaluate
 
 #: The names of rules and tables in this module, and the columns of what it builds.
 WHO = "participant_id"
@@ -39,9 +39,9 @@ def _ruled(bronze: DataFrame, value: str, study: Study, sentinels: tuple = (), v
 FLAGS = ("was_utc", "was_unparseable", "was_off_minute", "unit_unknown", "was_rescaled", "value_was_invalid", "has_unit")
 
 
-def _single(ruled: DataFrame) -> DataFrame:
-    marked = ruled.withColumn("has_unit", F.col("unit_raw").isNotNull())
-    return marked.transform(rules.first_seen, [WHO, "timestamp"], _seen(ruled) or [F.lit(0)], FLAGS)
+def _single(ruled: DataFrame, value: str) -> DataFrame:
+    marked = ruled.withColumn("has_unit", F.col("unit_raw").isNotNull()).select(WHO, "timestamp", value, "unit_raw", *FLAGS, *_seen(ruled))
+    return marked.transform(rules.first_seen, ["timestamp", WHO], _seen(ruled) or [F.lit(0)], FLAGS).drop(*SEEN)
 
 
 def _found(df: DataFrame, study: Study, bronze: DataFrame) -> list[Check]:
@@ -62,26 +62,25 @@ def _found(df: DataFrame, study: Study, bronze: DataFrame) -> list[Check]:
     return found
 
 
-def build_steps(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, DataFrame]:
+def build_steps(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, Found]:
     """Steps by participant and minute, and checks.
 
     With ``hold``, which keeps a table, landed rows are scanned once: the cleaned rows are kept with what the rules counted on them,
     and the table and its checks are read from there.
     """
     table = "silver_steps_minute"
-    df = _single(_ruled(bronze, "steps", study, sentinels=study.steps_sentinels))
+    df = _single(_ruled(bronze, "steps", study, sentinels=study.steps_sentinels), "steps")
     df = hold(df, "steps") if hold else df
     checks = evaluate(df, table, _found(df, study, bronze), hold=hold)
     out = df.select(WHO, "timestamp", F.to_date("timestamp").alias("date"), X.even_round(F.col("steps")).cast("int").alias("steps"), "unit_raw", "was_rescaled", "was_utc", "was_off_minute", F.col("value_was_invalid").alias("was_sentinel"))
     return out, checks
 
 
-def build_heart_rate(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, DataFrame]:
+def build_heart_rate(bronze: DataFrame, study: Study, hold: Hold | None = None) -> tuple[DataFrame, Found]:
     """Heart rate by participant and minute, and checks; ``hold`` as in build_steps()."""
     table = "silver_heart_rate_minute"
-    df = _single(_ruled(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range)).select(WHO, "timestamp", "heart_rate_bpm", "was_utc", "was_off_minute", "value_was_invalid", "n_dropped", *[f"n_{c}" for c in FLAGS])
-    df = (hold(df, "heart rate") if hold else df).transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes)
-    df = hold(df, "stuck heart rate") if hold else df
+    df = _single(_ruled(bronze, "heart_rate_bpm", study, valid=study.heart_rate_range), "heart_rate_bpm").select(WHO, "timestamp", "heart_rate_bpm", "was_utc", "was_off_minute", "value_was_invalid", "n_dropped", *[f"n_{c}" for c in FLAGS])
+    df = df.transform(rules.flag_stuck, "heart_rate_bpm", study.stuck_minutes, hold=(lambda rows: hold(rows, "heart rate")) if hold else None)
     stuck = Check("stuck_sensor_flagged", "error", F.col("is_stuck"), f"{{}} run(s) unchanged for {study.stuck_minutes} minutes or more; kept", parts=F.col("stuck_start"))
     checks = evaluate(df, table, [*_found(df, study, bronze), stuck], hold=hold)
     bpm = X.even_round(F.col("heart_rate_bpm")).cast("short").alias("heart_rate_bpm")
@@ -89,7 +88,7 @@ def build_heart_rate(bronze: DataFrame, study: Study, hold: Hold | None = None)
     return out, checks
 
 
-def build_sleep(sessions: DataFrame, stages: DataFrame, study: Study) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def build_sleep(sessions: DataFrame, stages: DataFrame, study: Study) -> tuple[DataFrame, DataFrame, DataFrame, Found]:
     """Sessions derived from their stages, the stages of those that stay, rejected sessions, and checks."""
     clock = lambda c: X.wall_clock(F.col(c), study.offset)
     g = stages.withColumns({"start_time": clock("start_time"), "end_time": clock("end_time"), "duration_min_stated": X.number(F.col("duration_min").cast("string")), "date": F.col("date").try_cast("date")})
@@ -140,14 +139,14 @@ def build_sleep(sessions: DataFrame, stages: DataFrame, study: Study) -> tuple[D
         ],
     )
     stage = Check("stage_duration_mismatch", "error", F.col("duration_mismatch"), "stages whose stated minutes aren't those between their times; their sessions are rejected")
-    checks = checks.unionByName(evaluate(g, "silver_sleep_stages", [stage]))
+    checks = checks + evaluate(g, "silver_sleep_stages", [stage])
     columns = ["session_key", WHO, "date", "sleep_onset", "sleep_end", "mid_sleep_time", "mid_sleep_hour_signed", "sleep_onset_hour_signed", "total_sleep_min", "time_in_bed_min", "sleep_efficiency_pct", "deep_sleep_pct", "rem_sleep_pct", *[f"{x}_min" for x in study.stages], "restlessness", "efficiency_pct_stated", "n_stages", "stage_order_canonical"]
     good = s.where("reject_reason IS NULL").select(columns)
     kept = g.join(good.select("session_key"), "session_key", "left_semi").select("session_key", WHO, "date", "stage_idx", "stage", "is_asleep", "start_time", "end_time", "duration_min_stated", "duration_min_derived", "duration_mismatch")
     return good, kept, s.where("reject_reason IS NOT NULL").select(*columns, "reject_reason"), checks
 
 
-def build_participants(bronze: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def build_participants(bronze: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, Found]:
     """The roster, one row for each participant (the first in ``order``, by itself the first seen), and checks."""
     whole = lambda c: X.number(F.col(c).cast("string")).cast("int").alias(c)
     df = bronze.transform(rules.first_seen, [WHO], order or _seen(bronze) or ["device_id"])
@@ -159,7 +158,7 @@ def build_participants(bronze: DataFrame, study: Study, order: list[str] | None
             Check("device_id_malformed", "error", ~X.true(F.col("device_id").rlike(study.device_pattern)), "device id has another form"),
         ],
     )
-    checks = malformed.unionByName(evaluate(df, "silver_participants", [Check("duplicate_participant", "error", F.col("n_dropped"), "later rows of a participant dropped")]))
+    checks = malformed + evaluate(df, "silver_participants", [Check("duplicate_participant", "error", F.col("n_dropped"), "later rows of a participant dropped")])
     people, devices = F.count("*"), F.count_distinct("device_id")
     single = df.agg(
         F.lit("silver_participants").alias("table"),
@@ -169,11 +168,11 @@ def build_participants(bronze: DataFrame, study: Study, order: list[str] | None
         F.concat(people.cast("string"), F.lit(" participants, "), devices.cast("string"), F.lit(" distinct devices")).alias("detail"),
         F.lit("").alias("participants"),
     )
-    checks = checks.unionByName(single)
+    checks = checks + single
     return df.select(WHO, "device_id", whole("age"), whole("height_cm"), "gender", "chronotype", whole("max_heart_rate")), checks
 
 
-def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
+def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> tuple[DataFrame, Found]:
     """Devices of known participants, with the firmware's version from the label where it is blank; and checks."""
     label = F.col("device_label")
     in_label = F.nullif(F.regexp_extract(label, study.firmware_pattern, 1), F.lit(""))
@@ -203,7 +202,7 @@ def build_devices(bronze: DataFrame, participants: DataFrame, study: Study) -> t
     return df.where("NOT _orphan").select(WHO, "device_id", "wear_site", "calibration_date", "firmware_version", "firmware_source", "device_model", "device_label"), checks
 
 
-def build_survey(bronze: DataFrame, participants: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def build_survey(bronze: DataFrame, participants: DataFrame, study: Study, order: list[str] | None = None) -> tuple[DataFrame, DataFrame, Found]:
     """Survey answers of known participants by day (the first in ``order``, by itself the first seen), rejected ones, and checks."""
     scores = list(study.score_ranges)
     typed = bronze.withColumns({"date": F.col("date").try_cast("date"), **{c: X.number(F.col(c).cast("string")).cast("short") for c in scores}})
@@ -215,10 +214,10 @@ def build_survey(bronze: DataFrame, participants: DataFrame, study: Study, order
     checks = evaluate(df, table, [*ranges, Check("survey_orphan_participant", "error", F.col("_orphan"), "participant isn't on the roster: quarantined")])
     dropped = evaluate(single, table, [Check("duplicate_survey_response", "error", F.col("n_dropped"), "later answers of a day dropped")])
     rejected = df.where("_orphan").select(WHO, "date", *scores, F.lit("orphan_participant").alias("reject_reason"))
-    return single.where("NOT _orphan").select(WHO, "date", *scores), rejected, checks.unionByName(dropped)
+    return single.where("NOT _orphan").select(WHO, "date", *scores), rejected, checks + dropped
 
 
-def build_coverage(participants: DataFrame, steps: DataFrame, hr: DataFrame, sleep: DataFrame, survey: DataFrame, study: Study) -> tuple[DataFrame, DataFrame]:
+def build_coverage(participants: DataFrame, steps: DataFrame, hr: DataFrame, sleep: DataFrame, survey: DataFrame, study: Study) -> tuple[DataFrame, Found]:
     """Every participant on every day of the study, with what there is of each stream; and checks."""
     by = [WHO, "date"]
     spine = rules.grid(participants, study.start, study.end)
@@ -245,7 +244,7 @@ def build_coverage(participants: DataFrame, steps: DataFrame, hr: DataFrame, sle
     return df, checks
 
 
-def undocumented_fields(records: DataFrame, table: str, study: Study) -> DataFrame:
+def undocumented_fields(records: DataFrame, table: str, study: Study) -> Found:
     """Checks for fields that no document names, with how many participants have each table's."""
     known = F.array(*[F.lit(x) for x in study.documented[table]])
     extra = records.select(F.col("_source_participant_dir").alias("who"), F.explode(F.array_except(F.map_keys("record"), known)).alias("field")).distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import operator
 import sys
 import time
 import uuid
@@ -26,7 +27,7 @@ SILVER = {"participants": (), "devices": (), "steps_minute": ("date",), "heart_r
 GOLD = {"participant_devices": (), "daily_participant_metrics": ("date",), "weekly_participant_summary": (), "chronotype_cohort_metrics": ()}
 
 
-def land(spark: SparkSession, s: Settings, run_id: str, at: datetime) -> tuple[dict[str, DataFrame], DataFrame]:
+def land(spark: SparkSession, s: Settings, run_id: str, at: datetime) -> tuple[dict[str, DataFrame], K.Found]:
     """The export as it is, with lineage; and checks for fields that no document names."""
     events = lambda kind: files.read_records(spark, files.join(s.source, "wearable_events", "*", f"{kind}.json"), run_id, at, s.participants)
     raw = {"steps": events("steps"), "heart_rate": events("heart_rate")}
@@ -36,10 +37,10 @@ def land(spark: SparkSession, s: Settings, run_id: str, at: datetime) -> tuple[d
     out = {}
     for name, df in raw.items():
         by = ("_source_participant_dir",) if name in ("steps", "heart_rate") else ("participant_id",) if name.startswith("sleep") else ()
-        sinks.write_table(df, files.join(s.target, "bronze"), name, by, s.compression, small=not by)
+        sinks.write_table(df, files.join(s.target, "bronze"), name, by, s.compression, small=not by, dealt=bool(by))
         out[name] = files.read_table(spark, files.join(s.target, "bronze"), name)
-    checks = [clean.undocumented_fields(out[k], k, s.study) for k in ("steps", "heart_rate")]
-    return out, reduce(DataFrame.unionByName, checks)
+    steps, heart_rate = (clean.undocumented_fields(out[k], k, s.study) for k in ("steps", "heart_rate"))
+    return out, steps + heart_rate
 
 
 def _event_columns(records: DataFrame) -> DataFrame:
@@ -47,10 +48,10 @@ def _event_columns(records: DataFrame) -> DataFrame:
     return files.fields(records, files.field_names(records))
 
 
-def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) -> tuple[dict[str, DataFrame], DataFrame]:
+def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) -> tuple[dict[str, DataFrame], K.Found]:
     """The cleaned tables, written and read back, and their checks."""
     base, study = files.join(s.target, "silver"), s.study
-    checks: list[DataFrame] = []
+    checks: list[K.Found] = []
     work = files.join(s.target, "_work", uuid.uuid4().hex)
 
     def hold(df: DataFrame, name: str) -> DataFrame:
@@ -85,8 +86,8 @@ def clean_all(spark: SparkSession, bronze: dict[str, DataFrame], s: Settings) ->
     coverage, c = clean.build_coverage(out["participants"], out["steps_minute"], out["heart_rate_minute"], out["sleep_sessions"], out["wellness_survey"], study)
     out["participant_day_coverage"] = put("participant_day_coverage", coverage)
     checks.append(c)
-    found = reduce(DataFrame.unionByName, checks)
-    found = spark.createDataFrame(found.collect(), K.SCHEMA)  # a few rows of each table; what they were made from goes now
+    # A row for each rule that found something: what they were made from goes now.
+    found = K.Found(spark, [], [spark.createDataFrame(reduce(operator.add, checks).collect(), K.SCHEMA)])
     sinks.remove(spark, work)
     return out, found
 
@@ -127,29 +128,29 @@ def run(spark: SparkSession, s: Settings, layers: tuple[str, ...] = LAYERS, run_
     if "bronze" in layers:
         files.check_readable(spark, s.source, "source")
     sinks.check_writable(spark, s.target, "target")
-    checks: list[DataFrame] = []
+    checks = K.Found(spark, [], [])
     bronze = silver = gold = None
     if "bronze" in layers:
         bronze, found = land(spark, s, run_id, at)
-        checks.append(found)
+        checks = checks + found
     if "silver" in layers:
         names = ("steps", "heart_rate", "sleep_sessions", "sleep_stages", "participants", "device_metadata", "wellness_survey")
         bronze = bronze or {n: files.read_table(spark, files.join(s.target, "bronze"), n) for n in names}
         silver, found = clean_all(spark, bronze, s)
-        checks.append(found)
+        checks = checks + found
     if "gold" in layers:
         silver = silver or {n: files.read_table(spark, files.join(s.target, "silver"), n) for n in SILVER}
         gold = model_all(spark, silver, s)
-        checks.append(quality.assertions(spark, silver, gold, s.study))
+        checks = checks + quality.assertions(silver, gold, s.study)
     if "analytics" in layers and gold:
         results = compare(gold)
         for name, df in results.items():
             sinks.write_table(df, files.join(s.target, "gold", "_analytics"), name, compression=s.compression, small=True)
             sinks.write_csv(df, files.join(s.target, "outputs", f"{name}.csv"))
         sinks.write_text(spark, quality.analytics_report(results, run_id), files.join(s.target, "outputs", "analytics_report.md"))
-    if not checks:
+    if not checks.facts and not checks.rows:
         return spark.createDataFrame([], K.SCHEMA)
-    all_ = reduce(DataFrame.unionByName, checks).withColumns({"run_id": F.lit(run_id), "run_at": F.lit(at).cast("timestamp_ntz"), "run_date": F.lit(at.date())})
+    all_ = checks.frame().withColumns({"run_id": F.lit(run_id), "run_at": F.lit(at).cast("timestamp_ntz"), "run_date": F.lit(at.date())})
     sinks.write_table(all_, files.join(s.target, "_dq"), "dq_checks", ("run_date", "run_id"), s.compression)
     kept = files.read_table(spark, files.join(s.target, "_dq"), "dq_checks").where(F.col("run_id").cast("string") == run_id)
     sinks.write_csv(K.by_severity(kept), files.join(s.target, "outputs", "dq_checks.csv"))

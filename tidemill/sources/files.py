@@ -63,8 +63,15 @@ def json_objects(spark: SparkSession, paths: list[str]) -> DataFrame:
     parts = raw.groupBy("_source_uri", "_block").agg(F.min("_at").alias("_first"), F.count_if(opens).alias("_objects"), F.count_if(odd | (~opens & F.trim("value").rlike("[^\\[\\],\\s]"))).alias("_odd"))
     of = Window.partitionBy("_source_uri")
     parts = parts.withColumns({"_before": F.sum("_objects").over(of.orderBy("_block")) - F.col("_objects"), "_odd": F.sum("_odd").over(of) > 0}).drop("_objects")
-    met = raw.join(F.broadcast(parts) if len(raw.inputFiles()) <= FEW_FILES else parts, ["_source_uri", "_block"])
-    plain = met.where(~F.col("_odd") & opens).select(F.concat(F.regexp_replace("value", r"^[^{]*", ""), F.lit("}")).alias("value"), "_source_uri", (F.col("_before") + F.col("_at") - F.col("_first")).cast("int").alias("_ordinal"))
+    few, every = len(raw.inputFiles()) <= FEW_FILES, True
+    if few:  # counted once, and no second look at files of which none is odd
+        rows = parts.collect()
+        every = any(r["_odd"] for r in rows)
+        parts = F.broadcast(spark.createDataFrame(rows, parts.schema))
+    met = raw.join(parts, ["_source_uri", "_block"])
+    plain = met.where(~F.col("_odd") & opens).select(F.concat(F.ltrim("value", F.lit("[, \n\r\t")), F.lit("}")).alias("value"), "_source_uri", (F.col("_before") + F.col("_at") - F.col("_first")).cast("int").alias("_ordinal"))
+    if not every:
+        return plain
     # Pieces in order: quotes before them say whether they begin in a text, braces outside of texts how deep they end.
     w = Window.partitionBy("_source_uri").orderBy("_block", "_at")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from tidemill.sources.files import _fs, join
 
 
-def write_table(df: DataFrame, base: str, table: str, partition_by: tuple[str, ...] = (), compression: str = "zstd", small: bool = False) -> None:
+def write_table(df: DataFrame, base: str, table: str, partition_by: tuple[str, ...] = (), compression: str = "zstd", small: bool = False, dealt: bool = False) -> None:
     """Overwrite a table, or of a partitioned one only the partitions that ``df`` has rows for.
 
     Rows are dealt by partition value and a spread within it, so that a value gets few files
-    and a large one more than one writer. ``small`` tables become a single file.
+    and a large one more than one writer. ``small`` tables become a single file; rows that are ``dealt`` already,
+    such as those of files by partition value, are written where they are.
     """
     writer = (df.coalesce(1) if small else df).write
     if partition_by:
-        writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = (df if dealt else df.hint("rebalance", *partition_by)).write.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite").option("compression", compression).parquet(join(base, table))
 
 
