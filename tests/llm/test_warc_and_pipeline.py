@@ -31,7 +31,7 @@ def test_query_against_sql(spark, data, duck, name):
 
 def test_there_is_one_query_for_each():
     names = list(__spark_entry__.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "packing"]
 
 
@@ -90,6 +90,36 @@ def test_responses_of_a_warc_file(spark, tmp_path):
     assert "source-http: HTTP/1.1 404 Not Found\r\nsource-http: Server: x" in meta["block"] and "WARC-Date: 2020-01-02" in meta["header"]
 
 
+def test_a_block_is_as_long_as_its_header_says(spark, tmp_path):
+    """Pages that speak of records, quote one, or are in another encoding; bytes and digests are the page's own."""
+    import hashlib
+
+    def record(n, payload, http=b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n", length=None):
+        block = http + payload
+        size = len(block) if length is None else length
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{n}>\r\nWARC-Target-URI: http://a/{n}\r\nWARC-Payload-Digest: sha1:X{n}\r\nContent-Length: {size}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    evil = record("evil", b"a page that isn't there")
+    latin = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n"
+    pages = {1: b"The header line is WARC/1.1 and then more", 2: b"quoted:\r\n\r\n" + evil + b"end", 3: "café".encode("latin-1"), 4: b"", 5: b"x" * 3_000_000, 6: b"short"}
+    whole = b"".join(record(n, p, latin) if n == 3 else record(n, p, length=7 if n == 6 else None) for n, p in pages.items()) + record(7, b"last")
+    (tmp_path / "a.warc").write_bytes(whole)
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(record(f"z{n}", p)) for n, p in pages.items()))
+    (tmp_path / "c.warc").write_bytes(record("cut", b"y" * 500)[:-300])
+    (tmp_path / "empty.warc").write_bytes(b"")
+    source = W.read_responses(spark, f"{tmp_path}/*.warc*")
+    rows = {r["record_id"][10:-1]: r for r in source.collect()}
+    assert sorted(rows) == sorted([*map(str, range(1, 8)), *(f"z{n}" for n in pages), "cut"])
+    assert {n for n, r in rows.items() if not r["is_whole"]} == {"6", "cut"}
+    for n, p in pages.items():
+        for name in (str(n), f"z{n}"):
+            assert rows[name]["source_payload_digest"] == f"sha256:{hashlib.sha256(p).hexdigest()}", name
+    assert rows["3"]["payload"] == "café" and rows["2"]["payload"].endswith("end") and rows["7"]["payload"] == "last"
+    meta = {r["refers_to"][10:-1]: r["block"] for r in W.derivatives(source).where("warc_type = 'metadata'").collect()}
+    assert "\r\nsource-warc-payload-digest: sha1:X3\r\n" in meta["3"] and rows["3"]["source_payload_digest"] in meta["3"]
+    assert f"source-length: {len(latin) + 4}\r\n" in meta["3"]
+
+
 def test_odd_pages(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", "<p>" * 50_000), (2, "u", "<p>" * 50_000), (None, "u", "x")], "page_id long, url string, html string")
     out = W.derivatives(W.responses(pages).withColumn("block_digest", F.lit("other")))

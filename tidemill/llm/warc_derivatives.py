@@ -3,7 +3,8 @@
 Both carry WARC-Refers-To with the response's identifier; the metadata record also names the
 conversion, and keeps the source's own headers and digests. Identifiers are name-based
 (from the source's identifier), so a run that is repeated writes the same records. Digests are
-labelled SHA-256 in hex. All of it is DataFrame expressions: no shuffle, no Python.
+labelled SHA-256 in hex. All of it is DataFrame expressions, without a shuffle; only
+WARC files are read by Arrow.
 
 Plain text: scripts, styles and comments go, block tags are line ends, other tags go, the
 entities of ENTITIES are resolved, and white space is folded. A null url or page is empty.
@@ -14,6 +15,12 @@ dates and digests that they have there; pages that come without any (``responses
 
 from __future__ import annotations
 
+import hashlib
+import re
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,41 +91,148 @@ def responses(pages: DataFrame, date: str = DATE) -> DataFrame:
 
 #: What a record's header says by name, as columns.
 FIELDS = {"record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "stated_digest": "WARC-Payload-Digest"}
-_BREAK = "\r\n\r\n"
+_BREAK, _NEXT = b"\r\n\r\n", b"\r\n\r\nWARC/1."
+RECORD = pa.schema([*((c, pa.string()) for c in (*FIELDS, "http_header", "payload", "source_block_digest", "source_payload_digest")), ("source_length", pa.int64()), ("is_whole", pa.bool_())])
+#: Bytes of blocks that go on to Spark at once, and that are unpacked at once.
+ROWS_BYTES, UNPACKED = 8 << 20, 1 << 20
+
+
+class _Bytes:
+    """A file's bytes from front to back, unpacked as they are needed if it is compressed, member after member."""
+
+    def __init__(self, content: pa.Buffer) -> None:
+        self.left, self.held, self.packed = memoryview(content), bytearray(), content[:2].to_pybytes() == b"\x1f\x8b"
+        self.member = None
+
+    def more(self) -> bool:
+        if not len(self.left):
+            return False
+        if not self.packed:
+            self.held += self.left[:UNPACKED]
+            self.left = self.left[UNPACKED:]
+            return True
+        self.member = self.member or zlib.decompressobj(31)
+        taken = self.left[:UNPACKED]
+        try:
+            self.held += self.member.decompress(taken, UNPACKED)
+        except zlib.error:  # a damaged member ends what can be read
+            self.left = self.left[:0]
+            return False
+        rest = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
+        self.left = self.left[len(taken) - len(rest) :]
+        if self.member.eof:
+            self.member = None
+        return True
+
+    def upto(self, n: int) -> bool:
+        """Whether there are so many bytes."""
+        while len(self.held) < n and self.more():
+            pass
+        return len(self.held) >= n
+
+    def find(self, mark: bytes, start: int = 0) -> int:
+        """Where a mark is, or -1."""
+        at = max(0, start)
+        while (i := self.held.find(mark, at)) < 0:
+            at = max(at, len(self.held) - len(mark) + 1)
+            if not self.more():
+                return -1
+        return i
+
+    def drop(self, n: int) -> None:
+        del self.held[:n]
+
+
+def _records(content: pa.Buffer) -> Iterator[tuple[bytes, bytes, bool]]:
+    """(header, block, is_whole) of a file's records. A block has the length that its header states, whatever stands in it. Where no record's
+    end follows that, or no length is stated, the block goes up to the next record's beginning, or the file's end, and isn't whole."""
+    data = _Bytes(content)
+    while True:
+        start = data.find(b"WARC/1.")
+        if start < 0:
+            return
+        data.drop(start)
+        end = data.find(_BREAK)
+        if end < 0:
+            return
+        header, first = bytes(data.held[:end]), end + 4
+        stated = re.search(rb"(?im)^content-length:[ \t]*(\d+)[ \t]*\r?$", header)
+        last = first + int(stated[1]) if stated else -1
+        whole = last >= 0 and data.upto(last)
+        # After a block come two line ends, then the next record or the file's end.
+        if whole and data.upto(last + len(_NEXT)):
+            whole = data.held[last : last + len(_NEXT)] == _NEXT
+        elif whole:
+            whole = data.held[last:].strip(b"\r\n") == b""
+        if not whole:
+            following = data.find(_NEXT, first - 4)
+            while data.upto(len(data.held) + 1) and following < 0:
+                pass
+            last = following if following >= first else len(data.held) if following < 0 else first
+        block = bytes(data.held[first:last])
+        yield header, block if whole or data.held[last:] else block.removesuffix(_BREAK), whole
+        data.drop(last)
+
+
+def _decoded(payload: bytes, http: bytes) -> str:
+    """By the character set that the HTTP header names, else UTF-8; bytes that it doesn't have are replaced."""
+    named = re.search(rb"(?im)^content-type:[^\r\n]*charset=[\"']?([A-Za-z0-9_.:-]+)", http)
+    try:
+        return payload.decode(named[1].decode() if named else "utf-8", "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Response records of WARC files: record_id, target_uri, date, stated_digest, http_header, payload, is_whole.
+    """Response records of WARC files: record_id, target_uri, date, stated_digest, http_header, payload, is_whole, and of the bytes as
+    they are source_block_digest, source_payload_digest and source_length.
 
-    Files are read in parts, by the line that a record begins with; each record of a compressed file is one too. is_whole
-    is false where the block hasn't the length that its header states. Bytes that aren't UTF-8 are replaced.
+    A file is a task's row (so of 2 GB at most), read record by record from its bytes, compressed or not. A block ends where its header's
+    Content-Length says, so what stands in a page begins no record; is_whole is false where that can't be. ``payload`` is text, by the character
+    set of its HTTP header; digests are of the bytes.
     """
-    rows = spark.read.option("lineSep", "WARC/1.").text(path).where("value LIKE '_\r\n%'")
-    at = F.instr("value", _BREAK)
-    rows = rows.where(at > 0).select(F.substring("value", F.lit(1), at + 1).alias("head"), F.expr(f"substring(value, instr(value, '{_BREAK}') + 4)").alias("rest"))
-    field = lambda name: F.trim(F.regexp_extract("head", f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1))
-    rows = rows.where(F.lower(field("WARC-Type")) == "response")
-    length = field("Content-Length").try_cast("long")
-    rows = rows.select(*[field(v).alias(k) for k, v in FIELDS.items()], F.regexp_replace("rest", f"{_BREAK}$", "").alias("block"), length.alias("length"))
-    inner = F.expr(f"instr(block, '{_BREAK}')")
-    header = F.when(inner > 0, F.expr(f"substring(block, 1, instr(block, '{_BREAK}') + 3)")).otherwise("")
-    payload = F.when(inner > 0, F.expr(f"substring(block, instr(block, '{_BREAK}') + 4)")).otherwise(F.col("block"))
-    return rows.select(*FIELDS, header.alias("http_header"), payload.alias("payload"), (F.octet_length("block") == F.col("length")).alias("is_whole"))
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for header, block, whole in _records(batch["content"][i].as_buffer()):
+                    field = lambda name, header=header: (m[1].strip().decode("utf-8", "replace") if (m := re.search(rb"(?im)^" + name.encode() + rb":[ \t]*([^\r\n]*)", header)) else "")
+                    if field("WARC-Type").lower() != "response":
+                        continue
+                    cut = block.find(_BREAK)
+                    http, payload = (block[: cut + 4], block[cut + 4 :]) if cut >= 0 else (b"", block)
+                    digests = [f"sha256:{hashlib.sha256(x).hexdigest()}" for x in (block, payload)]
+                    rows.append((*map(field, FIELDS.values()), http.decode("utf-8", "replace"), _decoded(payload, http), *digests, len(block), whole))
+                    held += len(block)
+                    if held >= ROWS_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), RECORD.types, strict=True)], schema=RECORD)
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), RECORD.types, strict=True)], schema=RECORD)
+
+    kinds = {pa.string(): "string", pa.int64(): "long", pa.bool_(): "boolean"}
+    return files.mapInArrow(run, ", ".join(f"{f.name} {kinds[f.type]}" for f in RECORD))
 
 
 def derivatives(source: DataFrame) -> DataFrame:
     """Two rows for each response record; its other columns stay.
 
     warc_type, record_id, refers_to, header (of the WARC record), block, block_digest, content_length.
-    The whole record is header, block and two line ends.
+    The whole record is header, block and two line ends. Digests and length of the source are those of its bytes where it has them
+    (read_responses()), else of its text; a digest that the source states itself is kept beside them.
     """
+    whole = F.concat("http_header", "payload")
+    of_source = lambda name, made: F.col(name) if name in source.columns and "is_whole" in source.columns else made
     source = source.withColumn("text", plain_text(F.col("payload"))).withColumn("conversion_id", urn(F.concat("record_id", F.lit("#conversion"))))
     title = F.regexp_replace(F.regexp_extract("payload", "(?is)<title[^>]*>([^<]*)</title", 1), F.lit("[ \\t\\r\\n]+"), F.lit(" "))
     fields = F.concat(
         *[F.lit("conversion: "), F.col("conversion_id")],
-        *[F.lit("\r\nsource-block-digest: "), labelled(F.concat("http_header", "payload"))],
-        *[F.lit("\r\nsource-payload-digest: "), labelled(F.col("payload"))],
-        *[F.lit("\r\nsource-length: "), F.octet_length(F.concat("http_header", "payload")).cast("string")],
+        *[F.lit("\r\nsource-block-digest: "), of_source("source_block_digest", labelled(whole))],
+        *[F.lit("\r\nsource-payload-digest: "), of_source("source_payload_digest", labelled(F.col("payload")))],
+        *[F.lit("\r\nsource-length: "), of_source("source_length", F.octet_length(whole)).cast("string")],
+        *([F.when(F.col("stated_digest") != "", F.concat(F.lit("\r\nsource-warc-payload-digest: "), F.col("stated_digest"))).otherwise("")] if "stated_digest" in source.columns else []),
         *[F.lit("\r\nlanguage: "), F.regexp_extract("payload", '(?is)<html[^>]* lang="([A-Za-z-]*)"', 1)],
         *[F.lit("\r\ntitle: "), title],
         # The source's headers, one field a line, each under a name of its own.
