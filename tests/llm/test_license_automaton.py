@@ -118,3 +118,16 @@ def test_chains_take_any_place_of_a_template():
         assert (s.at, s.to, s.matched) == span
     two = a.scan(b"a b c d e f g h " + b"z " * 40 + b"a b c d i j k l").spans
     assert [(s.start, s.end) for s in two] == [(0, 8), (48, 56)]
+
+
+def test_many_matches_take_time_in_proportion():
+    """Notices repeated without end: the spans are those of one, over and over, and the time is the text's."""
+    import time
+
+    made = L.automaton()
+    unit = (" ".join(t for _, t in L.TEMPLATES) + " foo ").encode()
+    one = made.scan(unit)
+    began = time.process_time()
+    many = made.scan(unit * 400)
+    assert time.process_time() - began < 30
+    assert len(many.spans) >= 400 * (len(one.spans) - 2) and {s.template for s in many.spans} == {s.template for s in one.spans}

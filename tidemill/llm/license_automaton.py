@@ -16,8 +16,9 @@ span's matched words up to 1 at ``SURE``. Repeated rows give equal results.
 from __future__ import annotations
 
 import functools
+from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -203,9 +204,24 @@ class Automaton:
                     nodes.setdefault(t, []).extend(Span(t, end - l, end, to - l, to, l) for to in places)
         found = [s for t, own in nodes.items() for s in self._best(own) if s.matched >= min(COVERED, self.sizes[t])]
         out: list[Span] = []
-        for s in sorted(found, key=lambda s: (-s.matched, s.template, s.start)):
-            if not any(k.start <= s.start and s.end <= k.end and k.matched > s.matched for k in out):
-                out.append(s)
+        # The better spans that lie in no other: by rising starts, so by rising ends.
+        starts: list[int] = []
+        ends: list[int] = []
+
+        def cover(s: Span) -> None:
+            i = bisect_right(starts, s.start)
+            if i and ends[i - 1] >= s.end:
+                return
+            first = i - 1 if i and starts[i - 1] == s.start else i
+            last = bisect_right(ends, s.end)
+            starts[first : max(first, last)], ends[first : max(first, last)] = [s.start], [s.end]
+
+        for _, equal in groupby(sorted(found, key=lambda s: (-s.matched, s.template, s.start)), key=lambda s: s.matched):
+            held = lambda s: (i := bisect_right(starts, s.start)) > 0 and ends[i - 1] >= s.end
+            new = [s for s in equal if not held(s)]
+            for s in new:
+                cover(s)
+            out += new
         return sorted(out, key=lambda s: (s.start, s.template))
 
     def _best(self, nodes: list[Span]) -> list[Span]:
@@ -226,6 +242,8 @@ class Automaton:
                 if over < x.matched and y.end < x.end and y.to < x.to and 0 <= gap <= GAP and x.start + over - y.end <= GAP and score[j] + x.matched - over > score[i]:
                     score[i], back[i] = score[j] + x.matched - over, j
         used, out = [False] * len(nodes), []
+        starts: list[int] = []  # of ``out``, whose spans don't overlap
+        ends: list[int] = []
         for i in sorted(range(len(nodes)), key=lambda i: (-score[i], i)):
             chain, j = [], i
             while j >= 0 and not used[j]:
@@ -237,7 +255,10 @@ class Automaton:
                 used[j] = True
             first, last = nodes[chain[-1]], nodes[i]
             new = Span(last.template, first.start, last.end, first.at, last.to, score[i])
-            if not any(k.start < new.end and new.start < k.end for k in out):
+            i = bisect_right(starts, new.start)
+            if not (i and ends[i - 1] > new.start) and not (i < len(starts) and starts[i] < new.end):
+                starts.insert(i, new.start)
+                ends.insert(i, new.end)
                 out.append(new)
         return out
 
