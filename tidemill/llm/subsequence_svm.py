@@ -205,14 +205,20 @@ def probability(x: np.ndarray, curve: np.ndarray) -> np.ndarray:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 50) -> np.ndarray:
-    """Newton's method; both labels weigh alike."""
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = probability(x, w)
-        gradient = x.T @ (weight * (p - y)) + penalty * w
-        w -= np.linalg.solve((x.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ x + penalty * np.eye(len(w)), gradient)
-    return w
+    """Newton's method; the rarer label weighs more by the root of how much rarer it is. But for the first, no weight is under 0: a
+    worse word never makes a text better."""
+    ones, zeros = max(1, (y == 1).sum()), max(1, (y == 0).sum())
+    weight = np.where(y == 1, (zeros / ones) ** 0.5, 1.0)
+    free = np.ones(x.shape[1], bool)
+    while True:
+        own, w = x[:, free], np.zeros(x.shape[1])
+        for _ in range(rounds):
+            p = probability(x, w)
+            gradient = own.T @ (weight * (p - y)) + penalty * w[free]
+            w[free] -= np.linalg.solve((own.T * (weight * np.maximum(p * (1 - p), 1e-6))) @ own + penalty * np.eye(free.sum()), gradient)
+        if (w[1:] >= 0).all():
+            return w
+        free[1 + int(np.argmin(w[1:]))] = False
 
 
 def linear_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = COST, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -301,16 +307,18 @@ def train(found: list[bytes], y: np.ndarray, landmarks: int = LANDMARKS, rounds:
     half = landmarks // 2
     marks = [*seeds[:half], *clean[:half]]
     model = None
-    known: dict[bytes, Vector] = {}
+    known: dict[bytes, list[Vector]] = {}
 
     def margins_of(model: Model, some: list[bytes]) -> np.ndarray:
         return np.concatenate([Scorer(model).margins(some[j : j + 20_000]) for j in range(0, len(some), 20_000)])
 
     def vectors(of: list[bytes]) -> list[Vector]:
+        """A word longer than a window stands for the window that is worst by the machine so far, as in scoring."""
         for w in of:
             if w not in known:
-                known[w] = features((coded(w) or [[1, 1]])[0])
-        return [known[w] for w in of]
+                known[w] = [features(x) for x in coded(w) or [[1, 1]]]
+        value = lambda f: 0.0 if model is None else float(f.values @ model.table[f.keys])
+        return [max(known[w], key=value) if len(known[w]) > 1 else known[w][0] for w in of]
 
     def machine(words_: list[bytes], y_words: np.ndarray, weight: np.ndarray) -> Model:
         base = vectors(marks)
@@ -385,14 +393,13 @@ def fitted(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int = 1, sam
         return rows.join(F.broadcast(ids), F.col("doc_id") == F.col("chosen"), "left_semi")
 
     sizes = of([*chosen]).select("doc_id", F.octet_length("text").alias("size"), F.xxhash64("text").alias("h")).orderBy(*order[:2], "h").limit(4 * sample).collect()
-    upto, total = 0, 0
-    for r in sizes:
-        total += r["size"]
-        if total > most_bytes:
-            break
-        upto += 1
-    wanted = {r["doc_id"] for r in sizes[:upto]}
-    found = of([*wanted]).orderBy(*order).limit(upto).collect()
+    wanted, total = set(), 0
+    for r in sizes:  # a text over what is left of the bound is passed by, not the end
+        if total + r["size"] <= most_bytes:
+            total += r["size"]
+            wanted.add((r["doc_id"], r["h"]))
+    keys = spark.createDataFrame([*wanted] or [(-1, 0)], "chosen long, hash long")
+    found = rows.join(F.broadcast(keys), (F.col("doc_id") == F.col("chosen")) & (F.xxhash64("text") == F.col("hash")), "left_semi").orderBy(*order).limit(4 * sample).collect()
     labelled = sorted(((r["doc_id"], r["text"].encode()) for r in found if r["doc_id"] in chosen))
     return train([x for _, x in labelled], np.array([chosen[k] for k, _ in labelled], int))
 
