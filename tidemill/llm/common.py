@@ -59,6 +59,14 @@ def tidy(spark: SparkSession):
     return having(spark, CLEANUP, "true")
 
 
+def few_at_once(spark: SparkSession, rows: int = 1000) -> None:
+    """From here on at most so many rows go to a Python worker at once, so that whole texts of many rows aren't held beside each other.
+
+    It stays set, as a stage's rows are made after the stage has returned.
+    """
+    spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def table(df: DataFrame, name: str, batch: int = 1000, codec: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors.
 
