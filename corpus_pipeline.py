@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import remove, scratch
+from tidemill.llm.common import few_at_once, remove, scratch
 from tidemill.llm.harmonic_packing import packed_words
 from tidemill.llm.pivot_simhash import one_of_each
 from tidemill.llm.streaming_dedup import without_duplicates
@@ -21,8 +21,11 @@ from tidemill.llm.subsequence_svm import THRESHOLD, fitted, toxicity
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under the threshold; the machine learns from the labels that ``docs`` has rows for."""
     model = fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity(docs, model, name="__toxicity")
-    return scored.where(F.col("__toxicity") < THRESHOLD).drop("__toxicity")
+    few_at_once(spark)
+    name = "__toxicity"
+    while name in docs.columns:
+        name += "_"
+    return toxicity(docs, model, name=name).where(F.col(name) < THRESHOLD).drop(name)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece of each document."""
+    few_at_once(spark)
     return packed_words(docs)
 
 
