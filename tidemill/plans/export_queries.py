@@ -123,14 +123,30 @@ def export_steps_checks(events):
 
 
 @query(f"""
-WITH {RULED}
-SELECT participant_id, timestamp, CAST(timestamp AS DATE) AS date, CAST(CASE WHEN v BETWEEN 20 AND 250 THEN round_even(v, 0) END AS SMALLINT) AS heart_rate_bpm,
-       was_utc, was_off_minute, NOT (v BETWEEN 20 AND 250) AS was_out_of_range
-FROM ruled WHERE k = 1
+WITH {RULED}, one AS (SELECT *, CASE WHEN v BETWEEN 20 AND 250 THEN v END AS bpm FROM ruled WHERE k = 1),
+g AS (SELECT *, CASE WHEN bpm = lag(bpm) OVER w AND timestamp - lag(timestamp) OVER w = INTERVAL 1 MINUTE THEN 0 ELSE 1 END AS new FROM one WINDOW w AS (PARTITION BY participant_id ORDER BY timestamp)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY participant_id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT participant_id, timestamp, CAST(timestamp AS DATE) AS date, CAST(round_even(bpm, 0) AS SMALLINT) AS heart_rate_bpm, was_utc, was_off_minute, NOT (v BETWEEN 20 AND 250) AS was_out_of_range,
+       bpm IS NOT NULL AND count(*) OVER (PARTITION BY participant_id, run) >= 60 AS is_stuck
+FROM r
 """)
 def export_heart_rate(events):
     """Heart rates from their landed records; the unit's field has its documented name."""
-    return clean.build_heart_rate(_columns(_events(events, "heart_rate_bpm", "unit")), STUDY)[0].drop("is_stuck")
+    return clean.build_heart_rate(_columns(_events(events, "heart_rate_bpm", "unit")), STUDY)[0]
+
+
+@query(f"""
+WITH {RULED}, found AS (
+  SELECT 'timezone_normalised' AS rule, 'error' AS severity, count(*) FILTER (WHERE was_utc) AS n_affected FROM ruled
+  UNION ALL SELECT 'timestamp_snapped_to_minute', 'error', count(*) FILTER (WHERE was_off_minute) FROM ruled
+  UNION ALL SELECT 'unit_rescaled', 'error', count(*) FILTER (WHERE was_rescaled) FROM ruled
+  UNION ALL SELECT 'value_out_of_domain', 'error', count(*) FILTER (WHERE NOT (v BETWEEN 20 AND 250)) FROM ruled
+  UNION ALL SELECT 'duplicate_rows_removed', 'error', count(*) FILTER (WHERE k > 1) FROM ruled)
+SELECT * FROM found WHERE n_affected > 0
+""")
+def export_heart_rate_checks(events):
+    """What the rules found on all landed heart rates."""
+    return clean.build_heart_rate(_columns(_events(events, "heart_rate_bpm", "unit")), STUDY)[1].select("rule", "severity", "n_affected")
 
 
 @query("""
@@ -218,7 +234,7 @@ def export_sleep_stages(conversations):
     return _nights(conversations)[1].select("session_key", F.col("stage_idx").cast("long").alias("stage_idx"), "stage", "is_asleep", "duration_min_derived")
 
 
-def _roster(customer: DataFrame) -> DataFrame:
+def _roster(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = customer.select(
         "c_custkey",
         _who(F.col("c_custkey") % 90).alias("participant_id"),
@@ -229,7 +245,7 @@ def _roster(customer: DataFrame) -> DataFrame:
         F.when(F.col("c_nationkey") % 2 == 0, "A").otherwise("B").alias("chronotype"),
         F.lit("n/a").alias("max_heart_rate"),
     )
-    return clean.build_participants(_csv(rows, "c_custkey", PARTICIPANTS), STUDY)[0]
+    return clean.build_participants(_csv(rows, "c_custkey", PARTICIPANTS), STUDY)
 
 
 ROSTER = """
@@ -243,10 +259,20 @@ roster AS (SELECT * FROM (
 @query(f"WITH {ROSTER} SELECT * EXCLUDE (k) FROM roster")
 def export_participants(customer):
     """The roster from its CSV: of a participant's rows, the first in the file."""
-    return _roster(customer)
+    return _roster(customer)[0]
+
+
+@query("""
+SELECT 'duplicate_participant' AS rule, 'error' AS severity, count(*) - count(DISTINCT c_custkey % 90) AS n_affected, '' AS detail FROM customer HAVING count(*) > count(DISTINCT c_custkey % 90)
+UNION ALL SELECT 'participant_device_one_to_one', 'info', 0, count(DISTINCT c_custkey % 90) || ' participants, ' || count(DISTINCT c_custkey % 90) || ' distinct devices' FROM customer
+""")
+def export_participants_checks(customer):
+    """Repeated participants, and whether each has a device of its own."""
+    found = _roster(customer)[1].select("rule", "severity", "n_affected", "detail")
+    return found.withColumn("detail", F.when(F.col("severity") == "info", F.col("detail")).otherwise(""))
 
 
-def _devices(supplier: DataFrame, people: DataFrame) -> DataFrame:
+def _devices(supplier: DataFrame, people: DataFrame) -> tuple[DataFrame, DataFrame]:
     nation = F.col("s_nationkey").cast("string")
     rows = supplier.select(
         "s_suppkey",
@@ -257,7 +283,7 @@ def _devices(supplier: DataFrame, people: DataFrame) -> DataFrame:
         F.when(F.col("s_suppkey") % 4 == 0, "").otherwise(F.concat(F.lit("1.0."), nation)).alias("firmware_version"),
         F.concat(F.lit("Band "), nation, F.lit(" · fw1.0."), F.when(F.col("s_suppkey") % 5 == 0, "99").otherwise(nation)).alias("device_label"),
     )
-    return clean.build_devices(_csv(rows, "s_suppkey", DEVICES), people, STUDY)[0]
+    return clean.build_devices(_csv(rows, "s_suppkey", DEVICES), people, STUDY)
 
 
 DEVICES_SQL = f"""
@@ -272,7 +298,20 @@ DEVICES_SQL = f"""
 @query(f"WITH {DEVICES_SQL} SELECT * FROM devices")
 def export_devices(customer, supplier):
     """Devices of known participants; a blank version comes from the label."""
-    return _devices(supplier, _roster(customer))
+    return _devices(supplier, _roster(customer)[0])[0]
+
+
+@query(f"""
+WITH {ROSTER}, found AS (
+  SELECT 'firmware_label_conflict' AS rule, 'error' AS severity, count(*) FILTER (WHERE s_suppkey % 5 = 0 AND s_suppkey % 4 <> 0) AS n_affected FROM supplier
+  UNION ALL SELECT 'firmware_backfilled_from_label', 'warn', count(*) FILTER (WHERE s_suppkey % 4 = 0) FROM supplier
+  UNION ALL SELECT 'calibration_after_study_start', 'error', count(*) FILTER (WHERE s_suppkey % 6 = 0) FROM supplier
+  UNION ALL SELECT 'device_orphan_participant', 'error', count(*) FILTER (WHERE printf('P%03d', s_suppkey) NOT IN (SELECT participant_id FROM roster)) FROM supplier)
+SELECT * FROM found WHERE n_affected > 0
+""")
+def export_devices_checks(customer, supplier):
+    """Conflicts and gaps of versions, late calibrations and devices of nobody, over all landed rows."""
+    return _devices(supplier, _roster(customer)[0])[1].select("rule", "severity", "n_affected")
 
 
 @query(f"""
@@ -281,8 +320,8 @@ SELECT r.participant_id, r.chronotype AS chronotype_declared, d.device_model, d.
 """)
 def export_participant_devices(customer, supplier):
     """The roster with its devices: nobody goes who has none."""
-    people = _roster(customer)
-    return model.participant_devices(people, _devices(supplier, people)).select("participant_id", "chronotype_declared", "device_model", "firmware_version")
+    people = _roster(customer)[0]
+    return model.participant_devices(people, _devices(supplier, people)[0]).select("participant_id", "chronotype_declared", "device_model", "firmware_version")
 
 
 def _survey(orders: DataFrame, customer: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -292,7 +331,7 @@ def _survey(orders: DataFrame, customer: DataFrame) -> tuple[DataFrame, DataFram
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
         *[(F.col("o_orderkey") % k).cast("string").alias(c) for c, k in zip(SURVEY[2:], (7, 5, 12, 6), strict=True)],
     )
-    return clean.build_survey(_csv(rows, "o_orderkey", SURVEY), _roster(customer), STUDY)
+    return clean.build_survey(_csv(rows, "o_orderkey", SURVEY), _roster(customer)[0], STUDY)
 
 
 ANSWERS = f"""

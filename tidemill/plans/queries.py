@@ -682,6 +682,52 @@ def parquet_dynamic_overwrite(events):
     return read_table(spark, base, "days").select("date", "n", "written")
 
 
+@query("SELECT n_regionkey, count(*) AS n FROM nation GROUP BY 1")
+def overwrite_whole_table(nation):
+    """A table without partitions has the last write's rows alone."""
+    from tidemill.sources.files import read_table
+    from tidemill.sources.sinks import write_table
+
+    base = _scratch(nation.sparkSession)
+    write_table(nation.select("n_nationkey"), base, "counts")
+    write_table(nation.groupBy("n_regionkey").agg(F.count("*").alias("n")), base, "counts")
+    return read_table(nation.sparkSession, base, "counts")
+
+
+@query("SELECT s_suppkey, s_acctbal, 'negative_balance' AS reject_reason FROM supplier WHERE s_acctbal < 0")
+def quarantine_sink(supplier):
+    """Rejected rows with the reason, read back from quarantine; a table without any has no folder there."""
+    from tidemill.sources.files import exists, join, read_table
+    from tidemill.sources.sinks import write_quarantine
+
+    spark, base = supplier.sparkSession, _scratch(supplier.sparkSession)
+    bad = supplier.select("s_suppkey", "s_acctbal", F.when(F.col("s_acctbal") < 0, "negative_balance").alias("reject_reason")).where("reject_reason IS NOT NULL")
+    if write_quarantine(bad.where("s_suppkey < 0"), base, "none") or exists(spark, join(base, "_quarantine", "none")):
+        raise AssertionError("nothing was rejected, but there is a table")
+    return read_table(spark, join(base, "_quarantine"), "suppliers") if write_quarantine(bad, base, "suppliers") else bad
+
+
+@query("SELECT r_regionkey::VARCHAR AS r_regionkey, r_name, CASE WHEN r_regionkey <> 2 THEN 'a, \"b\"' END AS note FROM region")
+def csv_sink(region):
+    """A small result as one CSV file, read back with blanks as the only nulls."""
+    from tidemill.sources.files import join
+    from tidemill.sources.sinks import write_csv
+
+    path = join(_scratch(region.sparkSession), "regions.csv")
+    write_csv(region.select("r_regionkey", "r_name", F.when(F.col("r_regionkey") != 2, 'a, "b"').alias("note")), path)
+    rows = region.sparkSession.read.csv(path, header=True, schema="r_regionkey string, r_name string, note string", escape='"')
+    return rows.withColumn("note", F.nullif("note", F.lit("")))
+
+
+@query("SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01' GROUP BY 1")
+def registered_views(orders):
+    """A frame as a view of its name whose text dates are dates."""
+    from tidemill.sources.files import register
+
+    register({"tidemill_days": orders.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))})
+    return orders.sparkSession.sql("SELECT date, count(*) AS n FROM tidemill_days WHERE date >= DATE '1998-01-01' GROUP BY date")
+
+
 @query("SELECT user_id, CAST(ts AS DATE) AS date, CAST(sum(round_even(value, 0)) AS BIGINT) AS steps_total, count(*) FILTER (WHERE value > 0) AS active_minutes FROM (SELECT DISTINCT ON (user_id, date_trunc('minute', ts)) * FROM events ORDER BY user_id, date_trunc('minute', ts), event_id) GROUP BY ALL")
 def batch_daily_after_dedupe(events):
     df = events.withColumn("minute", X.floor_minute(F.col("ts"))).transform(R.first_seen, ["user_id", "minute"], ["event_id"])
