@@ -59,16 +59,19 @@ def plain_text(html: Column) -> Column:
 
 def _resolved(text: Column) -> Column:
     """Entities as characters; a text without any isn't looked at again."""
-    named = text
-    for entity, to in ENTITIES[:-1]:
-        named = F.replace(named, F.lit(entity), F.lit(to))
 
     def put(upto: Column, number: Column) -> Column:
         return F.replace(upto, F.concat(F.lit("&#"), number, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32"))
 
-    # Bound to a name by a lambda, as it is looked at, searched and replaced in.
-    numbers = F.transform(F.array(named), lambda x: F.when(x.contains("&#"), F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMBERED), 1)), x, put)).otherwise(x))[0]
-    return F.when(text.contains("&"), F.replace(numbers, F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))).otherwise(text)
+    def resolved(named: Column) -> Column:
+        for entity, to in ENTITIES[:-1]:
+            named = F.replace(named, F.lit(entity), F.lit(to))
+        numbers = bound(named, lambda x: F.when(x.contains("&#"), F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMBERED), 1)), x, put)).otherwise(x))
+        return F.replace(numbers, F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
+
+    # Bound to a name by a lambda, as it is looked at and worked on: else it would be made for each.
+    bound = lambda c, f: F.transform(F.array(c), f)[0]
+    return bound(text, lambda x: F.when(x.contains("&"), resolved(x)).otherwise(x))
 
 
 def urn(name: Column) -> Column:
