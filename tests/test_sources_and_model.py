@@ -174,3 +174,21 @@ def test_arrays_are_read_in_parts(spark, tmp_path):
         for name in [*ODD_ARRAYS, "large"]:
             text = (tmp_path / name.replace(" ", "_") / "x.json").read_text()
             assert sorted(got.get(name.replace(" ", "_"), []), key=lambda x: x[0]) == list(enumerate(json.loads(text) if text else [])), (name, size)
+
+
+def test_equal_partitions_are_left_alone(spark, tmp_path):
+    """A repeated write rewrites no file; a changed row rewrites its partition's; a null partition is one of its own."""
+    base = str(tmp_path / "out")
+    rows = [("a", 1, "x"), ("a", 2, None), ("b", 3, "y"), (None, 4, "z")]
+    frame = lambda rows: spark.createDataFrame(rows, "day string, n int, t string").repartition(3)
+    files_ = lambda: {p.parent.name: p.name for p in (tmp_path / "out" / "t").rglob("*.parquet")}
+    assert sinks.write_changed(frame(rows), base, "t", ("day",)) == 3
+    first = files_()
+    assert sinks.write_changed(frame(rows[::-1]), base, "t", ("day",)) == 0 and files_() == first
+    assert sinks.write_changed(frame([*rows[:2], ("b", 3, "other")]), base, "t", ("day",)) == 1
+    second = files_()
+    assert {k for k in first if first[k] != second[k]} == {"day=b"}
+    assert sinks.write_changed(frame([*rows, rows[0]]), base, "t", ("day",)) == 2  # a row more, and b as it was
+    assert sorted((r["day"] or "", r["n"], r["t"] or "") for r in files.read_table(spark, base, "t").collect()) == [("", 4, "z"), ("a", 1, "x"), ("a", 1, "x"), ("a", 2, ""), ("b", 3, "y")]
+    assert [sinks.write_changed(frame(rows), base, "whole") for _ in range(2)] == [1, 0]
+    assert len(files.list_dirs(spark, base + "/_manifest/t")) == 1
