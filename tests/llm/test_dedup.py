@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tidemill.llm import set_pairs
 from tidemill.llm import fuzzy_lines as L
 from tidemill.llm import pivot_simhash as P
 from tidemill.llm import streaming_dedup as D
@@ -275,3 +276,12 @@ def test_one_of_each_takes_out_edited_copies(spark):
     kept = sorted(r["doc_id"] for r in P.one_of_each(docs, words=5).collect())
     assert kept == sorted(set(groups(ids, alike + close).values()))
     assert sorted(r["doc_id"] for r in P.one_of_each(docs).collect()) == sorted(set(groups(ids, close).values()))
+
+
+def test_shingles_of_one_text_alone_go_before_the_search(spark):
+    """Those of two rows stay with their places, whatever else shares the filter's bits; negative hashes and empty rows too."""
+    rows = [(1, 3, 2, [5, -7, 9], [0, 1, 2]), (2, 2, 1, [-7, 11], [0, 1]), (3, 1, 1, [13], [0]), (4, 0, 0, [], []), (5, 1, 1, [9], [0])]
+    firsts = spark.createDataFrame(rows, "id long, size int, short int, s array<long>, at array<int>")
+    found = {r["id"]: (r["size"], r["short"], r["s"], r["at"]) for r in set_pairs.repeated(firsts).collect()}
+    assert found == {1: (3, 2, [-7, 9], [1, 2]), 2: (2, 1, [-7], [0]), 5: (1, 1, [9], [0])}
+    assert set_pairs.repeated(firsts.limit(0)).count() == 0

@@ -143,7 +143,9 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
 
     with passing(rows.sparkSession) as put:
         weights = set_pairs.weights_of(rows, sets)
-        firsts = put(set_pairs.prefixes(rows, sets, similar, weights).dropDuplicates(["id"]), "prefixes")
+        with passing(rows.sparkSession) as meanwhile:
+            every = meanwhile(set_pairs.prefixes(rows, sets, similar, weights), "prefixes")
+            firsts = put(set_pairs.repeated(every).dropDuplicates(["id"]), "repeated")
         each = set_pairs.exploded(firsts)
         centers = put(each.groupBy("s").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last").select("s", "center"), "centers")
         shares = each.join(centers, "s").where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))

@@ -2,7 +2,7 @@
 
 Texts are rows (id, text); a function gives a text's set as distinct 64-bit hashes, ascending. Everything that
 is broadcast or reaches the driver has a size that is set here and doesn't grow: a histogram of ``PARTS`` counts and
-sets of ``MARKS`` bits.
+sets of ``MARKS`` or ``REPEATS`` bits.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from tidemill.llm.common import slices, texts
 PARTS = 1 << 18
 #: Hashes by their last bits, to leave out early what no join will want.
 MARKS = 1 << 22
+#: The same for shingles that stand in two texts or more (8 MB). Of very many such shingles it keeps some that stand in one; results are the same.
+REPEATS = 1 << 26
 #: So many partners of one text are compared in one group; of more, the text goes to several groups.
 GROUP = 256
 
@@ -41,16 +43,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def marked(df: DataFrame, name: str) -> Broadcast:
-    """Which of MARKS the hashes of a column have, sent to the workers as bits."""
-    found = df.select(F.col(name).bitwiseAND(F.lit(MARKS - 1)).cast("int").alias("at")).distinct().toArrow()["at"].to_numpy()
-    bits = np.zeros(MARKS, bool)
-    bits[found] = True
-    return df.sparkSession.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+def marked(df: DataFrame, name: str, marks: int = MARKS) -> Broadcast:
+    """Which of so many last bits (a power of two) the hashes of a column have, sent to the workers as bits.
+
+    They are put together 64 at a time on the way, so the driver gets at most ``marks`` / 64 rows.
+    """
+    last = F.col(name).bitwiseAND(F.lit(marks - 1))
+    bit = F.expr(f"shiftleft(1L, cast(`{name}` & 63 as int))")
+    found = df.groupBy(F.shiftright(last, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(marks // 64, "<i8")
+    words[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return df.sparkSession.sparkContext.broadcast(words.view(np.uint8))
 
 
 def has(bits: Broadcast, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & (MARKS - 1)
+    at = hashes & (8 * len(bits.value) - 1)
     return (bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
@@ -139,6 +146,30 @@ def prefixes(rows: DataFrame, sets: Sets, similar: float, weights: Broadcast, bi
     return rows.select("id", "text").mapInArrow(run, "id long, size int, short int, s array<long>, at array<int>")
 
 
+def repeated(firsts: DataFrame) -> DataFrame:
+    """Rows of prefixes() with those of their shingles alone that stand in two rows or more; rows without any go.
+
+    What is counted is a shingle's hash alone, and what is left goes through a filter of REPEATS bits, so that
+    all that is shuffled by shingle after it is the part that can meet something.
+    """
+    twice = firsts.select(F.explode("s").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
+    bits = marked(twice, "s", REPEATS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            found, places = batch["s"].flatten(), batch["at"].flatten()
+            stays = has(bits, found.to_numpy())
+            before = np.concatenate([[0], np.cumsum(stays)])
+            ends = before[np.concatenate([[0], np.cumsum(batch["s"].value_lengths().to_numpy())])].astype(np.int32)
+            cut = [pa.ListArray.from_arrays(ends, c.filter(pa.array(stays))) for c in (found, places)]
+            out = pa.RecordBatch.from_arrays([batch["id"], batch["size"], batch["short"], *cut], ["id", "size", "short", "s", "at"])
+            yield out.filter(pa.array(np.diff(ends) > 0))
+
+    return firsts.select("id", "size", "short", "s", "at").mapInArrow(run, "id long, size int, short int, s array<long>, at array<int>")
+
+
 def exploded(firsts: DataFrame, *more: str) -> DataFrame:
     """(s, id, size, left, short, ...): a row for each shingle of prefixes(); left: the shingles of its text from there on."""
     each = firsts.select("id", "size", F.col("short").alias("first"), *more, F.explode(F.arrays_zip("s", "at")).alias("m"))
