@@ -281,7 +281,31 @@ def test_one_of_each_takes_out_edited_copies(spark):
 def test_shingles_of_one_text_alone_go_before_the_search(spark):
     """Those of two rows stay with their places, whatever else shares the filter's bits; negative hashes and empty rows too."""
     rows = [(1, 3, 2, [5, -7, 9], [0, 1, 2]), (2, 2, 1, [-7, 11], [0, 1]), (3, 1, 1, [13], [0]), (4, 0, 0, [], []), (5, 1, 1, [9], [0])]
-    firsts = spark.createDataFrame(rows, "id long, size int, short int, s array<long>, at array<int>")
-    found = {r["id"]: (r["size"], r["short"], r["s"], r["at"]) for r in set_pairs.repeated(firsts).collect()}
-    assert found == {1: (3, 2, [-7, 9], [1, 2]), 2: (2, 1, [-7], [0]), 5: (1, 1, [9], [0])}
+    firsts = spark.createDataFrame([(*r, [r[0]]) for r in rows], f"{set_pairs.FIRSTS}, parity array<long>")
+    found = {r["id"]: (r["size"], r["short"], r["s"], r["at"], r["parity"]) for r in set_pairs.repeated(firsts).collect()}
+    assert found == {1: (3, 2, [-7, 9], [1, 2], [1]), 2: (2, 1, [-7], [0], [2]), 5: (1, 1, [9], [0], [5])}
     assert set_pairs.repeated(firsts.limit(0)).count() == 0
+
+
+def test_parities_lose_no_pair_that_is_alike(spark):
+    """Sets of 1 to 5000 hashes with a similarity from 0 to 1: every pair of 0.8 or more stays, nearly all unlike ones of up to 2000 go."""
+    r = np.random.default_rng(3)
+    rows, pairs, alike, unlike = [], [], set(), set()
+    for k in range(300):
+        n = int(r.choice([1, 2, 9, 40, 300, 2000, 5000]))
+        x = np.unique(r.integers(-(2**63), 2**63 - 1, n))
+        swap = r.random(len(x)) < r.choice([0.0, 0.05, 0.1, 0.12, 0.5, 1.0])
+        y = np.unique(np.where(swap, r.integers(-(2**63), 2**63 - 1, len(x)), x))
+        same = len(np.intersect1d(x, y))
+        for i, v in ((2 * k, x), (2 * k + 1, y)):
+            rows.append((i, len(v), set_pairs.parities(v).tolist()))
+        pairs.append((2 * k, 2 * k + 1))
+        share = same / (len(x) + len(y) - same)
+        if share >= 0.8:
+            alike.add(2 * k)
+        elif share < 0.5 and n <= 2000:
+            unlike.add(2 * k)
+    firsts = spark.createDataFrame(rows, "id long, size int, parity array<long>")
+    stay = {p["id"] for p in set_pairs.near(spark.createDataFrame(pairs, "id long, id2 long"), firsts, 0.8).collect()}
+    assert alike and alike <= stay
+    assert unlike and len(unlike & stay) < 0.05 * len(unlike)

@@ -144,17 +144,19 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
     with passing(rows.sparkSession) as put:
         weights = set_pairs.weights_of(rows, sets)
         with passing(rows.sparkSession) as meanwhile:
-            every = meanwhile(set_pairs.prefixes(rows, sets, similar, weights), "prefixes")
+            every = meanwhile(set_pairs.prefixes(rows, sets, similar, weights, parity=True), "prefixes")
             firsts = put(set_pairs.repeated(every).dropDuplicates(["id"]), "repeated")
         each = set_pairs.exploded(firsts)
         centers = put(each.groupBy("s").agg(F.min("id").alias("center"), F.max("id").alias("last")).where("center < last").select("s", "center"), "centers")
         shares = each.join(centers, "s").where("id <> center").groupBy("id", "center").agg(F.count("*").alias("n"))
         best = shares.groupBy("id").agg(F.max(F.struct("n", "center")).alias("best")).select("id", F.col("best.center").alias("id2"))
-        once = table(as_edges(set_pairs.verified(best, pick, sets, similar, put)), "alike")
+        few = set_pairs.near(best, firsts, similar)
+        once = table(as_edges(set_pairs.verified(few, pick, sets, similar, put)), "alike")
         roots = components(edges.union(once)).withColumnRenamed("node", "fp")
         of = put(names.join(roots, "fp", "left").select("id", F.coalesce("component", "fp").alias("component")), "components")
-        apart = set_pairs.crossed(set_pairs.exploded(firsts.join(of, "id"), "component"), similar, put)
-        return once.union(table(as_edges(set_pairs.verified(apart, pick, sets, similar, put)), "alike"))
+        apart = set_pairs.crossed(set_pairs.exploded(firsts.join(of, "id"), "component"), similar, put).distinct()
+        more = set_pairs.near(apart, firsts, similar)
+        return once.union(table(as_edges(set_pairs.verified(more, pick, sets, similar, put)), "alike"))
 
 
 def classes(prints: DataFrame, more: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

@@ -23,9 +23,12 @@ PARTS = 1 << 18
 MARKS = 1 << 22
 #: The same for shingles that stand in two texts or more (8 MB). Of very many such shingles it keeps some that stand in one; results are the same.
 REPEATS = 1 << 26
+#: Words of 64 bits of a text's parities.
+WORDS = 32
 #: So many partners of one text are compared in one group; of more, the text goes to several groups.
 GROUP = 256
 
+FIRSTS = "id long, size int, short int, s array<long>, at array<int>"
 Sets = Callable[[bytes], np.ndarray]
 #: Gives the rows (id, text) whose id may be among those marked.
 Pick = Callable[[Broadcast], DataFrame]
@@ -121,8 +124,22 @@ def weights_of(rows: DataFrame, sets: Sets) -> Broadcast:
     return rows.sparkSession.sparkContext.broadcast(weights)
 
 
-def prefixes(rows: DataFrame, sets: Sets, similar: float, weights: Broadcast, bits: Broadcast | None = None) -> DataFrame:
-    """(id, size, short, s, at): of each text the first shingles by rarity, of those that are marked, and their places.
+def parities(found: np.ndarray) -> np.ndarray:
+    """64 WORDS bits: whether an odd number of a set's hashes has each as its last bits. Two sets differ in at least as many hashes as bits."""
+    odd = np.bincount(found & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def near(pairs: DataFrame, firsts: DataFrame, similar: float) -> DataFrame:
+    """The ``pairs`` (id, id2) whose sizes and parities in rows of prefixes(), one for each id, allow ``similar``: none that reaches it goes."""
+    one, two = firsts.select("id", "size", "parity"), firsts.select(F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("parity").alias("parity2"))
+    apart = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("parity2")[i])) for i in range(WORDS)), F.lit(0))
+    both = F.col("size") + F.col("size2")
+    return pairs.join(one, "id").join(two, "id2").where(both - apart >= 2 * similar / (1 + similar) * both - 1e-9).select("id", "id2")
+
+
+def prefixes(rows: DataFrame, sets: Sets, similar: float, weights: Broadcast, bits: Broadcast | None = None, parity: bool = False) -> DataFrame:
+    """(id, size, short, s, at): of each text the first shingles by rarity, of those that are marked, and their places; with ``parity``, all its parities too.
 
     With shingles in any one order, two texts x and y (x not the larger set) that reach t share one of x's first
     |x| - 2t/(1+t) |x| + 1 (``short``) and of y's first |y| - t |y| + 1.
@@ -130,24 +147,24 @@ def prefixes(rows: DataFrame, sets: Sets, similar: float, weights: Broadcast, bi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             for i, x in zip(batch["id"].to_pylist(), texts(batch), strict=True):
                 found = sets(x)
-                n = len(found)
+                n, odd = len(found), parities(found) if parity else None
                 most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
                 found = found[np.lexsort((found, weights.value[found & (PARTS - 1)]))][:most]
                 at = np.flatnonzero(has(bits, found)) if bits else np.arange(len(found))
                 if len(at):
-                    for c, v in zip(columns, (i, n, short, found[at], at.astype(np.int32)), strict=True):
+                    for c, v in zip(columns, (i, n, short, found[at], at.astype(np.int32), odd), strict=True):
                         c.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["id", "size", "short", "s", "at"])
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns[: 5 + parity], kinds, strict=False)], ["id", "size", "short", "s", "at", "parity"][: 5 + parity])
 
-    return rows.select("id", "text").mapInArrow(run, "id long, size int, short int, s array<long>, at array<int>")
+    return rows.select("id", "text").mapInArrow(run, FIRSTS + ", parity array<long>" * parity)
 
 
 def repeated(firsts: DataFrame) -> DataFrame:
-    """Rows of prefixes() with those of their shingles alone that stand in two rows or more; rows without any go.
+    """Rows of prefixes(), with parities, and with those of their shingles alone that stand in two rows or more; rows without any go.
 
     What is counted is a shingle's hash alone, and what is left goes through a filter of REPEATS bits, so that
     all that is shuffled by shingle after it is the part that can meet something.
@@ -164,10 +181,10 @@ def repeated(firsts: DataFrame) -> DataFrame:
             before = np.concatenate([[0], np.cumsum(stays)])
             ends = before[np.concatenate([[0], np.cumsum(batch["s"].value_lengths().to_numpy())])].astype(np.int32)
             cut = [pa.ListArray.from_arrays(ends, c.filter(pa.array(stays))) for c in (found, places)]
-            out = pa.RecordBatch.from_arrays([batch["id"], batch["size"], batch["short"], *cut], ["id", "size", "short", "s", "at"])
+            out = pa.RecordBatch.from_arrays([batch["id"], batch["size"], batch["short"], *cut, batch["parity"]], batch.schema.names)
             yield out.filter(pa.array(np.diff(ends) > 0))
 
-    return firsts.select("id", "size", "short", "s", "at").mapInArrow(run, "id long, size int, short int, s array<long>, at array<int>")
+    return firsts.select("id", "size", "short", "s", "at", "parity").mapInArrow(run, f"{FIRSTS}, parity array<long>")
 
 
 def exploded(firsts: DataFrame, *more: str) -> DataFrame:
