@@ -26,7 +26,7 @@ def test_run_finds_each_defect_and_publishes(spark, tmp_path):
     assert [r["fatigue_score"] for r in answers] == [3]  # the first in the file, though the later answer is lower
     failed = [k for k, r in found.items() if r["severity"] == "assert_fail"]
     assert not failed
-    assert sum(r["severity"] == "assert_pass" for r in kept.collect()) == 20
+    assert sum(r["severity"] == "assert_pass" for r in kept.collect()) == 21
 
     daily = read_table(spark, f"{s.target}/gold", "daily_participant_metrics").cache()
     rows = {(r["participant_id"], str(r["date"])): r for r in daily.collect()}
@@ -51,6 +51,7 @@ def test_run_finds_each_defect_and_publishes(spark, tmp_path):
     compared = read_table(spark, f"{s.target}/gold/_analytics", "analytics_01_cohort_comparison")
     assert compared.count() == 17
     assert "Chronotypes" in (tmp_path / "out/outputs/analytics_report.md").read_text()
+    assert "is the declared one for" in (tmp_path / "out/outputs/analytics_report.md").read_text()
     assert (tmp_path / "out/outputs/dq_checks.csv").read_text().count("\n") == kept.count() + 1
 
     # Again from what is published: the same content, and another run's checks beside the first.
@@ -74,7 +75,7 @@ def test_some_participants_only(spark, tmp_path):
 def test_command_line(spark, tmp_path, capsys):
     study.write(tmp_path / "in", people=2, days=1)
     assert R.main(["--source", str(tmp_path / "in"), "--target", str(tmp_path / "out"), "--layers", "bronze,silver,gold", "--strict"]) == 0
-    assert "assert_pass 20" in capsys.readouterr().out
+    assert "assert_pass 21" in capsys.readouterr().out
 
 
 def test_settings():

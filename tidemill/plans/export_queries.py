@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.conf import Study
-from tidemill.plans import clean, model
+from tidemill.functions import exprs as X
+from tidemill.plans import analytics, clean, model, quality
 from tidemill.plans.queries import ORACLE_SQL, QUERIES, _scratch, query
 from tidemill.plans.run import DEVICES, PARTICIPANTS, SURVEY
 from tidemill.sources import files
@@ -362,3 +363,40 @@ SELECT * FROM found WHERE n_affected > 0
 def export_survey_checks(orders, customer):
     """Scores outside their scales, orphans and later answers, counted over all landed rows."""
     return _survey(orders, customer)[2].select("rule", "severity", "n_affected")
+
+
+LABELLED = f"""
+{NIGHTS}, {ROSTER},
+slept AS (SELECT conv_id, 82800 + 30 * max(upto) FILTER (WHERE stage <> 'awake') AS mid FROM timed GROUP BY conv_id),
+hours AS (SELECT printf('P%03d', conv_id % 100) AS participant_id, (CASE WHEN mid % 86400 >= 43200 THEN mid % 86400 - 86400 ELSE mid % 86400 END) / 3600.0::DOUBLE AS h FROM slept JOIN nights USING (conv_id) WHERE reject_reason IS NULL),
+each_one AS (SELECT participant_id, any_value(chronotype) AS declared, median(sign(h) * floor(abs(h) * 1000 + 0.5) / 1000) AS m FROM hours LEFT JOIN roster USING (participant_id) GROUP BY participant_id),
+cut AS (SELECT median(m) AS threshold FROM each_one),
+sided AS (SELECT *, CASE WHEN m <= threshold THEN 'A' ELSE 'B' END AS derived FROM each_one CROSS JOIN cut)
+"""
+
+
+def _validation(conversations: DataFrame, customer: DataFrame) -> DataFrame:
+    who = "participant_id"
+    people = _roster(customer)[0].select(who, F.col("chronotype").alias("chronotype_declared"))
+    hour = X.scaled_round(F.col("mid_sleep_hour_signed"), 3).alias("mid_sleep_hour")
+    nights = _nights(conversations)[0].select(who, hour, F.lit(True).alias("has_sleep_session"))
+    return analytics.chronotype_validation(nights.join(people, who, "left"))
+
+
+@query(f"""
+WITH {LABELLED}
+SELECT declared AS chronotype_declared, derived AS chronotype_derived, count(*) AS n_participants, round(round(min(m), 6), 3) AS mid_sleep_median_min, round(round(avg(m), 6), 3) AS mid_sleep_median_mean,
+       round(round(max(m), 6), 3) AS mid_sleep_median_max, round(round(max(threshold), 6), 3) AS split_threshold_hour, declared = derived AS agrees FROM sided GROUP BY declared, derived
+""")
+def export_chronotype_validation(conversations, customer):
+    """Declared chronotypes against a split of the mid-sleep of landed nights; people who aren't on the roster have none declared."""
+    return _validation(conversations, customer)
+
+
+@query(f"""
+WITH {LABELLED}
+SELECT coalesce(sum(CASE WHEN declared = derived THEN 1 END), 0)::BIGINT AS agree, count(*) AS "of", CASE WHEN count(*) > 0 THEN coalesce(sum(CASE WHEN declared = derived THEN 1 END), 0) * 100.0::DOUBLE / count(*) END AS agree_pct FROM sided
+""")
+def export_chronotype_agreement(conversations, customer):
+    """How many derived labels are the declared ones."""
+    return quality.agreement(_validation(conversations, customer))

@@ -17,6 +17,7 @@ KEYS = {
     "heart_rate_minute": [WHO, "timestamp"],
     "sleep_sessions": ["session_key"],
     "wellness_survey": [WHO, "date"],
+    "participant_day_coverage": [WHO, "date"],
 }
 MODEL_KEYS = {
     "participant_devices": [WHO],
@@ -58,24 +59,51 @@ def assertions(silver: dict[str, DataFrame], gold: dict[str, DataFrame], study:
     return reduce(DataFrame.unionByName, out)
 
 
-def report(checks: DataFrame, run_id: str, stats: dict[str, object]) -> str:
-    """The run's checks as Markdown."""
-    rows = K.by_severity(checks).collect()
+def row_counts(layers: dict[str, dict[str, DataFrame]]) -> DataFrame:
+    """(layer, table, n) of published tables, in one query that reads no column."""
+    counted = [df.agg(F.count("*").alias("n")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "n") for layer, tables in layers.items() for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def report(checks: DataFrame, run_id: str, stats: dict[str, object], rows: list = ()) -> str:
+    """The run's checks as Markdown, after the rows (layer, table, n) of what was published."""
+    found = K.by_severity(checks).collect()
     lines = [f"# Run {run_id}", "", *[f"- {k}: {v}" for k, v in stats.items()], ""]
-    lines += ["| severity | table | rule | rows | participants | detail |", "|---|---|---|---|---|---|"]
-    lines += [f"| {r['severity']} | {r['table']} | {r['rule']} | {r['n_affected']:,} | {r['participants']} | {r['detail']} |" for r in rows]
+    if rows:
+        lines += ["## Rows", "", "| layer | table | rows |", "|---|---|---|", *[f"| {r['layer']} | {r['table']} | {r['n']:,} |" for r in rows], ""]
+    lines += ["## Checks", "", "| severity | table | rule | rows | participants | detail |", "|---|---|---|---|---|---|"]
+    lines += [f"| {r['severity']} | {r['table']} | {r['rule']} | {r['n_affected']:,} | {r['participants']} | {r['detail']} |" for r in found]
     return "\n".join(lines) + "\n"
 
 
+def agreement(validation: DataFrame) -> DataFrame:
+    """One row: participants whose derived chronotype is the declared one, all of them, and the percentage (null of nobody)."""
+    n = F.col("n_participants")
+    sums = validation.agg(F.coalesce(F.sum(F.when(F.col("agrees"), n)), F.lit(0)).alias("agree"), F.coalesce(F.sum(n), F.lit(0)).alias("of"))
+    return sums.withColumn("agree_pct", F.try_divide(F.col("agree") * 100.0, F.col("of")))
+
+
+def reading(agree: int, of: int, timing: list[str], others: list[str]) -> list[str]:
+    """What the agreement and the metrics that separate the cohorts say of the declared label, in sentences."""
+    share = f"{agree} of {of} participants ({100 * agree / of:.0f} %)" if of else "none, as nobody has a night"
+    lines = [f"A chronotype derived from mid-sleep alone is the declared one for {share}."]
+    if timing:
+        return [*lines, f"{', '.join(timing)}: timing that defines a chronotype separates the cohorts, so behaviour bears the label out."]
+    lines.append("No timing that defines a chronotype separates the cohorts: the declared label is not seen in these data, and their comparison is a null result.")
+    if others:
+        lines.append(f"{', '.join(others)}: the cohorts differ in this, which is not about when they sleep and can't confirm the label.")
+    return lines
+
+
 def analytics_report(results: dict[str, DataFrame], run_id: str) -> str:
     """The analytics as Markdown: what separates the cohorts, then each small table."""
     tested = results["effect_sizes"].collect()
     apart = [r["metric"] for r in tested if r["separates_cohorts"]]
-    defining = [r for r in tested if r["defines_chronotype"]]
-    split = sum(r["separates_cohorts"] for r in defining)
+    timing, others = ([r["metric"] for r in tested if r["separates_cohorts"] and r["defines_chronotype"] == x] for x in (True, False))
+    agreed = agreement(results["analytics_02_chronotype_validation"]).first()
     lines = [f"# Chronotypes, run {run_id}", ""]
     lines.append(f"{len(apart)} of {len(tested)} metrics separate the cohorts: {', '.join(apart) or 'none'}.")
-    lines.append(f"Of the {len(defining)} that define a chronotype, {split} do" + (", so the declared label is not seen in these data." if not split else "."))
+    lines += ["", "## Reading", "", *reading(agreed["agree"], agreed["of"], timing, others)]
     for name, df in results.items():
         lines += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
         lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(200).collect()]

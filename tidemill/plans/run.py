@@ -155,7 +155,9 @@ def run(spark: SparkSession, s: Settings, layers: tuple[str, ...] = LAYERS, run_
     kept = files.read_table(spark, files.join(s.target, "_dq"), "dq_checks").where(F.col("run_id").cast("string") == run_id)
     sinks.write_csv(K.by_severity(kept), files.join(s.target, "outputs", "dq_checks.csv"))
     stats = {"mode": s.mode, "seconds": round(time.time() - began, 1), **K.summary(kept)}
-    sinks.write_text(spark, quality.report(kept, run_id, stats), files.join(s.target, "outputs", "run_report.md"))
+    layered = {n: x for n, x in (("bronze", bronze), ("silver", silver), ("gold", gold)) if x}
+    rows = quality.row_counts(layered).collect() if layered else []  # a row for each table
+    sinks.write_text(spark, quality.report(kept, run_id, stats, rows), files.join(s.target, "outputs", "run_report.md"))
     return kept
 
 
