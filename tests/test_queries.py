@@ -52,3 +52,11 @@ def test_streaming_sessions_are_those_of_the_whole_table(spark, data):
     out = QUERIES["streaming_sessions"](spark, data)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.collect()))
     assert out.agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_a_mean_does_not_depend_on_the_order_of_rows(spark, tmp_path):
+    """One user's values add up to 477.00, so that 119.25 is a tie; added as doubles, an order of them is under it."""
+    for i, values in enumerate([(99.09, 89.9, 130.32, 157.69), (99.09, 157.69, 89.9, 130.32)]):
+        rows = spark.createDataFrame([(1, "view", v) for v in values], "user_id long, event_type string, value double")
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{i}" / "events.parquet"))
+        assert QUERIES["hr_daily_filtered"](spark, str(tmp_path / f"{i}")).first()["mean_value"] == 119.3
