@@ -309,3 +309,29 @@ def test_parities_lose_no_pair_that_is_alike(spark):
     stay = {p["id"] for p in set_pairs.near(spark.createDataFrame(pairs, "id long, id2 long"), firsts, 0.8).collect()}
     assert alike and alike <= stay
     assert unlike and len(unlike & stay) < 0.05 * len(unlike)
+
+
+def test_a_large_group_of_near_copies_is_not_paired_as_a_whole(spark, monkeypatch):
+    """Of 400 edits of one text, over a quarter of the pairs alike: most are joined before the search of all pairs, and the class is whole."""
+    rng = np.random.default_rng(5)
+    words = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+    texts = []
+    for i in range(400):
+        copy = list(words)
+        for at in rng.choice(len(words), int(rng.integers(1, 5)), False):
+            copy[at] = f"e{i}"
+        texts.append(" ".join(copy))
+    sets = [P.shingle_set(t.encode(), 5) for t in texts]
+    same = lambda a, b: len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+    alike = [(a, b) for a in range(400) for b in range(a) if same(a, b) >= 0.8 * (len(sets[a]) + len(sets[b]) - same(a, b))]
+    assert len(alike) > 20_000
+    left, crossed = [], set_pairs.crossed
+
+    def counted(*args):
+        left.append(crossed(*args).distinct().count())
+        return crossed(*args)
+
+    monkeypatch.setattr(set_pairs, "crossed", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in P.one_of_each(docs, words=5).collect()) == sorted(set(groups(range(400), alike).values()))
+    assert left[0] <= 40_000  # of 79,800 pairs; 82,638 rows when texts were held against one other alone, and pairs of equal sizes came twice

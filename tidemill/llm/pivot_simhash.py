@@ -41,6 +41,8 @@ from tidemill.llm.common import append, components, passing, slices, table, text
 SEED = 42
 WITHIN = 2
 GROUPS = 5
+#: Times that texts are held against a few of other classes before all pairs of what is apart.
+TURNS = 2
 #: Reference fingerprints besides zero and the masks of two bits: multiples of the golden ratio.
 SPREAD = [(i * 0x9E3779B97F4A7C15) % 2**64 for i in range(1, 8)]
 
@@ -132,7 +134,8 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
     """Pairs (a, b) of fingerprints of texts that have ``similar``; together with ``edges`` they connect all such pairs.
 
     rows: (id, text), a text named by its XXH64; named: (id, fp). Each text is first held against one other, that
-    which shares most of its prefix among those with the smallest names; then all that is still apart is searched.
+    which shares most of its prefix among those with the smallest names; then up to TURNS times against a few texts of
+    other classes, which joins most of a group of near copies; then all that is still apart is searched.
     """
     sets, pick = partial(shingle_set, words=words), partial(set_pairs.only, rows)
     names = named.distinct()
@@ -152,9 +155,20 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
         best = shares.groupBy("id").agg(F.max(F.struct("n", "center")).alias("best")).select("id", F.col("best.center").alias("id2"))
         few = set_pairs.near(best, firsts, similar)
         once = table(as_edges(set_pairs.verified(few, pick, sets, similar, put)), "alike")
-        roots = components(edges.union(once)).withColumnRenamed("node", "fp")
-        of = put(names.join(roots, "fp", "left").select("id", F.coalesce("component", "fp").alias("component")), "components")
-        apart = set_pairs.crossed(set_pairs.exploded(firsts.join(of, "id"), "component"), similar, put).distinct()
+        each = None
+        for turn in range(TURNS + 1):
+            roots = components(edges.union(once)).withColumnRenamed("node", "fp")
+            of = put(names.join(roots, "fp", "left").select("id", F.coalesce("component", "fp").alias("component")), "components")
+            # Components only grow: what no two of them share now, none will share later.
+            each = set_pairs.shared_by_several(set_pairs.exploded(firsts).join(of, "id"), put).drop("component") if each is None else each
+            if turn == TURNS:
+                break
+            few = set_pairs.near(put(set_pairs.partners(each.join(of, "id"), similar, turn), "partners"), firsts, similar)
+            found = table(as_edges(set_pairs.verified(few, pick, sets, similar, put)), "alike")
+            if found.isEmpty():
+                break
+            once = once.union(found)
+        apart = set_pairs.crossed(each.join(of, "id"), similar, put).distinct()
         more = set_pairs.near(apart, firsts, similar)
         return once.union(table(as_edges(set_pairs.verified(more, pick, sets, similar, put)), "alike"))
 

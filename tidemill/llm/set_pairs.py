@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import slices, texts
@@ -25,6 +25,8 @@ MARKS = 1 << 22
 REPEATS = 1 << 26
 #: Words of 64 bits of a text's parities.
 WORDS = 32
+#: So many texts of other components a text is held against at once, before all pairs that are left.
+PARTNERS = 16
 #: So many partners of one text are compared in one group; of more, the text goes to several groups.
 GROUP = 256
 
@@ -210,10 +212,34 @@ def reachable(size: Column, size2: Column, left: Column, left2: Column, similar:
     return can & (size <= size2) & (size >= similar * size2 - 1e-9)
 
 
-def crossed(each: DataFrame, similar: float, put: Put) -> DataFrame:
-    """(id, id2) to verify of exploded() rows with ``component``: all pairs of two components that can reach ``similar``."""
+def shared_by_several(each: DataFrame, put: Put) -> DataFrame:
+    """The rows (s, component, ...) whose shingle is in two components or more."""
     mixed = put(each.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s"), "mixed")
-    met = put(each.join(mixed, "s"), "met")
+    return put(each.join(mixed, "s"), "met")
+
+
+def partners(each: DataFrame, similar: float, turn: int) -> DataFrame:
+    """(id, id2): of each text of exploded() rows with ``component``, at most PARTNERS of other components that share most of its prefix.
+
+    A text is held against two of the texts of each shingle that are about as large, the first and the last by one of eight
+    orders that ``turn`` changes: as many pairs as rows, however many share the shingle. A large component is
+    met most often, and most of a group of near copies joins it, so that crossed() has no pairs for them.
+    """
+    # Sizes that can reach ``similar`` are mostly in one class of every other turn.
+    sized = each.withColumn("class", F.floor(F.log("size") / F.log(F.lit(1 / similar**2)) + 0.5 * (turn % 2)))
+    own = F.struct(F.xxhash64("id", F.col("s").bitwiseAND(F.lit(7)), F.lit(turn)).alias("turn"), "id", "component", "size", "left")
+    ends = sized.groupBy("s", "class").agg(F.min(own).alias("lo"), F.max(own).alias("hi"), F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    met = sized.join(ends.drop("least", "most"), ["s", "class"]).select("id", "component", "size", "left", F.explode(F.array("lo", "hi")).alias("c")).where("component <> c.component")
+    both = F.col("size") + F.col("c.size")
+    can = (F.least("left", F.col("c.left")) >= similar / (1 + similar) * both - 1e-9) & (F.least("size", F.col("c.size")) >= similar / (1 + similar) * both - 1e-9)
+    shares = met.where(can).groupBy("id", F.col("c.id").alias("id2")).agg(F.count("*").alias("n"))
+    best = Window.partitionBy("id").orderBy(F.desc("n"), "id2")
+    return shares.withColumn("at", F.row_number().over(best)).where(F.col("at") <= PARTNERS).select("id", "id2")
+
+
+def crossed(each: DataFrame, similar: float, put: Put) -> DataFrame:
+    """(id, id2) to verify of exploded() rows with ``component``: all pairs of two components that can reach ``similar``, each once."""
+    met = shared_by_several(each, put)
     # The first shingle that a pair shares is met too, and no more than what is left from there can be shared.
     x, y = met.where("short").drop("short"), met.drop("short")
     # The other components of a shingle come first, with the most that a line of each could share with one of a size.
@@ -222,4 +248,6 @@ def crossed(each: DataFrame, similar: float, put: Put) -> DataFrame:
     some = y.join(others, "s").where((F.col("component") != F.col("other")) & (F.col("size") >= F.col("least")) & (F.least("left", "far") >= need))
     some = some.select("s", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "left")], F.col("other").alias("component"))
     pairs = some.join(x, ["s", "component"]).where(reachable(F.col("size"), F.col("size2"), F.col("left"), F.col("left2"), similar))
+    # Of equal sizes, either text is the one that isn't larger.
+    pairs = pairs.where((F.col("size") < F.col("size2")) | (F.col("id") < F.col("id2")))
     return pairs.select("id", "id2")
