@@ -4,6 +4,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tidemill.llm import position_bitmaps as P
@@ -79,3 +80,15 @@ def test_query_is_its_sql(spark, data):
     want = con.sql(P.OP11_SQL).fetchall()
     got = P.op11_position_bitmaps(spark, data).collect()
     assert sorted(map(tuple, got)) == sorted(want) and want
+
+
+def test_a_task_holds_few_shards_at_once(spark, monkeypatch):
+    """However many shards a task writes, a row group, which it holds whole, has GROUP of them."""
+    kept = []
+    made = P.table
+    monkeypatch.setattr(P, "table", lambda df, name, **how: kept.append((name, made(df, name, **how))) or kept[-1][1])
+    docs = spark.createDataFrame([(i, f"a{i} b c d", "en") for i in range(300)], "doc_id long, text string, lang string").coalesce(1)
+    P.phrases(docs, words=64)
+    files = [x.removeprefix("file:") for x in dict(kept)["shards"].inputFiles()]
+    sizes = [m.row_group(i).num_rows for m in (pq.ParquetFile(f).metadata for f in files) for i in range(m.num_row_groups)]
+    assert sum(sizes) > 10 and max(sizes) <= P.GROUP

@@ -34,6 +34,8 @@ SHARD, SHARD_BYTES = 1 << 19, 16 << 20
 #: Words that all languages' open shards of a task hold together.
 OPEN = 1 << 20
 BATCH = 1 << 14
+#: Shards of a row group: a shard is some MB, and a task holds a row group.
+GROUP = 2
 FILTER_BITS, HASH_BITS = 1 << 26, 40
 SLAB = 1 << 20
 UNKNOWN = "und"
@@ -288,7 +290,7 @@ def _longer(held: DataFrame, words: Filter, pairs: Filter) -> DataFrame:
 
 def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", words: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, f) of all words and phrases that occur at least LEAST times, and (lang, n) of all words."""
-    held = table(shards(docs, text, lang, words), "shards", batch=100, codec="zstd")
+    held = table(shards(docs, text, lang, words), "shards", batch=100, codec="zstd", group=GROUP)
     every = held.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).select("lang", F.col("x.words").alias("phrase"), F.col("x.counts").alias("n"))
     summed = table(every.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "words")
     totals = summed.groupBy("lang").agg(F.sum("n").alias("n"))
