@@ -241,6 +241,42 @@ def test_fuzzy_lines_of_a_hot_bucket(spark):
     assert len(set(by_line.values())) == len(set(groups({*lines}, linked).values()))
 
 
+def test_fuzzy_lines_send_few_unlike_texts(spark, monkeypatch):
+    """Groups of lines that share seven of ten words of a line: of pairs that meet, those of a similarity of 0.8 are all verified, and few others."""
+    rng = np.random.default_rng(6)
+    word = lambda: f"{rng.integers(0, 2**32):08x}"
+    lines = []
+    for _ in range(20):
+        shared = [word() for _ in range(28)]
+        own = [" ".join([*shared, *(word() for _ in range(7))]) for _ in range(12)]
+        lines += [*own, *(f"{x} and on" for x in own[:3])]
+    ids = {xxhash.xxh64_intdigest(x.encode(), 42): x for x in lines}
+    sent, verified = set(), set_pairs.verified
+
+    def spy(pairs, *rest):
+        sent.update(frozenset(ids[i % 2**64] for i in (r["id"], r["id2"])) for r in pairs.collect())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(set_pairs, "verified", spy)
+    keys = dict(zip(lines, map(set, L.band_keys([x.encode() for x in lines]).tolist()), strict=True))
+    alike = {frozenset(p) for p in line_links(lines)}
+    assert sum(bool(keys[a] & keys[b]) for i, a in enumerate(lines) for b in lines[:i]) > 1000
+    by_line = dict(zip(lines, components_of(spark, lines), strict=True))
+    assert len(alike) >= 60 and all(len({by_line[x] for x in p}) == 1 for p in alike)
+    assert len(sent - alike) < 0.1 * len(lines)
+
+
+def test_fuzzy_bands_of_one_line_alone_go(spark):
+    """Of 300 unlike lines and two that are alike, nearly no keys but those of the two are kept."""
+    rng = np.random.default_rng(7)
+    lines = [" ".join(f"{x:08x}" for x in rng.integers(0, 2**32, 12)) for _ in range(300)]
+    lines.append(lines[0] + ".")
+    found = L.repeated(L.signatures(spark.createDataFrame([(x,) for x in lines], "text string").coalesce(1))).collect()
+    keys = L.band_keys([lines[0].encode(), lines[-1].encode()]).tolist()
+    twice = {*keys[0]} & {*keys[1]}
+    assert twice and sum(r["key"] in twice for r in found) == 2 * len(twice) and len(found) <= 2 * len(twice) + 2
+
+
 def test_fuzzy_lines_see_every_character(spark):
     """Shingles are those of every position, so lines that differ within long words are different."""
     a, b = "2024-03-05T10:15 user logged in from the office network", "2024-03-06T23:59 user logged in from the office network"

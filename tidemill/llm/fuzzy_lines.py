@@ -8,7 +8,7 @@ band meet, and pairs of an exact Jaccard similarity of at least ``SIMILAR`` are
 is first held against three of its lines (those first by three orders of the lines' names). Then all pairs that share a
 bucket and aren't in one component yet are settled: in buckets of up to ``LARGE`` lines each is verified; of the lines of
 larger ones, pairs that share a shingle of their prefixes (``set_pairs``), which no pair that reaches the similarity can
-fail to do. Components of links are found by rounds of stars, and of each component the first line (by doc_id, then
+fail to do. Parities of their sets rule out most unlike pairs before their texts are sent, and none that is alike. Components of links are found by rounds of stars, and of each component the first line (by doc_id, then
 place; rows without a doc_id last) is kept.
 
 Two lines of a similarity of 0.8 share a band with odds of 98.5 %; of those that do, no link is missed.
@@ -45,6 +45,8 @@ SIMILAR = 0.8
 LARGE = 32
 #: Characters that are hashed at once.
 BLOCK = 1 << 17
+#: Words of 64 bits of a line's parities.
+WORDS = 16
 
 
 def _rolled(codes: np.ndarray) -> np.ndarray:
@@ -162,9 +164,25 @@ def only_lines(docs: DataFrame, bits: Broadcast) -> DataFrame:
     return docs.select(docs["text"].cast("string").alias("text")).mapInArrow(run, "id long, text string")
 
 
-def buckets(keyed: DataFrame, put: Put) -> DataFrame:
+def repeated(keyed: DataFrame) -> DataFrame:
+    """(key, id) of the keys of signatures() that stand there twice, and of few that don't.
+
+    What is counted is a key alone; what is left goes through a filter of fixed size, so a line of no bucket is shuffled no more.
+    """
+    twice = keyed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    bits = set_pairs.marked(twice, "key", set_pairs.REPEATS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch["keys"].flatten().to_numpy()
+            stays = set_pairs.has(bits, keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[stays]), pa.array(np.repeat(batch["id"].to_numpy(), BANDS)[stays])], ["key", "id"])
+
+    return keyed.mapInArrow(run, "key long, id long")
+
+
+def buckets(bands: DataFrame, put: Put) -> DataFrame:
     """(key, id, few, n): the lines of each band's key that several have, with three of them; those first by three orders."""
-    bands = keyed.select("id", F.explode("keys").alias("key"))
     turns = [0, 0x5BD1E9955BD1E995, -0x61C8864680B583EB]
     firsts = [F.min(F.col("id").bitwiseXOR(F.lit(t))).alias(f"c{i}") for i, t in enumerate(turns)]
     few = bands.groupBy("key").agg(*firsts, F.max("id").alias("last"), F.count("*").alias("n")).where("c0 < last")
@@ -206,10 +224,14 @@ def rest(met: DataFrame, pick: set_pairs.Pick, roots: DataFrame, similar: float,
 
 def links(docs: DataFrame, similar: float, put: Put) -> DataFrame:
     """(id, component) of the lines that are linked to another."""
-    met, pick = buckets(put(signatures(docs), "keys"), put), partial(only_lines, docs)
-    once = set_pairs.verified(candidates(met), pick, shingle_set, similar, put)
+    with passing(docs.sparkSession) as meanwhile:
+        met = buckets(meanwhile(repeated(meanwhile(signatures(docs), "keys")), "bands"), put)
+    lines = put(only_lines(docs, set_pairs.marked(met, "id", set_pairs.REPEATS)).dropDuplicates(["id"]), "lines")
+    pick, odd = partial(set_pairs.only, lines), put(set_pairs.with_parities(lines, shingle_set, WORDS), "parities")
+    near = partial(set_pairs.near, firsts=odd, similar=similar, words=WORDS)
+    once = set_pairs.verified(near(candidates(met)), pick, shingle_set, similar, put)
     roots = components(once.select(F.col("id").alias("a"), F.col("id2").alias("b"))).withColumnRenamed("node", "id")
-    more = set_pairs.verified(rest(met, pick, roots, similar, put), pick, shingle_set, similar, put)
+    more = set_pairs.verified(near(rest(met, pick, roots, similar, put)), pick, shingle_set, similar, put)
     if more.isEmpty():
         return roots
     edges = roots.union(more.select("id", "id2")).toDF("a", "b")

@@ -126,16 +126,29 @@ def weights_of(rows: DataFrame, sets: Sets) -> Broadcast:
     return rows.sparkSession.sparkContext.broadcast(weights)
 
 
-def parities(found: np.ndarray) -> np.ndarray:
-    """64 WORDS bits: whether an odd number of a set's hashes has each as its last bits. Two sets differ in at least as many hashes as bits."""
-    odd = np.bincount(found & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1
+def parities(found: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """64 ``words`` bits: whether an odd number of a set's hashes has each as its last bits. Two sets differ in at least as many hashes as bits."""
+    odd = np.bincount(found & (64 * words - 1), minlength=64 * words).astype(np.uint8) & 1
     return np.packbits(odd, bitorder="little").view("<i8")
 
 
-def near(pairs: DataFrame, firsts: DataFrame, similar: float) -> DataFrame:
+def with_parities(rows: DataFrame, sets: Sets, words: int = WORDS) -> DataFrame:
+    """(id, size, parity) of each text: how many shingles it has, and their parities."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [sets(x) for x in texts(batch)]
+            odd = np.concatenate([parities(x, words) for x in found])
+            lists = pa.ListArray.from_arrays(np.arange(0, len(odd) + 1, words, dtype=np.int32), pa.array(odd))
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([len(x) for x in found], pa.int32()), lists], ["id", "size", "parity"])
+
+    return rows.select("id", "text").mapInArrow(run, "id long, size int, parity array<long>")
+
+
+def near(pairs: DataFrame, firsts: DataFrame, similar: float, words: int = WORDS) -> DataFrame:
     """The ``pairs`` (id, id2) whose sizes and parities in rows of prefixes(), one for each id, allow ``similar``: none that reaches it goes."""
     one, two = firsts.select("id", "size", "parity"), firsts.select(F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("parity").alias("parity2"))
-    apart = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("parity2")[i])) for i in range(WORDS)), F.lit(0))
+    apart = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("parity2")[i])) for i in range(words)), F.lit(0))
     both = F.col("size") + F.col("size2")
     return pairs.join(one, "id").join(two, "id2").where(both - apart >= 2 * similar / (1 + similar) * both - 1e-9).select("id", "id2")
 
