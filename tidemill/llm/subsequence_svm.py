@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import append, slices, texts
+from tidemill.llm.common import append, give_back, slices, texts
 
 DECAY, WIDE, LETTERS, MARK = 0.6, 20, 128, 2
 SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 2000, 320, 2500, 2, 30.0
@@ -401,7 +401,11 @@ def fitted(docs: DataFrame, labels: DataFrame, fold: int = 3, held: int = 1, sam
     keys = spark.createDataFrame([*wanted] or [(-1, 0)], "chosen long, hash long")
     found = rows.join(F.broadcast(keys), (F.col("doc_id") == F.col("chosen")) & (F.xxhash64("text") == F.col("hash")), "left_semi").orderBy(*order).limit(4 * sample).collect()
     labelled = sorted(((r["doc_id"], r["text"].encode()) for r in found if r["doc_id"] in chosen))
-    return train([x for _, x in labelled], np.array([chosen[k] for k, _ in labelled], int))
+    del found, sizes
+    model = train([x for _, x in labelled], np.array([chosen[k] for k, _ in labelled], int))
+    del labelled
+    give_back()
+    return model
 
 
 def toxicity(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
