@@ -266,6 +266,16 @@ def test_fuzzy_lines_send_few_unlike_texts(spark, monkeypatch):
     assert len(sent - alike) < 0.1 * len(lines)
 
 
+def test_fuzzy_sets_in_bulk_are_those_of_each_line():
+    """Short, repeated, blank-ended and very long lines, side by side."""
+    rng = np.random.default_rng(9)
+    lines = [b"x", b" short \t", "中文😀".encode(), b"z" * 50, b"\xff broken \xfe", b"ab" * L.BLOCK]
+    lines += ["".join(rng.choice(list("ab é中 "), int(n))).encode() + b"." for n in rng.integers(1, 3000, 300)]
+    for got, line in zip(L.shingle_sets(lines), lines, strict=True):
+        assert (got == L.shingle_set(line)).all() and len(got) == len(L.shingle_set(line))
+    assert L.shingle_sets([]) == []
+
+
 def test_fuzzy_bands_of_one_line_alone_go(spark):
     """Of 300 unlike lines and two that are alike, nearly no keys but those of the two are kept."""
     rng = np.random.default_rng(7)

@@ -75,6 +75,36 @@ def shingle_set(line: bytes) -> np.ndarray:
         return np.unique(_rolled(_codes(line.strip(b" \t\r"))).view(np.int64))
 
 
+def shingle_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """shingle_set() of each line, hashed BLOCK characters or one line at once."""
+    out: list[np.ndarray] = []
+    waiting: list[np.ndarray] = []
+
+    def make() -> None:
+        with np.errstate(over="ignore"):
+            h = _rolled(np.concatenate(waiting)).view(np.int64)
+        start = 0
+        for codes in waiting:
+            found = h[start : start + len(codes) - SIZE + 1]  # shingles that reach into the next line are none
+            found.sort()
+            again = found[1:] == found[:-1]
+            out.append(found[np.concatenate([[True], ~again])] if again.any() else found)
+            start += len(codes)
+        waiting.clear()
+
+    size = 0
+    for line in lines:
+        codes = _codes(line.strip(b" \t\r"))
+        if waiting and size + len(codes) > BLOCK:
+            make()
+            size = 0
+        waiting.append(codes)
+        size += len(codes)
+    if waiting:
+        make()
+    return out
+
+
 _TURNS = (np.arange(BANDS * ROWS, dtype=np.uint32) << np.uint32(32 - (BANDS * ROWS - 1).bit_length())).astype(np.uint32)
 
 
@@ -215,9 +245,9 @@ def rest(met: DataFrame, pick: set_pairs.Pick, roots: DataFrame, similar: float,
     if many.isEmpty():
         return pairs.distinct()
     some = put(pick(set_pairs.marked(many, "id")).dropDuplicates(["id"]).join(many, "id"), "some")
-    weights = set_pairs.weights_of(some, shingle_set)
-    asked = put(set_pairs.prefixes(some.where("minor = 1"), shingle_set, similar, weights).select(F.explode("s").alias("s")).distinct(), "asked")
-    firsts = put(set_pairs.prefixes(some, shingle_set, similar, weights, set_pairs.marked(asked, "s")), "prefixes").join(many.drop("minor"), "id")
+    weights = set_pairs.weights_of(some, shingle_sets)
+    asked = put(set_pairs.prefixes(some.where("minor = 1"), shingle_sets, similar, weights).select(F.explode("s").alias("s")).distinct(), "asked")
+    firsts = put(set_pairs.prefixes(some, shingle_sets, similar, weights, set_pairs.marked(asked, "s")), "prefixes").join(many.drop("minor"), "id")
     close = set_pairs.crossed(set_pairs.exploded(firsts, "component"), similar, put)
     return pairs.union(close).select(F.least("id", "id2").alias("id"), F.greatest("id", "id2").alias("id2")).distinct()
 
@@ -227,11 +257,11 @@ def links(docs: DataFrame, similar: float, put: Put) -> DataFrame:
     with passing(docs.sparkSession) as meanwhile:
         met = buckets(meanwhile(repeated(meanwhile(signatures(docs), "keys")), "bands"), put)
     lines = put(only_lines(docs, set_pairs.marked(met, "id", set_pairs.REPEATS)).dropDuplicates(["id"]), "lines")
-    pick, odd = partial(set_pairs.only, lines), put(set_pairs.with_parities(lines, shingle_set, WORDS), "parities")
+    pick, odd = partial(set_pairs.only, lines), put(set_pairs.with_parities(lines, shingle_sets, WORDS), "parities")
     near = partial(set_pairs.near, firsts=odd, similar=similar, words=WORDS)
-    once = set_pairs.verified(near(candidates(met)), pick, shingle_set, similar, put)
+    once = set_pairs.verified(near(candidates(met)), pick, shingle_sets, similar, put)
     roots = components(once.select(F.col("id").alias("a"), F.col("id2").alias("b"))).withColumnRenamed("node", "id")
-    more = set_pairs.verified(near(rest(met, pick, roots, similar, put)), pick, shingle_set, similar, put)
+    more = set_pairs.verified(near(rest(met, pick, roots, similar, put)), pick, shingle_sets, similar, put)
     if more.isEmpty():
         return roots
     edges = roots.union(more.select("id", "id2")).toDF("a", "b")

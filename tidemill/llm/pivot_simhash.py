@@ -130,6 +130,10 @@ def shingle_set(text: bytes, words: int) -> np.ndarray:
         return np.unique(set_pairs.mixed(out + np.uint64(size)).view(np.int64))
 
 
+def shingle_sets(found: list[bytes], words: int) -> list[np.ndarray]:
+    return [shingle_set(x, words) for x in found]
+
+
 def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:
     """Pairs (a, b) of fingerprints of texts that have ``similar``; together with ``edges`` they connect all such pairs.
 
@@ -137,7 +141,7 @@ def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, simil
     which shares most of its prefix among those with the smallest names; then up to TURNS times against a few texts of
     other classes, which joins most of a group of near copies; then all that is still apart is searched.
     """
-    sets, pick = partial(shingle_set, words=words), partial(set_pairs.only, rows)
+    sets, pick = partial(shingle_sets, words=words), partial(set_pairs.only, rows)
     names = named.distinct()
 
     def as_edges(found: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Pairs of texts whose sets of shingles are alike: exact verification, and an exact search by prefixes.
 
-Texts are rows (id, text); a function gives a text's set as distinct 64-bit hashes, ascending. Everything that
+Texts are rows (id, text); a function gives the sets of some texts, each as distinct 64-bit hashes, ascending. Everything that
 is broadcast or reaches the driver has a size that is set here and doesn't grow: a histogram of ``PARTS`` counts and
 sets of ``MARKS`` or ``REPEATS`` bits.
 """
@@ -30,8 +30,11 @@ PARTNERS = 16
 #: So many partners of one text are compared in one group; of more, the text goes to several groups.
 GROUP = 256
 
+#: Bytes of text whose sets are made at once.
+AT_ONCE = 1 << 20
+
 FIRSTS = "id long, size int, short int, s array<long>, at array<int>"
-Sets = Callable[[bytes], np.ndarray]
+Sets = Callable[[list[bytes]], list[np.ndarray]]
 #: Gives the rows (id, text) whose id may be among those marked.
 Pick = Callable[[Broadcast], DataFrame]
 Put = Callable[[DataFrame, str], DataFrame]
@@ -93,15 +96,15 @@ def verified(pairs: DataFrame, pick: Pick, sets: Sets, similar: float, put: Put)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         center, held = None, np.zeros(0, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, most=AT_ONCE):
             out: tuple[list, list] = ([], [])
-            for c, turn, i, x in zip(batch["center"].to_pylist(), batch["turn"].to_pylist(), batch["id"].to_pylist(), texts(batch), strict=True):
-                own = sets(x)
+            for c, turn, i, own in zip(batch["center"].to_pylist(), batch["turn"].to_pylist(), batch["id"].to_pylist(), sets(texts(batch)), strict=True):
                 if turn == 0:
-                    center, held = c, own
+                    center, held = c, own.copy()
                 elif c == center and len(own):
-                    at = np.minimum(np.searchsorted(held, own), max(len(held) - 1, 0))
-                    shared = int((held[at] == own).sum()) if len(held) else 0
+                    both = np.concatenate([held, own])
+                    both.sort()
+                    shared = int(np.count_nonzero(both[1:] == both[:-1]))
                     if shared >= similar * (len(own) + len(held) - shared):
                         out[0].append(i)
                         out[1].append(c)
@@ -115,8 +118,8 @@ def weights_of(rows: DataFrame, sets: Sets) -> Broadcast:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(PARTS, np.int64)
-        for batch in slices(batches):
-            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *map(sets, texts(batch))]) & (PARTS - 1), minlength=PARTS)
+        for batch in slices(batches, most=AT_ONCE):
+            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *sets(texts(batch))]) & (PARTS - 1), minlength=PARTS)
         high = np.flatnonzero(total > 4 + 2 * total.mean())
         yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(total[high])], ["part", "n"])
 
@@ -136,8 +139,8 @@ def with_parities(rows: DataFrame, sets: Sets, words: int = WORDS) -> DataFrame:
     """(id, size, parity) of each text: how many shingles it has, and their parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [sets(x) for x in texts(batch)]
+        for batch in slices(batches, most=AT_ONCE):
+            found = sets(texts(batch))
             odd = np.concatenate([parities(x, words) for x in found])
             lists = pa.ListArray.from_arrays(np.arange(0, len(odd) + 1, words, dtype=np.int32), pa.array(odd))
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array([len(x) for x in found], pa.int32()), lists], ["id", "size", "parity"])
@@ -161,10 +164,9 @@ def prefixes(rows: DataFrame, sets: Sets, similar: float, weights: Broadcast, bi
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=AT_ONCE):
             columns: list[list] = [[], [], [], [], [], []]
-            for i, x in zip(batch["id"].to_pylist(), texts(batch), strict=True):
-                found = sets(x)
+            for i, found in zip(batch["id"].to_pylist(), sets(texts(batch)), strict=True):
                 n, odd = len(found), parities(found) if parity else None
                 most, short = (n - int(np.ceil(share * n - 1e-9)) + 1 for share in (similar, 2 * similar / (1 + similar)))
                 found = found[np.lexsort((found, weights.value[found & (PARTS - 1)]))][:most]
