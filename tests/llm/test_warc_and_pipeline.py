@@ -1,5 +1,7 @@
 import gzip
 import importlib
+import random
+import re
 from pathlib import Path
 
 import duckdb
@@ -69,6 +71,25 @@ def test_plain_text(spark, html, text):
     assert spark.createDataFrame([(html,)], "h string").select(W.plain_text(F.col("h"))).first()[0] == text
 
 
+def test_plain_text_in_few_passes(spark):
+    """Entities and white space as they are defined, step by step, and not by a pass over the text for each entity."""
+    rng = random.Random(3)
+    bits = [*(x for x, _ in W.ENTITIES), *"& ; # \t \r \f \n a".split(" "), " ", "  ", "\n ", "lt;", "&#", "&#0038;", "&#65;", "&#128512;", "&hellip", "\u00e9", "\U0001f600", "x y"]
+    made = spark.createDataFrame([("".join(rng.choices(bits, k=rng.randrange(30))),) for _ in range(3000)], "h string")
+    for row in (out := made.select("h", W.plain_text(F.col("h")).alias("t"))).collect():
+        x = row["h"]
+        for entity, to in W.ENTITIES[:-1]:
+            x = x.replace(entity, to)
+        for number in dict.fromkeys(re.findall(W.NUMBERED, x)):
+            x = x.replace(f"&#{number};", chr(int(number)))
+        x = x.replace(*W.ENTITIES[-1])
+        for pattern, to in W.FOLDS:
+            x = re.sub(pattern, to, x)
+        assert row["t"] == x.strip(" \n")
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert len(re.findall(r"(?<!_)replace\(", plan)) <= 3
+
+
 def test_responses_of_a_warc_file(spark, tmp_path):
     """What is written as response records is read back, headers and all; other records and cut ones are told apart."""
 

@@ -51,27 +51,39 @@ FOLDS = [("[ \\t\\r\\f]{2,}|[\\t\\r\\f]", " "), (" ?\\n[ \\n]+| \\n", "\n")]
 def plain_text(html: Column) -> Column:
     for pattern, to in STEPS:
         html = F.regexp_replace(html, F.lit(pattern), F.lit(to))
-    html = _resolved(html)
-    for pattern, to in FOLDS:
-        html = F.regexp_replace(html, F.lit(pattern), F.lit(to))
-    return F.btrim(html, F.lit(" \n"))
+    return _folded(_resolved(html))
+
+
+#: Bound to a name by a lambda, as it is looked at and worked on: else it would be made for each.
+_bound = lambda c, f: F.transform(F.array(c), f)[0]
 
 
 def _resolved(text: Column) -> Column:
     """Entities as characters; a text without any isn't looked at again."""
+    known = F.create_map(*[F.lit(x) for entity, to in ENTITIES[:-1] for x in (entity[1:], to)])
+
+    def named(part: Column, at: Column) -> Column:
+        """What begins with an &, which no entity has but as its first character: so all of them are resolved in one pass."""
+        end = F.instr(part, ";")
+        found = F.concat(F.try_element_at(known, F.substring(part, F.lit(1), end)), F.substring(part, end + 1, F.octet_length(part)))
+        return F.when(at == 0, part).otherwise(F.coalesce(found, F.concat(F.lit("&"), part)))
 
     def put(upto: Column, number: Column) -> Column:
         return F.replace(upto, F.concat(F.lit("&#"), number, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32"))
 
-    def resolved(named: Column) -> Column:
-        for entity, to in ENTITIES[:-1]:
-            named = F.replace(named, F.lit(entity), F.lit(to))
-        numbers = bound(named, lambda x: F.when(x.contains("&#"), F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMBERED), 1)), x, put)).otherwise(x))
+    def resolved(x: Column) -> Column:
+        first = F.array_join(F.transform(F.split(x, "&"), named), "")
+        numbers = _bound(first, lambda x: F.when(x.contains("&#"), F.aggregate(F.array_distinct(F.regexp_extract_all(x, F.lit(NUMBERED), 1)), x, put)).otherwise(x))
         return F.replace(numbers, F.lit(ENTITIES[-1][0]), F.lit(ENTITIES[-1][1]))
 
-    # Bound to a name by a lambda, as it is looked at and worked on: else it would be made for each.
-    bound = lambda c, f: F.transform(F.array(c), f)[0]
-    return bound(text, lambda x: F.when(x.contains("&"), resolved(x)).otherwise(x))
+    return _bound(text, lambda x: F.when(x.contains("&"), resolved(x)).otherwise(x))
+
+
+def _folded(text: Column) -> Column:
+    """What FOLDS make of a text without white space at its ends: by lines, and only a text that has any inside a line is searched for it."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\f"))), lambda x: x != "")
+    inside = lambda x: x.contains("  ") | x.contains("\t") | x.contains("\r") | x.contains("\f")
+    return _bound(F.array_join(lines, "\n"), lambda x: F.when(inside(x), F.regexp_replace(x, F.lit(FOLDS[0][0]), F.lit(FOLDS[0][1]))).otherwise(x))
 
 
 def urn(name: Column) -> Column:
