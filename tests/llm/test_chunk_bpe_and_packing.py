@@ -59,6 +59,27 @@ def test_small_tables_change_nothing(rows):
         assert words.encode(t.encode(), False)[0] == chunks.encode(t.encode())[0]
 
 
+def test_texts_are_cut_once_and_words_made_together(library):
+    """The ids of many texts at once; and tokens of words whose ids alone were asked for before."""
+
+    class Text(bytes):
+        cuts = 0
+
+        def split(self, *a):
+            Text.cuts += 1
+            return super().split(*a)
+
+    rng = random.Random(2)
+    parts = ["a", "Z1", "é", "ß", "×", "÷", "İ", "'s", "<", "|", "<|endoftext|>", "9", "!", "\x01", "\x7f", "中", " ", " "]
+    made = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(300)]
+    words = B.Words(PATH, most=200)
+    ids = [library.encode(t, add_special_tokens=False).ids for t in made]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.ids_of([Text(t.encode()) for t in made])] == ids
+    assert Text.cuts == len(made)
+    for t, want in zip(made, ids, strict=True):
+        assert words.encode(t.encode(), True)[1][:-1].decode() == library.decode(want, skip_special_tokens=False)
+
+
 def check_packed(out, ids_of):
     sequences, documents = defaultdict(list), defaultdict(list)
     for r in out:

@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,21 @@ def cuts(text: bytes, bits: int = CHUNK_BITS) -> list[int]:
 #: The vocabulary's pre-tokens, as its file states them, for words of ASCII and Latin-1 letters; and
 #: the space that stands here between words.
 _PRETOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^ a-z0-9\u00df-\u00f6\u00f8-\u00ff]+| ").findall
-_PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+#: Between the ids of words, and between their tokens, that are made at once: no four bytes of ids, and no byte of a token.
+IDS_END, NAME_END = b"\xff" * 4, b"\xff"
+#: Bytes of no plain word: white space and control bytes, and the first byte of a letter that isn't Latin-1's.
+_ODD = np.array([b < 0x21 or b == 0x7F or (b >= 0xC0 and b != 0xC3) for b in range(256)])
+
+
+def _plain_ones(words: list[bytes]) -> list[bytes]:
+    """Those that are of printable ASCII and Latin-1 letters, without what may begin a special token."""
+    codes = np.frombuffer(b"".join(words), np.uint8)
+    odd = _ODD[codes]
+    odd[1:] |= (codes[:-1] == 0xC3) & ((codes[1:] == 0x97) | (codes[1:] == 0xB7))  # the signs among Latin-1's letters
+    odd[:-1] |= (codes[:-1] == ord("<")) & (codes[1:] == ord("|"))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    before = np.concatenate([[0], np.cumsum(odd)])[np.concatenate([[0], ends])]
+    return [*itertools.compress(words, (np.diff(before) == 0).tolist())]
 
 
 def _byte_letters() -> dict[int, str]:
@@ -100,6 +115,7 @@ class Words:
         names = [tokenizer.id_to_token(i) or "" for i in range(size)]
         self.tokens = [x.encode() + b" " for x in names]
         self.ends = np.array([x.endswith(suffix) for x in names])
+        self.closed = [x + NAME_END * end for x, end in zip(self.tokens, self.ends.tolist(), strict=True)]
         self.letters = _byte_letters()
         [self.mark] = self.encode_all("\x01")
         self.most = most
@@ -108,18 +124,19 @@ class Words:
     def clear(self) -> None:
         self.ids: dict[bytes, bytes] = {}
         self.named: dict[bytes, bytes] = {}  # each token followed by a space
-        self.pre: dict[str, tuple[bytes, bytes]] = {}
+        self.pre: dict[str, bytes] = {" ": IDS_END}
+        self.pre_named: dict[str, bytes] = {" ": NAME_END}
 
-    def know(self, words: list[bytes], tokens: bool) -> None:
+    def know(self, words: Iterable[bytes], tokens: bool) -> None:
         """See that all of ``words`` are in the tables."""
-        have = self.named if tokens else self.ids
-        missing = [w for w in {*words} if w not in have]
+        words = {*words}
+        missing = [*words.difference(self.named if tokens else self.ids)]
         if not missing:
             return
         if len(self.ids) + len(missing) > self.most:
             self.clear()
-            missing = [*{*words}]
-        plain = [w for w in missing if _PLAIN(w) and b"<|" not in w]
+            missing = [*words]
+        plain = _plain_ones(missing)
         if plain:
             self._plain(plain, tokens)
         if len(plain) < len(missing):
@@ -127,27 +144,23 @@ class Words:
             self._other([w for w in rest if b"\x01" not in w], [w for w in rest if b"\x01" in w])
 
     def _plain(self, words: list[bytes], tokens: bool) -> None:
+        """Pre-tokens of all words go through the model, and are put together again, in a few calls for all of them."""
         found = _PRETOKENS(b" ".join(words).decode().lower())
-        new = [x for x in {*found} if x not in self.pre and x != " "]
+        new = [*{*found}.difference(self.pre_named if tokens else self.pre)]
         if new:
-            ids = np.array(self.encode_bare(" ".join(new).encode().decode("latin-1").translate(self.letters)), "<u4")
-            raw, start = ids.tobytes(), 0
-            named = [self.tokens[i] for i in ids.tolist()] if tokens else []
-            for x, end in zip(new, (np.flatnonzero(self.ends[ids]) + 1).tolist(), strict=True):
-                self.pre[x] = raw[4 * start : 4 * end], b"".join(named[start:end])
-                start = end
-        found.append(" ")
-        pre, start = self.pre, 0
-        for w in words:
-            end = found.index(" ", start)
-            if end == start + 1:
-                self.ids[w], named_ = pre[found[start]]
-            else:
-                two = [pre[x] for x in found[start:end]]
-                self.ids[w], named_ = b"".join([x for x, _ in two]), b"".join([x for _, x in two])
+            ascii_ = [x for x in new if x.isascii()]
+            rest = [x for x in new if not x.isascii()]
+            new = [*ascii_, *rest]
+            ids = np.array(self.encode_bare(" ".join([*ascii_, " ".join(rest).encode().decode("latin-1").translate(self.letters)])), "<u4")
+            ends = self.ends[ids]
+            whole = np.full(len(ids) + len(new), 0xFFFFFFFF, "<u4")
+            whole[np.arange(len(ids)) + np.cumsum(ends) - ends] = ids
+            self.pre.update(zip(new, whole.tobytes().split(IDS_END)[:-1], strict=True))
             if tokens:
-                self.named[w] = named_
-            start = end + 1
+                self.pre_named.update(zip(new, b"".join(map(self.closed.__getitem__, ids.tolist())).split(NAME_END)[:-1], strict=True))
+        self.ids.update(zip(words, b"".join(map(self.pre.__getitem__, found)).split(IDS_END), strict=True))
+        if tokens:
+            self.named.update(zip(words, b"".join(map(self.pre_named.__getitem__, found)).split(NAME_END), strict=True))
 
     def _other(self, words: list[bytes], marked: list[bytes]) -> None:
         out = [(w, self.encode_all(w.decode())) for w in marked]
@@ -176,7 +189,13 @@ class Words:
 
     def know_all(self, found: list[bytes], tokens: bool) -> None:
         """Take the words of all these texts to the model at once: a call of its own for each text or chunk costs more than its words."""
-        self.know([*{w for x in found for w in x.split()}], tokens)
+        self.know(itertools.chain.from_iterable(map(bytes.split, found)), tokens)
+
+    def ids_of(self, found: list[bytes]) -> list[bytes]:
+        """The ids of each of these texts; they are cut into words once."""
+        cut = [x.split() for x in found]
+        self.know(itertools.chain.from_iterable(cut), False)
+        return [b"".join(map(self.ids.__getitem__, x)) for x in cut]
 
 
 @functools.cache

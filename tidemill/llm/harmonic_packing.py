@@ -143,13 +143,7 @@ def packed_words(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     path = path or default_vocabulary()
 
     def encoder() -> Callable[[list[bytes]], list[bytes]]:
-        words = words_of(path, False)
-
-        def encode(found: list[bytes]) -> list[bytes]:
-            words.know_all(found, False)
-            return [words.encode(x, False)[0] for x in found]
-
-        return encode
+        return words_of(path, False).ids_of
 
     return packed(docs, encoder, capacity)
 
