@@ -1,10 +1,12 @@
 import math
+import random
 import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
 import pytest
+import xxhash
 
 from tidemill.llm import hidden_markov as H
 
@@ -110,3 +112,24 @@ def test_odd_rows(odd, none):
     assert H.scores(none).count() == 0
     nothing = H.scores(odd.where("doc_id = 6"), fold=1, held=0).first()
     assert nothing["train_tokens"] == 0 and nothing["n_known"] == 0
+
+
+def test_words_are_hashed_once(monkeypatch):
+    """Codes, hashes and ends of many texts at once are those of their tokens, also where what was met is dropped."""
+    monkeypatch.setattr(H, "MOST_WORDS", 40)
+    rng = random.Random(6)
+    made = ["".join(rng.choices(["a", "B", "é", "İ", "x1", "中", "\x1c", " ", " ", "\t", "\n"], k=rng.randrange(20))).encode() for _ in range(200)]
+    words = [w for t in made for w in H.tokens(t)]
+    known = sorted({*words[::3]})
+    h = H.hashes_of(known)
+    index = H.Index(np.sort(h), np.argsort(h).astype(np.int32))
+    want = [known.index(w) if w in known else -1 - H.class_of(w) for w in words]
+    calls = []
+    real = xxhash.xxh64_intdigest
+    monkeypatch.setattr(H.xxhash, "xxh64_intdigest", lambda w: calls.append(w) or real(w))
+    codes, hashes, last = index(H.flat_tokens(made))
+    assert codes.tolist() == want and sorted(calls) == sorted({*words})
+    assert hashes.view(np.uint64).tolist() == [real(w) for w in words] and last.tolist() == [w == H.END for w in words]
+    some = [index(H.flat_tokens(made[i : i + 9])) for i in range(0, len(made), 9)]
+    assert np.concatenate([x[0] for x in some]).tolist() == want
+    assert H.flat_tokens([b"A \xff b", b"", b"c"]) == [b"a", "\ufffd".encode(), b"b", H.MARK, H.MARK, b"c", H.MARK] and H.flat_tokens([]) == []

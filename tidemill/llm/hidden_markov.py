@@ -25,6 +25,7 @@ are held out. If nothing is left to train on, the score is that of unknown token
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 from collections.abc import Iterator
@@ -55,6 +56,46 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END]
 
 
+#: Stands for the end where texts are cut into words together: no byte of UTF-8.
+MARK = b"\xff"
+
+
+def flat_tokens(found: list[bytes]) -> list[bytes]:
+    """tokens() of all these texts, one after the other, with MARK for the end."""
+    whole = b" \xff ".join([*found, b""])
+    if whole.count(MARK) > len(found):  # a string that isn't UTF-8
+        return flat_tokens([x.decode("utf-8", "replace").encode() for x in found])
+    return whole.lower().split()
+
+
+class Slots(dict):
+    """Numbers words by when they were met, and MARK by 0: one look at each token, known or not."""
+
+    def __init__(self) -> None:
+        self[MARK] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        slot = self[word] = len(self)
+        return slot
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def since(self, slot: int) -> list[bytes]:
+        """The words from a slot on, with the end as it is."""
+        return [w if w != MARK else END for w in itertools.islice(self, slot, None)]
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+
+
+def classes_of(words: list[bytes]) -> np.ndarray:
+    """class_of() of each word; an ending that many have is hashed once."""
+    kinds = {x: class_of(x) for x in {w[-3:] for w in words}}
+    return np.array([kinds[w[-3:]] for w in words], np.int64)
+
+
 def class_of(word: bytes) -> int:
     return xxhash.xxh32_intdigest(word[-3:]) & (CLASSES - 1)
 
@@ -81,23 +122,25 @@ class Index:
 
     def __init__(self, hashes: np.ndarray, places: np.ndarray) -> None:
         self.hashes, self.places = hashes, places
-        self.met: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.met.get, words))
-        if None in found:
-            new = [*{w for w, i in zip(words, found, strict=True) if i is None}]
-            if len(self.met) + len(new) > MOST_WORDS:
-                self.met.clear()
-                new = [*{*words}]
-            h = np.array([xxhash.xxh64_intdigest(w) for w in new], np.uint64).view(np.int64)
-            place = np.array([-1 - class_of(w) for w in new])
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots, self.own, self.codes = Slots(), np.zeros(0, np.int64), np.zeros(0, np.int32)  # by slot: hashes and numbers
+
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The numbers of flat_tokens(), their hashes, and which are ends."""
+        at = self.slots.of(words)
+        if len(self.codes) < len(self.slots):
+            new = self.slots.since(len(self.codes))
+            h, place = hashes_of(new), -1 - classes_of(new)
             if len(self.hashes):
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                place = np.where(self.hashes[at] == h, self.places[at], place)
-            self.met.update(zip(new, place.tolist(), strict=True))
-            found = list(map(self.met.get, words))
-        return np.array(found, np.int32)
+                near = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+                place = np.where(self.hashes[near] == h, self.places[near], place)
+            self.own, self.codes = np.concatenate([self.own, h]), np.concatenate([self.codes, place.astype(np.int32)])
+        out = self.codes[at], self.own[at], at == 0
+        if len(self.slots) > MOST_WORDS:
+            self.clear()
+        return out
 
 
 def by_length(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,36 +278,29 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     """(h, cls, n): the counts of all tokens of ``docs`` (text) by hash and class, and with them those of FOLLOWS and FIRSTS."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places: dict[bytes, int] = {END: 0}  # of the words met, by when they were
-        classes, counts = [class_of(END)], np.zeros(1, np.int64)
+        places, kinds, counts = Slots(), np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last two by slot
         follows, firsts = np.zeros(GUESS * GUESS, np.int64), np.zeros(GUESS, np.int64)
 
-        def rows(h: np.ndarray, cls: np.ndarray | list[int], n: np.ndarray) -> pa.RecordBatch:
+        def rows(h: np.ndarray, cls: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls, pa.int32()), pa.array(n)], ["h", "cls", "n"])
 
         def out() -> pa.RecordBatch:
             some = np.flatnonzero(counts)
-            h = np.array([xxhash.xxh64_intdigest(w) for w in places], np.uint64).view(np.int64)
-            return rows(h[some], np.array(classes)[some], counts[some])
+            return rows(hashes_of(places.since(0))[some] if len(some) else some, kinds[some], counts[some])
 
         for batch in slices(batches):
-            flat = [w for x in texts(batch) for w in tokens(x)]
-            found = list(map(places.get, flat))
-            if None in found:
-                for w in {w for w, i in zip(flat, found, strict=True) if i is None}:
-                    places[w] = len(places)
-                    classes.append(class_of(w))
-                found = list(map(places.get, flat))
+            at = places.of(flat_tokens(texts(batch)))
+            if len(kinds) < len(places):
+                kinds = np.concatenate([kinds, classes_of(places.since(len(kinds)))])
                 counts = np.concatenate([counts, np.zeros(len(places) - len(counts), np.int64)])
-            at = np.array(found)
             counts += np.bincount(at, minlength=len(counts))
-            kind = (np.array(classes) & (GUESS - 1))[at]
+            kind = (kinds & (GUESS - 1))[at]
             ends = at == 0
             firsts += np.bincount(kind[np.concatenate(([True], ends[:-1]))], minlength=GUESS)
             follows += np.bincount((kind[:-1] * GUESS + kind[1:])[~ends[:-1]], minlength=GUESS * GUESS)
             if len(places) > MOST_WORDS:
                 yield out()
-                places, classes, counts = {END: 0}, [class_of(END)], np.zeros(1, np.int64)
+                places, kinds, counts = Slots(), np.zeros(0, np.int64), np.zeros(0, np.int64)
         yield out()
         for which, sums in ((FOLLOWS, follows), (FIRSTS, firsts)):
             at = np.flatnonzero(sums)
@@ -321,20 +357,13 @@ def numbered(docs: DataFrame, model: Broadcast, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_of(key, model.value)
         uid = TaskContext.get().partitionId() << 36
-        hashes: dict[bytes, int] = {}  # of the words that aren't known
         for batch in slices(batches):
-            words = [tokens(x) for x in texts(batch)]
-            flat = [w for x in words for w in x]
-            codes = index(flat)
-            ends = np.cumsum([0, *map(len, words)])
+            codes, hashes, last = index(flat_tokens(texts(batch)))
+            ends = np.concatenate([[0], np.flatnonzero(last) + 1])
             some = np.flatnonzero(codes < 0)
-            rare = [flat[i] for i in some.tolist()]
-            if len(hashes) > MOST_WORDS:
-                hashes.clear()
-            hashes.update((w, _signed(w)) for w in {*rare} - hashes.keys())
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(some, ends), pa.int32()), pa.array(list(map(hashes.__getitem__, rare)), pa.int64()))
-            columns = [pa.array(np.arange(uid, uid + len(words))), batch["doc_id"], batch["held_out"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), lists]
-            uid += len(words)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(some, ends), pa.int32()), pa.array(hashes[some]))
+            columns = [pa.array(np.arange(uid, uid + batch.num_rows)), batch["doc_id"], batch["held_out"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes)), lists]
+            uid += batch.num_rows
             yield pa.RecordBatch.from_arrays(columns, ["uid", "doc_id", "held_out", "codes", "rare"])
 
     return docs.mapInArrow(run, "uid long, doc_id long, held_out boolean, codes array<int>, rare array<long>")
@@ -414,11 +443,6 @@ def trained(train: DataFrame, model: Model, unigram: np.ndarray, rounds: int = R
     return model
 
 
-def _signed(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word)
-    return h - 2**64 if h >= 2**63 else h
-
-
 def scores(docs: DataFrame, fold: int = 7, held: int = 2, states: int = STATES, core: int = CORE, known: int = KNOWN, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs``."""
     spark = docs.sparkSession
