@@ -381,3 +381,13 @@ def test_a_large_group_of_near_copies_is_not_paired_as_a_whole(spark, monkeypatc
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r["doc_id"] for r in P.one_of_each(docs, words=5).collect()) == sorted(set(groups(range(400), alike).values()))
     assert left[0] <= 40_000  # of 79,800 pairs; 82,638 rows when texts were held against one other alone, and pairs of equal sizes came twice
+
+
+def test_shingle_sets_of_many_texts_at_once():
+    """As of each text alone, and as many as there are: borders of texts and of blocks, long words, few words."""
+    texts = [b"", b" \n ", b"a", b"a b", b"A B  c d e", b"a b c d e f" * 3, b"x" * 70 + b" y", b"q " * 200_000, b"z" * 600_000 + b" a b c d e f " + b"w" * 65 + b" " + b"w" * 64, b"a b c d e"]
+    sets = P.shingle_sets(texts, 5)
+    for x, got in zip(texts, sets, strict=True):
+        w = x.lower().split()
+        assert (got == P.shingle_set(x, 5)).all() and len(got) == len({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)) if w})
+    assert (sets[4] == sets[9]).all() and P.shingle_sets([], 5) == []

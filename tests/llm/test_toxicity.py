@@ -115,3 +115,45 @@ def test_freed_memory_goes_back_after_training(spark, data, monkeypatch):
     monkeypatch.setattr(S, "give_back", lambda: called.append(1))
     S.fitted(*(spark.read.parquet(f"{data}/{x}.parquet") for x in ("documents", "labels")))
     assert called == [1]
+
+
+def test_words_are_scored_once_and_kept_by_use(monkeypatch):
+    """Words of one form have one margin and are worked on once; what is met in every slice stays when words that aren't met again go."""
+    scorer, worked = S.Scorer(S.Model("k", np.ones(S.LETTERS**3, np.float32), -0.25, np.zeros(4))), []
+    raw = scorer._raw
+    monkeypatch.setattr(scorer, "_raw", lambda batch: worked.append(len(batch)) or raw(batch))
+    assert len({*scorer.margins([b"idiot", b"Idiot,", b"(IDIOT)"])}) == 1 and worked == [1]
+    monkeypatch.setattr(S, "MOST_WORDS", 40)
+    worked.clear()
+    for i in range(50):
+        scorer([b"the same words come " + b" ".join(b"w%dx%d" % (i, j) for j in range(6))])
+    assert sum(worked) == 4 + 50 * 6 and len(scorer.met) + len(scorer.before) <= 40
+
+
+def test_lengths_of_features_by_matrices():
+    rng = np.random.default_rng(2)
+    for n in range(4, 21):
+        batch = rng.integers(1, 6, (20, n)).astype(np.uint8)
+        brute = [sum(v * v for v in phi.values()) ** 0.5 for phi in map(triples, batch.tolist())]
+        assert S.norms(batch) == pytest.approx(np.maximum(brute, 1e-6), rel=1e-4)
+
+
+def triples(w):
+    out = {}
+    for i, j, k in combinations(range(len(w)), 3):
+        if S.MARK not in (w[i], w[j], w[k]):
+            out[w[i], w[j], w[k]] = out.get((w[i], w[j], w[k]), 0) + S.DECAY ** (k - i - 2)
+    return out
+
+
+def test_a_worker_keeps_one_operators_tables():
+    from tidemill.llm import common
+
+    kept = {"packing": [1], "toxicity": [2]}
+    common.holds("packing", kept["packing"].clear)
+    common.holds("packing", kept["packing"].clear)
+    assert kept["packing"] == [1]
+    common.holds("toxicity", kept["toxicity"].clear)
+    assert kept == {"packing": [], "toxicity": [2]}
+    common.holds("fingerprints")
+    assert kept["toxicity"] == []

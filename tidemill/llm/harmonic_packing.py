@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.chunk_bpe import default_vocabulary, words_of
-from tidemill.llm.common import slices, texts
+from tidemill.llm.common import holds, slices, texts
 
 CAPACITY = 2048
 END = 1
@@ -143,6 +143,7 @@ def packed_words(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     path = path or default_vocabulary()
 
     def encoder() -> Callable[[list[bytes]], list[bytes]]:
+        holds("packing", words_of.cache_clear)
         return words_of(path, False).ids_of
 
     return packed(docs, encoder, capacity)

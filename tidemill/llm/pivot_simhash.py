@@ -24,6 +24,7 @@ text don't matter.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations, repeat
@@ -36,13 +37,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.llm import set_pairs
-from tidemill.llm.common import append, components, passing, slices, table, texts
+from tidemill.llm.common import append, components, holds, passing, slices, table, texts
 
 SEED = 42
 WITHIN = 2
 GROUPS = 5
 #: Times that texts are held against a few of other classes before all pairs of what is apart.
 TURNS = 2
+#: Bytes of text that are hashed at once, and the most that a word has whose name is a polynomial.
+BLOCK, LONG = 1 << 18, 64
 #: Reference fingerprints besides zero and the masks of two bits: multiples of the golden ratio.
 SPREAD = [(i * 0x9E3779B97F4A7C15) % 2**64 for i in range(1, 8)]
 
@@ -65,6 +68,7 @@ def with_fingerprints(df: DataFrame, text: str = "text", name: str = "fp") -> Da
     """``df`` with the fingerprint of each text as a long (its bits as a signed number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("fingerprints")
         for batch in slices(batches, text):
             found = np.array([fingerprint(x) for x in texts(batch, text)], np.uint64)
             yield append(batch, **{name: pa.array(found.view(np.int64))})
@@ -118,20 +122,71 @@ def links(prints: DataFrame) -> DataFrame:
     return close.select(F.col("fp").alias("a"), F.col("fp2").alias("b")).distinct()
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """64-bit names of a text's distinct shingles, ascending: a polynomial of their words' XXH64, mixed. Fewer words are one shingle."""
-    w = text.lower().split()
-    h = np.fromiter(map(xxhash.xxh64_intdigest, w, repeat(SEED)), np.uint64, len(w))
+def _powers(base: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        size = min(words, len(w))
-        out = h[: len(w) - size + 1] if size else h
-        for i in range(1, size):
-            out = out * np.uint64(set_pairs.BASE) + h[i : len(w) - size + 1 + i]
-        return np.unique(set_pairs.mixed(out + np.uint64(size)).view(np.int64))
+        return np.concatenate([[np.uint64(1)], np.full(BLOCK - 1, base, np.uint64)]).cumprod(dtype=np.uint64)
+
+
+_POWERS, _INVERSE = _powers(set_pairs.BASE), _powers(pow(set_pairs.BASE, -1, 2**64))
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_NEXT = re.compile(rb"[\t-\r ]").search
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of a lower-cased text starts, and its 64-bit name: a polynomial of its bytes, mixed; of words over LONG bytes their XXH64."""
+    places, names, at = [], [], 0
+    while at < len(text):
+        codes = np.frombuffer(text, np.uint8, min(BLOCK, len(text) - at), at)
+        space = _SPACE[codes]
+        if at + len(codes) < len(text):  # the block ends with a word
+            cut = np.flatnonzero(space)
+            if not len(cut):
+                end = m.start() if (m := _NEXT(text, at)) else len(text)
+                places.append(np.array([at], np.int64))
+                names.append(np.array([xxhash.xxh64_intdigest(text[at:end], SEED)], np.uint64))
+                at = end
+                continue
+            codes, space = codes[: cut[-1] + 1], space[: cut[-1] + 1]
+        edges = np.flatnonzero(np.diff(~space, prepend=False, append=False))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(codes)], out=sums[1:])
+        own = set_pairs.mixed((sums[ends] - sums[starts]) * _INVERSE[starts])
+        for i in np.flatnonzero(ends - starts > LONG):
+            own[i] = xxhash.xxh64_intdigest(text[at + starts[i] : at + ends[i]], SEED)
+        places.append(starts + at)
+        names.append(own)
+        at += len(codes)
+    return np.concatenate([np.zeros(0, np.int64), *places]), np.concatenate([np.zeros(0, np.uint64), *names])
+
+
+def _joined(h: np.ndarray, size: int) -> np.ndarray:
+    """The names of all ``size`` words in a row."""
+    out = h[: len(h) - size + 1] if size else h
+    for i in range(1, size):
+        out = out * np.uint64(set_pairs.BASE) + h[i : len(h) - size + 1 + i]
+    return set_pairs.mixed(out + np.uint64(size)).view(np.int64)
 
 
 def shingle_sets(found: list[bytes], words: int) -> list[np.ndarray]:
-    return [shingle_set(x, words) for x in found]
+    """64-bit names of each text's distinct shingles, ascending: a polynomial of their words' names, mixed. Fewer words are one shingle."""
+    with np.errstate(over="ignore"):
+        starts, h = word_hashes(b"\n".join(found).lower())
+        ends = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in found], dtype=np.int64)).tolist()
+        every = _joined(h, words) if len(h) >= words else None
+        out = []
+        for a, b in zip([0, *ends], ends, strict=False):
+            if b - a < words:
+                out.append(_joined(h[a:b], b - a))
+                continue
+            own = np.sort(every[a : b - words + 1])  # shingles that reach into the next text are none
+            again = own[1:] == own[:-1]
+            out.append(own[np.concatenate([[True], ~again])] if again.any() else own)
+        return out
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    return shingle_sets([text], words)[0]
 
 
 def alike(rows: DataFrame, named: DataFrame, edges: DataFrame, words: int, similar: float) -> DataFrame:

@@ -39,13 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.common import append, give_back, slices, texts
+from tidemill.llm.common import append, give_back, holds, slices, texts
 
 DECAY, WIDE, LETTERS, MARK = 0.6, 20, 128, 2
 SAMPLE, LANDMARKS, NEGATIVES, ROUNDS, COST = 2000, 320, 2500, 2, 30.0
 SAMPLE_BYTES = 64 << 20
-#: A worker keeps at most so many words' margins at once.
+#: A worker keeps at most so many words' margins at once: half of them those met lately, half those met before.
 MOST_WORDS = 200_000
+#: Words of one length whose subsequences are looked up at once.
+AT_ONCE = 4096
 THRESHOLD = 0.7
 
 #: Rounds in which labelled sentences are the examples; a toxic text whose best word is below FAR has no insult that is known.
@@ -66,21 +68,47 @@ def code_of(c: str) -> int:
 
 def words(text: bytes) -> list[bytes]:
     """The words of a text as they stand; single letters in a row become one more word."""
-    return [*text.split(), *(b"".join(m[0].split()) for m in _SPACES.finditer(text))]
+    found = text.split()
+    if _SINGLES in np.minimum(np.fromiter(map(len, found), np.int64, len(found)), 2).astype(np.uint8).tobytes():
+        found += [b"".join(m[0].split()) for m in _SPACES.finditer(text)]
+    return found
+
+
+#: Four words of one letter in a row.
+_SINGLES = b"\1" * 4
+#: The class of each character of ASCII; what isn't a letter or digit is a mark, and a space stays apart from them.
+_CLASSES = bytes([code_of(chr(c).lower()) if c != 32 else 0 for c in range(128)]) + bytes(128)
+
+
+def letters(of: list[bytes]) -> list[bytes]:
+    """The classes of the letters of each of these words, without the marks at its ends."""
+    plain = [w if w.isascii() else b"" for w in of]
+    found = [w.strip(b"\2") for w in b" ".join(plain).translate(_CLASSES).split(b"\0")]
+    for i, w in enumerate(of):
+        if not plain[i] and w:
+            s = w.decode("utf-8", "replace").lower()
+            a, b = 0, len(s)
+            while a < b and not s[a].isalnum():
+                a += 1
+            while b > a and not s[b - 1].isalnum():
+                b -= 1
+            found[i] = bytes(map(code_of, s[a:b]))
+    return found
+
+
+def windows(found: bytes) -> list[bytes]:
+    """What letters() gives, between end marks and in windows."""
+    if not found:
+        return []
+    codes = b"\1%b\1" % found
+    if len(codes) <= WIDE:
+        return [codes]
+    return [codes[i : i + WIDE] for i in range(0, len(codes) - WIDE // 2, WIDE // 2)]
 
 
 def coded(word: bytes) -> list[list[int]]:
     """The windows of a word as classes of letters between end marks."""
-    s = word.decode("utf-8", "replace").lower()
-    a, b = 0, len(s)
-    while a < b and not s[a].isalnum():
-        a += 1
-    while b > a and not s[b - 1].isalnum():
-        b -= 1
-    codes = [1, *map(code_of, s[a:b]), 1]
-    if len(codes) <= WIDE:
-        return [codes] if b > a else []
-    return [codes[i : i + WIDE] for i in range(0, len(codes) - WIDE // 2, WIDE // 2)]
+    return [[*w] for w in windows(letters([word])[0])]
 
 
 class _Threes(NamedTuple):
@@ -126,19 +154,18 @@ def features(word: list[int]) -> Vector:
     return Vector(unique.astype(np.int32), (values / max(np.sqrt((values**2).sum()), 1e-12)).astype(np.float32))
 
 
-def norms(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Each word's feature vector's length."""
-    if keys.shape[1] == 0:
-        return np.ones(len(keys), np.float32)
-    order = np.argsort(keys, axis=1)
-    sorted_ = np.take_along_axis(keys, order, 1)
-    values = np.where(_marked(sorted_), np.float32(0), weights[order])
-    new = np.ones(keys.shape, bool)
-    new[:, 1:] = sorted_[:, 1:] != sorted_[:, :-1]
-    group = np.cumsum(new.ravel()) - 1
-    sums = np.bincount(group, values.ravel())
-    firsts = np.flatnonzero(new.ravel()) // keys.shape[1]
-    return np.sqrt(np.maximum(np.bincount(firsts, sums**2, len(keys)), 1e-12)).astype(np.float32)
+def norms(batch: np.ndarray) -> np.ndarray:
+    """Of words of one length, each one's feature vector's length: the kernel of a word and itself, letter by letter."""
+    count, n = batch.shape
+    alike = ((batch[:, :, None] == batch[:, None]) & (batch != MARK)[:, :, None]).astype(np.float32)
+    gap = np.arange(n)[None] - np.arange(n)[:, None]
+    after = np.where(gap > 0, DECAY ** np.maximum(gap, 0), 0).astype(np.float32)
+    ends = alike
+    for _ in range(2):  # one letter more, in either word after what it has
+        for _ in range(2):
+            ends = (ends.reshape(-1, n) @ after).reshape(count, n, n).swapaxes(1, 2)
+        ends = ends * alike
+    return np.sqrt(np.maximum(ends.sum(axis=(1, 2)) / DECAY**4, 1e-12))
 
 
 class Model(NamedTuple):
@@ -154,49 +181,72 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model = model
         self.met: dict[bytes, float] = {}
+        self.before: dict[bytes, float] = {}
+
+    def _raw(self, batch: np.ndarray) -> np.ndarray:
+        """The table's weights of all subsequences of words of one length, summed."""
+        out, columns = np.zeros(len(batch), np.float32), np.ascontiguousarray(batch.T).astype(np.intp)
+        n = len(columns)
+        decay = (DECAY ** np.arange(n)).astype(np.float32)
+        for i in range(n - 2):
+            first = columns[i] * LETTERS
+            for j in range(i + 1, n - 1):
+                keys = columns[j + 1 :] + (first + columns[j]) * LETTERS
+                out += decay[j - i - 1 : n - i - 2] @ self.model.table.take(keys, mode="clip")
+        return out
 
     def margins(self, new: list[bytes]) -> list[float]:
         """The best window's margin of each word; what has no positive part is at the bias."""
-        windows = [(i, w) for i, x in enumerate(new) for w in coded(x)]
-        out = np.full(len(new), self.model.bias, np.float32)
-        by_size: dict[int, list[int]] = {}
-        for j, (_, w) in enumerate(windows):
-            by_size.setdefault(len(w), []).append(j)
-        for size, some in by_size.items():
-            for a in range(0, len(some), 4_000_000 // (size**3 * 8) + 1):
-                part = some[a : a + 4_000_000 // (size**3 * 8) + 1]
-                keys, weights = keys_of(np.array([windows[j][1] for j in part]))
-                raw = self.model.table[keys] @ weights
-                good = np.flatnonzero(raw > 0)
-                if len(good):
-                    value = raw[good] / norms(keys[good], weights) + self.model.bias
-                    np.maximum.at(out, np.array([windows[part[g]][0] for g in good]), value)
-        return out.tolist()
+        found = letters(new)
+        forms = dict.fromkeys(found)
+        by_size: dict[int, tuple[list, list]] = {}
+        for i, form in enumerate(forms):
+            forms[form] = i
+            for w in windows(form):
+                own = by_size.setdefault(len(w), ([], []))
+                own[0].append(w)
+                own[1].append(i)
+        out = np.full(len(forms), self.model.bias, np.float32)
+        for size, (some, of) in by_size.items():
+            batch, of = np.frombuffer(b"".join(some), np.uint8).reshape(-1, size), np.array(of)
+            raw = np.concatenate([self._raw(batch[a : a + AT_ONCE]) for a in range(0, len(batch), AT_ONCE)])
+            good = np.flatnonzero(raw > 0)
+            for part in (good[a : a + AT_ONCE // 4] for a in range(0, len(good), AT_ONCE // 4)):
+                np.maximum.at(out, of[part], raw[part] / norms(batch[part]) + self.model.bias)
+        return out[np.array([*map(forms.__getitem__, found)], np.intp)].tolist()
+
+    def _values(self, flat: list[bytes]) -> list[float]:
+        """Each word's margin. Words are kept in two halves: when the newer one is full, what wasn't met again in its time goes."""
+        own = {*flat}
+        new = own.difference(self.met)
+        if new:
+            if len(self.met) + len(new) > MOST_WORDS // 2:
+                self.before, self.met, new = self.met, {}, own
+            again = new.intersection(self.before)
+            self.met.update(zip(again, map(self.before.__getitem__, again), strict=True))
+            new = [*new.difference(again)]
+            self.met.update(zip(new, self.margins(new), strict=True))
+        return list(map(self.met.__getitem__, flat))
 
     def __call__(self, found: list[bytes]) -> np.ndarray:
         """(1, best, second best, share of good words) of each text."""
         lists = [words(x) for x in found]
-        flat = [w for x in lists for w in x]
-        values = list(map(self.met.get, flat))
-        if None in values:
-            new = [*{w for w, v in zip(flat, values, strict=True) if v is None}]
-            if len(self.met) + len(new) > MOST_WORDS:
-                self.met.clear()
-                new = [*{*flat}]
-            self.met.update(zip(new, self.margins(new), strict=True))
-            values = list(map(self.met.get, flat))
-        values = np.array(values, np.float32)
+        values = np.array(self._values([w for x in lists for w in x]), np.float32)
         out = np.zeros((len(found), 4))
         out[:, 0], out[:, 1:3] = 1, self.model.bias
-        sizes = np.array([len(x) for x in lists])
-        ends = np.cumsum(sizes)
-        for i in np.flatnonzero(sizes):
-            own = values[ends[i] - sizes[i] : ends[i]]
-            k = int(own.argmax())
-            out[i, 1] = own[k]
-            if sizes[i] > 1:
-                out[i, 2] = max(own[:k].max(initial=self.model.bias), own[k + 1 :].max(initial=self.model.bias))
-            out[i, 3] = np.log1p((own > 0).sum())
+        sizes = np.array([len(x) for x in lists], np.int64)
+        some = np.flatnonzero(sizes)
+        if not len(some):
+            return out
+        starts = (np.cumsum(sizes) - sizes)[some]
+        out[some, 1] = np.maximum.reduceat(values, starts)
+        out[some, 3] = np.log1p(np.add.reduceat(values > 0, starts, dtype=np.int64))
+        # The second best: without the first place of the best.
+        best = np.flatnonzero(values == np.repeat(out[some, 1].astype(np.float32), sizes[some]))
+        of = np.searchsorted(starts, best, "right") - 1
+        values[best[np.unique(of, return_index=True)[1]]] = -np.inf
+        out[some, 2] = np.maximum(np.maximum.reduceat(values, starts), np.where(sizes[some] > 1, np.float32(self.model.bias), -np.inf))
+        out[some[sizes[some] == 1], 2] = self.model.bias
         return out
 
 
@@ -414,6 +464,7 @@ def toxicity(df: DataFrame, model: Model, text: str = "text", name: str = "score
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holds("toxicity", _scorers.clear)
         made = scorer_of(sent.value)
         for batch in slices(batches, text):
             yield append(batch, **{name: pa.array(probability(made(texts(batch, text)), made.model.curve))})
